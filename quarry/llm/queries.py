@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import compression_quality, license_sentences, media, url_reputation, warc
+from quarry.llm import compression_quality, license_sentences, media, simhash, url_reputation, warc
 from quarry.llm.common import table
 
 URL_RULES = [("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/")]
@@ -20,6 +20,11 @@ def op2_license_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.size("sentence_ids").cast("long").alias("n_known"), F.array_join("sentence_ids", ",").alias("sentence_ids"), F.array_join("licenses", ",").alias("licenses"))
 
 
+def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"), words=3, radius=3)
+    return found.select("doc_id", simhash.hex64("fp").alias("fingerprint"), "component_id")
+
+
 def op8_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Outcomes: the page's document, whose id ends its path, is labelled bad (quality 0)."""
     pages, labels = table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels")
@@ -46,7 +51,7 @@ def op10_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.round_trip(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_warc, op2_license_sentences, op8_url_reputation, op9_compression_quality, op10_media)}
+QUERIES = {f.__name__: f for f in (op1_warc, op2_license_sentences, op3_simhash, op8_url_reputation, op9_compression_quality, op10_media)}
 
 ORACLES: dict[str, str] = {}
 
