@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import compression_quality, license_sentences, media, packing, simhash, url_reputation, warc
+from quarry.llm import compression_quality, license_sentences, media, packing, repeats, simhash, url_reputation, warc
 from quarry.llm.common import table
 
 URL_RULES = [("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/")]
@@ -34,6 +34,11 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), vocabulary(), max_len=4096, end_id=1)
 
 
+def op7_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return repeats.remove_repeats(docs, length=100, keep=["doc_id"], kept_text=False)
+
+
 def op8_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Outcomes: the page's document, whose id ends its path, is labelled bad (quality 0)."""
     pages, labels = table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels")
@@ -60,7 +65,7 @@ def op10_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.round_trip(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_warc, op2_license_sentences, op3_simhash, op5_packing, op8_url_reputation, op9_compression_quality, op10_media)}
+QUERIES = {f.__name__: f for f in (op1_warc, op2_license_sentences, op3_simhash, op5_packing, op7_repeats, op8_url_reputation, op9_compression_quality, op10_media)}
 
 ORACLES: dict[str, str] = {}
 
