@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import compression_quality, license_sentences, media, packing, repeats, simhash, url_reputation, warc
+from quarry.llm import additive_ann, compression_quality, license_sentences, media, packing, repeats, simhash, url_reputation, warc
 from quarry.llm.common import table
 
 URL_RULES = [("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/")]
@@ -26,6 +26,10 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.hex64("fp").alias("fingerprint"), "component_id")
 
 
+def op4_additive_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return additive_ann.neighbours(table(spark, sf_dir, "embeddings"), lambda key: key % 20 == 0, k=20)
+
+
 def vocabulary() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
@@ -65,7 +69,7 @@ def op10_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.round_trip(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_warc, op2_license_sentences, op3_simhash, op5_packing, op7_repeats, op8_url_reputation, op9_compression_quality, op10_media)}
+QUERIES = {f.__name__: f for f in (op1_warc, op2_license_sentences, op3_simhash, op4_additive_ann, op5_packing, op7_repeats, op8_url_reputation, op9_compression_quality, op10_media)}
 
 ORACLES: dict[str, str] = {}
 
