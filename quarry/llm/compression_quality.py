@@ -20,6 +20,7 @@ good labels (0.5 without any label).
 from __future__ import annotations
 
 import math
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -71,7 +72,8 @@ def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3) -> tuple[float,
 
 
 def train(
-    labelled: DataFrame,
+    docs: DataFrame,
+    labels: DataFrame,
     *,
     id_col: str = "doc_id",
     text_col: str = "text",
@@ -81,15 +83,21 @@ def train(
     max_train_bytes: int = 20_000,
     level: int = LEVEL,
 ) -> CompressionModel:
-    """Fit dictionaries and curve on a bounded sample of ``labelled`` rows."""
-    rows = labelled.select(F.col(id_col).alias("id"), F.col(label_col).alias("y"), F.col(text_col).cast("binary").alias("t"))
-    rows = rows.where(F.col("y").isin(0, 1) & F.col("t").isNotNull() & (F.octet_length("t") <= max_train_bytes) & (F.octet_length("t") > 0))
-    base = labelled.where(F.col(label_col).isin(0, 1)).agg(F.avg(F.col(label_col).cast("double"))).head()[0]
-    sample: dict[int, list[bytes]] = {}
+    """Fit dictionaries and curve on a bounded sample of the labelled rows.
+
+    The sample is drawn among the labels, without texts; only the ids drawn, a
+    bounded number, then meet the documents.
+    """
+    known = labels.select(F.col(id_col).alias("id"), F.col(label_col).alias("y")).where(F.col("y").isin(0, 1) & F.col("id").isNotNull())
+    base = known.agg(F.avg(F.col("y").cast("double"))).head()[0]
     most = dictionary_bytes // 400 + calibration_rows
-    for y in (0, 1):  # at most `most` rows of max_train_bytes each; first ids alone, then their texts
-        order = [F.xxhash64(F.col("id")), F.col("id")]
-        sample[y] = [bytes(r.t) for r in rows.where(F.col("y") == y).orderBy(*order).limit(most).select("t").toLocalIterator()]
+    order = [F.xxhash64("id"), F.col("id")]
+    drawn = known.where("y = 0").orderBy(*order).limit(most).unionByName(known.where("y = 1").orderBy(*order).limit(most))
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("binary").alias("t"))
+    rows = rows.where(F.col("t").isNotNull() & (F.octet_length("t") <= max_train_bytes) & (F.octet_length("t") > 0))
+    got = rows.join(F.broadcast(drawn), "id").toLocalIterator()  # at most 2 * most ids
+    ordered = sorted((zlib.crc32(str(r.id).encode()), r.id, r.y, bytes(r.t)) for r in got)
+    sample = {y: [t for _, _, label, t in ordered if label == y] for y in (0, 1)}
     if not sample[0] or not sample[1]:
         share = min(max(0.5 if base is None else base, 1e-6), 1 - 1e-6)
         return CompressionModel(b"", b"", 0.0, math.log(share / (1 - share)), level)

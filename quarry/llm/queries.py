@@ -51,15 +51,14 @@ def op8_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_reputation.filter_urls(pages, outcomes, URL_RULES).select("page_id", "host", "path", "rule", "verdict")
 
 
-def training_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Labelled documents outside the held-out third."""
-    kept = labels.where(F.expr("crc32(cast(doc_id as string)) % 3") != 1)
-    return docs.select("doc_id", "text").join(kept.select("doc_id", "quality"), "doc_id")
+def training_labels(labels: DataFrame) -> DataFrame:
+    """Labels outside the held-out third."""
+    return labels.where(F.expr("crc32(cast(doc_id as string)) % 3") != 1)
 
 
 def op9_compression_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
-    model = compression_quality.train(training_rows(docs, labels))
+    model = compression_quality.train(docs, training_labels(labels))
     held_out = (F.expr("crc32(cast(doc_id as string)) % 3") == 1).alias("held_out")
     scored = compression_quality.score(docs, model, keep=["doc_id", held_out])
     return scored.select("doc_id", "held_out", F.col("quality_score").alias("score"), (F.col("quality_score") >= 0.5).cast("int").alias("predicted"))
