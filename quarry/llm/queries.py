@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import additive_ann, compression_quality, license_sentences, media, packing, repeats, simhash, url_reputation, warc
+from quarry.llm import additive_ann, compression_quality, license_sentences, media, mixing, packing, repeats, simhash, url_reputation, warc
 from quarry.llm.common import table
 
 URL_RULES = [("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/")]
@@ -38,6 +38,18 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), vocabulary(), max_len=4096, end_id=1)
 
 
+#: Wanted shares of tokens by domain, here the languages of the labelled documents.
+MIX_TARGETS = {"en": 0.4, "de": 0.2, "fr": 0.2, "es": 0.2}
+
+
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    labelled = docs.select("doc_id", F.col("lang").alias("domain")).join(labels.select("doc_id"), "doc_id")
+    rated, domains, _ = mixing.mix(docs, labelled, MIX_TARGETS, keep=["doc_id"])
+    shares = [F.col("posterior")[k].alias(f"p_{d}") for k, d in enumerate(domains)]
+    return rated.select(F.col("row.doc_id").alias("doc_id"), F.col("tokens").cast("long").alias("tokens"), *shares, "rate")
+
+
 def op7_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return repeats.remove_repeats(docs, length=100, keep=["doc_id"], kept_text=False)
@@ -68,7 +80,7 @@ def op10_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.round_trip(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_warc, op2_license_sentences, op3_simhash, op4_additive_ann, op5_packing, op7_repeats, op8_url_reputation, op9_compression_quality, op10_media)}
+QUERIES = {f.__name__: f for f in (op1_warc, op2_license_sentences, op3_simhash, op4_additive_ann, op5_packing, op6_mixing, op7_repeats, op8_url_reputation, op9_compression_quality, op10_media)}
 
 ORACLES: dict[str, str] = {}
 
