@@ -8,13 +8,13 @@ bucket by sorting it on the buckets of later offsets; refined pointers are used
 for longer prefixes.  Here the pointer of a bucket is a 64-bit name that follows
 from the pointers of its halves, ``name(p, 2d) = f(name(p, d), name(p + d, d))``, so all
 executors name equal buckets alike without a global sort, and each refinement
-reuses the one before it: 1, 2, 4, ... 32 bytes, then 100 = 64 + 32 + 4.
+reuses the one before it: 1, 2, 4, ... 32 bytes, then 100 = 32 + 32 + 32 + 4.
 
 Only few suffixes need to be refined to the end:
 
-1. The *initial bucket* of a suffix is the smallest 32-byte bucket name among the
+1. The *initial bucket* of a suffix is the smallest GRAM-byte bucket name among the
    offsets that its ``length`` bytes hold.  Equal strings have equal initial buckets, and
-   neighbours mostly share one, so a row has a run of suffixes for about 35 bytes.
+   neighbours mostly share one, so a row has a run of suffixes for about 27 bytes.
 2. Runs whose initial bucket occurs once in the corpus hold no repeat and leave.
 3. Runs with the same bytes are one run: all but those of the smallest id are
    covered as a whole.
@@ -34,6 +34,7 @@ empty result; other columns can have any name.
 
 from __future__ import annotations
 
+import gc
 import hashlib
 from collections.abc import Iterator
 
@@ -44,7 +45,7 @@ from pyspark.sql import functions as F
 
 from quarry.llm.common import drop_path, shared_path, stored
 
-GRAM, SPLIT, CHUNK = 32, 64, 1 << 18
+GRAM, SPLIT, CHUNK = 48, 64, 1 << 18
 _ODD, _SHIFT = np.uint64(0x9E3779B97F4A7C15), np.uint64(32)
 _FIRST = np.random.default_rng(2007).integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
@@ -59,29 +60,39 @@ def _name(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 class Buckets:
-    """Bucket names of all suffixes of a buffer, for prefixes of 1 to GRAM bytes."""
+    """Bucket names of all suffixes of a buffer, for prefixes of 1, 2, 4, ... bytes."""
 
     def __init__(self, data: np.ndarray):
         at, width = _FIRST[data], 1
         self.names = {1: at}
-        while width < GRAM and len(at) > width:
+        while width * 2 <= GRAM and len(at) > width:
             at = _name(at[:-width], at[width:])
             width *= 2
             self.names[width] = at
+        self.widest = width
 
     def refined(self, at: np.ndarray, length: int) -> np.ndarray:
         """Names for prefixes of ``length`` bytes of the suffixes ``at``."""
         found, done = None, 0
         while done < length:
-            width = min(GRAM, 1 << (length - done).bit_length() - 1)
+            width = min(self.widest, 1 << (length - done).bit_length() - 1)
             part = self.names[width][at + done]
             found = part if found is None else _name(found, part)
             done += width
         return found
 
-    def smallest(self, length: int) -> np.ndarray:
+    def grams(self) -> np.ndarray:
+        """Names of the GRAM-byte prefixes of all suffixes that have as many bytes."""
+        found, done = self.names[self.widest], self.widest
+        while done < GRAM:
+            width = 1 << (GRAM - done).bit_length() - 1
+            found = _name(found[: len(found) - width], self.names[width][done:])
+            done += width
+        return found
+
+    def smallest(self, grams: np.ndarray, length: int) -> np.ndarray:
         """Initial bucket of each suffix that has ``length`` bytes."""
-        low, width, all_ = self.names[GRAM], 1, length - GRAM + 1
+        low, width, all_ = grams, 1, length - GRAM + 1
         while width * 2 <= all_:
             low = np.minimum(low[:-width], low[width:])
             width *= 2
@@ -108,7 +119,8 @@ def runs_of(texts: list[bytes], length: int) -> tuple[np.ndarray, ...]:
     begins = ends - sizes
     data = np.frombuffer(b"".join(texts), np.uint8)
     buckets = Buckets(data)
-    low = buckets.smallest(length)
+    grams = buckets.grams()
+    low = buckets.smallest(grams, length)
     n = len(low)
     cut = np.empty(n, bool)
     cut[0] = True
@@ -125,7 +137,7 @@ def runs_of(texts: list[bytes], length: int) -> tuple[np.ndarray, ...]:
 
     # A bucket's gram occurs twice in a run if a suffix starts with it and the run goes on.
     twice = np.zeros(len(start), bool)
-    heads = np.flatnonzero(buckets.names[GRAM][:n] == low)
+    heads = np.flatnonzero(grams[:n] == low)
     run = np.searchsorted(start, heads, "right") - 1
     inside = (run >= 0) & (heads < start[run] + count[run] - 1)
     twice[run[inside]] = True
@@ -166,17 +178,23 @@ def _chunks(texts: list[bytes], length: int) -> Iterator[list[int]]:
         yield held
 
 
-def _rows(docs: DataFrame, id_col: str, text_col: str, keep: list[str] = ()) -> DataFrame:
+def _rows(docs: DataFrame, id_col: str, text_col: str, keep: list[str] = (), *, marked: bool = True) -> DataFrame:
+    """(id, mark, t[, row]); the mark tells rows of one id apart, and is 0 if ids are unique."""
     text = F.coalesce(F.col(text_col).cast("binary"), F.lit(b""))
     key = F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63)))
     own = [F.struct(*[F.col(c) for c in keep]).alias("row")] if keep else []
-    return docs.select(key.alias("id"), F.xxhash64(text).alias("mark"), text.alias("t"), *own)
+    return docs.select(key.alias("id"), (F.xxhash64(text) if marked else F.lit(0).cast("long")).alias("mark"), text.alias("t"), *own)
 
 
-def covered(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", length: int = 100, bucket_runs: int = 5000, task_bytes: int = 32 << 20) -> DataFrame:
+def _ids_repeat(docs: DataFrame, id_col: str) -> bool:
+    key = F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63)))
+    return not docs.groupBy(key.alias("id")).agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty()
+
+
+def covered(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", length: int = 100, marked: bool = True, bucket_runs: int = 1000, task_bytes: int = 8 << 20) -> DataFrame:
     """(id, mark, start, count): suffixes whose first ``length`` bytes start earlier."""
     spark = docs.sparkSession
-    source = _rows(docs, id_col, text_col)
+    source = _rows(docs, id_col, text_col, marked=marked)
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -202,57 +220,46 @@ def covered(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
     path = shared_path(spark, "runs")
     runs = stored(source.mapInArrow(find, "id long, mark long, start int, count int, bucket long, name long, own boolean"), "runs", path)
     across = runs.where(~F.col("own")).drop("own")
-    shared = across.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("name").alias("lo"), F.max("name").alias("hi"))
-    shared = stored(shared.where(F.col("n") > 1).select("bucket", (F.col("lo") != F.col("hi")).alias("mixed")), "shared-buckets")
+    shared = stored(across.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1).select("bucket"), "shared-buckets")
     _release(spark)
     # Runs in buckets that occur again; hot buckets are split by the join.
-    again = stored(across.join(shared, "bucket"), "repeated-runs")
+    again_path = shared_path(spark, "repeated-runs")
+    again = stored(across.join(shared, "bucket"), "repeated-runs", again_path)
     own = stored(runs.where("own").select("id", "mark", "start", "count"), "own-repeats")
     drop_path(spark, path)
     _release(spark)
     first = again.groupBy("bucket", "name").agg(F.min("id").alias("first"))
-    judged = stored(again.join(first, ["bucket", "name"]).select("bucket", "id", "mark", "start", "count", "mixed", (F.col("id") > F.col("first")).alias("later")), "judged-runs")
-    whole = judged.where("later").select("id", "mark", "start", "count")
-    open_runs = judged.where(F.col("mixed") & ~F.col("later"))
+    first = stored(first, "first-runs")
+    several = first.groupBy("bucket").agg((F.count(F.lit(1)) > 1).alias("mixed"))
+    first = first.join(several, "bucket")
+    judged = again.join(first, ["bucket", "name"]).select("bucket", "id", "mark", "start", "count", "mixed", (F.col("id") > F.col("first")).alias("later"))
+    judged = stored(judged.where("mixed or later"), "judged-runs")
+    drop_path(spark, again_path)
     _release(spark)
+    whole = judged.where("later").select("id", "mark", "start", "count")
 
-    wanted = open_runs.groupBy("id", "mark").agg(F.collect_set(F.struct("bucket", "start", "count")).alias("runs"))
-    wanted = wanted.select("id", "mark", F.col("runs.bucket").alias("buckets"), F.col("runs.start").alias("starts"), F.col("runs.count").alias("counts"))
-    joined = source.join(wanted, ["id", "mark"]).select("id", "mark", "t", "buckets", "starts", "counts")
-
-    def refine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            ids, marks = b.column(0).to_numpy(), b.column(1).to_numpy()
-            texts = b.column(2).to_pylist()
-            for chosen in _chunks(texts, length):
-                part = [texts[k] for k in chosen]
-                begins = np.cumsum([0, *map(len, part)])[:-1]
-                lists = [[b.column(c)[k].values.to_numpy() for k in chosen] for c in (3, 4, 5)]
-                many = np.array([len(x) for x in lists[0]])
-                bucket, start, count = (np.concatenate(x) for x in lists)
-                start, count = start.astype(np.int64), count.astype(np.int64)
-                names = Buckets(np.frombuffer(b"".join(part), np.uint8)).refined(_spread(start + np.repeat(begins, many), count), length)
-                pick = np.repeat(np.array(chosen), many)
-                offsets = np.concatenate(([0], np.cumsum(count))).astype(np.int32)
-                held = pa.ListArray.from_arrays(pa.array(offsets), pa.array(names.view(np.int64)))
-                yield pa.RecordBatch.from_arrays([pa.array(bucket), pa.array(ids[pick]), pa.array(marks[pick]), pa.array(start.astype(np.int32)), held], ["bucket", "id", "mark", "start", "names"])
-
-    detail = stored(joined.mapInArrow(refine, "bucket long, id long, mark long, start int, names array<long>"), "refined-runs")
+    # The bytes of the first run of each name in buckets with several names.
+    wanted = judged.where("mixed and not later").groupBy("id", "mark").agg(F.collect_set(F.struct("bucket", "start", "count")).alias("runs"))
+    joined = source.join(wanted, ["id", "mark"]).select("id", "mark", "t", F.explode("runs").alias("run"))
+    detail = joined.select("run.bucket", "id", "mark", "run.start", F.substring(F.col("t"), F.col("run.start") + 1, F.col("run.count") + (length - 1)).alias("bytes"))
+    detail = stored(detail, "open-runs")
     _release(spark)
-    sizes = detail.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.sum(F.size("names")).alias("size"))
+    sizes = detail.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("bytes")).alias("size"))
     large = stored(sizes.where(F.col("n") > bucket_runs).select("bucket"), "large-buckets")
-    total = sizes.agg(F.sum("size")).head()[0] or 0
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total * 16 // task_bytes))
+    total = detail.agg(F.sum(F.octet_length("bytes"))).head()[0] or 0
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // task_bytes))
 
     def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = pa.Table.from_batches(batches).combine_chunks()
-        if not held.num_rows:
+        found = [b for b in batches if b.num_rows]
+        if not found:
             return
-        listed = held.column("names").chunk(0)
-        count = np.diff(listed.offsets.to_numpy()).astype(np.int64)
-        ids = held.column("id").to_numpy()
-        bucket = np.repeat(held.column("bucket").to_numpy().view(np.uint64), count)
-        name = _name(bucket, listed.flatten().to_numpy().view(np.uint64))
+        held = pa.Table.from_batches(found).combine_chunks()
+        texts = held.column("bytes").to_pylist()
+        sizes = np.fromiter(map(len, texts), np.int64, len(texts))
+        count = sizes - (length - 1)
+        ids, begins = held.column("id").to_numpy(), np.cumsum(sizes) - sizes
+        names = Buckets(np.frombuffer(b"".join(texts), np.uint8)).refined(_spread(begins, count), length)
+        name = _name(np.repeat(held.column("bucket").to_numpy().view(np.uint64), count), names)
         owner = np.repeat(ids, count)
         order = np.lexsort((owner, name))
         new = np.concatenate(([True], name[order][1:] != name[order][:-1]))
@@ -269,14 +276,17 @@ def covered(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
 
     small = detail.join(large, "bucket", "left_anti").repartition(parts, "bucket").mapInArrow(settle, "id long, mark long, start int, count int")
     # Buckets too large for a task: one row a suffix, aggregated before the shuffle.
-    rows = detail.join(large, "bucket", "left_semi").select("bucket", "id", "mark", "start", F.posexplode("names").alias("k", "name"))
+    wide = detail.join(large, "bucket", "left_semi")
+    rows = wide.select("bucket", "id", "mark", "start", "bytes", F.explode(F.sequence(F.lit(0), F.octet_length("bytes") - length)).alias("k"))
+    rows = rows.select("bucket", "id", "mark", (F.col("start") + F.col("k")).alias("start"), F.xxhash64(F.substring(F.col("bytes"), F.col("k") + 1, F.lit(length))).alias("name"))
     lowest = rows.groupBy("bucket", "name").agg(F.min("id").alias("lowest"))
-    wide = rows.join(lowest, ["bucket", "name"]).where(F.col("id") > F.col("lowest")).select("id", "mark", (F.col("start") + F.col("k")).alias("start"), F.lit(1).alias("count"))
-    return own.unionByName(whole).unionByName(stored(small, "settled")).unionByName(stored(wide, "settled-wide"))
+    late = rows.join(lowest, ["bucket", "name"]).where(F.col("id") > F.col("lowest")).select("id", "mark", "start", F.lit(1).alias("count"))
+    return own.unionByName(whole).unionByName(stored(small, "settled")).unionByName(stored(late, "settled-wide"))
 
 
 def _release(spark) -> None:
     """Let Spark delete the shuffle files of the stages whose results are stored."""
+    gc.collect()
     spark._jvm.System.gc()
 
 
@@ -284,11 +294,12 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     """The columns ``keep`` (default: all but the text), then n_bytes, n_removed, n_spans,
     kept_sha256 and, if ``kept_text``, the remaining bytes as ``kept``."""
     keep = [c for c in docs.columns if c != text_col] if keep is None else keep
-    found = covered(docs, id_col=id_col, text_col=text_col, length=length)
+    marked = _ids_repeat(docs, id_col)
+    found = covered(docs, id_col=id_col, text_col=text_col, length=length, marked=marked)
     lists = found.groupBy("id", "mark").agg(F.collect_list(F.struct("start", "count")).alias("s"))
     lists = stored(lists.select("id", "mark", F.col("s.start").alias("starts"), F.col("s.count").alias("counts")), "covered")
     _release(docs.sparkSession)
-    rows = _rows(docs, id_col, text_col, keep).join(lists, ["id", "mark"], "left").select("row", "t", "starts", "counts")
+    rows = _rows(docs, id_col, text_col, keep, marked=marked).join(lists, ["id", "mark"], "left").select("row", "t", "starts", "counts")
     names = ["row", "n_bytes", "n_removed", "n_spans", "kept_sha256", *["kept"] * kept_text]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
