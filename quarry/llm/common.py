@@ -8,6 +8,8 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quarry.session import ship
+
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
@@ -17,6 +19,7 @@ def shared_root(spark: SparkSession) -> str:
     Only where that setting is absent (tests, notebooks on one machine) is a
     local folder made, and set on the context so that checkpoints go there too.
     """
+    ship(spark)
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = getattr(shared_root, "own", None)
@@ -57,4 +60,4 @@ def ascii_lower(column: Column) -> Column:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return ship(spark).read.parquet(f"{sf_dir}/{name}.parquet")

@@ -127,15 +127,16 @@ def train(
 
 
 def score(docs: DataFrame, model: CompressionModel, *, text_col: str = "text", keep: list[str | Column] | None = None) -> DataFrame:
-    """The columns ``keep`` (default: all) and ``quality_score`` for each row.
+    """The columns ``keep`` (default: all but an older score) and ``quality_score``.
 
     The model travels as one broadcast of at most twice ``dictionary_bytes``.
     """
     spark = docs.sparkSession
     held = spark.sparkContext.broadcast(model)
-    rows = docs.select(*(keep or docs.columns), F.coalesce(F.col(text_col).cast("binary"), F.lit(b"")).alias("_payload"))
-    names = [c for c in rows.columns if c != "_payload"]
-    schema = rows.select(*names).withColumn("quality_score", F.lit(0.0)).schema
+    kept = docs.select(*(keep or [c for c in docs.columns if c != "quality_score"]), F.coalesce(F.col(text_col).cast("binary"), F.lit(b"")))
+    names = kept.columns[:-1]
+    rows = kept.toDF(*names, payload := next(n for n in ("payload" + "_" * k for k in range(len(names) + 1)) if n not in names))
+    schema = rows.drop(payload).withColumn("quality_score", F.lit(0.0)).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = held.value

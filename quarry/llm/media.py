@@ -38,7 +38,7 @@ from quarry.llm.common import shared_path
 #: Formats of a member's header, a directory entry and the tail, and their sizes.
 MAGIC, HEAD, ENTRY, TAIL = b"QMA1", "<4sqqI", "<qqqI", "<qq4s"
 HEAD_SIZE, ENTRY_SIZE, TAIL_SIZE = map(struct.calcsize, (HEAD, ENTRY, TAIL))
-WIDTH = 576
+WIDTH, NO_ID = 576, -(1 << 63)
 PNG = b"\x89PNG\r\n\x1a\n"
 
 
@@ -124,7 +124,7 @@ def write_archives(docs: DataFrame, path: str, *, id_col: str = "doc_id", payloa
                     out = store.open_output_stream(f"{root}/{os.path.basename(name)}")
                 data = raw.as_py()
                 media = png_encode(pad(data), len(data))
-                key = -1 if key is None else key
+                key = NO_ID if key is None else key
                 out.write(struct.pack(HEAD, MAGIC, key, len(media), zlib.crc32(media)))
                 out.write(media)
                 entries.append((at, len(media), key, zlib.crc32(media)))
@@ -185,7 +185,7 @@ class _Reader(DataSourceReader):
                 got = read_member(f, at, size, crc, self.retries)
                 if got is None and self.fail:
                     raise OSError(f"member {key} at {at} of {part.archive} can't be read")
-                ids.append(key if key != -1 else None)
+                ids.append(key if key != NO_ID else None)
                 media.append(got)
                 held += size
                 if held >= most:

@@ -15,7 +15,7 @@ domain by its own second moment, which makes a few dozen steps enough.
 
 Defined results: a null text counts as empty and has no token; a document without
 tokens keeps rate 1; a target for a domain nobody knows raises; an empty table gives
-an empty result; null labels are not learned from; repeated rows get equal rates.
+an empty result; without any label all targets are equally likely; null labels are not learned from; repeated rows get equal rates.
 """
 
 from __future__ import annotations
@@ -177,7 +177,11 @@ def fit_rates(members: DataFrame, targets: Mapping[str, float], domains: tuple[s
 
 def mix(docs: DataFrame, labelled: DataFrame, targets: Mapping[str, float], *, id_col: str = "doc_id", text_col: str = "text", keep: list[str] | None = None, **options) -> tuple[DataFrame, tuple[str, ...], dict[str, float]]:
     """(row, tokens, posterior, rate) per row, the domains, and the shares reached."""
-    model = train_domains(docs, labelled, id_col=id_col, text_col=text_col)
+    if labelled.isEmpty():  # nothing is known: all targets are equally likely
+        names = tuple(sorted(targets))
+        model = DomainModel(names, np.zeros((SLOTS, len(names)), np.float32), np.zeros(len(names), np.float32))
+    else:
+        model = train_domains(docs, labelled, id_col=id_col, text_col=text_col)
     members = stored(membership(docs, model, text_col=text_col, keep=keep), "membership")
     rated, reached = fit_rates(members, targets, model.domains, **options)
     return rated, model.domains, reached

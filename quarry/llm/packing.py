@@ -261,15 +261,15 @@ class Plan:
                     self.sequences += count
 
 
-def pack(cut: DataFrame, *, max_len: int = 4096, bins: int = 64, depth: int = 4, group_rows: int = 50_000) -> DataFrame:
+def pack(cut: DataFrame, *, max_len: int = 4096, bins: int = 64, depth: int = 4, group_rows: int = 1000) -> DataFrame:
     """``cut`` (a stored table with a column length and a unique ``uid``) with
     sequence_id and offset."""
     spark = cut.sparkSession
     counts = {r.length: r.n for r in cut.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}  # at most max_len rows
     plan = Plan(counts, max_len, bins, depth)
     rows = np.array(sorted(plan.rows) or [(0, 0, 0, 0, 0)], np.int64)
-    salts = max(1, -(-max(counts.values(), default=1) // group_rows))
-    salted = cut.withColumn("_salt", F.pmod(F.xxhash64("uid"), F.lit(salts)))
+    salts = spark.createDataFrame([(n, -(-c // group_rows)) for n, c in counts.items()], "length long, _salts long")  # at most max_len rows
+    salted = cut.join(F.broadcast(salts), "length").withColumn("_salt", F.pmod(F.xxhash64("uid"), "_salts")).drop("_salts")
     tally = salted.groupBy("length", "_salt").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy("length").orderBy("_salt").rowsBetween(Window.unboundedPreceding, -1)
     tally = tally.select("length", "_salt", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))

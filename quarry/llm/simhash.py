@@ -17,7 +17,8 @@ all tasks come from alternating large and small stars on written tables.
 
 Defined results: null texts count as empty; an empty text has fingerprint zero and
 links like any other; equal rows share a fingerprint and so a component; an empty
-table gives an empty result; other columns are not read.
+table gives an empty result; other columns are not read; a null id is smaller than any
+other and stays null.
 """
 
 from __future__ import annotations
@@ -32,7 +33,7 @@ from pyspark.sql import functions as F
 
 from quarry.llm.common import drop_path, shared_path, stored
 
-SEED, BITS, FAN = 42, 64, 16
+SEED, BITS, FAN, NO_ID = 42, 64, 16, -(1 << 63)
 ONE = np.uint64(1)
 
 
@@ -59,7 +60,7 @@ def fingerprint(text: bytes, words: int = 3) -> int:
 
 def fingerprints(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", words: int = 3) -> DataFrame:
     """(id, fp long) for each row."""
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col).cast("binary"), F.lit(b"")).alias("t"))
+    rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("id"), F.coalesce(F.col(text_col).cast("binary"), F.lit(b"")).alias("t"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -203,9 +204,10 @@ def links(distinct: DataFrame, *, radius: int = 3, bucket_rows: int = 20_000, ta
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-distinct.count() * (radius + 1) // task_rows))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = pa.Table.from_batches(batches)
-        if held.num_rows == 0:
+        found = [b for b in batches if b.num_rows]
+        if not found:
             return
+        held = pa.Table.from_batches(found)
         mask, key = (held.column(c).to_numpy().view(np.uint64) for c in ("mask", "key"))
         _, roots = np.unique(np.column_stack([mask, key]), axis=0, return_inverse=True)
         ids, codes = held.column("id").to_numpy(), held.column("fp").to_numpy().view(np.uint64)
@@ -260,7 +262,8 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     distinct = stored(marked.groupBy("fp").agg(F.min("id").alias("id")), "distinct-fingerprints")
     found = components(links(distinct, radius=radius))
     classes = distinct.join(found, "id", "left").select("fp", F.coalesce("component", "id").alias("component_id"))
-    return marked.join(classes, "fp").select(F.col("id").alias(id_col), "fp", "component_id")
+    real = lambda c: F.nullif(F.col(c), F.lit(NO_ID))
+    return marked.join(classes, "fp").select(real("id").alias(id_col), "fp", real("component_id").alias("component_id"))
 
 
 def hex64(column: str):
