@@ -590,6 +590,160 @@ def pairwise_prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", judge.pair_prompt(F.lit("charter"), F.col("lang"), F.col("source"), F.lit(" ")).alias("prompt"))
 
 
+# ---- more converters and harmonisers ----------------------------------------
+
+
+@query("""SELECT doc_id, ['thought', 'function-call', NULL, 'function-call'][doc_id % 4 + 1] AS type, ['', 'f', NULL, 'g'][doc_id % 4 + 1] AS name, ['plan ' || lang, '', NULL, ''][doc_id % 4 + 1] AS content FROM documents""")
+def call_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = F.element_at(F.array(F.format_string('{"name": "think", "arguments": {"thought": "plan %s"}}', "lang"), F.lit('{"name": "f", "arguments": {"x": 1}}'), F.lit("{broken"), F.lit('{"name": "g"}')), (F.col("doc_id") % 4 + 1).cast("int"))
+    rows = table(spark, sf_dir, "documents").select("doc_id", convert.call_part(said).alias("p"))
+    return rows.select("doc_id", "p.type", "p.name", "p.content")
+
+
+@query("""SELECT doc_id, 'Find x.' || chr(10) || chr(10) || lang AS problem, 'x is ' || doc_id AS solution, CAST(CASE WHEN doc_id % 5 = 0 THEN false ELSE true END AS BOOLEAN) AS keep FROM documents""")
+def math_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = table(spark, sf_dir, "documents")
+    problem = F.concat(F.lit("# Task\nProblem 12. Find   x.\n\n\n\n"), F.col("lang"), F.lit("  "))
+    solution = F.concat(F.lit("Solution: x  is "), F.col("doc_id").cast("string"))
+    answer = F.when(F.col("doc_id") % 5 == 0, "NotFound").otherwise("1")
+    return d.select("doc_id", convert.math_prompt(problem).alias("problem"), convert.math_solution(solution).alias("solution"), convert.math_keep(problem, solution, answer).alias("keep"))
+
+
+@query("SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN 'response' ELSE 'thought,response' END AS kinds, CASE WHEN doc_id % 2 = 0 THEN 's ' || lang ELSE 'The answer is: 4' END AS last FROM documents")
+def math_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kind = F.when(F.col("doc_id") % 2 == 0, "proof").otherwise("math-word-problem")
+    parts = convert.math_parts(F.concat(F.lit("s "), F.col("lang")), F.lit("4"), kind)
+    return table(spark, sf_dir, "documents").select("doc_id", F.array_join(F.transform(parts, lambda x: x["type"]), ",").alias("kinds"), F.element_at(parts, -1)["content"].alias("last"))
+
+
+@query()
+def stated_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "documents").select("doc_id", convert.stated_answer(F.col("lang"), F.col("doc_id")).alias("answer"))
+
+
+@query("SELECT doc_id, ['german-to-romansh', 'romansh-to-german', 'unknown'][doc_id % 3 + 1] AS direction, ['Bern', 'Zürich', 'xx'][doc_id % 3 + 1] AS dialect FROM documents")
+def directions_and_dialects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    at = (F.col("doc_id") % 3 + 1).cast("int")
+    text = F.element_at(F.array(*map(F.lit, ("Translate from German to Romansh", "Romansh to Deutsch please", "hello"))), at)
+    return table(spark, sf_dir, "documents").select("doc_id", convert.translation_direction(text).alias("direction"), convert.dialect_name(F.element_at(F.array(*map(F.lit, ("BE", "zh", "xx"))), at)).alias("dialect"))
+
+
+@query("SELECT conv_id, turn, CASE role WHEN 'user' THEN 'assistant' WHEN 'assistant' THEN 'user' ELSE role END AS role FROM conversations")
+def swapped_roles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = table(spark, sf_dir, "conversations").select("conv_id", "turn", F.array(F.struct("role", F.col("text").alias("content"))).alias("m"))
+    return c.select("conv_id", "turn", convert.swapped_roles(F.col("m"))[0]["role"].alias("role"))
+
+
+@query("SELECT doc_id, n::INTEGER AS n, ['system', 'human', 'gpt'][n + 1] AS kind, [lang, 'q' || chr(10) || 'more', source][n + 1] AS value FROM documents, range(0, 3) AS g(n)")
+def tagged_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = F.concat(F.lit("SYSTEM: "), F.col("lang"), F.lit("\nUSER: q\nmore\n\nASSISTANT: "), F.col("source"))
+    rows = table(spark, sf_dir, "documents").select("doc_id", F.posexplode(convert.tagged_turns(text, {"SYSTEM": "system", "USER": "human", "ASSISTANT": "gpt"})).alias("n", "x"))
+    return rows.select("doc_id", "n", F.col("x")["from"].alias("kind"), F.col("x")["value"].alias("value"))
+
+
+@query("SELECT doc_id, coalesce(CASE WHEN doc_id % 2 = 0 THEN lang END, '') AS content, CAST(0 AS INTEGER) AS n_functions FROM documents")
+def harmonised(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = table(spark, sf_dir, "documents")
+    rec = convert.prompt_answers(d, "x", F.col("doc_id").cast("string"), [F.when(F.col("doc_id") % 2 == 0, F.col("lang"))])
+    out = mixture.harmonise(rec.withColumn("available_functions", F.lit(None).cast("array<struct<name:string,description:string,parameters:string>>")))
+    return out.select(F.col("initial_prompt.content").cast("long").alias("doc_id"), F.col("conversation_branches")[0]["messages"][0]["parts"][0]["content"].alias("content"), F.size("available_functions").alias("n_functions"))
+
+
+@query("SELECT doc_id, CASE doc_id % 3 WHEN 0 THEN 'kept' WHEN 1 THEN 'number' ELSE '0' END AS kind FROM documents")
+def harmonised_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    at = F.col("doc_id") % 3
+    meta = F.when(at == 0, F.create_map(F.lit("original_id"), F.lit("kept"))).when(at == 1, F.create_map(F.lit("id"), F.col("doc_id").cast("string"), F.lit("source"), F.col("source"))).otherwise(F.create_map(F.lit("x"), F.lit("y")))
+    out = mixture.harmonise_metadata(table(spark, sf_dir, "documents").withColumn("original_metadata", meta))
+    v = F.col("original_metadata")["original_id"]
+    return out.select("doc_id", F.when(v.isin("kept", "0"), v).otherwise("number").alias("kind"))
+
+
+@query(f"WITH {TURNS} SELECT conversation_id, prompt AS answer FROM h WHERE trim(prompt) <> ''")
+def prompt_tasks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return annotate.prompt_tasks(records(spark, sf_dir)).select("conversation_id", "answer")
+
+
+@query(f"WITH {TURNS} SELECT conversation_id, prompt AS lifted, (SELECT count(*) FROM r WHERE r.conv_id = h.conv_id)::INTEGER AS messages FROM h")
+def lifted_prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The prompt goes back before the messages, where it is found again."""
+    rec = records(spark, sf_dir)
+    first = F.array(convert.say("user", F.col("initial_prompt.content")))
+    moved = rec.withColumn("conversation_branches", F.transform("conversation_branches", lambda b: b.withField("messages", F.concat(first, b["messages"]))))
+    moved = moved.withColumn("initial_prompt", F.lit(None).cast(rec.schema["initial_prompt"].dataType))
+    out = annotate.lift_prompt(moved)
+    return out.select("conversation_id", F.col("initial_prompt.content").alias("lifted"), F.size(F.col("conversation_branches")[0]["messages"]).alias("messages"))
+
+
+@query("SELECT lang AS benchmark, count(*) AS n FROM documents WHERE text IS NOT NULL GROUP BY lang")
+def gathered_prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = table(spark, sf_dir, "documents")
+    one = lambda k: d.where(F.col("lang") == k).select(decontam.prompt_text(F.struct(F.lit(None).cast("string").alias("content"), F.col("text")), ["content", "text"]).alias("prompt"))
+    found = io.gather_prompts([(k, one(k), ["prompt"], "test") for k in ("en", "de", "fr", "es")])
+    return found.groupBy("benchmark").agg(F.count(F.lit(1)).alias("n"))
+
+
+# ---- more of judges ---------------------------------------------------------
+
+
+@query(f"WITH {TURNS}, a AS (SELECT conv_id, min(message) AS m FROM r WHERE role = 'assistant' GROUP BY conv_id) SELECT conversation_id, 'branch_0' AS id, text AS content FROM a JOIN r ON r.conv_id = a.conv_id AND r.message = a.m")
+def completions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = records(spark, sf_dir).select("conversation_id", F.explode(judge.completions(F.col("conversation_branches"))).alias("c"))
+    return rows.select("conversation_id", "c.id", "c.content")
+
+
+@query("SELECT doc_id, 'rules' || chr(10) || chr(10) || 'q' || chr(10) || chr(10) || 'Completion A:' || chr(10) || source || chr(10) || chr(10) || 'Completion B:' || chr(10) || lang AS prompt FROM documents")
+def listwise_prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    items, order = F.array("lang", "source"), F.array(F.lit(2), F.lit(1))
+    return table(spark, sf_dir, "documents").select("doc_id", judge.list_prompt(F.lit("rules"), F.lit("q"), items, order).alias("prompt"))
+
+
+@query("SELECT doc_id, i::INTEGER AS i, j::INTEGER AS j FROM documents, range(0, 5) AS a(i), range(0, 5) AS b(j) WHERE i < j AND j < doc_id % 4 + 2")
+def pair_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    items = F.sequence(F.lit(1), (F.col("doc_id") % 4 + 2).cast("int"))
+    return table(spark, sf_dir, "documents").select("doc_id", F.explode(judge.item_pairs(items)).alias("p")).select("doc_id", "p.i", "p.j")
+
+
+@query("SELECT doc_id, item::INTEGER AS item, ((item + doc_id) % 9 + 1)::INTEGER AS rank FROM documents, range(0, 9) AS g(item)")
+def ranks_by_item(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Items are shown from the last to the first; the rank at each place goes back."""
+    order = F.sequence(F.lit(9), F.lit(1), F.lit(-1))
+    ranking = F.transform(order, lambda i: ((i - 1 + F.col("doc_id")) % 9 + 1).cast("int"))
+    rows = table(spark, sf_dir, "documents").select("doc_id", F.posexplode(judge.back_to_items(ranking, order)).alias("item", "rank"))
+    return rows.select("doc_id", "item", "rank")
+
+
+@query("SELECT (i - 1)::INTEGER AS position, avg((CASE WHEN doc_id % i = 0 THEN 1 ELSE 0 END)::DOUBLE) AS accuracy FROM documents, range(1, 10) AS g(i) GROUP BY i")
+def position_accuracy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    truth = F.sequence(F.lit(1), F.lit(9))
+    d = table(spark, sf_dir, "documents").select(truth.alias("ground_truth"), F.transform(truth, lambda i: F.when(F.col("doc_id") % i == 0, i).otherwise(0)).alias("predicted"))
+    return judge.position_accuracy(d)
+
+
+@query(f"WITH b AS (SELECT sample_id, mode, event_id % 2 AS question, count(*) AS n FROM {CHOICES} GROUP BY ALL) SELECT mode, round(avg(c), 6) AS consistency FROM (SELECT sample_id, mode, max(n) / sum(n)::DOUBLE AS c FROM b GROUP BY ALL) GROUP BY mode")
+def pair_consistency(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = judge.consistency(choices(spark, sf_dir).withColumn("question", F.col("event_id") % 2), "question", "sample_id", "mode")
+    return c.groupBy("mode").agg(F.round(F.avg("consistency"), 6).alias("consistency"))
+
+
+@query("SELECT doc_id, (SELECT max(x) FROM (VALUES (doc_id % 3), (doc_id % 5), (doc_id % 7)) AS v(x))::DOUBLE AS best FROM documents")
+def sorted_branches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    branches = F.array(*[F.struct((F.col("doc_id") % n).cast("double").alias("score")) for n in (3, 5, 7)])
+    return table(spark, sf_dir, "documents").select("doc_id", judge.sorted_branches(branches)[0]["score"].alias("best"))
+
+
+@query("SELECT (doc_id % 5)::BIGINT AS rank_sum, count(*) AS n FROM documents WHERE doc_id % 3 <> 0 GROUP BY ALL")
+def usable_completions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = F.when(F.col("doc_id") % 3 == 0, " ").otherwise("x")
+    d = table(spark, sf_dir, "documents").select((F.col("doc_id") % 5).alias("rank_sum"), F.array(F.struct(F.lit("y").alias("content"), F.lit(1.0).alias("score")), F.struct(text.alias("content"), F.lit(2.0).alias("score"))).alias("c"))
+    return filters.valid_completions(d, "c", 2, scored=True).groupBy("rank_sum").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("SELECT structure, n, round(n * 100.0::DOUBLE / sum(n) OVER (), 6) AS share FROM (SELECT CASE WHEN doc_id % 3 = 0 THEN 'OBJECT<a: BIGINT>' ELSE 'OBJECT<b: STRING>' END AS structure, count(*) AS n FROM documents GROUP BY ALL)")
+def schema_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = F.when(F.col("doc_id") % 3 == 0, '{"a": 1}').otherwise('{"b": "x"}')
+    return profile.schema_groups(table(spark, sf_dir, "documents").select(text.alias("j")), "j").withColumn("share", F.round("share", 6))
+
+
 # ---- without SQL ------------------------------------------------------------
 
 
@@ -641,6 +795,18 @@ def tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("conversation_id", F.col("available_functions")[0]["parameters"].alias("parameters"), F.col("conversation_branches")[0]["messages"][0]["parts"][0]["args"].alias("args"))
 
 
+@query()
+def repaired_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = F.concat(F.lit('said: {"a": "'), F.col("lang"), F.lit('", "b": [1, 2,],} end'))
+    return table(spark, sf_dir, "documents").select("doc_id", F.get_json_object(T.repair_json(text), "$.a").alias("a"))
+
+
+@query()
+def json_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = F.concat(F.lit('x {"name": "f", "p": {"q": 1}} {"other": 2} '), F.col("lang"))
+    return table(spark, sf_dir, "documents").select("doc_id", F.explode(T.json_objects(text)).alias("object"))
+
+
 @query("SELECT split, count(*) AS rows FROM (SELECT 'set' || (doc_id % 3) AS split FROM documents) GROUP BY split")
 def split_info(spark: SparkSession, sf_dir: str) -> DataFrame:
     return io.describe(docs(spark, sf_dir), "split")
