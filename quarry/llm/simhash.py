@@ -15,7 +15,8 @@ as soon as they exceed the radius, or once the group already is in the
 searcher's component.  A task returns a forest, never all pairs; components over
 all tasks come from alternating large and small stars on written tables.
 
-Defined results: null texts count as empty; an empty text has fingerprint zero and
+Defined results: rows that share an id (or have none) are one document, so what one of
+them links to is linked to the others; null texts count as empty; an empty text has fingerprint zero and
 links like any other; equal rows share a fingerprint and so a component; an empty
 table gives an empty result; other columns are not read; a null id is smaller than any
 other and stays null.
