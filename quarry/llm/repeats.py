@@ -43,7 +43,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import drop_path, shared_path, stored
+from quarry.llm.common import apart, drop_path, shared_path, stored
 
 GRAM, SPLIT, CHUNK = 48, 64, 1 << 18
 _ODD, _SHIFT = np.uint64(0x9E3779B97F4A7C15), np.uint64(32)
@@ -230,7 +230,7 @@ def covered(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
     _release(spark)
     first = again.groupBy("bucket", "name").agg(F.min("id").alias("first"))
     first = stored(first, "first-runs")
-    several = first.groupBy("bucket").agg((F.count(F.lit(1)) > 1).alias("mixed"))
+    several = first.groupBy("bucket").agg((F.count(F.lit(1)) > 1).alias("mixed")).select(apart(F.col("bucket")).alias("bucket"), "mixed")
     first = first.join(several, "bucket")
     judged = again.join(first, ["bucket", "name"]).select("bucket", "id", "mark", "start", "count", "mixed", (F.col("id") > F.col("first")).alias("later"))
     judged = stored(judged.where("mixed or later"), "judged-runs")
@@ -279,7 +279,7 @@ def covered(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
     wide = detail.join(large, "bucket", "left_semi")
     rows = wide.select("bucket", "id", "mark", "start", "bytes", F.explode(F.sequence(F.lit(0), F.octet_length("bytes") - length)).alias("k"))
     rows = rows.select("bucket", "id", "mark", (F.col("start") + F.col("k")).alias("start"), F.xxhash64(F.substring(F.col("bytes"), F.col("k") + 1, F.lit(length))).alias("name"))
-    lowest = rows.groupBy("bucket", "name").agg(F.min("id").alias("lowest"))
+    lowest = rows.groupBy("bucket", "name").agg(F.min("id").alias("lowest")).select(apart(F.col("bucket")).alias("bucket"), "name", "lowest")
     late = rows.join(lowest, ["bucket", "name"]).where(F.col("id") > F.col("lowest")).select("id", "mark", "start", F.lit(1).alias("count"))
     return own.unionByName(whole).unionByName(stored(small, "settled")).unionByName(stored(late, "settled-wide"))
 

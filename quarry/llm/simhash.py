@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import drop_path, shared_path, stored
+from quarry.llm.common import apart, drop_path, shared_path, stored
 
 SEED, BITS, FAN, NO_ID = 42, 64, 16, -(1 << 63)
 ONE = np.uint64(1)
@@ -229,11 +229,11 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     def star(e: DataFrame, large: bool) -> DataFrame:
         if large:
             both = e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
-            low = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
+            low = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")).select(apart(F.col("a")).alias("a"), "m")
             out = both.where(F.col("b") > F.col("a")).join(low, "a").select(F.col("m").alias("a"), "b")
         else:  # a < b: hang b's smaller neighbours, and b, on the smallest of them
             low = e.groupBy("b").agg(F.min("a").alias("m"))
-            joined = e.join(low, "b")
+            joined = e.join(low.select(apart(F.col("b")).alias("b"), "m"), "b")
             out = joined.select(F.col("m").alias("a"), F.col("a").alias("b")).where(F.col("a") < F.col("b")).unionByName(low.select(F.col("m").alias("a"), "b"))
         return out.where(F.col("a") < F.col("b")).distinct()
 

@@ -72,7 +72,7 @@ def write_archive(pages: DataFrame, path: str, *, id_col: str = "page_id", url_c
 
     Payloads are reduced to one per digest before they are shuffled, so copies
     cost a digest each.  Record headers never meet the payloads: the
-    response of each digest is found on (digest, id) alone, and joined back with a
+    response of each digest that occurs again is found on (digest, id) alone, and joined back with a
     join whose hot keys Spark splits.
     """
     spark = pages.sparkSession
@@ -83,9 +83,10 @@ def write_archive(pages: DataFrame, path: str, *, id_col: str = "page_id", url_c
     distinct.write.option("compression", "zstd").parquet(f"{path}/payloads")
 
     plain = rows.select("record_id", "url", "payload_digest", F.octet_length("payload").cast("long").alias("length"))
-    first = plain.groupBy("payload_digest").agg(F.min("record_id").alias("first_id"))
-    typed = plain.join(first, "payload_digest")
-    again = (F.col("length") >= min_revisit_bytes) & (F.col("record_id") != F.col("first_id"))
+    first = plain.groupBy("payload_digest").agg(F.min("record_id").alias("first_id"), F.count(F.lit(1)).alias("n"))
+    first = stored(first.where("n > 1").select("payload_digest", "first_id"), "first-records")
+    typed = plain.join(first, "payload_digest", "left")
+    again = F.coalesce((F.col("length") >= min_revisit_bytes) & (F.col("record_id") != F.col("first_id")), F.lit(False))
     typed = typed.withColumn("refers", F.when(again, F.col("first_id")))
     kind = F.when(again, F.lit("revisit")).otherwise("response")
     header = header_block(kind, F.col("record_id"), F.col("url"), F.col("payload_digest"), F.col("length"), F.col("refers"), date)
