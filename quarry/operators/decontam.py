@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarry.model import strip
+from quarry.session import spread
 
 
 def words(text: Column) -> Column:
@@ -37,7 +38,7 @@ def shared_grams(train: DataFrame, bench: DataFrame, *, n: int = 8, last: bool =
         tokens = df.select(*keys, tokenise(F.col("text")).alias("tokens"))
         return tokens.select(*keys, F.explode(ngrams(F.col("tokens"), n, last)).alias("gram")).withColumn("h", F.xxhash64("gram"))
 
-    left, right = grams(train, "id"), grams(bench, "benchmark", "eval_idx")
+    left, right = grams(spread(train), "id"), grams(bench, "benchmark", "eval_idx")
     return left.join(right, ["h", "gram"]).groupBy("id", "benchmark", "eval_idx").agg(F.count(F.lit(1)).alias("grams"))
 
 

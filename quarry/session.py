@@ -6,7 +6,7 @@ import tempfile
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def ship(spark: SparkSession) -> SparkSession:
@@ -25,3 +25,14 @@ def ship(spark: SparkSession) -> SparkSession:
         context.addPyFile(str(archive))
         context._quarry_shipped = str(archive)
     return spark
+
+
+def spread(df: DataFrame, core_bytes: int = 16 << 20) -> DataFrame:
+    """``df`` over all cores if it is too small to be so by itself.
+
+    A small file with one row group is one task, however many cores wait.  Tables over
+    ``core_bytes`` a core are left as they are read: there a shuffle would cost more.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return df.repartition(cores) if size < core_bytes * cores else df
