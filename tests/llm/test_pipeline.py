@@ -1,8 +1,11 @@
+import random
+
 import corpus_pipeline as c
 from pyspark.sql import functions as F
 
 from quarry.llm import queries
 from quarry.llm.common import stored
+from tests.llm.fixtures import words
 from tests.llm.test_simhash import brute_components, brute_print
 
 
@@ -33,3 +36,12 @@ def test_stages_against_brute_force(spark, sf):
 
 def test_run_and_names(spark, sf):
     assert len(c.STAGES) == 5 and c.run(spark, sf).count() > 0
+
+
+def test_near_dedup_judges_rows_without_an_id_by_their_texts(spark, sf):
+    rng = random.Random(5)
+    text = [words(rng, 80) for _ in range(6)]
+    rows = [(None, text[0]), (None, text[1]), (1, text[0]), (2, text[2]), (3, text[1]), (7, text[3]), (7, text[4]), (7, text[4]), (None, text[5]), (None, text[5])]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    got = sorted(((r.doc_id or 0, r.text) for r in c.near_duplicates(spark, docs, sf).collect()))
+    assert got == sorted([(1, text[0]), (3, text[1]), (2, text[2]), (7, text[3]), (7, text[4]), (0, text[5])])
