@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from quarry.llm import queries
 from quarry.llm.common import stored
 from tests.llm.fixtures import words
+from tests.llm.test_near_copies import brute_groups
 from tests.llm.test_simhash import brute_components, brute_print
 
 
@@ -45,3 +46,20 @@ def test_near_dedup_judges_rows_without_an_id_by_their_texts(spark, sf):
     docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
     got = sorted(((r.doc_id or 0, r.text) for r in c.near_duplicates(spark, docs, sf).collect()))
     assert got == sorted([(1, text[0]), (3, text[1]), (2, text[2]), (7, text[3]), (7, text[4]), (0, text[5])])
+
+
+def test_stages_after_near_dedup(spark, sf):
+    kept = stored(c.quality(spark, spark.read.parquet(f"{sf}/documents.parquet"), sf), "q")
+    single = stored(c.near_duplicates(spark, kept, sf), "s")
+    rows = sorted((r.doc_id, r.text) for r in kept.collect())
+    assert sorted(r.doc_id for r in single.collect()) == [rows[i][0] for i in sorted(set(brute_groups([t for _, t in rows])))]
+
+    clean = stored(c.repeated_passages(spark, single, sf), "r")
+    assert clean.columns == kept.columns and clean.count() <= single.count()
+    assert clean.where(F.length("text") != F.col("n_chars")).count() == 0
+
+    mixed = stored(c.mixed(spark, clean, sf), "m")
+    assert {r.doc_id for r in mixed.select("doc_id").collect()} == {r.doc_id for r in clean.select("doc_id").collect()}
+    packed = c.packed(spark, mixed, sf)
+    assert packed.groupBy("sequence_id").agg(F.sum("length").alias("n")).where("n > 4096").count() == 0
+    assert {r.doc_id for r in packed.select("doc_id").collect()} == {r.doc_id for r in mixed.select("doc_id").collect()}
