@@ -6,12 +6,14 @@ text's bytes.  Its training sample is bounded by ``sample_rows`` a domain.
 
 The rates r >= ``low`` solve
 
-    min  sum_k w_k (sum_d r_d tokens_d p_dk - target_k)^2  +  ridge * sum_d (r_d - 1)^2
+    min  m' W m  +  ridge * sum_d (r_d - 1)^2,    m_k = sum_d r_d tokens_d p_dk - target_k
 
 by projected gradient steps.  The posteriors of all documents stay distributed: a step
 sums (domains) numbers over them, and the rates are computed again from the steps'
-few multipliers, so no state of the size of the corpus moves.  ``w_k`` scales each
-domain by its own second moment, which makes a few dozen steps enough.
+few multipliers, so no state of the size of the corpus moves.  W is the
+inverse of the domains' second moments, so a step lands on the targets but for the rates
+that it leaves at ``low``, and a few dozen are enough.  Steps go on until the totals meet the targets or don't move any more, and
+the shares reached are returned; :func:`demand` raises where they miss the targets.
 
 Defined results: a null text counts as empty and has no token; a document without
 tokens keeps rate 1; a target for a domain nobody knows raises; an empty table gives
@@ -108,7 +110,7 @@ def membership(docs: DataFrame, model: DomainModel, *, text_col: str = "text", k
     return rows.mapInArrow(run, schema)
 
 
-def _rates(mass: np.ndarray, steps: list[np.ndarray], ridge_step: float, low: float, high: float) -> np.ndarray:
+def _rates(mass: np.ndarray, steps: list[np.ndarray], ridge_step: float, low: float, high: float = np.inf) -> np.ndarray:
     """Rates after the steps; ``mass`` is (rows, domains) of tokens times posterior."""
     r = np.ones(len(mass))
     for g in steps:
@@ -116,11 +118,13 @@ def _rates(mass: np.ndarray, steps: list[np.ndarray], ridge_step: float, low: fl
     return r
 
 
-def fit_rates(members: DataFrame, targets: Mapping[str, float], domains: tuple[str, ...], *, rounds: int = 40, ridge: float = 1e-3, low: float = 0.0, high: float = 8.0, total: float | None = None, tolerance: float = 1e-4) -> tuple[DataFrame, dict[str, float]]:
+def fit_rates(members: DataFrame, targets: Mapping[str, float], domains: tuple[str, ...], *, rounds: int = 1000, ridge: float = 1e-3, low: float = 0.0, high: float = np.inf, total: float | None = None, tolerance: float = 1e-4) -> tuple[DataFrame, dict[str, float]]:
     """``members`` with a column rate, and the share of tokens each domain ends up with.
 
     ``total`` is the number of tokens wanted, by default as many as there are;
-    ``total=math.inf`` means the least total for which no domain must shrink.
+    ``total=math.inf`` means the least total for which no domain must shrink.  Rates have
+    no upper bound unless ``high`` sets one.  The steps end when every domain's total is within
+    ``tolerance`` of the wanted total, when a step moves none by a thousandth of that, or after ``rounds``.
     """
     if set(targets) - set(domains):
         raise ValueError(f"no labelled row of {sorted(set(targets) - set(domains))}")
@@ -153,16 +157,19 @@ def fit_rates(members: DataFrame, targets: Mapping[str, float], domains: tuple[s
     elif not np.isfinite(total):
         total = float((sums[share > 0] / share[share > 0]).max())
     goal = share * total
-    scale = 1 / np.maximum(np.diag(gram), 1e-300)  # w_k
-    top = float(np.linalg.eigvalsh(np.sqrt(scale)[:, None] * gram * np.sqrt(scale)).max())
-    size = 1 / (top + ridge)
+    scale = 1 / np.sqrt(np.maximum(np.diag(gram), 1e-300))
+    weight = scale[:, None] * np.linalg.pinv(scale[:, None] * gram * scale, rcond=1e-10, hermitian=True) * scale  # W
+    size = 1 / (1 + ridge)
     steps: list[np.ndarray] = []
     now = sums
     for _ in range(rounds):
         if np.abs(now - goal).max() <= tolerance * total:
             break
-        steps.append(size * scale * (now - goal))
+        steps.append(size * (weight @ (now - goal)))
+        before = now
         now, _ = summed(lambda mass: _rates(mass, steps, size * ridge * 1e-3, low, high))
+        if np.abs(now - before).max() <= 1e-3 * tolerance * total:
+            break
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -175,6 +182,14 @@ def fit_rates(members: DataFrame, targets: Mapping[str, float], domains: tuple[s
     return out, dict(zip(domains, (now / now.sum()).tolist(), strict=True))
 
 
+def demand(reached: Mapping[str, float], targets: Mapping[str, float], within: float = 0.01) -> None:
+    """Raise if a share reached misses its target by more than ``within``; without tokens there is nothing to reach."""
+    whole = sum(max(0.0, x) for x in targets.values())
+    missed = {d: (round(x, 4), max(0.0, targets.get(d, 0.0)) / whole) for d, x in reached.items() if abs(x - max(0.0, targets.get(d, 0.0)) / whole) > within}
+    if missed and any(reached.values()):
+        raise ValueError(f"shares of tokens (reached, wanted) miss the targets: {missed}")
+
+
 def mix(docs: DataFrame, labelled: DataFrame, targets: Mapping[str, float], *, id_col: str = "doc_id", text_col: str = "text", keep: list[str] | None = None, **options) -> tuple[DataFrame, tuple[str, ...], dict[str, float]]:
     """(row, tokens, posterior, rate) per row, the domains, and the shares reached."""
     if labelled.isEmpty():  # nothing is known: all targets are equally likely

@@ -45,7 +45,8 @@ MIX_TARGETS = {"en": 0.4, "de": 0.2, "fr": 0.2, "es": 0.2}
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     labelled = docs.select("doc_id", F.col("lang").alias("domain")).join(labels.select("doc_id"), "doc_id")
-    rated, domains, _ = mixing.mix(docs, labelled, MIX_TARGETS, keep=["doc_id"])
+    rated, domains, reached = mixing.mix(docs, labelled, MIX_TARGETS, keep=["doc_id"])
+    mixing.demand(reached, MIX_TARGETS)
     shares = [F.col("posterior")[k].alias(f"p_{d}") for k, d in enumerate(domains)]
     return rated.select(F.col("row.doc_id").alias("doc_id"), F.col("tokens").cast("long").alias("tokens"), *shares, "rate")
 

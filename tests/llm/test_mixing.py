@@ -51,3 +51,28 @@ def test_awkward_rows(spark):
     assert rated.count() == 0
     with pytest.raises(ValueError, match="no labelled row"):
         mixing.mix(d, d.select("doc_id", F.col("lang").alias("domain")), {"xx": 1.0})
+
+
+def skewed(spark):
+    """Language c has about a hundredth of the tokens."""
+    rng = random.Random(2)
+    kinds = ["c"] * 8 + ["b"] * 200 + ["a"] * 592
+    rows = [(i, " ".join(rng.choice(VOCABULARY[k]) for _ in range(40)), k) for i, k in enumerate(kinds)]
+    return spark.createDataFrame(rows, "doc_id long, text string, domain string")
+
+
+@pytest.mark.parametrize("options", [{}, {"low": 1.0, "total": math.inf}])
+def test_rates_have_no_hidden_bound(spark, options):
+    d, targets = skewed(spark), {"a": 0.5, "b": 0.3, "c": 0.2}
+    rated, _, reached = mixing.mix(d, d.select("doc_id", "domain"), targets, **options)
+    assert reached == pytest.approx(targets, abs=0.01)
+    mixing.demand(reached, targets)
+    assert rated.agg(F.max("rate")).head()[0] > 8
+
+
+def test_missed_targets_raise(spark):
+    d, targets = skewed(spark), {"a": 0.5, "b": 0.3, "c": 0.2}
+    _, _, reached = mixing.mix(d, d.select("doc_id", "domain"), targets, high=8.0)
+    with pytest.raises(ValueError, match="miss the targets"):
+        mixing.demand(reached, targets)
+    mixing.demand(dict.fromkeys(targets, 0.0), targets)
