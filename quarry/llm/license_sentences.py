@@ -12,7 +12,8 @@ All of it is DataFrame expressions in one pass without a shuffle.
 
 Defined results: null and empty texts have no sentence and no licence; the same
 licence twice is reported once; sentences nobody knows don't separate the
-identifiers around them only if ``gap`` says so (the default: they do not count).
+identifiers around them only if ``gap`` says so (the default: they do not count); a BSD
+third clause that names another holder than the listed ones is such a sentence.
 """
 
 from __future__ import annotations
@@ -39,14 +40,24 @@ SENTENCES: dict[str, str] = {
     "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met": "BSDGrant",
     "redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer": "BSDSource",
     "redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer in the documentation and or other materials provided with the distribution": "BSDBinary",
+    "neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission": "BSDNames",
+    "neither the name of the organization nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission": "BSDNames",
+    "neither the name of the university nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission": "BSDNames",
     "this work is licensed under the gnu general public license version 3": "GPL3Short",
     "licensed under the gnu general public license version 3": "GPL3Short",
     "licensed under the gnu general public license version 2": "GPL2Short",
     "licensed under the gnu lesser general public license version 3": "LGPL3Short",
     "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 3 of the license or at your option any later version": "GPL3PlusGrant",
     "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 2 of the license or at your option any later version": "GPL2PlusGrant",
+    # The notices as written have ':' or ';' after "free software" and often ';' after "foundation".
+    "you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 3 of the license or at your option any later version": "GPL3PlusGrant",
+    "you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 2 of the license or at your option any later version": "GPL2PlusGrant",
+    "you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation": "GPLTerms",
+    "either version 3 of the license or at your option any later version": "Version3Later",
+    "either version 2 of the license or at your option any later version": "Version2Later",
     "licensed under the mozilla public license version 2.0": "MPL2Short",
     "this source code form is subject to the terms of the mozilla public license v 2.0": "MPL2Grant",
+    "this source code form is subject to the terms of the mozilla public license v": "MPL2Grant",  # cut after "v."; no other version says so
     "licensed under cc by 4.0": "CCBY",
     "licensed under cc by sa 4.0": "CCBYSA",
     "licensed under cc by nc 4.0": "CCBYNC",
@@ -61,11 +72,14 @@ SENTENCES: dict[str, str] = {
 RULES: list[tuple[str, tuple[str, ...]]] = [
     ("MIT", ("MITGrant", "MITNotice", "MITWarranty")),
     ("MIT", ("MITGrant", "MITNotice")),
+    ("BSD-3-Clause", ("BSDGrant", "BSDSource", "BSDBinary", "BSDNames")),
     ("BSD-2-Clause", ("BSDGrant", "BSDSource", "BSDBinary")),
     ("Apache-2.0", ("ApacheGrant", "ApacheCompliance", "ApacheCopy")),
     ("Apache-2.0", ("ApacheGrant", "ApacheCompliance")),
     ("GPL-3.0-or-later", ("GPL3PlusGrant",)),
     ("GPL-2.0-or-later", ("GPL2PlusGrant",)),
+    ("GPL-3.0-or-later", ("GPLTerms", "Version3Later")),
+    ("GPL-2.0-or-later", ("GPLTerms", "Version2Later")),
     ("GPL-3.0-only", ("GPL3Short",)),
     ("GPL-2.0-only", ("GPL2Short",)),
     ("LGPL-3.0-only", ("LGPL3Short",)),

@@ -49,3 +49,26 @@ def test_domains(spark):
     s = ur.host_suffix(F.col("h"))
     got = {r.h: (r.s, r.d) for r in hosts.select("h", s.alias("s"), ur.registered_domain(F.col("h"), s).alias("d")).collect()}
     assert got == {"a.b.co.uk": ("co.uk", "b.co.uk"), "co.uk": ("co.uk", "co.uk"), "b.com": ("com", "b.com"), "com": ("com", "com"), "": ("", "")}
+
+
+MIT = 'Permission is hereby granted, free of charge, to any person obtaining a copy\nof this software and associated documentation files (the "Software"), to deal\nin the Software without restriction, including without limitation the rights\nto use, copy, modify, merge, publish, distribute, sublicense, and/or sell\ncopies of the Software, and to permit persons to whom the Software is\nfurnished to do so, subject to the following conditions:\n\nThe above copyright notice and this permission notice shall be included in all\ncopies or substantial portions of the Software.\n'
+BSD = "Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that the following conditions are met:\n\n1. Redistributions of source code must retain the above copyright notice, this\n   list of conditions and the following disclaimer.\n\n2. Redistributions in binary form must reproduce the above copyright notice,\n   this list of conditions and the following disclaimer in the documentation\n   and/or other materials provided with the distribution.\n\n"
+GPL = "This program is free software{} you can redistribute it and/or modify\nit under the terms of the GNU General Public License as published by\nthe Free Software Foundation{} either version {} of the License, or\n(at your option) any later version.\n\nThis program is distributed in the hope that it will be useful,\n"
+APACHE = 'Licensed under the Apache License, Version 2.0 (the "License");\nyou may not use this file except in compliance with the License.\n'
+NOTICES = [
+    ("MIT", MIT + '\nTHE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR\nIMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,\nFITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT'), ("MIT", MIT), ("MIT", "Released under the MIT License."),
+    ("BSD-3-Clause", BSD + "3. Neither the name of the copyright holder nor the names of its\n   contributors may be used to endorse or promote products derived from\n   this software without specific prior written permission.\n"), ("BSD-2-Clause", BSD),
+    ("Apache-2.0", APACHE + "You may obtain a copy of the License at\n\n    http://www.apache.org/licenses/LICENSE-2.0\n"), ("Apache-2.0", APACHE), ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
+    ("GPL-3.0-or-later", GPL.format(":", ",", 3)), ("GPL-3.0-or-later", GPL.format(";", ";", 3)), ("GPL-2.0-or-later", GPL.format(";", ";", 2)), ("GPL-2.0-or-later", GPL.format(";", ",", 2)),
+    ("GPL-3.0-only", "This work is licensed under the GNU General Public License, version 3."), ("GPL-2.0-only", "Licensed under the GNU General Public License, version 2."), ("LGPL-3.0-only", "Licensed under the GNU Lesser General Public License, version 3."),
+    ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public\nLicense, v. 2.0. If a copy of the MPL was not distributed with this\nfile, You can obtain one at https://mozilla.org/MPL/2.0/."), ("MPL-2.0", "Licensed under the Mozilla Public License, version 2.0."),
+    *[(f"CC-{k}-4.0", f"Licensed under CC {k} 4.0.") for k in ("BY", "BY-SA", "BY-NC", "BY-ND", "BY-NC-SA")],
+    ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License."), ("LicenseRef-all-rights-reserved", "All rights reserved."),
+]
+
+
+def test_every_licence_on_its_original_notice(spark):
+    texts = [(i, t) for i, (_, t) in enumerate(NOTICES)]
+    got = {r.doc_id: r.licenses for r in ls.scan(spark.createDataFrame(texts, "doc_id long, text string")).collect()}
+    assert {i: (n, got[i]) for i, (n, _) in enumerate(NOTICES)} == {i: (n, [n]) for i, (n, _) in enumerate(NOTICES)}
+    assert {n for n, _ in NOTICES} == {n for n, _ in ls.RULES}
