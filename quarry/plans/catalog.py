@@ -749,14 +749,14 @@ def schema_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def boxed_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = table(spark, sf_dir, "documents").select("doc_id", F.concat(F.substring("text", 1, 40), F.lit(" \\boxed{a_{1}} and \\boxed{"), F.col("lang"), F.lit("}")).alias("t"))
+    d = table(spark, sf_dir, "documents").select("doc_id", F.concat(F.col("text"), F.lit(" \\boxed{a_{1}} and \\boxed{"), F.col("lang"), F.lit("}")).alias("t"))
     x = T.boxed("t")
     return d.select("doc_id", x["text"].alias("text"), F.array_join(x["answers"], "|").alias("answers"))
 
 
 @query()
 def fence_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = table(spark, sf_dir, "documents").select("doc_id", F.concat(F.substring("text", 1, 40), F.lit("\n```python\nprint(1)\n```\n```output\n1\n```\n"), F.col("lang")).alias("t"))
+    d = table(spark, sf_dir, "documents").select("doc_id", F.concat(F.col("text"), F.lit("\n```python\nprint(1)\n```\n```output\n1\n```\n"), F.col("lang")).alias("t"))
     return d.select("doc_id", F.posexplode(T.fences("t")).alias("n", "p")).select("doc_id", "n", "p.type", "p.content", "p.name", "p.args")
 
 
