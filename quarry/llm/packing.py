@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from quarry.llm.common import stored
+from quarry.llm.common import in_arrow, stored
 
 CACHE = 1_000_000
 
@@ -50,14 +50,20 @@ class WordCoder(dict):
     The vocabulary's rules never cross white space and fold case, so a text's ids
     are those of its parts in order.  Plain words go straight to the vocabulary's
     merges; any other part through the whole tokenizer.  At most CACHE parts
-    are remembered.
+    are remembered.  Special tokens are found first, in the text as it stands, as the
+    tokenizer does it; they cut the text, and what lies between them is coded as above.
     """
 
     def __init__(self, path: str):
         super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         self.merge, self.symbols = self.tokenizer.model.tokenize, byte_symbols()
+        self.special = {t.content.encode(): np.array([i], "<u4").tobytes() for i, t in self.tokenizer.get_added_tokens_decoder().items()}
+        longest_first = sorted(self.special, key=len, reverse=True)
+        self.cut = re.compile(b"(" + b"|".join(map(re.escape, longest_first)) + b")").split if longest_first else lambda text: [text]
+        # What a lower-cased part may look like without being that token.
+        self.plain = Tokenizer.from_file(path)
+        self.plain.encode_special_tokens = True
 
     def __missing__(self, part: bytes) -> bytes:
         if _PLAIN(part):
@@ -68,14 +74,20 @@ class WordCoder(dict):
             self[part] = found
             return found
         else:
-            ids = self.tokenizer.encode(part.decode("utf-8", "replace"), add_special_tokens=False).ids
+            ids = self.plain.encode(part.decode("utf-8", "replace"), add_special_tokens=False).ids
         if len(self) >= CACHE:
             self.clear()
         found = self[part] = np.array(ids, "<u4").tobytes()
         return found
 
     def encode(self, text: bytes) -> bytes:
-        return b"".join(map(self.__getitem__, text.lower().split()))
+        out, code = [], self.__getitem__
+        for k, part in enumerate(self.cut(text)):
+            if k % 2:
+                out.append(self.special[part])
+            else:
+                out.extend(map(code, part.lower().split()))
+        return b"".join(out)
 
 
 _coders: dict[str, WordCoder] = {}
@@ -109,7 +121,7 @@ def pieces(docs: DataFrame, vocabulary: str, *, id_col: str = "doc_id", text_col
             yield pa.RecordBatch.from_arrays(arrays, names)
 
     names = ["id", "piece", "start", "length", "ids_crc32", *["ids"] * with_ids]
-    return rows.mapInArrow(run, "id long, piece long, start long, length long, ids_crc32 long" + ", ids array<int>" * with_ids)
+    return in_arrow(rows, run, "id long, piece long, start long, length long, ids_crc32 long" + ", ids array<int>" * with_ids)
 
 
 def patterns(bins: int, depth: int) -> list[tuple[int, ...]]:
@@ -289,7 +301,7 @@ def pack(cut: DataFrame, *, max_len: int = 4096, bins: int = 64, depth: int = 4,
             yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(row[:, 3] + rank - row[:, 1]), pa.array(row[:, 4])], names)
 
     schema = cut.withColumn("sequence_id", F.lit(0).cast("long")).withColumn("offset", F.lit(0).cast("long")).schema
-    return ranked.mapInArrow(place, schema)
+    return in_arrow(ranked, place, schema)
 
 
 def pack_documents(docs: DataFrame, vocabulary: str, *, id_col: str = "doc_id", text_col: str = "text", max_len: int = 4096, end_id: int = 1, bins: int = 64, depth: int = 4) -> DataFrame:

@@ -6,17 +6,30 @@ from collections import Counter, defaultdict
 import numpy as np
 import public_tokenizers
 import pytest
+from tokenizers import Tokenizer
 
 from quarry.llm import packing as p
 from tests.llm.fixtures import awkward, empty
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
+PLAIN = Tokenizer.from_file(PATH)
 
 
-@pytest.mark.parametrize("text", ["", "  ", "Don't we'll x's 12a34 <|endoftext|> É'é İx ſ áb 'S ... a.b,c", "\x1c a\x85b c\u00a0d", "ß Éa straße", "日本語 text", "a_b _ __c a1", "ﬁ Ǆ", "word, word. (word)"])
+def wanted(text: str) -> list[int]:
+    return PLAIN.encode(text, add_special_tokens=False).ids
+
+
+@pytest.mark.parametrize("text", ["", "  ", "Don't we'll x's 12a34 É'é İx ſ áb 'S ... a.b,c", "<|endoftext|>", "a<|endoftext|>b <|startoftext|><|endoftext|>", "<|ENDOFTEXT|> <|EndOfText|>x", "<|endoftext|", "x<|endoftext|>'s <|endoftext|>.", "é<|startoftext|>\u0301", "<|<|endoftext|>|>", "\x1c a\x85b c\u00a0d", "ß Éa straße", "日本語 text", "a_b _ __c a1", "ﬁ Ǆ", "word, word. (word)"])
 def test_parts_give_the_tokenizers_ids(text):
-    c = p.coder(PATH)
-    assert np.frombuffer(c.encode(text.encode()), "<u4").tolist() == c.tokenizer.encode(text, add_special_tokens=False).ids
+    assert np.frombuffer(p.coder(PATH).encode(text.encode()), "<u4").tolist() == wanted(text)
+
+
+def test_random_texts_have_the_tokenizers_ids():
+    rng = random.Random(9)
+    bits = ["<|endoftext|>", "<|startoftext|>", "<|", "|>", "end", "OF", "text", " ", "\n", "'s", "é", "e\u0301", "\u0301", "12", ".", ",", "word", "Ähre", "日本", "\u00a0", "\u200b", "ﬁ"]
+    for _ in range(3000):
+        text = "".join(rng.choice(bits) for _ in range(rng.randint(0, 12)))
+        assert np.frombuffer(p.coder(PATH).encode(text.encode()), "<u4").tolist() == wanted(text), text
 
 
 def check(plan: p.Plan, counts: Counter) -> int:
@@ -59,20 +72,18 @@ def test_nnls():
 def test_pieces_lie_gapless(spark):
     df = awkward(spark)
     got = p.pack_documents(df, PATH, max_len=256).collect()
-    by_sequence, texts = defaultdict(list), defaultdict(list)
+    by_sequence = defaultdict(list)
     for r in got:
         by_sequence[r.sequence_id].append((r.offset, r.length))
-        texts[r.doc_id].append(r)
     for parts in by_sequence.values():
         at = 0
         for offset, n in sorted(parts):
             assert offset == at
             at += n
         assert at <= 256
-    c = p.coder(PATH)
+    want = Counter()  # repeated rows count
     for row in df.collect():
-        ids = c.encode((row.text or "").encode()) + np.array([1], "<u4").tobytes()
-        want = {(k, k * 256, zlib.crc32(ids[k * 1024 : k * 1024 + 1024])) for k in range(math.ceil(len(ids) / 1024))}
-        assert want <= {(r.piece, r.start, r.ids_crc32) for r in texts[row.doc_id]}
-    assert sum(r.length for r in got) == sum(len(c.encode((r.text or "").encode())) // 4 + 1 for r in df.collect())
+        ids = np.array([*wanted(row.text or ""), 1], "<u4").tobytes()
+        want.update((row.doc_id, k, k * 256, len(ids[k * 1024 : k * 1024 + 1024]) // 4, zlib.crc32(ids[k * 1024 : k * 1024 + 1024])) for k in range(math.ceil(len(ids) / 1024)))
+    assert Counter((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in got) == want
     assert p.pack_documents(empty(spark), PATH).count() == 0
