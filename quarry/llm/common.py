@@ -8,23 +8,26 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.session import ship
+from quarry.session import in_arrow, ship
 
+CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir``.
+    """The folder that driver and executors share: ``spark.checkpoint.dir``, else the
+    context's checkpoint folder.
 
-    Only where that setting is absent (tests, notebooks on one machine) is a
-    local folder made, and set on the context so that checkpoints go there too.
+    Where neither is set, a local master gets a folder of its own, set on the context so
+    that checkpoints go there too; a cluster raises, as its executors don't share a disk.
     """
-    ship(spark)
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    context = ship(spark).sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not root:
-        root = getattr(shared_root, "own", None)
-        if not root:
-            root = shared_root.own = "file://" + tempfile.mkdtemp(prefix="quarry-")
+        if not context.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
+        context.setCheckpointDir("file://" + tempfile.mkdtemp(prefix="quarry-"))
+        root = context.getCheckpointDir()
     return root.rstrip("/")
 
 
@@ -46,11 +49,17 @@ def stored(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
     This cuts the lineage with a table that outlives any executor, so a lost
-    executor costs a re-read and not a recomputation.
+    executor costs a re-read and not a recomputation.  Once the table is written nothing reads
+    the shuffle files behind it, so Spark is told to delete them with the query.
     """
     spark = df.sparkSession
     path = path or shared_path(spark, name)
-    df.write.option("compression", "zstd").parquet(path)
+    before = spark.conf.get(CLEAN_UP)
+    spark.conf.set(CLEAN_UP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(CLEAN_UP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -71,3 +80,6 @@ def ascii_lower(column: Column) -> Column:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return ship(spark).read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+__all__ = ["apart", "ascii_lower", "drop_path", "in_arrow", "shared_path", "shared_root", "stored", "table"]

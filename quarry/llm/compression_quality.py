@@ -30,6 +30,8 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quarry.llm.common import in_arrow
+
 LEVEL, BLOCK = 6, 2048
 
 
@@ -144,4 +146,4 @@ def score(docs: DataFrame, model: CompressionModel, *, text_col: str = "text", k
             got = own.scores(b.column(b.num_columns - 1).to_pylist())
             yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(got, pa.float64())], [*b.schema.names[:-1], "quality_score"])
 
-    return rows.mapInArrow(run, schema)
+    return in_arrow(rows, run, schema)

@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from pyspark.sql.types import BinaryType, LongType, StringType, StructField, StructType
 
-from quarry.llm.common import shared_path
+from quarry.llm.common import in_arrow, shared_path
 
 #: Formats of a member's header, a directory entry and the tail, and their sizes.
 MAGIC, HEAD, ENTRY, TAIL = b"QMA1", "<4sqqI", "<qqqI", "<qq4s"
@@ -135,7 +135,7 @@ def write_archives(docs: DataFrame, path: str, *, id_col: str = "doc_id", payloa
         if out is not None:
             yield close()
 
-    return rows.mapInArrow(run, "archive string, bytes long, members long")
+    return in_arrow(rows, run, "archive string, bytes long, members long")
 
 
 class _Range(InputPartition):
@@ -227,7 +227,7 @@ def media_columns(media: DataFrame, id_col: str = "doc_id") -> DataFrame:
             yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(c, k) for c, k in zip(cols, kinds, strict=True))], [id_col, "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"])
 
     schema = f"{id_col} long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"
-    return media.select(F.col("id"), F.col("media")).mapInArrow(run, schema)
+    return in_arrow(media.select(F.col("id"), F.col("media")), run, schema)
 
 
 def round_trip(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:

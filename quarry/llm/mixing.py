@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import stored
+from quarry.llm.common import in_arrow, stored
 
 SLOTS = 4096
 
@@ -107,7 +107,7 @@ def membership(docs: DataFrame, model: DomainModel, *, text_col: str = "text", k
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(tokens, pa.float64()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(p.ravel()))], ["row", "tokens", "posterior"])
 
     schema = rows.select("row").withColumns({"tokens": F.lit(0.0), "posterior": F.array(F.lit(0.0))}).schema
-    return rows.mapInArrow(run, schema)
+    return in_arrow(rows, run, schema)
 
 
 def _rates(mass: np.ndarray, steps: list[np.ndarray], ridge_step: float, low: float, high: float = np.inf) -> np.ndarray:
@@ -144,7 +144,7 @@ def fit_rates(members: DataFrame, targets: Mapping[str, float], domains: tuple[s
                     gram += (mass.T @ mass).ravel()
             yield pa.RecordBatch.from_arrays([pa.array([sums.tolist()]), pa.array([gram.tolist()])], ["sums", "gram"])
 
-        parts = members.select("tokens", "posterior").mapInArrow(run, schema)
+        parts = in_arrow(members.select("tokens", "posterior"), run, schema)
         row = parts.agg(*[F.sum(F.col("sums")[i]).alias(f"s{i}") for i in range(k)], *[F.sum(F.col("gram")[i]).alias(f"g{i}") for i in range(k * k)]).head()
         values = np.array([x or 0.0 for x in row])
         return values[:k], values[k:].reshape(k, k)
@@ -178,7 +178,7 @@ def fit_rates(members: DataFrame, targets: Mapping[str, float], domains: tuple[s
             mass = b.column(at).flatten().to_numpy().reshape(-1, k) * tokens[:, None]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(_rates(mass, steps, size * ridge * 1e-3, low, high))], [*b.schema.names, "rate"])
 
-    out = members.mapInArrow(run, members.withColumn("rate", F.lit(0.0)).schema)
+    out = in_arrow(members, run, members.withColumn("rate", F.lit(0.0)).schema)
     return out, dict(zip(domains, (now / now.sum()).tolist(), strict=True))
 
 

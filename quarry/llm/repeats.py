@@ -43,7 +43,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import apart, drop_path, shared_path, stored
+from quarry.llm.common import apart, drop_path, in_arrow, shared_path, stored
 
 GRAM, SPLIT, CHUNK = 48, 64, 1 << 18
 _ODD, _SHIFT = np.uint64(0x9E3779B97F4A7C15), np.uint64(32)
@@ -218,7 +218,7 @@ def covered(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
                 )
 
     path = shared_path(spark, "runs")
-    runs = stored(source.mapInArrow(find, "id long, mark long, start int, count int, bucket long, name long, own boolean"), "runs", path)
+    runs = stored(in_arrow(source, find, "id long, mark long, start int, count int, bucket long, name long, own boolean"), "runs", path)
     across = runs.where(~F.col("own")).drop("own")
     shared = stored(across.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1).select("bucket"), "shared-buckets")
     _release(spark)
@@ -274,7 +274,7 @@ def covered(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
         start = first - run - (np.cumsum(count) - count)[run] + held.column("start").to_numpy()[run]
         yield pa.RecordBatch.from_arrays([pa.array(ids[run]), pa.array(held.column("mark").to_numpy()[run]), pa.array(start.astype(np.int32)), pa.array(many.astype(np.int32))], ["id", "mark", "start", "count"])
 
-    small = detail.join(large, "bucket", "left_anti").repartition(parts, "bucket").mapInArrow(settle, "id long, mark long, start int, count int")
+    small = in_arrow(detail.join(large, "bucket", "left_anti").repartition(parts, "bucket"), settle, "id long, mark long, start int, count int")
     # Buckets too large for a task: one row a suffix, aggregated before the shuffle.
     wide = detail.join(large, "bucket", "left_semi")
     rows = wide.select("bucket", "id", "mark", "start", "bytes", F.explode(F.sequence(F.lit(0), F.octet_length("bytes") - length)).alias("k"))
@@ -327,5 +327,5 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
             yield pa.RecordBatch.from_arrays([b.column(0), *arrays], names)
 
     schema = rows.select("row").withColumns({"n_bytes": F.lit(0).cast("long"), "n_removed": F.lit(0).cast("long"), "n_spans": F.lit(0).cast("long"), "kept_sha256": F.lit("")} | ({"kept": F.lit(b"")} if kept_text else {})).schema
-    done = rows.mapInArrow(cut, schema)
+    done = in_arrow(rows, cut, schema)
     return done.select(*[F.col("row")[c].alias(c) for c in keep], *names[1:])

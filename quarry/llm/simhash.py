@@ -15,11 +15,12 @@ as soon as they exceed the radius, or once the group already is in the
 searcher's component.  A task returns a forest, never all pairs; components over
 all tasks come from alternating large and small stars on written tables.
 
-Defined results: rows that share an id (or have none) are one document, so what one of
-them links to is linked to the others; null texts count as empty; an empty text has fingerprint zero and
-links like any other; equal rows share a fingerprint and so a component; an empty
-table gives an empty result; other columns are not read; a null id is smaller than any
-other and stays null.
+Defined results: rows that share an id are one document, so what one of them links to
+is linked to the others, and an id has one component; rows without an id are linked by their
+texts like any other, but are nobody's smallest id, so a component of such rows alone is null;
+null texts count as empty; an empty text has fingerprint zero and links like any other; equal
+rows share a fingerprint and so a component; an empty table gives an empty result; other
+columns are not read.
 """
 
 from __future__ import annotations
@@ -32,9 +33,9 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import apart, drop_path, shared_path, stored
+from quarry.llm.common import apart, drop_path, in_arrow, shared_path, stored
 
-SEED, BITS, FAN, NO_ID = 42, 64, 16, -(1 << 63)
+SEED, BITS, FAN = 42, 64, 16
 ONE = np.uint64(1)
 
 
@@ -61,14 +62,14 @@ def fingerprint(text: bytes, words: int = 3) -> int:
 
 def fingerprints(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", words: int = 3) -> DataFrame:
     """(id, fp long) for each row."""
-    rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("id"), F.coalesce(F.col(text_col).cast("binary"), F.lit(b"")).alias("t"))
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col).cast("binary"), F.lit(b"")).alias("t"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             got = np.fromiter((fingerprint(t.as_py(), words) for t in b.column(1)), np.uint64, b.num_rows)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(got.view(np.int64))], ["id", "fp"])
 
-    return rows.mapInArrow(run, "id long, fp long")
+    return in_arrow(rows, run, "id long, fp long")
 
 
 def gray_rank(codes: np.ndarray) -> np.ndarray:
@@ -215,7 +216,7 @@ def links(distinct: DataFrame, *, radius: int = 3, bucket_rows: int = 20_000, ta
         a, b = forest(codes, roots.ravel(), radius)
         yield pa.RecordBatch.from_arrays([pa.array(ids[a]), pa.array(ids[b])], ["a", "b"])
 
-    return rows.repartition(parts, "mask", "key").mapInArrow(run, "a long, b long")
+    return in_arrow(rows.repartition(parts, "mask", "key"), run, "a long, b long")
 
 
 def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
@@ -258,13 +259,23 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", words: int = 3, radius: int = 3) -> DataFrame:
-    """(id, fp, component_id) for each row; component_id is the smallest id reachable."""
+    """(id, fp, component_id) for each row; component_id is the smallest id reachable.
+
+    The nodes are fingerprints.  Ids only come in as links between the fingerprints that
+    one id has, and as the name of a component: its fingerprints' smallest id.
+    """
     marked = stored(fingerprints(docs, id_col=id_col, text_col=text_col, words=words), "fingerprints")
     distinct = stored(marked.groupBy("fp").agg(F.min("id").alias("id")), "distinct-fingerprints")
-    found = components(links(distinct, radius=radius))
-    classes = distinct.join(found, "id", "left").select("fp", F.coalesce("component", "id").alias("component_id"))
-    real = lambda c: F.nullif(F.col(c), F.lit(NO_ID))
-    return marked.join(classes, "fp").select(real("id").alias(id_col), "fp", real("component_id").alias("component_id"))
+    least = marked.where(F.col("id").isNotNull()).groupBy("id").agg(F.min("fp").alias("a"), F.max("fp").alias("b"))
+    several = stored(least.where(F.col("a") < F.col("b")).select("id", "a"), "ids-with-several")
+    same_id = marked.join(several.select(apart(F.col("id")).alias("id"), "a"), "id").where(F.col("fp") > F.col("a")).select("a", F.col("fp").alias("b"))
+    near = links(distinct.select(F.col("fp").alias("id"), "fp"), radius=radius)
+    found = components(near.unionByName(same_id))
+    classes = distinct.join(found.withColumnRenamed("id", "fp"), "fp", "left").select("fp", "id", F.coalesce("component", "fp").alias("component"))
+    classes = stored(classes, "fingerprint-classes")
+    named = classes.groupBy("component").agg(F.min("id").alias("component_id"))
+    classes = classes.select("fp", "component").join(named.select(apart(F.col("component")).alias("component"), "component_id"), "component")
+    return marked.join(classes.select("fp", "component_id"), "fp").select(F.col("id").alias(id_col), "fp", "component_id")
 
 
 def hex64(column: str):

@@ -1,9 +1,9 @@
 import random
+from collections import Counter
 
 import numpy as np
 import pytest
 import xxhash
-from pyspark.sql import functions as F
 
 from quarry.llm import simhash as s
 from tests.llm.fixtures import awkward, empty
@@ -89,8 +89,30 @@ def test_query_equals_brute_force(spark):
 
 
 def test_awkward_rows(spark):
-    got = s.near_duplicates(awkward(spark)).collect()
-    assert len(got) == 13
-    assert {r.component_id for r in got if r.fp == 0} == {None}  # a null id is the smallest
+    rows = [(r.doc_id, r.text or "") for r in awkward(spark).collect()]
+    got = Counter((r.doc_id, r.fp % (1 << 64), r.component_id) for r in s.near_duplicates(awkward(spark)).collect())
+    assert got == brute_rows(rows)
     assert s.near_duplicates(empty(spark)).count() == 0
-    assert s.near_duplicates(awkward(spark).where(F.col("doc_id") == 1)).select("component_id").distinct().count() >= 1
+
+
+def brute_rows(rows):
+    """(id, print, component) of each row: rows are linked by their prints or by their ids."""
+    prints, group = [brute_print(t) for _, t in rows], list(range(len(rows)))
+    for a in range(len(rows)):
+        for b in range(a):
+            if bin(prints[a] ^ prints[b]).count("1") <= 3 or (rows[a][0] is not None and rows[a][0] == rows[b][0]):
+                low, up = sorted((group[a], group[b]))
+                group = [low if g == up else g for g in group]
+    name = {g: min((i for (i, _), h in zip(rows, group) if g == h and i is not None), default=None) for g in group}
+    return Counter((i, p, name[g]) for (i, _), p, g in zip(rows, prints, group))
+
+
+def test_ids_that_repeat_join_their_links(spark):
+    rng = random.Random(8)
+    a, b, c, d = (" ".join(rng.choice("abcdefghij") * 3 for _ in range(80)) for _ in range(4))
+    rows = [(5, a), (5, b), (1, a), (7, b), (None, b), (None, c), (None, c), (9, d), (9, d), (None, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = s.near_duplicates(df).collect()
+    assert {r.doc_id: r.component_id for r in got if r.doc_id is not None} == {5: 1, 1: 1, 7: 1, 9: 9}
+    assert Counter(r.component_id for r in got if r.doc_id is None) == {1: 1, None: 3}
+    assert Counter((r.doc_id, r.fp % (1 << 64), r.component_id) for r in got) == brute_rows([(i, t or "") for i, t in rows])
