@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import tempfile
 import zipfile
+from collections.abc import Callable
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 
 def ship(spark: SparkSession) -> SparkSession:
@@ -27,6 +29,16 @@ def ship(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def in_arrow(df: DataFrame, run: Callable, schema: str | StructType) -> DataFrame:
+    """``df.mapInArrow`` with the package on the executors.
+
+    A Python function takes the files it needs with it when it is made, so the
+    package has to be shipped before, whoever made ``df``.
+    """
+    ship(df.sparkSession)
+    return df.mapInArrow(run, schema)
+
+
 def spread(df: DataFrame, core_bytes: int = 16 << 20) -> DataFrame:
     """``df`` over all cores if it is too small to be so by itself.
 
