@@ -88,11 +88,11 @@ ORACLES: dict[str, str] = {}
 ORACLES["op1_warc"] = """
 WITH p AS (SELECT page_id, coalesce(encode(html), ''::BLOB) AS b FROM pages),
 q AS (SELECT page_id, octet_length(b) AS n, sha256(b) AS h FROM p),
-f AS (SELECT h, min(page_id) AS first_id FROM q GROUP BY h)
-SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, q.h AS payload_digest,
-       CASE WHEN n >= 100 AND page_id <> first_id THEN 'revisit' ELSE 'response' END AS record_type,
-       CASE WHEN n >= 100 AND page_id <> first_id THEN first_id END AS refers_to
-FROM q JOIN f ON q.h = f.h
+f AS (SELECT *, row_number() OVER (PARTITION BY h ORDER BY page_id NULLS LAST) AS k, min(page_id) OVER (PARTITION BY h) AS first_id FROM q)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, h AS payload_digest,
+       CASE WHEN n >= 100 AND k > 1 THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN n >= 100 AND k > 1 THEN first_id END AS refers_to
+FROM f
 """
 
 
