@@ -3,19 +3,21 @@
 A vector is the sum of one word from each of several full-dimensional codebooks.
 The books are trained one after another on what the books before leave over, on
 a sample of at most ``sample_rows`` vectors; every vector is then encoded by a beam
-search over all books.  A search adds up table look-ups of the codes (with the
-stored norms where the measure needs them), takes the ``rerank`` best of each index
-block and scores those exactly, in double precision, on the original vectors.
+search over all books, and the squared norm of what its codes decode to is stored with them.  A
+search adds up table look-ups of the codes (with those norms where the measure needs
+them), takes the ``rerank`` best of each ``block_rows`` index rows and scores those exactly, in
+double precision, on the original vectors.
 
-All rows are indexed and all are scored; queries and index meet in blocks of a
-bounded size.  Equal vectors are indexed once with their smallest ids, so copies of
-one vector can't crowd out the others.
+All rows are indexed and all are scored.  The index stays where it is written: the queries, in
+slices of about ``slice_rows``, are sent to its tasks, and a task returns its best ``k`` for each of them.
+So neither codes nor vectors are shuffled or copied for a search.  Equal vectors are indexed once with
+their smallest ids, so copies of one vector can't crowd out the others.
 
 Defined results: vectors that are null, zero, hold a null or non-finite component,
 or have another dimension than most, take no part; ties go to the smaller id; with
 fewer candidates than ``k`` all are returned; an id that occurs twice is a
-candidate twice, and neither row is its own neighbour; null ids take no part; an
-empty table has no result.
+candidate twice, and neither row is its own neighbour; a query id with several vectors
+asks with the least of them; null ids take no part; an empty table has no result.
 """
 
 from __future__ import annotations
@@ -27,8 +29,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
-from quarry.llm.common import stored
+from quarry.llm.common import in_arrow, stored
+from quarry.session import spread
 
 
 @dataclass(frozen=True)
@@ -63,7 +67,7 @@ class Codebooks:
         return np.ascontiguousarray(self.books @ queries.T.astype(np.float32))
 
 
-def train(sample: np.ndarray, books: int = 16, words: int = 256, rounds: int = 8, seed: int = 0) -> Codebooks:
+def train(sample: np.ndarray, books: int = 32, words: int = 256, rounds: int = 8, seed: int = 0) -> Codebooks:
     rng = np.random.default_rng(seed)
     rest, found = sample.astype(np.float32).copy(), []
     words = min(words, max(1, len(sample)))
@@ -82,133 +86,148 @@ def train(sample: np.ndarray, books: int = 16, words: int = 256, rounds: int = 8
 
 
 def sound(rows: DataFrame, id_col: str, vector_col: str) -> DataFrame:
-    """(id, v array<float>) of the rows that take part."""
+    """(id, v array<float or double>) of the rows that take part."""
     v = F.col(vector_col)
+    kind = "double" if isinstance(rows.schema[vector_col].dataType.elementType, DoubleType) else "float"
     good = v.isNotNull() & F.forall(v, lambda x: x.isNotNull() & (F.abs(x) < F.lit(float("inf"))) & ~F.isnan(x)) & F.exists(v, lambda x: x != 0)
-    out = rows.select(F.col(id_col).cast("long").alias("id"), v.cast("array<float>").alias("v"), good.alias("good"), F.size(v).alias("n"))
+    out = rows.select(F.col(id_col).cast("long").alias("id"), v.cast(f"array<{kind}>").alias("v"), good.alias("good"), F.size(v).alias("n"))
     out = out.where(F.col("good") & F.col("id").isNotNull())
     common = out.groupBy("n").count().orderBy(F.desc("count"), "n").head()
     return out.where(F.col("n") == (common.n if common else 0)).select("id", "v")
 
 
-def build(rows: DataFrame, *, id_col: str = "vec_id", vector_col: str = "embedding", copies: int = 21, books: int = 16, words: int = 256, beam: int = 4, sample_rows: int = 20_000) -> tuple[DataFrame, Codebooks | None]:
+def matrix(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
+    """Rows of a list column whose lists have one length."""
+    flat = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    return flat.flatten().to_numpy(zero_copy_only=False).reshape(len(flat), -1)
+
+
+def build(rows: DataFrame, *, id_col: str = "vec_id", vector_col: str = "embedding", copies: int = 21, books: int = 32, words: int = 256, beam: int = 4, sample_rows: int = 20_000) -> tuple[DataFrame, Codebooks | None]:
     """The index (v, ids, codes, norm), one row per distinct vector with its
     ``copies`` smallest ids, and the codebooks."""
     valid = sound(rows, id_col, vector_col)
     near = Window.partitionBy("v").orderBy("id")
     members = valid.withColumn("r", F.row_number().over(near)).where(F.col("r") <= copies)
-    distinct = members.groupBy("v").agg(F.sort_array(F.collect_list("id")).alias("ids"))
-    sample = [r.v for r in valid.orderBy(F.xxhash64("id"), "id").limit(sample_rows).select("v").collect()]  # bounded
-    if not sample:
+    distinct = members.groupBy("v").agg(F.sort_array(F.collect_list("id")).alias("ids"))  # at most ``copies``
+    sample = valid.orderBy(F.xxhash64("id"), "id").limit(sample_rows).select("v").toArrow()  # bounded
+    if not sample.num_rows:
         return distinct.withColumn("codes", F.lit(b"")).withColumn("norm", F.lit(0.0)), None
-    model = train(np.array(sample, np.float32), books, words)
+    model = train(matrix(sample.column(0)), books, words)
     held = rows.sparkSession.sparkContext.broadcast(model)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            x = b.column(0).flatten().to_numpy().reshape(b.num_rows, -1)
-            codes = held.value.encode(x, beam)
-            norm = (x.astype(np.float64) ** 2).sum(1)
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array([c.tobytes() for c in codes], pa.binary()), pa.array(norm)], ["v", "ids", "codes", "norm"])
+            if b.num_rows:
+                codes = held.value.encode(matrix(b.column(0)), beam)
+                norm = (held.value.decode(codes).astype(np.float64) ** 2).sum(1)
+                yield pa.RecordBatch.from_arrays([*b.columns, pa.array([c.tobytes() for c in codes], pa.binary()), pa.array(norm)], ["v", "ids", "codes", "norm"])
 
-    index = distinct.mapInArrow(encode, "v array<float>, ids array<long>, codes binary, norm double")
+    index = in_arrow(spread(distinct), encode, distinct.withColumns({"codes": F.lit(b""), "norm": F.lit(0.0)}).schema)
     return stored(index, "additive-index"), model
 
 
+def measure(metric: str, q: np.ndarray, x: np.ndarray) -> np.ndarray:
+    """Exact measure of query rows (n, d) with candidates (n, r, d)."""
+    if metric == "l2":
+        return -((q[:, None, :] - x) ** 2).sum(2)
+    dot = np.einsum("nd,nrd->nr", q, x)
+    return dot if metric == "ip" else dot / np.sqrt((q * q).sum(1)[:, None] * (x * x).sum(2))
+
+
+def rough(metric: str, tables: np.ndarray, codes: np.ndarray, norm: np.ndarray) -> np.ndarray:
+    """Look-up scores (queries, rows)."""
+    got = np.zeros((len(codes), tables.shape[2]), np.float32)
+    for book, word in zip(tables, codes.T, strict=True):
+        got += book[word]
+    if metric == "cosine":
+        got /= np.sqrt(np.maximum(norm, 1e-30)).astype(np.float32)[:, None]
+    elif metric == "l2":
+        got = 2 * got - norm.astype(np.float32)[:, None]
+    return got.T
+
+
+class Best:
+    """The ``width`` best index rows so far of each query, ties by the smallest id."""
+
+    def __init__(self, queries: int, width: int):
+        self.score = np.full((queries, width), -np.inf)
+        self.low = np.full((queries, width), np.iinfo(np.int64).max)
+        self.ids = np.full((queries, width), None, object)
+
+    def add(self, at: slice, score: np.ndarray, low: np.ndarray, ids: np.ndarray) -> None:
+        score, low, ids = (np.concatenate(x, axis=1) for x in ((self.score[at], score), (self.low[at], low), (self.ids[at], ids)))
+        order = np.lexsort((low, -score))[:, : self.score.shape[1]]
+        self.score[at], self.low[at], self.ids[at] = (np.take_along_axis(x, order, 1) for x in (score, low, ids))
+
+
 def search(
     index: DataFrame,
     model: Codebooks | None,
     queries: DataFrame,
     *,
     k: int = 20,
-    rerank: int = 1024,
+    rerank: int = 256,
     block_rows: int = 16_384,
-    slice_rows: int = 1024,
+    slice_rows: int = 16_384,
     metric: str = "ip",
 ) -> DataFrame:
     """(query_id, rank, vec_id, score): the k nearest of each query (id, v), but not itself.
 
-    ``metric``: ip (inner product), cosine, or l2 (negative squared distance).
+    ``metric``: ip (inner product), cosine, or l2 (negative squared distance).  The driver passes on
+    one slice of queries at a time; a slice is one broadcast and one scan of the index.
     """
     spark = index.sparkSession
-    shape = "query_id long, vec_id long, score double"
     if model is None:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    blocks, slices = (max(1, -(-df.count() // n)) for df, n in ((index, block_rows), (queries, slice_rows)))
-    lot = lambda col, n: F.pmod(F.xxhash64(col), F.lit(n)).cast("int")
-    left = index.select(lot("v", blocks).alias("b"), F.explode(F.sequence(F.lit(0), F.lit(slices - 1))).alias("s"), F.lit(0).alias("kind"), "ids", "v", "codes", "norm")
-    right = queries.select(F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("b"), lot("id", slices).alias("s"), F.lit(1).alias("kind"), F.array("id").alias("ids"), "v", F.lit(None).cast("binary").alias("codes"), F.lit(None).cast("double").alias("norm"))
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), blocks * slices)
-    met = left.unionByName(right).repartition(parts, "b", "s").sortWithinPartitions("b", "s", "kind")
-    held = spark.sparkContext.broadcast(model)
-
-    def measure(q: np.ndarray, x: np.ndarray) -> np.ndarray:
-        """Exact measure of query rows (n, d) with candidates (n, r, d)."""
-        dot = np.einsum("nd,nrd->nr", q, x)
-        if metric == "ip":
-            return dot
-        if metric == "cosine":
-            return dot / np.sqrt((q * q).sum(1)[:, None] * (x * x).sum(2))
-        return -((q[:, None, :] - x) ** 2).sum(2)
-
-    def rough(q: np.ndarray, codes: np.ndarray, norm: np.ndarray) -> np.ndarray:
-        """Look-up scores (rows, queries)."""
-        tables = held.value.tables(q)
-        got = np.zeros((len(codes), len(q)), np.float32)
-        for m in range(tables.shape[0]):
-            got += tables[m][codes[:, m]]
-        if metric == "cosine":
-            got /= np.sqrt(norm, dtype=np.float64).astype(np.float32)[:, None]
-        elif metric == "l2":
-            got = 2 * got - norm.astype(np.float32)[:, None]
-        return got
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, lists, ready = None, [], None
-        for b in batches:
-            cell = np.stack([b.column(0).to_numpy(), b.column(1).to_numpy()], 1)
-            kind = b.column(2).to_numpy()
-            cut = np.flatnonzero(np.concatenate(([True], (cell[1:] != cell[:-1]).any(1) | (kind[1:] != kind[:-1]))))
-            for at, end in zip(cut, [*cut[1:], b.num_rows], strict=True):
-                part, here = b.slice(at, end - at), tuple(cell[at])
-                if here != now:
-                    now, lists, ready = here, [], None
-                if kind[at] == 0:
-                    lists.append(part)
-                    continue
-                if not lists:
-                    continue
-                if ready is None:
-                    whole = pa.Table.from_batches(lists)
-                    ready = (
-                        whole.column("ids").to_pylist(),
-                        np.concatenate([p.column("v").flatten().to_numpy() for p in lists]).reshape(whole.num_rows, -1),
-                        np.frombuffer(b"".join(whole.column("codes").to_pylist()), np.uint8).reshape(whole.num_rows, -1),
-                        whole.column("norm").to_numpy(),
-                    )
-                members, vectors, codes, norm = ready
-                low = np.array([m[0] for m in members])
-                ask_ids = part.column("ids").flatten().to_numpy()
-                ask = part.column("v").flatten().to_numpy().reshape(part.num_rows, -1)
-                for i in range(0, len(ask), 128):
-                    q = ask[i : i + 128]
-                    scores = rough(q, codes, norm)
-                    most = min(rerank, len(codes))
-                    best = np.argpartition(-scores, most - 1, axis=0)[:most].T  # (queries, most)
-                    exact = measure(q.astype(np.float64), vectors[best].astype(np.float64))
-                    out: tuple[list, list, list] = ([], [], [])
-                    for r, key in enumerate(ask_ids[i : i + 128].tolist()):
-                        # One distinct vector more than k: the query's own may have no other member.
-                        for c in np.lexsort((low[best[r]], -exact[r]))[: k + 1].tolist():
-                            for other in members[best[r, c]]:
-                                if other != key:
-                                    out[0].append(key)
-                                    out[1].append(other)
-                                    out[2].append(exact[r, c])
-                    yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.float64())], ["query_id", "vec_id", "score"])
-
+    books = spark.sparkContext.broadcast(model)
+    asking = stored(queries.groupBy("id").agg(F.min("v").alias("v")), "queries")
+    slices = max(1, -(-asking.count() // slice_rows))
+
+    def scan(held) -> DataFrame:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            asked, vectors = held.value
+            best, block, size = Best(len(asked), k + 1), [], 0  # one more: the query's own vector may have no other member
+
+            def settle() -> None:
+                rows = pa.Table.from_batches(block)
+                x, norm, members = matrix(rows.column("v")), rows.column("norm").to_numpy(), np.empty(rows.num_rows, object)
+                members[:] = rows.column("ids").to_pylist()
+                low = np.fromiter((m[0] for m in members), np.int64, len(members))
+                codes = np.frombuffer(b"".join(rows.column("codes").to_pylist()), np.uint8).reshape(len(x), -1)
+                most = min(rerank, len(x))
+                for i in range(0, len(asked), 128):
+                    at = slice(i, min(i + 128, len(asked)))
+                    scores = rough(metric, books.value.tables(vectors[at]), codes, norm)
+                    near = np.argpartition(-scores, most - 1, axis=1)[:, :most]
+                    best.add(at, measure(metric, vectors[at].astype(np.float64), x[near].astype(np.float64)), low[near], members[near])
+
+            for b in batches:
+                for i in range(0, b.num_rows, block_rows):
+                    part = b.slice(i, block_rows)
+                    if size + part.num_rows > block_rows:
+                        settle()
+                        block, size = [], 0
+                    block.append(part)
+                    size += part.num_rows
+            if size:
+                settle()
+            full = best.score > -np.inf
+            query = np.repeat(asked, full.sum(1))
+            yield pa.RecordBatch.from_arrays([pa.array(query, pa.int64()), pa.array(best.ids[full].tolist(), pa.list_(pa.int64())), pa.array(best.score[full])], ["query_id", "ids", "score"])
+
+        return in_arrow(index, run, "query_id long, ids array<long>, score double")
+
+    found = None
+    for s in range(slices):
+        part = asking.where(F.pmod(F.xxhash64("id"), F.lit(slices)) == s).toArrow()  # about slice_rows rows
+        if part.num_rows:
+            one = scan(spark.sparkContext.broadcast((part.column("id").to_numpy(), matrix(part.column("v")))))
+            found = one if found is None else found.unionByName(one)
+    if found is None:
+        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return met.mapInArrow(run, shape).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    rows = found.select("query_id", F.explode("ids").alias("vec_id"), "score").where(F.col("vec_id") != F.col("query_id"))
+    return rows.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
 def neighbours(rows: DataFrame, is_query, *, id_col: str = "vec_id", vector_col: str = "embedding", k: int = 20, **options) -> DataFrame:

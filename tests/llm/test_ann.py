@@ -1,5 +1,7 @@
 import numpy as np
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from quarry.llm import additive_ann as ann
 
@@ -21,7 +23,7 @@ def test_recall(spark, metric):
     ids = np.arange(600)
     df = spark.createDataFrame([(int(i), v.tolist()) for i, v in zip(ids, x)], "vec_id long, embedding array<float>")
     got = {}
-    for r in ann.neighbours(df, lambda c: c % 5 == 0, k=10, metric=metric, books=8, words=64, block_rows=250, rerank=100).collect():
+    for r in ann.neighbours(df, lambda c: c % 5 == 0, k=10, metric=metric, books=16, words=64, block_rows=250, rerank=40, slice_rows=50).collect():
         got.setdefault(r.query_id, {})[r["rank"]] = (r.vec_id, r.score)
     y = x.astype(np.float64)
     measures = {"ip": lambda q, c: c @ q, "cosine": lambda q, c: c @ q / np.linalg.norm(c, axis=1) / np.linalg.norm(q), "l2": lambda q, c: -((c - q) ** 2).sum(1)}
@@ -43,6 +45,35 @@ def test_who_takes_part(spark):
     assert ann.neighbours(df.limit(0), lambda c: c == 0).count() == 0
 
 
+def test_recall_with_a_shortlist_of_a_few_per_cent(spark):
+    """The query's own settings, on unstructured vectors, most of them not in the training sample."""
+    x = np.random.default_rng(3).normal(size=(12_000, 64)).astype(np.float32)
+    index, model = ann.build(spark.createDataFrame(pa.table({"vec_id": np.arange(len(x)), "embedding": list(x)})), sample_rows=5000)
+    queries = index.where("ids[0] % 100 = 0").select(F.col("ids")[0].alias("id"), "v")
+    got = {}
+    for r in ann.search(index, model, queries).collect():
+        got.setdefault(r.query_id, {})[r["rank"]] = (r.vec_id, r.score)
+    y = x.astype(np.float64)
+    want = {i: [j for j in np.argsort(-(y @ y[i])) if j != i][:20] for i in range(0, len(x), 100)}
+    assert got.keys() == want.keys() and all(sorted(g) == list(range(1, 21)) for g in got.values())
+    assert np.mean([len({v for v, _ in got[i].values()} & set(w)) / 20 for i, w in want.items()]) >= 0.97
+    assert all(s == pytest.approx(float(y[i] @ y[v]), rel=1e-12) for i, g in got.items() for v, s in g.values())
+
+
+def test_norms_are_of_what_the_codes_say(spark):
+    df = spark.createDataFrame([(i, [float(i % 7), float(i % 5), 1.0]) for i in range(200)], "vec_id long, embedding array<double>")
+    index, model = ann.build(df, books=2, words=8)
+    for r in index.collect():
+        assert r.norm == pytest.approx(float((model.decode(np.frombuffer(r.codes, np.uint8)[None]) ** 2).sum()), rel=1e-5)
+
+
+def test_double_components_are_scored_as_they_are(spark):
+    tiny = 1e-12
+    df = spark.createDataFrame([(0, [1.0, 0.0]), (1, [1.0 + tiny, 0.0]), (2, [1.0, 5.0]), (3, [1.0 + 2 * tiny, 0.0])], "vec_id long, embedding array<double>")
+    got = [(r.vec_id, r.score) for r in ann.neighbours(df, lambda c: c == 0, k=3).orderBy("rank").collect()]
+    assert got == [(3, 1.0 + 2 * tiny), (1, 1.0 + tiny), (2, 1.0)]
+
+
 def test_beam_is_no_worse_than_greedy():
     x = np.random.default_rng(0).normal(size=(400, 12)).astype(np.float32)
     m = ann.train(x, 4, 32)
