@@ -239,7 +239,7 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
         return out.where(F.col("a") < F.col("b")).distinct()
 
     def mark(e: DataFrame) -> tuple:
-        row = e.agg(F.count(F.lit(1)), F.sum("a").cast("decimal(38,0)"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).head()
+        row = e.agg(F.count(F.lit(1)), F.sum(F.col("a").cast("decimal(38,0)")), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).head()
         return tuple(row)
 
     path = shared_path(spark, "edges")
