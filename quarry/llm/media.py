@@ -6,14 +6,16 @@ directory of (offset, length, id, crc) and a fixed tail that says where the dire
 starts, so any byte range of the archive can be read on its own.
 
 :class:`ArchiveSource` is registered as ``quarry_media``.  The driver plans byte
-ranges from the archives' sizes alone; a task reads the directory of its archive,
-takes the members whose offset is in its range, streams them in Arrow batches and
-reads a member that fails again by its offset, up to ``retries`` times, without
-touching the others.
-
-Defined results: a null payload counts as empty and is padded like any other;
-an archive without members is skipped; a member that stays unreadable fails the
-task (``onerror=fail``) or comes back with a null media column (``onerror=null``).
+ranges from the archives' sizes alone, as Spark does for its own files; sizes come from a manifest table if
+there is one, else from listing the folder.  A task knows its own range and nothing of the others: it reads
+the directory of its archive, takes the members whose offset is in its range, streams them in
+Arrow batches and reads a member that fails again by its offset, up to ``retries`` times,
+without touching the others.
+
+Defined results: a null payload counts as empty and is padded like any other; repeated rows are a member
+each; ids may be null; an archive without members is skipped; a member that stays unreadable fails the
+task (``onerror=fail``) or comes back with a null media column (``onerror=null``); an empty table has no archive
+and no row.
 """
 
 from __future__ import annotations
@@ -27,21 +29,42 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyarrow import dataset as ds
 from pyarrow import fs as pafs
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from pyspark.sql.types import BinaryType, LongType, StringType, StructField, StructType
 
 from quarry.llm.common import in_arrow, shared_path
+from quarry.session import ship
 
 #: Formats of a member's header, a directory entry and the tail, and their sizes.
 MAGIC, HEAD, ENTRY, TAIL = b"QMA1", "<4sqqI", "<qqqI", "<qq4s"
 HEAD_SIZE, ENTRY_SIZE, TAIL_SIZE = map(struct.calcsize, (HEAD, ENTRY, TAIL))
 WIDTH, NO_ID = 576, -(1 << 63)
+RANGE_BYTES = 64 << 20
+MANIFEST = [("archive", pa.string()), ("bytes", pa.int64()), ("members", pa.int64())]
 PNG = b"\x89PNG\r\n\x1a\n"
 
 
+def store_of(uri: str) -> tuple[pafs.FileSystem, str]:
+    """The store and the path in it for a folder as Spark names it.
+
+    Spark's names for object stores are turned into Arrow's; a store that Arrow doesn't know is
+    looked for in fsspec, where that is installed.
+    """
+    scheme, rest = uri.split(":", 1) if ":" in uri else ("file", uri)
+    plain = {"s3a": "s3", "s3n": "s3", "abfss": "abfs", "wasbs": "abfs"}.get(scheme, scheme)
+    try:
+        return pafs.FileSystem.from_uri(f"{plain}:{rest}" if ":" in uri else uri)
+    except pa.ArrowInvalid:
+        import fsspec  # only for stores unknown to Arrow
+
+        store, path = fsspec.core.url_to_fs(uri)
+        return pafs.PyFileSystem(pafs.FSSpecHandler(store)), path
+
+
 def _chunk(kind: bytes, body: bytes) -> bytes:
     return struct.pack(">I", len(body)) + kind + body + struct.pack(">I", zlib.crc32(kind + body))
 
@@ -96,16 +119,16 @@ def features(samples: np.ndarray) -> str:
 
 
 def write_archives(docs: DataFrame, path: str, *, id_col: str = "doc_id", payload: Column | None = None, archive_bytes: int = 256 << 20) -> DataFrame:
-    """Write the archives below ``path``; (archive, bytes, members), one row each.
+    """Write the archives below ``path``; (archive, bytes, members), one row each: the manifest.
 
     A task writes archives under names of its own and only its result names
     them, so what a lost or repeated attempt leaves behind is never read.
-    The frame is lazy: store it before use.
+    The frame is lazy: write it before use, see :func:`manifested`.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col("text").cast("binary") if payload is None else payload, F.lit(b"")).alias("payload"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        store, root = pafs.FileSystem.from_uri(path)
+        store, root = store_of(path)
         store.create_dir(root, recursive=True)
         out, name, at, entries = None, "", 0, []
 
@@ -120,8 +143,8 @@ def write_archives(docs: DataFrame, path: str, *, id_col: str = "doc_id", payloa
         for b in batches:
             for key, raw in zip(b.column(0).to_pylist(), b.column(1), strict=True):
                 if out is None:
-                    name, at, entries = f"{path}/{uuid.uuid4().hex}.qma", 0, []
-                    out = store.open_output_stream(f"{root}/{os.path.basename(name)}")
+                    name, at, entries = f"{uuid.uuid4().hex}.qma", 0, []
+                    out = store.open_output_stream(f"{root}/{name}")
                 data = raw.as_py()
                 media = png_encode(pad(data), len(data))
                 key = NO_ID if key is None else key
@@ -138,6 +161,13 @@ def write_archives(docs: DataFrame, path: str, *, id_col: str = "doc_id", payloa
     return in_arrow(rows, run, "archive string, bytes long, members long")
 
 
+def manifested(docs: DataFrame, path: str, **options) -> str:
+    """Write archives and their manifest below ``path``; the manifest's folder."""
+    manifest = f"{path}/manifest"
+    write_archives(docs, path, **options).write.parquet(manifest)
+    return manifest
+
+
 class _Range(InputPartition):
     def __init__(self, archive: str, start: int, end: int):
         self.archive, self.start, self.end = archive, start, end
@@ -162,15 +192,21 @@ class _Reader(DataSourceReader):
         self.retries, self.fail = int(options.get("retries", 3)), options.get("onerror", "fail") == "fail"
 
     def partitions(self) -> list[InputPartition]:
-        """Ranges of at most ``rangebytes`` of each archive: the driver reads sizes only."""
-        step = int(self.options.get("rangebytes", 16 << 20))
-        store, root = pafs.FileSystem.from_uri(self.options["path"])
-        wanted = set(filter(None, self.options.get("archives", "").split(",")))
-        files = [i for i in store.get_file_info(pafs.FileSelector(root)) if i.path.endswith(".qma") and (not wanted or i.base_name in wanted)]
-        return [_Range(i.path, s, min(i.size, s + step)) for i in sorted(files, key=lambda i: i.path) for s in range(0, i.size, step)]
-
-    def read(self, part: _Range) -> Iterator[pa.RecordBatch]:
-        store, _ = pafs.FileSystem.from_uri(self.options["path"])
+        """Ranges of at most ``rangebytes`` of each archive: the driver reads names and sizes only."""
+        step = int(self.options.get("rangebytes", RANGE_BYTES))
+        store, root = store_of(self.options["path"])
+        if "manifest" in self.options:
+            store, at = store_of(self.options["manifest"])
+            rows = ds.dataset([i.path for i in store.get_file_info(pafs.FileSelector(at)) if i.path.endswith(".parquet")], filesystem=store, format="parquet", schema=pa.schema(MANIFEST))
+            sizes = ((f"{root}/{name}", size) for b in rows.to_batches() for name, size in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True))
+        else:
+            sizes = ((i.path, i.size) for i in store.get_file_info(pafs.FileSelector(root)) if i.path.endswith(".qma"))
+        return [_Range(path, s, min(size, s + step)) for path, size in sorted(sizes) for s in range(0, size, step)]
+
+    def read(self, part: _Range | None) -> Iterator[pa.RecordBatch]:
+        if part is None:  # nothing was planned
+            return
+        store, _ = store_of(self.options["path"])
         most = int(self.options.get("batchbytes", 4 << 20))
         with store.open_input_file(part.archive) as f:
             f.seek(f.size() - TAIL_SIZE)
@@ -231,18 +267,14 @@ def media_columns(media: DataFrame, id_col: str = "doc_id") -> DataFrame:
 
 
 def round_trip(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """Store every payload in archives, read them through the source, describe them.
-
-    The archives' names come from the tasks that finished; they are as many as
-    the input's partitions or its bytes / ``archive_bytes``, and only names are listed.
-    """
+    """Store every payload in archives, read them through the source, describe them."""
     spark = docs.sparkSession
     path = shared_path(spark, "media")
-    store, root = pafs.FileSystem.from_uri(path)
-    store.create_dir(root, recursive=True)
-    done = [os.path.basename(r.archive) for r in write_archives(docs, path, id_col=id_col).select("archive").collect()]
+    manifest = manifested(docs, path, id_col=id_col)
+    return media_columns(read_archives(spark, path, manifest=manifest), id_col)
+
+
+def read_archives(spark: SparkSession, path: str, **options: str) -> DataFrame:
+    """(archive, id, media) of the members of the archives in a folder."""
     spark.dataSource.register(ArchiveSource)
-    if not done:
-        return media_columns(spark.createDataFrame([], "archive string, id long, media binary"), id_col)
-    reader = spark.read.format("quarry_media").option("path", path).option("archives", ",".join(done))
-    return media_columns(reader.load(), id_col)
+    return ship(spark).read.format("quarry_media").option("path", path).options(**options).load()
