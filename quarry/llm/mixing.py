@@ -2,13 +2,15 @@
 
 A classifier trained on the labelled table gives each document a posterior over
 the domains: multinomial logistic regression on hashed byte pairs, so one pass over a
-text's bytes.  Its training sample is bounded by ``sample_rows`` a domain.
+text's bytes.  Its training sample is bounded by ``sample_rows`` a domain, whatever the texts' lengths:
+the tasks send features, at most ``SLOTS`` numbers a text, and no texts.
 
 The rates r >= ``low`` solve
 
     min  m' W m  +  ridge * sum_d (r_d - 1)^2,    m_k = sum_d r_d tokens_d p_dk - target_k
 
-by projected gradient steps.  The posteriors of all documents stay distributed: a step
+(least squares of the domains' totals, the ridge choosing among the many rates that meet them) by projected
+gradient steps.  The posteriors of all documents stay distributed: a step
 sums (domains) numbers over them, and the rates are computed again from the steps'
 few multipliers, so no state of the size of the corpus moves.  W is the
 inverse of the domains' second moments, so a step lands on the targets but for the rates
@@ -60,7 +62,7 @@ class DomainModel:
         return out
 
 
-def train_domains(docs: DataFrame, labelled: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", domain_col: str = "domain", sample_rows: int = 1500, max_train_bytes: int = 20_000, rounds: int = 150, rate: float = 4.0, ridge: float = 1e-4) -> DomainModel:
+def train_domains(docs: DataFrame, labelled: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", domain_col: str = "domain", sample_rows: int = 1500, rounds: int = 150, rate: float = 4.0, ridge: float = 1e-4) -> DomainModel:
     """Fit on at most ``sample_rows`` labelled rows of each domain.
 
     ``labelled`` has (id, domain); ids are drawn by their hash before any text is read.
@@ -74,13 +76,23 @@ def train_domains(docs: DataFrame, labelled: DataFrame, *, id_col: str = "doc_id
     for d in domains:
         part = known.where(F.col("y") == d).orderBy(*order).limit(sample_rows)
         drawn = part if drawn is None else drawn.unionByName(part)
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("binary").alias("t")).where(F.octet_length("t").between(1, max_train_bytes))
-    got = sorted((r.id, r.y, bytes(r.t)) for r in rows.join(F.broadcast(drawn), "id").toLocalIterator())  # bounded ids
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("binary").alias("t")).where(F.octet_length("t") > 0)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            whole = [pair_features(t.as_py()) for t in b.column(2)]
+            slots = [np.flatnonzero(f).astype("<u2") for f in whole]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([s.tobytes() for s in slots], pa.binary()), pa.array([f[s].tobytes() for f, s in zip(whole, slots, strict=True)], pa.binary())], ["id", "y", "slots", "values"])
+
+    chosen = rows.join(F.broadcast(drawn), "id").select("id", "y", "t")  # at most sample_rows ids a domain
+    kind = chosen.select("id", "y").withColumns({"slots": F.lit(b""), "values": F.lit(b"")}).schema
+    got = sorted((r.id, r.y, bytes(r.slots), bytes(r.values)) for r in in_arrow(chosen, run, kind).toLocalIterator())
     weights, bias = np.zeros((SLOTS, len(domains)), np.float32), np.zeros(len(domains), np.float32)
     if got:
-        x = np.stack([pair_features(t) for _, _, t in got])
-        y = np.zeros((len(got), len(domains)), np.float32)
-        y[np.arange(len(got)), [domains.index(k) for _, k, _ in got]] = 1
+        x, y = np.zeros((len(got), SLOTS), np.float32), np.zeros((len(got), len(domains)), np.float32)
+        for k, (_, domain, slots, values) in enumerate(got):
+            x[k, np.frombuffer(slots, "<u2")] = np.frombuffer(values, np.float32)
+            y[k, domains.index(domain)] = 1
         for _ in range(rounds):
             z = x @ weights + bias
             p = np.exp(z - z.max(1, keepdims=True))
@@ -111,14 +123,14 @@ def membership(docs: DataFrame, model: DomainModel, *, text_col: str = "text", k
 
 
 def _rates(mass: np.ndarray, steps: list[np.ndarray], ridge_step: float, low: float, high: float = np.inf) -> np.ndarray:
-    """Rates after the steps; ``mass`` is (rows, domains) of tokens times posterior."""
+    """Rates after the steps g: r - r's share of the gradient, projected; ``mass`` is (rows, domains) of tokens times posterior."""
     r = np.ones(len(mass))
     for g in steps:
         r = np.clip(r - mass @ g - ridge_step * (r - 1), low, high)
     return r
 
 
-def fit_rates(members: DataFrame, targets: Mapping[str, float], domains: tuple[str, ...], *, rounds: int = 1000, ridge: float = 1e-3, low: float = 0.0, high: float = np.inf, total: float | None = None, tolerance: float = 1e-4) -> tuple[DataFrame, dict[str, float]]:
+def fit_rates(members: DataFrame, targets: Mapping[str, float], domains: tuple[str, ...], *, rounds: int = 1000, ridge: float = 1e-6, low: float = 0.0, high: float = np.inf, total: float | None = None, tolerance: float = 1e-4) -> tuple[DataFrame, dict[str, float]]:
     """``members`` with a column rate, and the share of tokens each domain ends up with.
 
     ``total`` is the number of tokens wanted, by default as many as there are;
@@ -167,7 +179,7 @@ def fit_rates(members: DataFrame, targets: Mapping[str, float], domains: tuple[s
             break
         steps.append(size * (weight @ (now - goal)))
         before = now
-        now, _ = summed(lambda mass: _rates(mass, steps, size * ridge * 1e-3, low, high))
+        now, _ = summed(lambda mass: _rates(mass, steps, size * ridge, low, high))
         if np.abs(now - before).max() <= 1e-3 * tolerance * total:
             break
 
@@ -176,7 +188,7 @@ def fit_rates(members: DataFrame, targets: Mapping[str, float], domains: tuple[s
             at = b.schema.get_field_index("posterior")
             tokens = b.column(b.schema.get_field_index("tokens")).to_numpy()
             mass = b.column(at).flatten().to_numpy().reshape(-1, k) * tokens[:, None]
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(_rates(mass, steps, size * ridge * 1e-3, low, high))], [*b.schema.names, "rate"])
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(_rates(mass, steps, size * ridge, low, high))], [*b.schema.names, "rate"])
 
     out = in_arrow(members, run, members.withColumn("rate", F.lit(0.0)).schema)
     return out, dict(zip(domains, (now / now.sum()).tolist(), strict=True))

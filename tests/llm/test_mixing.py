@@ -34,6 +34,37 @@ def test_totals_meet_targets(spark):
     assert sum(r.domain == domains[int(np.argmax(r.posterior))] for r in rows) > 0.97 * len(rows)
 
 
+@pytest.mark.parametrize("low", [0.0, 0.3])
+def test_rates_solve_the_least_squares_problem(spark, low):
+    """Against dense projected gradients on the same objective, for posteriors made up here."""
+    rng = np.random.default_rng(4)
+    p = rng.dirichlet((0.5, 0.5, 0.5), 300)
+    tokens = rng.integers(0, 500, 300).astype(float)
+    tokens[:10] = 0
+    rows = [(i, float(t), x.tolist()) for i, (t, x) in enumerate(zip(tokens, p))]
+    members = spark.createDataFrame(rows, "i long, tokens double, posterior array<double>").repartition(3)
+    targets, mass = {"a": 0.5, "b": 0.3, "c": 0.2}, p * tokens[:, None]
+    rated, reached = mixing.fit_rates(members, targets, ("a", "b", "c"), low=low, tolerance=1e-5)
+    rates = np.array([r.rate for r in rated.orderBy("i").collect()])
+    goal = np.array([0.5, 0.3, 0.2]) * tokens.sum()
+    weight, r = np.linalg.inv(mass.T @ mass), np.ones(300)
+    for _ in range(2000):
+        r = np.maximum(low, r - mass @ (weight @ (r @ mass - goal)))
+    assert np.abs(rates @ mass - goal).max() < 2e-5 * tokens.sum() and np.abs(r @ mass - goal).max() < 2e-5 * tokens.sum()
+    assert (rates >= low).all() and (rates[:10] == 1).all() and np.abs(rates - r).max() < 0.01
+    assert sum(reached.values()) == pytest.approx(1)
+
+
+def test_long_texts_are_learned_from_and_repeated_rows_get_equal_rates(spark):
+    rng = random.Random(7)
+    rows = [(i, " ".join(rng.choice(VOCABULARY["ab"[i % 2]]) for _ in range(12_000)), "ab"[i % 2]) for i in range(12)]
+    d = spark.createDataFrame([*rows, *rows, (99, "and thing with the " * 40, None)], "doc_id long, text string, domain string")
+    rated, domains, _ = mixing.mix(d, d.select("doc_id", "domain").distinct(), {"a": 0.3, "b": 0.7})
+    got = rated.select("row.doc_id", "rate", "posterior", "row.domain").collect()
+    assert all(domains[int(np.argmax(r.posterior))] == (r.domain or "a") for r in got)
+    assert len({(r.doc_id, r.rate) for r in got}) == 13 and len(got) == 25
+
+
 def test_growing_only_keeps_every_document(spark):
     d = docs(spark)
     rated, _, reached = mixing.mix(d, d.select("doc_id", "domain"), {"a": 0.5, "b": 0.3, "c": 0.2}, low=1.0, total=math.inf)
