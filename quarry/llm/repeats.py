@@ -23,8 +23,12 @@ Only few suffixes need to be refined to the end:
 
 Repeats within a row are found while the row is read.  No group is gathered in one
 task: buckets are aggregated before the shuffle, joins on them are ones whose hot
-keys Spark splits, and what a row gathers is bounded by its own text.  Buckets are
-compared by 64-bit names within an initial bucket that is itself a 64-bit name.
+keys Spark splits, and what a row gathers is bounded by its own text.
+
+What names may confuse: step 4 compares the bytes where a bucket fits in memory, and 128-bit names where it
+doesn't.  Steps 2 and 3 and the repeats within a row go by 64-bit names, step 3 by those of whole runs in one bucket: two
+different runs of one bucket are taken for one with a probability of 2^-64, so for n different runs in a
+bucket n^2 / 2^65.  A text that isn't made to collide meets no such pair.
 
 Defined results: null texts count as empty; texts shorter than ``length`` have no repeat
 across rows or in themselves; rows that share an id are of equal rank, so neither
@@ -34,7 +38,6 @@ empty result; other columns can have any name.
 
 from __future__ import annotations
 
-import gc
 import hashlib
 from collections.abc import Iterator
 
@@ -164,6 +167,36 @@ def runs_of(texts: list[bytes], length: int) -> tuple[np.ndarray, ...]:
     return text, start - begins[text], count, bucket, name, own_text, own_start - begins[own_text], own_count
 
 
+def late_suffixes(data: np.ndarray, at: np.ndarray, owner: np.ndarray, name: np.ndarray, length: int) -> np.ndarray:
+    """Which of the suffixes ``at`` have their first ``length`` bytes in common with one of a smaller owner.
+
+    Suffixes of one name are compared with the one of the smallest owner, byte by byte; a name
+    under which different strings meet is refined by the strings themselves.
+    """
+    if not len(at):
+        return np.zeros(0, bool)
+    order = np.lexsort((owner, name))
+    new = np.concatenate(([True], name[order][1:] != name[order][:-1]))
+    group = np.cumsum(new) - 1
+    head = order[np.flatnonzero(new)][group]  # the suffix of the smallest owner
+    late = np.zeros(len(at), bool)
+    late[order] = owner[order] > owner[head]
+    mixed = np.zeros(int(group[-1]) + 1, bool)
+    span, check = np.arange(length), np.flatnonzero(order != head)
+    for k in range(0, len(check), CHUNK // length + 1):
+        rows = check[k : k + CHUNK // length + 1]
+        differ = (data[at[order[rows]][:, None] + span] != data[at[head[rows]][:, None] + span]).any(1)
+        mixed[group[rows[differ]]] = True
+    lowest: dict[bytes, int] = {}
+    again = order[mixed[group]]
+    strings = [data[at[i] : at[i] + length].tobytes() for i in again]
+    for i, string in zip(again, strings, strict=True):
+        lowest[string] = min(lowest.get(string, owner[i]), owner[i])
+    for i, string in zip(again, strings, strict=True):
+        late[i] = owner[i] > lowest[string]
+    return late
+
+
 def _chunks(texts: list[bytes], length: int) -> Iterator[list[int]]:
     """Numbers of the texts that are long enough, in chunks of about CHUNK bytes."""
     held, size = [], 0
@@ -221,13 +254,11 @@ def covered(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
     runs = stored(in_arrow(source, find, "id long, mark long, start int, count int, bucket long, name long, own boolean"), "runs", path)
     across = runs.where(~F.col("own")).drop("own")
     shared = stored(across.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1).select("bucket"), "shared-buckets")
-    _release(spark)
     # Runs in buckets that occur again; hot buckets are split by the join.
     again_path = shared_path(spark, "repeated-runs")
     again = stored(across.join(shared, "bucket"), "repeated-runs", again_path)
     own = stored(runs.where("own").select("id", "mark", "start", "count"), "own-repeats")
     drop_path(spark, path)
-    _release(spark)
     first = again.groupBy("bucket", "name").agg(F.min("id").alias("first"))
     first = stored(first, "first-runs")
     several = first.groupBy("bucket").agg((F.count(F.lit(1)) > 1).alias("mixed")).select(apart(F.col("bucket")).alias("bucket"), "mixed")
@@ -235,7 +266,6 @@ def covered(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
     judged = again.join(first, ["bucket", "name"]).select("bucket", "id", "mark", "start", "count", "mixed", (F.col("id") > F.col("first")).alias("later"))
     judged = stored(judged.where("mixed or later"), "judged-runs")
     drop_path(spark, again_path)
-    _release(spark)
     whole = judged.where("later").select("id", "mark", "start", "count")
 
     # The bytes of the first run of each name in buckets with several names.
@@ -243,7 +273,6 @@ def covered(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
     joined = source.join(wanted, ["id", "mark"]).select("id", "mark", "t", F.explode("runs").alias("run"))
     detail = joined.select("run.bucket", "id", "mark", "run.start", F.substring(F.col("t"), F.col("run.start") + 1, F.col("run.count") + (length - 1)).alias("bytes"))
     detail = stored(detail, "open-runs")
-    _release(spark)
     sizes = detail.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("bytes")).alias("size"))
     large = stored(sizes.where(F.col("n") > bucket_runs).select("bucket"), "large-buckets")
     total = detail.agg(F.sum(F.octet_length("bytes"))).head()[0] or 0
@@ -258,14 +287,8 @@ def covered(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
         sizes = np.fromiter(map(len, texts), np.int64, len(texts))
         count = sizes - (length - 1)
         ids, begins = held.column("id").to_numpy(), np.cumsum(sizes) - sizes
-        names = Buckets(np.frombuffer(b"".join(texts), np.uint8)).refined(_spread(begins, count), length)
-        name = _name(np.repeat(held.column("bucket").to_numpy().view(np.uint64), count), names)
-        owner = np.repeat(ids, count)
-        order = np.lexsort((owner, name))
-        new = np.concatenate(([True], name[order][1:] != name[order][:-1]))
-        lowest = owner[order][np.flatnonzero(new)][np.cumsum(new) - 1]
-        late = np.zeros(len(name), bool)
-        late[order] = owner[order] > lowest
+        data, at = np.frombuffer(b"".join(texts), np.uint8), _spread(begins, count)
+        late = late_suffixes(data, at, np.repeat(ids, count), Buckets(data).refined(at, length), length)
         # Numbered with a hole after each run, so that no interval spans two.
         place = np.flatnonzero(late)
         run = np.repeat(np.arange(len(count)), count)[place]
@@ -278,18 +301,13 @@ def covered(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
     # Buckets too large for a task: one row a suffix, aggregated before the shuffle.
     wide = detail.join(large, "bucket", "left_semi")
     rows = wide.select("bucket", "id", "mark", "start", "bytes", F.explode(F.sequence(F.lit(0), F.octet_length("bytes") - length)).alias("k"))
-    rows = rows.select("bucket", "id", "mark", (F.col("start") + F.col("k")).alias("start"), F.xxhash64(F.substring(F.col("bytes"), F.col("k") + 1, F.lit(length))).alias("name"))
-    lowest = rows.groupBy("bucket", "name").agg(F.min("id").alias("lowest")).select(apart(F.col("bucket")).alias("bucket"), "name", "lowest")
-    late = rows.join(lowest, ["bucket", "name"]).where(F.col("id") > F.col("lowest")).select("id", "mark", "start", F.lit(1).alias("count"))
+    rows = rows.select("bucket", "id", "mark", (F.col("start") + F.col("k")).alias("start"), F.substr(F.col("bytes"), F.col("k") + 1, F.lit(length)).alias("s"))
+    rows = rows.select("bucket", "id", "mark", "start", F.xxhash64("s").alias("name"), F.xxhash64(F.lit(1), "s").alias("more"))  # 128 bits
+    lowest = rows.groupBy("bucket", "name", "more").agg(F.min("id").alias("lowest")).select(apart(F.col("bucket")).alias("bucket"), "name", "more", "lowest")
+    late = rows.join(lowest, ["bucket", "name", "more"]).where(F.col("id") > F.col("lowest")).select("id", "mark", "start", F.lit(1).alias("count"))
     return own.unionByName(whole).unionByName(stored(small, "settled")).unionByName(stored(late, "settled-wide"))
 
 
-def _release(spark) -> None:
-    """Let Spark delete the shuffle files of the stages whose results are stored."""
-    gc.collect()
-    spark._jvm.System.gc()
-
-
 def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", length: int = 100, keep: list[str] | None = None, kept_text: bool = True) -> DataFrame:
     """The columns ``keep`` (default: all but the text), then n_bytes, n_removed, n_spans,
     kept_sha256 and, if ``kept_text``, the remaining bytes as ``kept``."""
@@ -298,7 +316,6 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     found = covered(docs, id_col=id_col, text_col=text_col, length=length, marked=marked)
     lists = found.groupBy("id", "mark").agg(F.collect_list(F.struct("start", "count")).alias("s"))
     lists = stored(lists.select("id", "mark", F.col("s.start").alias("starts"), F.col("s.count").alias("counts")), "covered")
-    _release(docs.sparkSession)
     rows = _rows(docs, id_col, text_col, keep, marked=marked).join(lists, ["id", "mark"], "left").select("row", "t", "starts", "counts")
     names = ["row", "n_bytes", "n_removed", "n_spans", "kept_sha256", *["kept"] * kept_text]
 

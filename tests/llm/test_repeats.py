@@ -1,6 +1,8 @@
 import hashlib
 import random
+import zlib
 
+import numpy as np
 import pytest
 
 from quarry.llm import repeats as r
@@ -59,6 +61,20 @@ def test_equals_brute_force(spark, monkeypatch, limit):
     assert run(spark, rows) == brute([(i, t.encode()) for i, t in rows])
 
 
+@pytest.mark.parametrize("bits", [0, 3, 64])
+def test_colliding_names_are_told_apart_by_bytes(bits):
+    rng = random.Random(bits)
+    data = np.frombuffer("".join(rng.choice(["ab" * 20, "xyz" * 9, "q" * 13, "rst"]) for _ in range(80)).encode(), np.uint8)
+    at = np.arange(len(data) - 20)
+    owner = np.array([k // 37 for k in at])
+    name = np.zeros(len(at), np.uint64) if not bits else np.array([zlib.crc32(data[k : k + 20].tobytes()) % (1 << min(bits, 32)) for k in at], np.uint64)
+    first = {}
+    for k in at:
+        first.setdefault(data[k : k + 20].tobytes(), owner[k])
+    assert r.late_suffixes(data, at, owner, name, 20).tolist() == [bool(owner[k] > first[data[k : k + 20].tobytes()]) for k in at]
+    assert not len(r.late_suffixes(data, at[:0], owner[:0], name[:0], 20))
+
+
 def test_repeated_ids(spark):
     rows = corpus()[:20]
     rows += [(5, rows[2][1]), (5, rows[9][1]), (3, rows[3][1])]
