@@ -134,6 +134,8 @@ def _url_oracle() -> str:
         for n, s, t in [rule.partition("/")]
     )
     long = ", ".join(f"'{s}'" for s in url_reputation.LONG_SUFFIXES)
+    ruled = "|".join(url_reputation.SECOND_LEVEL)
+    site = "regexp_replace(regexp_replace(regexp_replace(host, '^.*@', ''), ':[0-9]*$', ''), '[.]$', '')"
 
     def strength(of: str) -> str:
         return f"""(SELECT (1 - b) / b FROM (SELECT least(greatest(coalesce((spread - v * (k - 1)) / nullif(v * (total - squares / nullif(total, 0) - (k - 1)), 0), 0.01), 0.001), 0.5) AS b
@@ -143,9 +145,9 @@ def _url_oracle() -> str:
         CASE WHEN instr(url, '://') > 0 THEN regexp_extract(regexp_replace(substr(url, instr(url, '://') + 3), '^[^/?#]*', ''), '^[^?#]*', 0) ELSE '' END AS path"""
     return f"""
 WITH parsed AS (SELECT page_id, url, {parse} FROM pages),
-outcomes AS (SELECT host, CAST(1 - quality AS DOUBLE) AS bad FROM parsed JOIN labels ON labels.doc_id = try_cast(regexp_extract(url, '/([0-9]+)[^/]*$', 1) AS BIGINT) WHERE quality IS NOT NULL),
+outcomes AS (SELECT {site} AS host, CAST(1 - quality AS DOUBLE) AS bad FROM parsed JOIN labels ON labels.doc_id = try_cast(regexp_extract(url, '/([0-9]+)[^/]*$', 1) AS BIGINT) WHERE quality IS NOT NULL),
 h0 AS (SELECT host, CAST(count(*) AS DOUBLE) AS n, sum(bad) AS bad, string_split(host, '.') AS l FROM outcomes GROUP BY host),
-h1 AS (SELECT *, CASE WHEN array_to_string(l[-2:], '.') IN ({long}) THEN 2 ELSE 1 END AS k FROM h0),
+h1 AS (SELECT *, CASE WHEN array_to_string(l[-2:], '.') IN ({long}) OR regexp_matches(array_to_string(l[-2:], '.'), '^({ruled})[.][a-z][a-z]$') THEN 2 ELSE 1 END AS k FROM h0),
 h AS (SELECT host, n, bad, array_to_string(l[-k:], '.') AS suffix, array_to_string(l[-(k + 1):], '.') AS domain FROM h1),
 d AS (SELECT domain, suffix, sum(n) AS n, sum(bad) AS bad FROM h GROUP BY ALL),
 s AS (SELECT suffix, sum(n) AS n, sum(bad) AS bad FROM d GROUP BY ALL),
@@ -156,7 +158,7 @@ dr AS (SELECT domain, suffix, (bad + m * parent) / (n + m) AS rate FROM dp, (SEL
 hp AS (SELECT h.*, rate AS parent FROM h JOIN dr USING (domain, suffix)),
 hr AS (SELECT host, (bad + m * parent) / (n + m) AS rate, n + m AS size FROM hp, (SELECT {strength("hp")} AS m)),
 bound AS (SELECT host, rate - 1.645 * sqrt(rate * (1 - rate) / (size + 1)) AS low FROM hr),
-judged AS (SELECT page_id, host, path, low, CASE {fits} END AS hit FROM parsed LEFT JOIN bound USING (host))
+judged AS (SELECT page_id, parsed.host, path, low, CASE {fits.replace("(host", "(parsed.host").replace("ends_with(host", "ends_with(parsed.host")} END AS hit FROM parsed LEFT JOIN bound ON bound.host = {site.replace("host", "parsed.host")})
 SELECT page_id, host, path, split_part(hit, '|', 2) AS rule,
        CASE WHEN hit IS NOT NULL THEN split_part(hit, '|', 1) WHEN low > 0.2 THEN 'block' ELSE 'allow' END AS verdict
 FROM judged

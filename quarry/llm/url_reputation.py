@@ -7,9 +7,13 @@ moments to how far the rates of the children stray from their parents' rates.
 A host is blocked if the lower bound of its posterior rate of bad pages exceeds
 ``max_bad``.  Everything is a DataFrame expression.
 
+Reputation is a site's: user, port and a dot at the end are left off the host before outcomes are
+counted, while the host of the result and of the rules is as the url has it.
+
 Defined results: a null url, or one without ``://``, has an empty host and path
 and no rule; an empty host, a host without outcomes and an empty outcome table
-get the prior alone.  Null outcomes are ignored.  Repeated rows count each time.
+get the prior alone.  Null outcomes are ignored.  Repeated rows count each time; an empty table of pages
+gives an empty result.
 Other columns of the input are dropped from the result, so their names can't
 clash.
 """
@@ -23,8 +27,13 @@ from pyspark.sql import functions as F
 
 from quarry.llm.common import ascii_lower
 
-#: Suffixes of more than one label (fixed values; a parameter below).
-LONG_SUFFIXES = ("ac.uk", "co.jp", "co.nz", "co.uk", "com.au", "com.br", "gov.uk", "org.uk")
+#: Labels that make a public suffix with any country code after them (a rule instead of a table).
+SECOND_LEVEL = ("ac", "co", "com", "edu", "gov", "net", "org")
+#: Further public suffixes of two labels (fixed values; a parameter below).
+LONG_SUFFIXES = (
+    "asso.fr", "gouv.fr", "go.id", "or.id", "go.jp", "ne.jp", "or.jp", "go.kr", "ne.kr", "or.kr", "re.kr", "gob.ar", "gob.cl", "gob.es", "gob.mx", "gob.pe", "nom.br", "nom.es",
+    "gv.at", "or.at", "go.th", "in.th", "or.th", "id.au", "govt.nz", "school.nz", "ltd.uk", "me.uk", "nhs.uk", "plc.uk", "police.uk", "sch.uk", "web.za", "nic.in", "res.in", "gen.in", "firm.in", "ind.in",
+)
 
 
 def url_host(url: Column) -> Column:
@@ -40,9 +49,15 @@ def url_path(url: Column) -> Column:
 
 
 def host_suffix(host: Column, long_suffixes: Sequence[str] = LONG_SUFFIXES) -> Column:
-    """The public suffix: the last label, or a listed suffix of two labels."""
+    """The public suffix: the last label, or two labels where the rule or the list says so."""
     two = F.substring_index(host, ".", -2)
-    return F.when(two.isin(*long_suffixes), two).otherwise(F.substring_index(host, ".", -1))
+    ruled = two.rlike(f"^({'|'.join(SECOND_LEVEL)})[.][a-z][a-z]$")
+    return F.when(ruled | two.isin(*long_suffixes), two).otherwise(F.substring_index(host, ".", -1))
+
+
+def site(host: Column) -> Column:
+    """The host without user, port and a dot at its end."""
+    return F.regexp_replace(F.regexp_replace(F.substring_index(host, "@", -1), ":[0-9]*$", ""), "[.]$", "")
 
 
 def registered_domain(host: Column, suffix: Column) -> Column:
@@ -135,9 +150,9 @@ def filter_urls(
     """
     parsed = pages.select(F.col(id_col), F.col(url_col).alias("_url"))
     parsed = parsed.select(id_col, url_host(F.col("_url")).alias("host"), url_path(F.col("_url")).alias("path"))
-    known = host_reputation(outcomes.select(url_host(F.col("url")).alias("host"), F.col("bad")), long_suffixes)
-    known = posterior_bound(known, z).select("host", "bad_bound")
-    judged = parsed.join(known, "host", "left")
+    known = host_reputation(outcomes.select(site(url_host(F.col("url"))).alias("host"), F.col("bad")), long_suffixes)
+    known = posterior_bound(known, z).select(F.col("host").alias("_site"), "bad_bound")
+    judged = parsed.withColumn("_site", site(F.col("host"))).join(known, "_site", "left")
     rule, verdict = rule_of(F.col("host"), F.col("path"), rules)
     method = F.when(F.col("bad_bound") > max_bad, F.lit("block")).otherwise("allow")
     return judged.select(id_col, "host", "path", rule.alias("rule"), F.coalesce(verdict, method).alias("verdict"), "bad_bound")

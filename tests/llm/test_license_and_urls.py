@@ -44,11 +44,21 @@ def test_reputation_shrinks(spark):
     assert got["bad.x.com"] == "block" and got["good.y.org"] == "allow" and got["c.co.uk"] == "allow"
 
 
+def test_ports_users_and_dots_share_a_reputation(spark):
+    rows = [("http://bad.x.com:8080/", 1)] * 30 + [("http://me@BAD.x.com/", 1)] * 30 + [("http://y.org/", 0)] * 60
+    out = spark.createDataFrame(rows, "url string, bad int")
+    pages = spark.createDataFrame([(1, "https://bad.x.com./a"), (2, "http://bad.x.com:99"), (3, "http://y.org:1/"), (3, "http://y.org:1/")], "page_id long, url string")
+    got = sorted((r.page_id, r.host, r.verdict) for r in ur.filter_urls(pages, out, []).collect())
+    assert got == [(1, "bad.x.com.", "block"), (2, "bad.x.com:99", "block"), (3, "y.org:1", "allow"), (3, "y.org:1", "allow")]
+    assert ur.filter_urls(pages.limit(0), out, []).count() == 0
+    assert {r.verdict for r in ur.filter_urls(pages, out.limit(0), []).collect()} == {"allow"}
+
+
 def test_domains(spark):
-    hosts = spark.createDataFrame([("a.b.co.uk",), ("co.uk",), ("b.com",), ("com",), ("",)], "h string")
+    hosts = spark.createDataFrame([("a.b.co.uk",), ("co.uk",), ("b.com",), ("com",), ("",), ("x.co.in",), ("a.x.gob.mx",), ("x.com.xyz",)], "h string")
     s = ur.host_suffix(F.col("h"))
     got = {r.h: (r.s, r.d) for r in hosts.select("h", s.alias("s"), ur.registered_domain(F.col("h"), s).alias("d")).collect()}
-    assert got == {"a.b.co.uk": ("co.uk", "b.co.uk"), "co.uk": ("co.uk", "co.uk"), "b.com": ("com", "b.com"), "com": ("com", "com"), "": ("", "")}
+    assert got == {"a.b.co.uk": ("co.uk", "b.co.uk"), "co.uk": ("co.uk", "co.uk"), "b.com": ("com", "b.com"), "com": ("com", "com"), "": ("", ""), "x.co.in": ("co.in", "x.co.in"), "a.x.gob.mx": ("gob.mx", "x.gob.mx"), "x.com.xyz": ("xyz", "com.xyz")}
 
 
 MIT = 'Permission is hereby granted, free of charge, to any person obtaining a copy\nof this software and associated documentation files (the "Software"), to deal\nin the Software without restriction, including without limitation the rights\nto use, copy, modify, merge, publish, distribute, sublicense, and/or sell\ncopies of the Software, and to permit persons to whom the Software is\nfurnished to do so, subject to the following conditions:\n\nThe above copyright notice and this permission notice shall be included in all\ncopies or substantial portions of the Software.\n'
