@@ -98,29 +98,27 @@ FROM f
 
 def _license_oracle() -> str:
     quoted = lambda s: "'" + s.replace("'", "''") + "'"
-    known = ", ".join(f"({quoted(s)}, {quoted(i)})" for s, i in license_sentences.SENTENCES.items())
-    rest, names = "'|' || array_to_string(ids, '||') || '|'", []
-    steps = []
-    for k, (name, ids) in enumerate(license_sentences.RULES):
-        seen = "".join(f"|{i}|" for i in ids)
-        names.append(f"(CASE WHEN contains(r{k}, '{seen}') THEN '{name}' END)")
-        steps.append(f"s{k + 1} AS (SELECT *, replace(r{k}, '{seen}', '#') AS r{k + 1} FROM s{k})")
+    known = ", ".join(f"({quoted(s)}, {quoted(i)})" for s, i in license_sentences.sentence_table())
+    rules = ", ".join(f"({k}, {quoted(name)}, {quoted(''.join(f'|{i}|' for i in ids))})" for k, name, ids in license_sentences.rule_table())
     ws = license_sentences.SPACES.replace("\\\\", "\\")
     up, low = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
     return f"""
-WITH known(sentence, id) AS (VALUES {known}),
+WITH RECURSIVE known(sentence, id) AS (VALUES {known}),
+rules(k, name, seen) AS (VALUES {rules}),
 low AS (SELECT row_number() OVER () AS rid, doc_id, translate(coalesce(text, ''), '{up}', '{low}') AS t FROM documents),
 marked AS (SELECT rid, doc_id, regexp_replace(regexp_replace(t, '([.!?:;]){ws}+', '\\1' || chr(1), 'g'), '\\n{ws}*\\n', chr(1), 'g') AS t FROM low),
 parts AS (SELECT rid, doc_id, unnest(string_split(t, chr(1))) AS s, generate_subscripts(string_split(t, chr(1)), 1) AS i FROM marked),
 cut AS (SELECT rid, doc_id, i, 0 AS j, s FROM parts UNION ALL
         SELECT rid, doc_id, i, generate_subscripts(string_split(s, chr(10)), 1), unnest(string_split(s, chr(10))) FROM parts WHERE contains(s, chr(10))),
-norm AS (SELECT rid, i, j, trim(regexp_replace(regexp_replace(s, '[^a-z0-9.]+', ' ', 'g') || ' ', '\\.+ ', ' ', 'g')) AS s FROM cut),
+norm AS (SELECT rid, i, j, regexp_replace(trim(regexp_replace(regexp_replace(s, '[^a-z0-9.]+', ' ', 'g') || ' ', '\\.+ ', ' ', 'g')), '{license_sentences.UNDER}', 'under ') AS s FROM cut),
 hits AS (SELECT rid, list(id ORDER BY i, j) AS ids FROM norm JOIN known ON norm.s = known.sentence GROUP BY rid),
-s0 AS (SELECT doc_id, coalesce(ids, []) AS ids, CASE WHEN ids IS NULL THEN '' ELSE {rest} END AS r0 FROM low LEFT JOIN hits USING (rid)),
-{", ".join(steps)}
-SELECT doc_id, CAST(len(ids) AS BIGINT) AS n_known, array_to_string(ids, ',') AS sentence_ids,
-       array_to_string(list_filter([{", ".join(names)}], lambda x, i: x IS NOT NULL AND list_position([{", ".join(names)}], x) = i), ',') AS licenses
-FROM s{len(license_sentences.RULES)}
+tried AS (SELECT rid, 0 AS n, '|' || array_to_string(ids, '||') || '|' AS rest, CAST([] AS VARCHAR[]) AS found FROM hits
+          UNION ALL
+          SELECT rid, n + 1, CASE WHEN contains(rest, seen) THEN replace(rest, seen, '#') ELSE rest END,
+                 CASE WHEN contains(rest, seen) AND NOT list_contains(found, name) THEN list_append(found, name) ELSE found END
+          FROM tried JOIN rules ON rules.k = n)
+SELECT doc_id, CAST(coalesce(len(ids), 0) AS BIGINT) AS n_known, coalesce(array_to_string(ids, ','), '') AS sentence_ids, coalesce(array_to_string(found, ','), '') AS licenses
+FROM low LEFT JOIN hits USING (rid) LEFT JOIN (SELECT rid, found FROM tried WHERE n = (SELECT count(*) FROM rules)) USING (rid)
 """
 
 

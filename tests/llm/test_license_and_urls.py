@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from quarry.llm import license_sentences as ls
@@ -17,7 +18,10 @@ def test_long_licences_and_order(spark):
 
 
 def test_awkward_rows(spark):
-    assert ls.scan(awkward(spark)).count() == 13
+    extra = awkward(spark).withColumn("text", F.when(F.col("doc_id") == 5, F.concat("text", F.lit(". Licensed under the MIT License."))).otherwise(F.col("text")))
+    got = sorted(((r.doc_id, r.sentence_ids, r.licenses) for r in ls.scan(extra).collect()), key=repr)
+    want = [(r.doc_id, ["MIT:name"] if r.doc_id == 5 else [], ["MIT"] if r.doc_id == 5 else []) for r in extra.collect()]
+    assert got == sorted(want, key=repr)
     assert ls.scan(empty(spark)).count() == 0
 
 
@@ -81,4 +85,22 @@ def test_every_licence_on_its_original_notice(spark):
     texts = [(i, t) for i, (_, t) in enumerate(NOTICES)]
     got = {r.doc_id: r.licenses for r in ls.scan(spark.createDataFrame(texts, "doc_id long, text string")).collect()}
     assert {i: (n, got[i]) for i, (n, _) in enumerate(NOTICES)} == {i: (n, [n]) for i, (n, _) in enumerate(NOTICES)}
-    assert {n for n, _ in NOTICES} == {n for n, _ in ls.RULES}
+    assert {n for n, _ in NOTICES} >= {n for n, _ in ls.RULES}
+
+
+def test_every_name_and_a_way_to_say_it(spark):
+    ways = ["Licensed under the {}.", "this project is released under {};\nmore", "The code is distributed under the terms of the {}:\n", "x. Made available under a {}! y"]
+    texts = [(i, ways[i % len(ways)].format(name.upper() if i % 3 else name), key) for i, (name, key) in enumerate(ls.short_names().items())]
+    got = {r.doc_id: r.licenses for r in ls.scan(spark.createDataFrame(texts, "doc_id long, text string, key string")).collect()}
+    assert {i: got[i] for i, _, _ in texts} == {i: [key] for i, _, key in texts}
+    assert len(texts) > 1000 and len(set(ls.short_names().values())) > 100
+
+
+def test_tables_can_be_extended(spark):
+    sentences, rules = ls.tables(spark)
+    own = ls.Knowledge.load(sentences.unionByName(spark.createDataFrame([("You may copy this under the Teapot Terms", "Tea1"), ("Copyright stays warm", "Tea2")], "sentence string, id string")), rules.selectExpr("place + 1 AS place", "licence", "ids").unionByName(spark.createDataFrame([(0, "Teapot", ["Tea1", "Tea2"])], "place int, licence string, ids array<string>")))
+    docs = spark.createDataFrame([(1, "You may copy this under the teapot terms.\nSomething else; copyright stays warm. Licensed under CC BY 4.0."), (2, "Copyright stays warm. You may copy this under the Teapot terms.")], "doc_id long, text string")
+    got = {r.doc_id: (r.sentence_ids, r.licenses) for r in ls.scan(docs, known=own).collect()}
+    assert got == {1: (["Tea1", "Tea2", "CC-BY-4.0:name"], ["Teapot", "CC-BY-4.0"]), 2: (["Tea2", "Tea1"], [])}
+    with pytest.raises(ValueError, match="more than 5"):
+        ls.Knowledge.load(sentences, rules, most_entries=5)
