@@ -104,9 +104,16 @@ class HierarchicalIndex:
             levels.append((pattern[first], ~differ, root[first], first, last))
         self.levels = levels
 
-    def search(self, radius: int, labels: np.ndarray, block: int = 2048) -> np.ndarray:
+    def search(self, radius: int, labels: np.ndarray) -> np.ndarray:
         """Components of codes linked within ``radius`` and within buckets, as the
         smallest position of each, merged into ``labels`` (changed in place)."""
+        for query, node in self.near(radius, labels):
+            _merge(labels, query, node)
+        return labels
+
+    def near(self, radius: int, labels: np.ndarray, block: int = 2048) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Pairs of positions within ``radius`` and within buckets whose labels differ, by blocks of
+        searchers; labels that the caller changes count from the next block on."""
         top = len(self.levels) - 1
         heads = self.levels[top][2]
         own = np.searchsorted(heads, self.levels[0][2])
@@ -122,7 +129,7 @@ class HierarchicalIndex:
                 keep = (spent <= radius) & (same[level][node] != labels[query])
                 query, node, spent = query[keep], node[keep], spent[keep]
                 if level == 0:
-                    _merge(labels, query, node)
+                    yield query, node
                     break
                 below = self.levels[level][3][node], self.levels[level][4][node]
                 above = mask[node]
@@ -130,7 +137,6 @@ class HierarchicalIndex:
                 step = np.arange(width.sum()) - np.repeat(np.cumsum(width) - width, width)
                 query, spent, above = np.repeat(query, width), np.repeat(spent, width), np.repeat(above, width)
                 node = np.repeat(below[0], width) + step
-        return labels
 
     def _uniform(self, labels: np.ndarray) -> list[np.ndarray]:
         """For each node the component all its codes are in, or -1."""
