@@ -9,19 +9,25 @@ from collections.abc import Callable, Sequence
 from functools import cache
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.model import strip
-
+from quarry.session import ship
 
 
 def lazy_udf(kind: str) -> Callable:
-    """A pandas UDF that is made when it is first used: types need a session, imports have none."""
+    """A pandas UDF that is made when it is first used in an application: types need a session, and
+    workers need the package."""
 
     def wrap(f: Callable) -> Callable:
-        made = cache(lambda: F.pandas_udf(f, kind))
-        return lambda *columns: made()(*columns)
+        made = cache(lambda _: F.pandas_udf(f, kind))
+
+        def column(*columns: Column | str) -> Column:
+            context = ship(SparkSession.active()).sparkContext
+            return made(context.applicationId)(*columns)
+
+        return column
 
     return wrap
 
@@ -80,16 +86,16 @@ def without_thoughts(text: Column) -> Column:
 
 def squeeze_lines(text: Column) -> Column:
     """Two or more blank lines become one; ends stripped."""
-    return strip(F.regexp_replace(text, r"\n\s*\n\s*\n+", "\n\n"))
+    return F.regexp_replace(strip(text), r"\n\s*\n\s*\n+", "\n\n")
 
 
 def squeeze_blanks(text: Column) -> Column:
-    """Runs of line ends to at most two, runs of spaces to one; ends stripped."""
-    return strip(F.regexp_replace(F.regexp_replace(text, r"\n{3,}", "\n\n"), r" {2,}", " "))
+    """Blank lines, also those that hold white space, become one; runs of spaces too; ends stripped."""
+    return F.regexp_replace(F.regexp_replace(strip(text), r"\n\s*\n", "\n\n"), " +", " ")
 
 
-# One link, image or address pattern, case ignored.
-LINKS = r"(?i)https?://|www\.|!\[[^\]]*\]\(|\[[^\]]*\]\([^)]*\)|<img|\.(?:png|jpe?g|gif|svg)\b|[a-z0-9-]+\.(?:com|org|net|edu|gov)\b"
+# What counts as a link or an image, case ignored.
+LINKS = "(?i)" + "|".join((r"!\[.*?\]\(.*?\)", "https?://", r"\.com", r"\.org", r"\.net", r"\.edu", r"cdn\."))
 
 
 def has_link(text: Column) -> Column:
@@ -166,28 +172,29 @@ def fences(texts: pd.Series) -> pd.Series:
     return texts.map(fenced_parts)
 
 
+_STRING_OR_BRACE = re.compile(r'"(?:\\.|[^"\\])*(?:"|$)|[{}]', re.S)
+
+
 def top_objects(text: str | None) -> list[str]:
-    """The JSON objects with a name that stand at the top level of a text."""
-    out, depth, start, quoted, skip = [], 0, 0, False, False
-    for i, c in enumerate(text or ""):
-        if skip:
-            skip = False
-        elif quoted:
-            skip, quoted = c == "\\", c != '"'
-        elif c == '"' and depth:
-            quoted = True
-        elif c == "{":
-            start = i if not depth else start
+    """The JSON objects with a name that stand at the top level of a text.
+
+    Braces in quotes don't count, wherever the quotes stand; a closing brace too many hides what follows.
+    """
+    out, depth, start = [], 0, None
+    for mark in _STRING_OR_BRACE.finditer(text or ""):
+        if mark[0] == "{":
+            start = mark.start() if depth == 0 else start
             depth += 1
-        elif c == "}" and depth:
+        elif mark[0] == "}":
             depth -= 1
-            if not depth:
+            if depth == 0 and start is not None:
+                body, start = text[start : mark.end()], None
                 try:
-                    value = json.loads(text[start : i + 1])
+                    named = json.loads(body).get("name")
                 except ValueError:
                     continue
-                if isinstance(value, dict) and "name" in value:
-                    out.append(text[start : i + 1])
+                if named:
+                    out.append(body)
     return out
 
 
@@ -202,7 +209,7 @@ def repaired(text: str | None) -> str | None:
     if text is None or "{" not in text or "}" not in text:
         return text
     text = text[text.index("{") : text.rindex("}") + 1]
-    text = re.sub(r'\\(?!["\\/bfnrtu])', r"\\\\", text)
+    text = re.sub(r'\\(?!["\\/bfnrt]|u[0-9a-fA-F]{4})', r"\\\\", text)
     lines = []
     for line in text.split("\n"):
         m = re.match(r'^(\s*"[^"]*"\s*:\s*")(.*)("\s*,?\s*)$', line)

@@ -146,29 +146,29 @@ def convert(df: DataFrame, source: str, key: Column | None = None) -> tuple[Data
 # ---- function calling -------------------------------------------------------
 
 
+# The mark of an optional parameter; names of plain types, anything else is a string.
+OPTIONAL = ", optional"
+PLAIN_TYPES = {"integer": ("int", "integer"), "number": ("float", "number"), "boolean": ("bool", "boolean")}
+
+
 def xlam_type(text: Column) -> Column:
-    """JSON schema type of a Python-like type name."""
-    bare = F.lower(F.trim(F.regexp_replace(text, r"(?i),\s*optional.*$", "")))
-    return (
-        F.when(bare.startswith("list[") | (bare == "list"), "array")
-        .when(bare.startswith("dict[") | bare.startswith("mapping[") | (bare == "dict"), "object")
-        .when(bare.isin("str", "string"), "string")
-        .when(bare.isin("int", "integer"), "integer")
-        .when(bare.isin("float", "number", "double"), "number")
-        .when(bare.isin("bool", "boolean"), "boolean")
-        .otherwise("string")
-    )
+    """JSON schema type of a Python-like type name; upper and lower case differ."""
+    bare = strip(F.replace(F.coalesce(text, F.lit("str")), F.lit(OPTIONAL), F.lit("")))
+    generic = F.when(bare.rlike(r"^[Ll]ist\["), "array").when(bare.rlike(r"^(?:[Dd]ict|Mapping)\["), "object")
+    for kind, names in PLAIN_TYPES.items():
+        generic = generic.when(bare.isin(*names), kind)
+    return generic.otherwise("string")
 
 
 def xlam_required(text: Column) -> Column:
-    return ~F.lower(text).contains("optional")
+    return ~F.coalesce(text, F.lit("str")).contains(OPTIONAL)
 
 
 def xlam_parameters(parameters: Column) -> Column:
     """JSON schema (as text) of a map name -> struct(type, description, default)."""
-    props = F.transform_values(parameters, lambda _, v: F.struct(xlam_type(v["type"]).alias("type"), v["description"].alias("description"), F.nullif(v["default"].cast("string"), F.lit("")).alias("default")))
+    props = F.transform_values(parameters, lambda _, v: F.struct(xlam_type(v["type"]).alias("type"), F.coalesce(v["description"], F.lit("")).alias("description"), F.nullif(v["default"].cast("string"), F.lit("")).alias("default")))
     needed = F.map_keys(F.map_filter(parameters, lambda _, v: xlam_required(v["type"])))
-    return F.to_json(F.struct(F.lit("object").alias("type"), props.alias("properties"), F.array_sort(needed).alias("required")))
+    return F.to_json(F.struct(F.lit("object").alias("type"), props.alias("properties"), needed.alias("required")))
 
 
 def xlam(df: DataFrame, source: str, key: Column | None = None) -> DataFrame:
@@ -185,16 +185,17 @@ def xlam(df: DataFrame, source: str, key: Column | None = None) -> DataFrame:
 def call_part(value: Column) -> Column:
     """A call's JSON as a part: ``think`` is a thought, unreadable JSON is null."""
     v = F.try_parse_json(value)
-    name, args = F.try_variant_get(v, "$.name", "string"), F.to_json(F.try_variant_get(v, "$.arguments", "variant"))
-    thought = F.try_variant_get(v, "$.arguments.thought", "string")
-    return F.when(name == "think", part("thought", F.coalesce(thought, args))).when(name.isNotNull(), part("function-call", "", name=name, args=args))
+    name, given = F.try_variant_get(v, "$.name", "string"), F.try_variant_get(v, "$.arguments", "variant")
+    # Arguments may be a text that holds JSON; anything but an object counts as none.
+    read = F.coalesce(F.try_parse_json(F.try_variant_get(given, "$", "string")), given)
+    read = F.when(F.schema_of_variant(read).startswith("OBJECT"), read)
+    args = F.nullif(F.to_json(read), F.lit("{}"))
+    thought = F.try_variant_get(read, "$.thought", "string")
+    return F.when(name == "think", part("thought", F.coalesce(thought, F.lit("")))).when(F.coalesce(name, F.lit("")) != "", part("function-call", "", name=name, args=F.coalesce(args, F.lit(""))))
 
 
-def grouped_turns(df: DataFrame, *, turns: str = "conversations", keys: list[str]) -> DataFrame:
-    """(keys, turn, role, items): neighbours that aren't human form one assistant turn.
-
-    Gaps and islands inside the row, as a fold over its array, so nothing is shuffled.
-    """
+def turn_fold(turns: Column | str) -> Column:
+    """Array of (role, items): neighbours that aren't human form one assistant turn."""
     start = F.array().cast("array<struct<role:string,items:array<struct<from:string,value:string>>>>")
 
     def add(done: Column, x: Column) -> Column:
@@ -206,7 +207,15 @@ def grouped_turns(df: DataFrame, *, turns: str = "conversations", keys: list[str
         merged = F.concat(F.slice(done, F.lit(1), F.greatest(F.size(done) - 1, F.lit(0))), F.array(F.struct(F.lit("assistant").alias("role"), F.concat(last["items"], F.array(item)).alias("items"))))
         return F.when(joins, merged).otherwise(fresh)
 
-    rows = df.withColumn("_t", F.aggregate(turns, start, add))
+    return F.aggregate(turns, start, add)
+
+
+def grouped_turns(df: DataFrame, *, turns: str = "conversations", keys: list[str]) -> DataFrame:
+    """(keys, turn, role, items): neighbours that aren't human form one assistant turn.
+
+    Gaps and islands inside the row, as a fold over its array, so nothing is shuffled.
+    """
+    rows = df.withColumn("_t", turn_fold(turns))
     return rows.select(*keys, F.posexplode("_t").alias("turn", "_x")).select(*keys, "turn", "_x.role", "_x.items")
 
 
@@ -219,52 +228,117 @@ def turn_parts(items: Column) -> Column:
 # ---- mathematics, translation, dialects -------------------------------------
 
 
+# Beginnings that aren't part of a problem or a solution, taken off one after another.
+PROBLEM_HEADS = (r"^#+\s*", r"(?i)^Problem\s+\d+\.?\s*", r"(?i)^NT\d+\s*", r"(?i)^G\d+\s*", r"(?i)^##\s*Problem\s+\d+\.?\s*", r"(?i)^#\s*Problem\s+\d+\.?\s*")
+SOLUTION_HEADS = (r"^#+\s*", r"(?i)^Solution\s*\d*\.?\s*", r"(?i)^##\s*Solution\s*\d*\.?\s*", r"(?i)^#\s*Solution\s*\d*\.?\s*")
+SHORT_LINE, HEADING = 20, r"^#+\s+[A-Za-z]+\s*$"
+
+
+def _without(text: Column, heads: tuple[str, ...]) -> Column:
+    """Squeezed text without the beginnings, and without a first line that is one short sentence."""
+    bare = T.squeeze_blanks(text)
+    for head in heads:
+        bare = F.regexp_replace(bare, head, "")
+    first = strip(F.substring_index(bare, "\n", 1))
+    short = (F.length(first) < SHORT_LINE) & first.endswith(".")
+    return F.when(short, F.when(bare.contains("\n"), F.substr(bare, F.instr(bare, "\n") + 1)).otherwise("")).otherwise(bare)
+
+
 def math_prompt(text: Column) -> Column:
-    """A problem without headings and numbers before it."""
-    bare = F.regexp_replace(text, r"(?m)^\s*#+[^\n]*$", "")
-    return T.squeeze_blanks(F.regexp_replace(bare, r"(?i)^\s*(?:problem|question|exercise|example)\s*\d*\s*[.:)]?\s*", ""))
+    return strip(_without(text, PROBLEM_HEADS))
 
 
 def math_solution(text: Column) -> Column:
-    bare = F.regexp_replace(text, r"(?m)^\s*#+[^\n]*$", "")
-    return T.squeeze_blanks(F.regexp_replace(bare, r"(?i)^\s*(?:solution|answer|proof)\s*\d*\s*[.:)]\s*", ""))
+    """As a problem, and without lines that are headings of one word."""
+    lines = F.filter(F.split(_without(text, SOLUTION_HEADS), "\n"), lambda x: ~strip(x).rlike(HEADING))
+    return strip(F.array_join(lines, "\n"))
 
 
 def math_keep(problem: Column, solution: Column, answer: Column) -> Column:
     """No link in either text, an answer that was found, text left after cleaning."""
     clean = (math_prompt(problem) != "") & (math_solution(solution) != "")
-    return F.coalesce(~T.has_link(problem) & ~T.has_link(solution) & (F.coalesce(F.lower(answer), F.lit("")) != "notfound") & clean, F.lit(False))
+    found = F.lower(T.squeeze_blanks(F.coalesce(answer, F.lit("")))) != "notfound"
+    return F.coalesce(~T.has_link(T.squeeze_blanks(problem)) & ~T.has_link(T.squeeze_blanks(solution)) & found & clean, F.lit(False))
 
 
-def math_parts(solution: Column, answer: Column, kind: Column) -> Column:
-    """A proof's solution is the answer; else it is the thought before the answer."""
+def math_parts(solution: Column, answer: Column, key: Column | None = None) -> Column:
+    """A proof's solution is the answer; else it is the thought before the answer.
+
+    With a ``key`` the answer is stated in one of many ways and is also a part that can be checked.
+    """
     clean = math_solution(solution)
-    return F.when(F.lower(kind) == "proof", F.array(part("response", clean))).otherwise(F.array(part("thought", clean), part("response", F.concat(F.lit("The answer is: "), answer))))
+    said = F.concat(F.lit("The answer is: "), answer) if key is None else stated_answer(answer, key)
+    parts = F.array(part("thought", clean), part("response", said))
+    if key is not None:
+        parts = F.when(answer != "", F.concat(parts, F.array(part("verifiable-responses", answers=F.array(answer))))).otherwise(parts)
+    return F.when(F.lower(answer) == "proof", F.array(part("response", clean))).otherwise(parts)
+
+
+# Ways to state an answer, and what it may be called.
+ANSWER_FORMS = (
+    "The {label} is: {answer}", "{label}: {answer}", "{label} — {answer}", "{label} → {answer}", "{label} ⇒ {answer}", "{label} = {answer}",
+    "I conclude the {label} is: {answer}", "By inspection, the {label} is: {answer}", "After analysis, the {label} is: {answer}",
+    "This evaluates to: {answer}", "This resolves to: {answer}", "This computes to: {answer}", "Therefore: {answer}", "Thus: {answer}", "Hence: {answer}", "In one line: {answer}",
+    "Plainly put, the {label} is: {answer}", "In summary, the {label} is: {answer}", "Strictly speaking, the {label} is: {answer}",
+    "Calculated {label}: {answer}", "Computed {label}: {answer}", "Evaluated {label}: {answer}", "Derived {label}: {answer}", "Inferred {label}: {answer}", "Final {label}: {answer}",
+    "The computed {label} is: {answer}", "The derived {label} is: {answer}", "The final {label} is: {answer}", "The resulting {label} is: {answer}",
+    '"{answer}" — {label}', 'The {label} is: "{answer}"', "The {label} is: '{answer}'",
+)
+ANSWER_LABELS = ("Answer", "Solution", "Result", "Evaluation", "Conclusion", "Expression")
+#: After these a label keeps its capital, elsewhere it loses it.
+LABEL_MARKS = (":", " —", " →", " ⇒", " =")
+
+
+def answer_forms() -> list[str]:
+    """Every way with every label filled in, form by form."""
+    capital = lambda form: any("{label}" + mark in form for mark in LABEL_MARKS)
+    return [form.replace("{label}", label if capital(form) else label.lower()) for form in ANSWER_FORMS for label in ANSWER_LABELS]
+
+
+def stated_answer(answer: Column, key: Column, seed: int = 0) -> Column:
+    """One of the forms with one of the labels, chosen by a hash of the row's key so that it can be repeated."""
+    forms = answer_forms()
+    chosen = F.element_at(F.array(*map(F.lit, forms)), (F.pmod(F.xxhash64(key, F.lit(seed)), F.lit(len(forms))) + 1).cast("int"))
+    return F.replace(chosen, F.lit("{answer}"), answer)
+
+
+# What a tutor of mathematics is told.
+TUTOR = "You are a helpful mathematics tutor. Solve the given mathematical problem step by step, showing your work clearly."
+TUTOR_WORDS = " Read the problem carefully and identify the key information needed to solve it."
+TUTOR_PROOF = " Provide a rigorous mathematical proof with clear logical steps."
 
 
-# Ways to state an answer; {} is the label.
-ANSWER_FORMS = ("The answer is {}.", "The final answer is {}.", "Answer: {}", "So the answer is {}.", "Therefore, {}.", "The result is {}.")
+def tutor_prompt(problem_type: Column, question_type: Column) -> Column:
+    kind, asked = F.coalesce(problem_type, F.lit("")), F.lower(F.coalesce(question_type, F.lit("")))
+    about = F.when(kind != "", F.concat(F.lit(" This is a "), F.lower(kind), F.lit(" problem."))).otherwise("")
+    how = F.when(asked.contains("word-problem"), TUTOR_WORDS).when(asked.contains("proof"), TUTOR_PROOF).otherwise("")
+    return F.concat(F.lit(TUTOR), about, how)
 
 
-def stated_answer(label: Column, key: Column, seed: int = 0) -> Column:
-    """One of the forms, chosen by a hash of the row's key so that it can be repeated."""
-    chosen = F.element_at(F.array(*map(F.lit, ANSWER_FORMS)), (F.pmod(F.xxhash64(key, F.lit(seed)), F.lit(len(ANSWER_FORMS))) + 1).cast("int"))
-    return F.replace(chosen, F.lit("{}"), label)
+# Words that tell the direction of a translation, tried in this order; the languages' names.
+GERMAN, ROMANSH = "German", "Romansh (Sursilvan)"
+TO_WORDS = (
+    (ROMANSH, ("ins sursilvan", "ins romansch", "ins rumantsch")), (GERMAN, ("ins deutsche", "auf deutsch")), (GERMAN, ("sursilvan-begriffe",)), (ROMANSH, ("deutscher begriffe",)),
+)
 
 
 def translation_direction(text: Column) -> Column:
-    low = F.lower(text)
-    romansh, german = F.least(F.nullif(F.instr(low, "rumantsch"), F.lit(0)), F.nullif(F.instr(low, "romansh"), F.lit(0)), F.nullif(F.instr(low, "rätoromanisch"), F.lit(0))), F.least(F.nullif(F.instr(low, "deutsch"), F.lit(0)), F.nullif(F.instr(low, "german"), F.lit(0)))
-    return F.when(romansh.isNull() | german.isNull(), "unknown").when(german < romansh, "german-to-romansh").otherwise("romansh-to-german")
+    """(source_lang, target_lang) by the first of the words found; without any, into Romansh."""
+    low, target = F.lower(text), None
+    for language, words in TO_WORDS:
+        hit = low.rlike("|".join(words))
+        target = F.when(hit, language) if target is None else target.when(hit, language)
+    target = target.otherwise(ROMANSH)
+    return F.struct(F.when(target == GERMAN, ROMANSH).otherwise(GERMAN).alias("source_lang"), target.alias("target_lang"))
 
 
-# Codes of Swiss German dialects.
-DIALECTS = {"ag": "Aargau", "be": "Bern", "bs": "Basel", "gr": "Graubünden", "lu": "Luzern", "sg": "St. Gallen", "vs": "Wallis", "zh": "Zürich"}
+# Names of Swiss German dialects by code.
+DIALECTS = {"ch_sg": "St. Gallen", "ch_be": "Bern", "ch_gr": "Graubünden", "ch_zh": "Zürich", "ch_vs": "Valais", "ch_bs": "Basel-Stadt", "ch_ag": "Aargau", "ch_lu": "Luzern"}
 
 
 def dialect_name(code: Column) -> Column:
     names = F.create_map(*[F.lit(x) for pair in DIALECTS.items() for x in pair])
-    return F.coalesce(F.try_element_at(names, F.lower(code)), code)
+    return F.coalesce(F.try_element_at(names, code), code)
 
 
 def swapped_roles(messages: Column) -> Column:
@@ -275,7 +349,7 @@ def swapped_roles(messages: Column) -> Column:
 
 def edge_thoughts(text: Column) -> Column:
     """Opening and closing think tags at the ends of a text removed."""
-    return strip(F.regexp_replace(text, r"(?i)^\s*<think\s*>|</think\s*>\s*$", ""))
+    return strip(F.regexp_replace(F.regexp_replace(text, r"(?i)^<think>\s*", ""), r"(?i)\s*</think>$", ""))
 
 
 def tagged_turns(text: Column, tags: dict[str, str]) -> Column:

@@ -25,15 +25,13 @@ def read_spec(path: str) -> dict[str, list[dict]]:
 
 
 def harmonise_metadata(df: DataFrame) -> DataFrame:
-    """Metadata of id and source alone become one number that follows from both;
-    metadata without an original id become 0; anything else stays."""
-    m = F.col("original_metadata")
-    own = F.pmod(F.xxhash64(m["id"], m["source"]), F.lit((1 << 63) - 1))
-    keys = F.array_sort(F.map_keys(m))
-    pair = keys == F.array(F.lit("id"), F.lit("source"))
-    number = F.when(F.coalesce(pair, F.lit(False)), own.cast("string")).otherwise("0")
-    kept = F.coalesce(F.map_contains_key(m, "original_id"), F.lit(False))
-    return df.withColumn("original_metadata", F.when(kept, m).otherwise(F.create_map(F.lit("original_id"), number)))
+    """Metadata with an id and a source become one number that follows from both, whatever else they hold;
+    other metadata without an original id become 0; anything else stays."""
+    m = F.coalesce(F.col("original_metadata"), empty_map())
+    number = F.pmod(F.xxhash64(F.concat(F.coalesce(m["id"], F.lit("")), F.coalesce(m["source"], F.lit("")))), F.lit((1 << 63) - 1)).cast("string")
+    pair = F.map_contains_key(m, "id") & F.map_contains_key(m, "source")
+    only = lambda x: F.create_map(F.lit("original_id"), x)
+    return df.withColumn("original_metadata", F.when(pair, only(number)).when(F.map_contains_key(m, "original_id"), m).otherwise(only(F.lit("0"))))
 
 
 def harmonise_functions(df: DataFrame) -> DataFrame:

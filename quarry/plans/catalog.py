@@ -154,12 +154,6 @@ def split_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filters.row_range(table(spark, sf_dir, "documents"), 15, 40, "doc_id").select("doc_id", "lang")
 
 
-@query("SELECT doc_id FROM documents WHERE NOT regexp_matches(text, 'MIT License|Apache License|\\.com')")
-def link_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = table(spark, sf_dir, "documents")
-    return d.where(~F.col("text").rlike("MIT License|Apache License|\\.com")).select("doc_id")
-
-
 # ---- splits -----------------------------------------------------------------
 
 
@@ -280,26 +274,6 @@ def prompts_only(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(F.split("conversation_id", "_")[1].cast("long").alias("conv_id"), F.col("initial_prompt.content").alias("prompt"))
 
 
-@query("""
-WITH k AS (SELECT conv_id, turn, text, CASE WHEN role = 'user' THEN 'human' WHEN (conv_id + turn) % 3 = 0 THEN 'function_call' ELSE 'gpt' END AS kind FROM conversations WHERE (conv_id + turn) % 7 <> 0),
-b AS (SELECT *, CASE WHEN kind = 'human' OR coalesce(lag(kind) OVER (PARTITION BY conv_id ORDER BY turn), 'human') = 'human' THEN 1 ELSE 0 END AS begins FROM k),
-g AS (SELECT *, sum(begins) OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS turn_no FROM b)
-SELECT conv_id, CAST(turn_no AS INTEGER) AS turn, CASE WHEN min(kind) = 'human' THEN 'user' ELSE 'assistant' END AS role, CAST(count(*) AS INTEGER) AS items FROM g GROUP BY conv_id, turn_no
-""")
-def turn_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = table(spark, sf_dir, "conversations").where((F.col("conv_id") + F.col("turn")) % 7 != 0)
-    kind = F.when(F.col("role") == "user", "human").when((F.col("conv_id") + F.col("turn")) % 3 == 0, "function_call").otherwise("gpt")
-    d = convert.gather_turns(c.withColumn("role", kind))
-    d = d.select("conv_id", F.transform("messages", lambda x: F.struct(x["role"].alias("from"), x["content"].alias("value"))).alias("conversations"))
-    return convert.grouped_turns(d, keys=["conv_id"]).select("conv_id", "turn", "role", F.size("items").alias("items"))
-
-
-@query("""SELECT i AS doc_id, CASE WHEN k IN ('list', 'array') THEN 'array' ELSE k END AS kind FROM (SELECT doc_id AS i, CASE doc_id % 6 WHEN 0 THEN 'string' WHEN 1 THEN 'array' WHEN 2 THEN 'object' WHEN 3 THEN 'integer' WHEN 4 THEN 'number' ELSE 'string' END AS k FROM documents)""")
-def xlam_types(spark: SparkSession, sf_dir: str) -> DataFrame:
-    name = F.element_at(F.array(*map(F.lit, ("str, optional", "List[int]", "Dict[str, int], optional", "int", "float", "Widget"))), (F.col("doc_id") % 6 + 1).cast("int"))
-    return table(spark, sf_dir, "documents").select("doc_id", convert.xlam_type(name).alias("kind"))
-
-
 # ---- annotation -------------------------------------------------------------
 
 WORDS = ("the", "der", "une", "para", "License")
@@ -600,34 +574,6 @@ def call_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "p.type", "p.name", "p.content")
 
 
-@query("""SELECT doc_id, 'Find x.' || chr(10) || chr(10) || lang AS problem, 'x is ' || doc_id AS solution, CAST(CASE WHEN doc_id % 5 = 0 THEN false ELSE true END AS BOOLEAN) AS keep FROM documents""")
-def math_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = table(spark, sf_dir, "documents")
-    problem = F.concat(F.lit("# Task\nProblem 12. Find   x.\n\n\n\n"), F.col("lang"), F.lit("  "))
-    solution = F.concat(F.lit("Solution: x  is "), F.col("doc_id").cast("string"))
-    answer = F.when(F.col("doc_id") % 5 == 0, "NotFound").otherwise("1")
-    return d.select("doc_id", convert.math_prompt(problem).alias("problem"), convert.math_solution(solution).alias("solution"), convert.math_keep(problem, solution, answer).alias("keep"))
-
-
-@query("SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN 'response' ELSE 'thought,response' END AS kinds, CASE WHEN doc_id % 2 = 0 THEN 's ' || lang ELSE 'The answer is: 4' END AS last FROM documents")
-def math_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    kind = F.when(F.col("doc_id") % 2 == 0, "proof").otherwise("math-word-problem")
-    parts = convert.math_parts(F.concat(F.lit("s "), F.col("lang")), F.lit("4"), kind)
-    return table(spark, sf_dir, "documents").select("doc_id", F.array_join(F.transform(parts, lambda x: x["type"]), ",").alias("kinds"), F.element_at(parts, -1)["content"].alias("last"))
-
-
-@query()
-def stated_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select("doc_id", convert.stated_answer(F.col("lang"), F.col("doc_id")).alias("answer"))
-
-
-@query("SELECT doc_id, ['german-to-romansh', 'romansh-to-german', 'unknown'][doc_id % 3 + 1] AS direction, ['Bern', 'Zürich', 'xx'][doc_id % 3 + 1] AS dialect FROM documents")
-def directions_and_dialects(spark: SparkSession, sf_dir: str) -> DataFrame:
-    at = (F.col("doc_id") % 3 + 1).cast("int")
-    text = F.element_at(F.array(*map(F.lit, ("Translate from German to Romansh", "Romansh to Deutsch please", "hello"))), at)
-    return table(spark, sf_dir, "documents").select("doc_id", convert.translation_direction(text).alias("direction"), convert.dialect_name(F.element_at(F.array(*map(F.lit, ("BE", "zh", "xx"))), at)).alias("dialect"))
-
-
 @query("SELECT conv_id, turn, CASE role WHEN 'user' THEN 'assistant' WHEN 'assistant' THEN 'user' ELSE role END AS role FROM conversations")
 def swapped_roles(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = table(spark, sf_dir, "conversations").select("conv_id", "turn", F.array(F.struct("role", F.col("text").alias("content"))).alias("m"))
@@ -649,15 +595,6 @@ def harmonised(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(F.col("initial_prompt.content").cast("long").alias("doc_id"), F.col("conversation_branches")[0]["messages"][0]["parts"][0]["content"].alias("content"), F.size("available_functions").alias("n_functions"))
 
 
-@query("SELECT doc_id, CASE doc_id % 3 WHEN 0 THEN 'kept' WHEN 1 THEN 'number' ELSE '0' END AS kind FROM documents")
-def harmonised_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
-    at = F.col("doc_id") % 3
-    meta = F.when(at == 0, F.create_map(F.lit("original_id"), F.lit("kept"))).when(at == 1, F.create_map(F.lit("id"), F.col("doc_id").cast("string"), F.lit("source"), F.col("source"))).otherwise(F.create_map(F.lit("x"), F.lit("y")))
-    out = mixture.harmonise_metadata(table(spark, sf_dir, "documents").withColumn("original_metadata", meta))
-    v = F.col("original_metadata")["original_id"]
-    return out.select("doc_id", F.when(v.isin("kept", "0"), v).otherwise("number").alias("kind"))
-
-
 @query(f"WITH {TURNS} SELECT conversation_id, prompt AS answer FROM h WHERE trim(prompt) <> ''")
 def prompt_tasks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return annotate.prompt_tasks(records(spark, sf_dir)).select("conversation_id", "answer")
@@ -747,19 +684,6 @@ def schema_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---- without SQL ------------------------------------------------------------
 
 
-@query()
-def boxed_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = table(spark, sf_dir, "documents").select("doc_id", F.concat(F.col("text"), F.lit(" \\boxed{a_{1}} and \\boxed{"), F.col("lang"), F.lit("}")).alias("t"))
-    x = T.boxed("t")
-    return d.select("doc_id", x["text"].alias("text"), F.array_join(x["answers"], "|").alias("answers"))
-
-
-@query()
-def fence_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = table(spark, sf_dir, "documents").select("doc_id", F.concat(F.col("text"), F.lit("\n```python\nprint(1)\n```\n```output\n1\n```\n"), F.col("lang")).alias("t"))
-    return d.select("doc_id", F.posexplode(T.fences("t")).alias("n", "p")).select("doc_id", "n", "p.type", "p.content", "p.name", "p.args")
-
-
 @query()
 def language_annotate(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = annotate.annotate_language(table(spark, sf_dir, "documents"), F.col("text"))
@@ -787,26 +711,12 @@ def refusal_classify(spark: SparkSession, sf_dir: str) -> DataFrame:
     return annotate.classify(tasks, annotate.LABELS["refusal"], lambda q, a: "refusal" if "est" in a.split() else "no_refusal")
 
 
-@query()
-def tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tools = '[{"name": "f", "description": "d", "parameters": {"x": {"type": "int, optional", "description": "n", "default": "1"}}}]'
-    d = table(spark, sf_dir, "documents").select(F.col("lang").alias("query"), F.lit(tools).alias("tools"), F.format_string('[{"name": "f", "arguments": {"x": %d}}]', "doc_id").alias("answers"), "doc_id")
-    out = convert.xlam(d, "x/lam", key=F.col("doc_id").cast("string"))
-    return out.select("conversation_id", F.col("available_functions")[0]["parameters"].alias("parameters"), F.col("conversation_branches")[0]["messages"][0]["parts"][0]["args"].alias("args"))
-
-
 @query()
 def repaired_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.concat(F.lit('said: {"a": "'), F.col("lang"), F.lit('", "b": [1, 2,],} end'))
     return table(spark, sf_dir, "documents").select("doc_id", F.get_json_object(T.repair_json(text), "$.a").alias("a"))
 
 
-@query()
-def json_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
-    text = F.concat(F.lit('x {"name": "f", "p": {"q": 1}} {"other": 2} '), F.col("lang"))
-    return table(spark, sf_dir, "documents").select("doc_id", F.explode(T.json_objects(text)).alias("object"))
-
-
 @query("SELECT split, count(*) AS rows FROM (SELECT 'set' || (doc_id % 3) AS split FROM documents) GROUP BY split")
 def split_info(spark: SparkSession, sf_dir: str) -> DataFrame:
     return io.describe(docs(spark, sf_dir), "split")

@@ -1,6 +1,6 @@
 import pytest
 
-from quarry.plans import catalog
+from quarry.plans import catalog, converters
 from tests.oracle import answers, rows
 
 
@@ -32,7 +32,7 @@ def documents(spark, tmp_path, texts):
 def test_boxed_extract_reads_whole_texts(spark, tmp_path):
     start = "words before the part that matters, over forty characters "
     at = documents(spark, tmp_path, [start + "\\boxed{x^{2}} end", start * 50 + "\\boxed{7}"])
-    got = {r.doc_id: r for r in catalog.boxed_extract(spark, at).collect()}
+    got = {r.doc_id: r for r in converters.boxed_extract(spark, at).collect()}
     assert [got[i].answers for i in (0, 1)] == ["x^{2}|a_{1}|en", "7|a_{1}|en"]
     assert all(len(got[i].text) > len(start * (1 + 49 * i)) for i in (0, 1))
 
@@ -40,6 +40,6 @@ def test_boxed_extract_reads_whole_texts(spark, tmp_path):
 def test_fence_split_reads_whole_texts(spark, tmp_path):
     start = "words before the part that matters, over forty characters"
     at = documents(spark, tmp_path, [start + "\n```python\nx = 1\n```\nmore"])
-    got = [r.content or "" for r in catalog.fence_split(spark, at).orderBy("n").collect()]
+    got = [r.content or "" for r in converters.fence_split(spark, at).orderBy("n").collect()]
     assert any(start in x for x in got) and any("more" in x for x in got)
-    assert len(got) > len(catalog.fence_split(spark, documents(spark, tmp_path / "b", [start])).collect())
+    assert len(got) > len(converters.fence_split(spark, documents(spark, tmp_path / "b", [start])).collect())
