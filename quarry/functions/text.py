@@ -16,12 +16,16 @@ from quarry.model import strip
 from quarry.session import ship
 
 
-def lazy_udf(kind: str) -> Callable:
+def lazy_udf(kind: str, own_step: bool = False) -> Callable:
     """A pandas UDF that is made when it is first used in an application: types need a session, and
-    workers need the package."""
+    workers need the package.
+
+    With ``own_step`` Spark keeps the call in a projection of its own, so that its result can be
+    used within a lambda, where Python functions can't be called."""
 
     def wrap(f: Callable) -> Callable:
-        made = cache(lambda _: F.pandas_udf(f, kind))
+        plain = lambda: F.pandas_udf(f, kind)
+        made = cache(lambda _: plain().asNondeterministic() if own_step else plain())
 
         def column(*columns: Column | str) -> Column:
             context = ship(SparkSession.active()).sparkContext
@@ -141,6 +145,12 @@ def boxed(texts: pd.Series) -> pd.DataFrame:
     return pd.DataFrame(rows, columns=["text", "answers"])
 
 
+@lazy_udf("array<struct<text:string,answers:array<string>>>", own_step=True)
+def boxed_each(texts: pd.Series) -> pd.Series:
+    """:func:`boxed` for every item of an array."""
+    return texts.map(lambda xs: None if xs is None else [dict(zip(("text", "answers"), unbox(t) if t else (t, []), strict=True)) for t in xs])
+
+
 _FENCE = re.compile(r"```([A-Za-z0-9_-]+)\s*\n(.*?)```", re.S)
 
 
@@ -172,6 +182,12 @@ def fences(texts: pd.Series) -> pd.Series:
     return texts.map(fenced_parts)
 
 
+@lazy_udf("array<array<struct<type:string,content:string,name:string,args:string>>>", own_step=True)
+def fences_each(texts: pd.Series) -> pd.Series:
+    """:func:`fences` for every item of an array."""
+    return texts.map(lambda xs: None if xs is None else [fenced_parts(t) for t in xs])
+
+
 _STRING_OR_BRACE = re.compile(r'"(?:\\.|[^"\\])*(?:"|$)|[{}]', re.S)
 
 

@@ -6,11 +6,11 @@ from collections.abc import Callable, Iterator
 from difflib import SequenceMatcher
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.model import strip
-from quarry.session import spread
+from quarry.session import ship, spread
 
 
 def words(text: Column) -> Column:
@@ -25,21 +25,47 @@ def ngrams(tokens: Column, n: int, last: bool = False) -> Column:
     return F.when(most > 0, F.array_distinct(found)).otherwise(F.array().cast("array<string>"))
 
 
-def shared_grams(train: DataFrame, bench: DataFrame, *, n: int = 8, last: bool = False, tokenise: Callable[[Column], Column] = words) -> DataFrame:
+#: Rows, each about a hundred bytes, that are sent to all tasks; and hashes of eight bytes.
+MOST_ROWS, MOST_HASHES = 500_000, 16_000_000
+
+
+def _at_most(df: DataFrame, rows: int) -> bool:
+    return df.limit(rows + 1).count() <= rows
+
+
+def _grams(df: DataFrame, keys: list[str], n: int, last: bool, tokenise: Callable[[Column], Column]) -> DataFrame:
+    # The tokens are a column of their own, or each gram would tokenise its text again.
+    tokens = df.select(*keys, tokenise(F.col("text")).alias("tokens"))
+    return tokens.select(*keys, F.explode(ngrams(F.col("tokens"), n, last)).alias("gram")).withColumn("h", F.xxhash64("gram"))
+
+
+def with_known_grams(grams: DataFrame, known: DataFrame, most_hashes: int = MOST_HASHES) -> DataFrame:
+    """Rows of ``grams`` whose hash occurs in ``known``: a semi-join that is decided inside the task as long as the
+    hashes are few enough to be sent to all of them, so only what is left is ever shuffled."""
+    hashes = known.select("h").distinct()
+    return grams.join(F.broadcast(hashes) if _at_most(hashes, most_hashes) else hashes, "h", "left_semi")
+
+
+def shared_grams(train: DataFrame, bench: DataFrame, *, n: int = 8, last: bool = False, tokenise: Callable[[Column], Column] = words, most_rows: int = MOST_ROWS, most_hashes: int = MOST_HASHES) -> DataFrame:
     """(id, benchmark, eval_idx, grams): how many distinct n-grams each pair shares.
 
     ``train`` has (id, text), ``bench`` (benchmark, eval_idx, text).  Grams meet by hash
-    and are then compared, so a collision makes no pair.  Which side is sent to
-    all tasks is left to Spark, which knows the sizes.
+    and are then compared, so a collision makes no pair.  Benchmarks of at most ``most_rows`` grams go to all
+    tasks, where the train texts' grams are made and dropped again without a shuffle.  Of larger ones the hashes go first
+    (up to ``most_hashes``), and what they let through meets the grams in a shuffled join.
     """
+    left, right = _grams(spread(train), ["id"], n, last, tokenise), _grams(bench, ["benchmark", "eval_idx"], n, last, tokenise)
+    if _at_most(right, most_rows):
+        met = left.join(F.broadcast(right), ["h", "gram"])
+    else:
+        met = with_known_grams(left, right, most_hashes).join(right, ["h", "gram"])
+    return met.groupBy("id", "benchmark", "eval_idx").agg(F.count(F.lit(1)).alias("grams"))
 
-    def grams(df: DataFrame, *keys: str) -> DataFrame:
-        # The tokens are a column of their own, or each gram would tokenise its text again.
-        tokens = df.select(*keys, tokenise(F.col("text")).alias("tokens"))
-        return tokens.select(*keys, F.explode(ngrams(F.col("tokens"), n, last)).alias("gram")).withColumn("h", F.xxhash64("gram"))
 
-    left, right = grams(spread(train), "id"), grams(bench, "benchmark", "eval_idx")
-    return left.join(right, ["h", "gram"]).groupBy("id", "benchmark", "eval_idx").agg(F.count(F.lit(1)).alias("grams"))
+def candidates_only(train: DataFrame, bench: DataFrame, *, n: int = 8, last: bool = False, tokenise: Callable[[Column], Column] = words) -> DataFrame:
+    """Rows of ``train`` that share an n-gram with any benchmark: what the other steps need to look at."""
+    hits = with_known_grams(_grams(spread(train), ["id"], n, last, tokenise), _grams(bench, [], n, last, tokenise)).select("id").distinct()
+    return train.join(hits, train["id"].eqNullSafe(hits["id"]), "left_semi")
 
 
 def match_ratio(train: list[str], evaluation: list[str], least: int = 5) -> float:
@@ -61,6 +87,7 @@ def verify(candidates: DataFrame, train: DataFrame, bench: DataFrame, *, thresho
             yield rows.loc[good, ["benchmark", "id", "eval_idx"]]
 
     kind = dict(pairs.dtypes)
+    ship(pairs.sparkSession)  # the function below names its module
     hits = pairs.mapInPandas(confirm, f"benchmark string, id {kind['id']}, eval_idx {kind['eval_idx']}")
     return hits.groupBy("benchmark", "id").agg(F.min("eval_idx").alias("eval_idx"))
 
@@ -98,6 +125,31 @@ def subset(bench: DataFrame, names: list[str] | None = None, start: int | None =
     return bench.where(F.col("benchmark").isin(*known[start:end]))
 
 
+def named(bench: DataFrame, names: list[str]) -> tuple[DataFrame, list[str]]:
+    """The benchmarks of a list, and the names in it that no benchmark has."""
+    wanted = list(dict.fromkeys(x.strip() for n in names for x in n.split(",") if x.strip()))
+    known = {r.benchmark for r in bench.where(F.col("benchmark").isin(*wanted)).select("benchmark").distinct().collect()}  # benchmark names
+    return bench.where(F.col("benchmark").isin(*known)), [n for n in wanted if n not in known]
+
+
+def job_chunks(bench: DataFrame, chunk: int) -> DataFrame:
+    """(benchmark, job): benchmarks in the order of their names, ``chunk`` to a job."""
+    place = F.row_number().over(Window.orderBy("benchmark")) - 1  # benchmark names only
+    return bench.select("benchmark").distinct().withColumn("job", F.floor(place / chunk).cast("int"))
+
+
+def write_reports(verified: DataFrame, path: str, *, overwrite: bool = False) -> DataFrame:
+    """Contaminated ids below ``path``, a folder for each benchmark; those that have one are left alone
+    unless ``overwrite``.  The reports there are afterwards."""
+    spark = verified.sparkSession
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    store = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    known = [s.getPath().getName().split("=", 1)[1] for s in store.listStatus(folder) if "=" in s.getPath().getName()] if store.exists(folder) else []
+    due = verified if overwrite else verified.where(~F.col("benchmark").isin(*known))
+    due.write.mode("append").option("partitionOverwriteMode", "dynamic").mode("overwrite").partitionBy("benchmark").parquet(path)
+    return spark.read.parquet(path)
+
+
 def prompt_text(prompt: Column, fields: list[str]) -> Column:
     """A prompt's text: its content, else its text; neither raises."""
     found = F.coalesce(*[prompt.getField(f) for f in ("content", "text") if f in fields])

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarry.functions.paths import nested_get, text_of
+from quarry.operators.split import row_numbers
 
 # Rules by dataset.
 DATASET_RULES: dict[str, dict] = {
@@ -111,12 +112,56 @@ def head(df: DataFrame, n: int, *order: Column | str) -> DataFrame:
 
 
 def row_range(df: DataFrame, start: int, end: int, *order: str) -> DataFrame:
-    """Rows ``start`` to ``end`` - 1 in ``order``: the first ``end`` are taken as a
-    top-n, so only those meet in one task."""
+    """Rows ``start`` to ``end`` - 1 in ``order``, by numbers that no single task gives."""
     if not 0 <= start < end:
         raise ValueError("a range needs 0 <= start < end")
-    taken = df.orderBy(*order).limit(end)
-    return taken.withColumn("_n", F.row_number().over(Window.orderBy(*order)) - 1).where(F.col("_n") >= start).drop("_n")
+    return row_numbers(df, *order).where(F.col("n").between(start, end - 1)).select(*df.columns)
+
+
+def browse(df: DataFrame, path: str | None = None, include: Sequence[str] = (), exclude: Sequence[str] = ()) -> DataFrame:
+    """Rows whose value at ``path``, as text, isn't excluded and, if any are named, is included."""
+    if not path:
+        return df
+    value = text_of(nested_get(df, path))
+    out = df.where(~value.isin(*exclude)) if exclude else df
+    return out.where(value.isin(*include)) if include else out
+
+
+def written_by(model: str) -> Callable[[Column], Column]:
+    """Whether a part is a response of the model."""
+    return lambda p: F.coalesce((p["type"] == "response") & (p["metadata"]["model"] == model), F.lit(False))
+
+
+def model_completion(branches: Column, model: str) -> Column:
+    """The first response of the model in the assistant's messages of all branches; null if there is none."""
+    said = F.flatten(F.flatten(F.transform(branches, lambda b: F.transform(F.filter(b["messages"], lambda m: m["role"] == "assistant"), lambda m: m["parts"]))))
+    return F.try_element_at(F.filter(said, written_by(model)), F.lit(1))["content"]
+
+
+def model_branch(branches: Column, model: str) -> Column:
+    """The first branch in which the model answers, as an array of one or none."""
+    has = lambda b: F.exists(b["messages"], lambda m: (m["role"] == "assistant") & F.exists(m["parts"], written_by(model)))
+    return F.slice(F.filter(branches, has), 1, 1)
+
+
+def target_gate(df: DataFrame, model: str, least: float, *, order: Sequence[Column], longest: int | None = None, most: int | None = None, field: str = "complexity_x_quality") -> DataFrame:
+    """Records scored at least ``least`` by the model, with its branch alone; others go.
+
+    The score stands in the prompt's metadata under ``complexity_classification.<model>``, as JSON.
+    """
+    score = F.get_json_object(F.col("initial_prompt.metadata")[f"complexity_classification.{model}"], f"$.{field}")
+    rows = df.withColumn("_b", model_branch(F.col("conversation_branches"), model)).where(F.size("_b") == 1)
+    text = F.coalesce(model_completion(F.col("_b"), model), F.lit(""))
+    told = F.struct(score.try_cast("double").alias("score"), F.lit(model).alias("model"), F.size("conversation_branches").alias("original_branch_count"), F.length(text).alias("completion_length"))
+    rows = rows.withColumn("filter_metadata", told)
+    kept = quality_gate(rows, score, least, order=order, length=F.col("filter_metadata.completion_length"), longest=longest, most=most)
+    return kept.withColumn("conversation_branches", F.col("_b")).drop("_b")
+
+
+def gate_stats(df: DataFrame) -> DataFrame:
+    """One row: least, largest and mean score and length of what a gate kept."""
+    of = lambda f, c: f(F.col(f"filter_metadata.{c}"))
+    return df.agg(*[of(f, c).alias(f"{n}_{s}") for c, s in (("score", "score"), ("completion_length", "length")) for f, n in ((F.min, "min"), (F.max, "max"), (F.avg, "avg"))])
 
 
 def valid_completions(df: DataFrame, array_col: str, least: int, *, scored: bool = False) -> DataFrame:

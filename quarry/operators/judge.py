@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quarry.session import ship
+
 EMPTY = "[EMPTY RESPONSE]"
 
 # ---- parsing ----------------------------------------------------------------
@@ -64,6 +66,25 @@ def expected_score(top: Column, low: int = 1, high: int = 9) -> Column:
     return F.try_divide(F.aggregate(scale, F.lit(0.0), lambda a, x: a + F.exp(x["logprob"]) * F.trim(x["token"]).cast("double")), mass)
 
 
+def scored_token(tokens: Column, low: int = 1, high: int = 9) -> Column:
+    """The first of the answer's tokens (token, top) after any thinking that is on the scale; null if none is."""
+    start = F.struct(F.lit(False).alias("thinking"), F.lit(None).cast("int").alias("at"), F.lit(0).alias("n"))
+
+    def step(s: Column, t: Column) -> Column:
+        word = F.trim(t["token"])
+        thinking = F.when(word == "<think>", True).when(word == "</think>", False).otherwise(s["thinking"])
+        hit = s["at"].isNull() & ~thinking & F.coalesce(word.try_cast("int").between(low, high) & word.rlike("^[0-9]+$"), F.lit(False))
+        return F.struct(thinking.alias("thinking"), F.when(hit, s["n"]).otherwise(s["at"]).alias("at"), (s["n"] + 1).alias("n"))
+
+    return F.try_element_at(tokens, F.aggregate(tokens, start, step)["at"] + 1)
+
+
+def token_score(tokens: Column, low: int = 1, high: int = 9, *, modal: bool = False) -> Column:
+    """The score of that token, or its mean under the token's alternatives."""
+    token = scored_token(tokens, low, high)
+    return F.trim(token["token"]).try_cast("double") if modal else expected_score(token["top"], low, high)
+
+
 def winner_letter(text: Column, field: str = "winner") -> Column:
     """One letter from the outermost braces of an answer, upper-cased; else null."""
     said = F.upper(F.trim(F.get_json_object(F.regexp_extract(text, r"(?s)\{.*\}", 0), f"$.{field}")))
@@ -127,6 +148,21 @@ def list_prompt(instructions: Column, question: Column, items: Column, order: Co
     return F.concat(instructions, F.lit("\n\n"), question, F.lit("\n\n"), labelled_block(shown))
 
 
+def score_prompt(instructions: Column, question: Column, content: Column, *, low: int = 1, high: int = 9, thinking: bool = False) -> Column:
+    """The question for one completion's label on a scale; an answer without thinking starts after LABEL."""
+    # The wording of the prompt.
+    scale = f"Based on these quality indicators, label the following completion on a scale from {low} to {high}, where {high} is best and {low} is worst."
+    plain, rule = "Do not use any reasoning and respond with only the quality label.", "======"
+    lines = [instructions, F.lit(""), F.lit(scale), F.lit(plain), F.lit(rule), F.concat(F.lit("QUESTION: "), question), F.lit(""), F.lit(rule), F.concat(F.lit("COMPLETION: "), content), F.lit(rule)]
+    return F.concat_ws("\n", *lines, *([] if thinking else [F.lit("LABEL: ")]))
+
+
+def winner_completion(letter: Column, order: Column, ids: Column) -> Column:
+    """(id, place): the completion shown under a letter, and the place from 1 where it was shown; null beyond the last."""
+    place = F.when(letter_place(letter).between(1, F.size(order)), letter_place(letter))
+    return F.struct(F.try_element_at(ids, F.try_element_at(order, place)).alias("id"), place.alias("place"))
+
+
 def shown_order(key: Column, ordering: Column, n: int) -> Column:
     """A permutation of 1..n that follows from key and ordering."""
     ranked = F.array_sort(F.transform(F.sequence(F.lit(1), F.lit(n)), lambda i: F.struct(F.xxhash64(key, ordering, i).alias("h"), i.alias("i"))))
@@ -185,6 +221,108 @@ def top_hits(df: DataFrame, by: list[str], truth: str, predicted: str, index: st
     return best.groupBy(*by).agg(F.count(F.when((F.col("_t") <= k) & (F.col(predicted) > F.col("_n") - k), 1)).alias("hits"))
 
 
+def array_ranks(values: Column) -> Column:
+    """Ranks of a short array's items from 1, equal items their mean rank."""
+    less = lambda x: F.size(F.filter(values, lambda y: y < x))
+    same = lambda x: F.size(F.filter(values, lambda y: y == x))
+    return F.transform(values, lambda x: less(x) + (same(x) + 1) / 2.0)
+
+
+def array_pearson(a: Column, b: Column) -> Column:
+    total = lambda xs: F.aggregate(xs, F.lit(0.0), lambda s, x: s + x)
+    n, product = F.size(a), lambda x, y: total(F.zip_with(x, y, lambda p, q: (p * q).cast("double")))
+    spread = lambda x: n * product(x, x) - total(x) * total(x)
+    return F.try_divide(n * product(a, b) - total(a) * total(b), F.sqrt(spread(a) * spread(b)))
+
+
+def array_spearman(a: Column, b: Column) -> Column:
+    return array_pearson(array_ranks(a), array_ranks(b))
+
+
+def array_kendall(a: Column, b: Column) -> Column:
+    """Kendall's tau-b of two short arrays."""
+    signs = lambda xs: F.transform(item_pairs(xs), lambda p: F.signum((F.get(xs, p["i"]) - F.get(xs, p["j"])).cast("double")))
+    x, y = signs(a), signs(b)
+    total = lambda xs: F.aggregate(xs, F.lit(0.0), lambda s, v: s + v)
+    decided = lambda xs: total(F.transform(xs, lambda v: F.abs(v)))
+    return F.try_divide(total(F.zip_with(x, y, lambda p, q: p * q)), F.sqrt(decided(x) * decided(y)))
+
+
+def best_places(truth: Column, k: int = 3) -> Column:
+    """Places from 0 of the ``k`` largest items, earlier ones first among equals."""
+    placed = F.array_sort(F.transform(truth, lambda x, i: F.struct((-x).alias("x"), i.alias("i"))))
+    return F.slice(F.transform(placed, lambda p: p["i"]), 1, k)
+
+
+def judged_ranking(df: DataFrame, answer: Column, order: Column, truth: Column, *, n: int = 9, k: int = 3) -> DataFrame:
+    """``df`` with (success, error, predicted, spearman, kendall, top3): an answer's ranking, brought
+    back from the order shown (from 1) and held against the truth; without a valid ranking there is only the error."""
+    error = ranking_error(answer, n)
+    predicted = F.when(error.isNull(), back_to_items(ranking_numbers(answer), order))
+    rows = df.withColumn("error", error).withColumn("success", error.isNull()).withColumn("predicted", predicted)
+    hits = F.size(F.filter(best_places(truth, k), lambda i: F.get(F.col("predicted"), i) > n - k))
+    done = F.col("predicted").isNotNull()
+    return rows.withColumns({"spearman": F.when(done, array_spearman(truth, F.col("predicted"))), "kendall": F.when(done, array_kendall(truth, F.col("predicted"))), "top3": F.when(done, hits)})
+
+
+def judged_scores(df: DataFrame, scores: Column, truth: Column, *, ties: bool = False, k: int = 3) -> DataFrame:
+    """``df`` with (success, error, spearman, kendall, top3) of one score a completion.
+
+    The first score that is missing fails the row; equal scores all over do so too unless ``ties``.
+    """
+    missing = F.array_position(F.transform(scores, lambda x: x.isNull()), True)
+    same = F.size(F.array_distinct(scores)) == 1
+    error = F.when(missing > 0, F.concat(F.lit("Failed to parse valid score for "), (missing - 1).cast("string")))
+    error = error if ties else error.when(same, "All predicted scores identical, correlation undefined")
+    rows = df.withColumn("error", error).withColumn("success", F.col("error").isNull())
+    place = lambda i: F.array_position(F.transform(F.array_sort(F.transform(scores, lambda x, j: F.struct((-x).alias("x"), j.alias("j")))), lambda p: p["j"]), i)
+    hits = F.size(F.filter(best_places(truth, k), lambda i: place(i) <= k))
+    done = lambda c: F.when(F.col("success"), c)
+    return rows.withColumns({"spearman": done(array_spearman(truth, scores)), "kendall": done(array_kendall(truth, scores)), "top3": done(hits)})
+
+
+def degraded_answer(text: Column) -> Column:
+    """(completion, reasoning) of an answer in two marked parts; without the marks it is the completion."""
+    marked = text.contains("REASONING:") & text.contains("COMPLETION:")
+    pieces = F.split(text, "COMPLETION:")
+    strip_ = lambda c: F.regexp_replace(c, r"^\s+|\s+$", "")
+    return F.struct(F.when(marked, strip_(pieces[1])).otherwise(text).alias("completion"), F.when(marked, strip_(F.replace(pieces[0], F.lit("REASONING:"), F.lit("")))).otherwise("Format not followed correctly").alias("reasoning"))
+
+
+def degradation_history(completions: Column, reasonings: Column, most: int = 500) -> Column:
+    """What the model is shown of the steps so far, each completion cut to ``most`` characters."""
+    short = lambda c: F.when(F.length(c) > most, F.concat(F.substring(c, 1, most), F.lit("..."))).otherwise(c)
+    lines = F.transform(completions, lambda c, i: F.concat(F.when(i == 0, "ORIGINAL COMPLETION:\n").otherwise(F.concat(F.lit("ITERATION "), i.cast("string"), F.lit(" (Previous Reasoning: "), F.coalesce(F.get(reasonings, i - 1), F.lit("")), F.lit("):\n"))), short(c), F.lit("\n\n")))
+    return F.array_join(lines, "")
+
+
+def degrade(samples: DataFrame, ask: Callable[[str], str], steps: int, path: str, template: str) -> DataFrame:
+    """Samples (key columns, question, completions, reasonings) after ``steps`` answers of the model, each worse than the last.
+
+    ``template`` has places {question}, {history} and {latest}.  Every step is a table below ``path``; a run that
+    finds some of them goes on from there, so neither a lost executor nor a lost driver asks a question twice.
+    """
+    spark = ship(samples.sparkSession)
+    now = samples.withColumn("iteration", F.lit(0))
+    for k in range(1, steps + 1):
+        at = f"{path}/step={k}"
+        folder = spark._jvm.org.apache.hadoop.fs.Path(f"{at}/_SUCCESS")
+        if not folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
+            asked = now.withColumn("_h", degradation_history(F.col("completions"), F.col("reasonings"))).withColumn("_q", F.element_at("completions", -1))
+
+            def answers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+                for b in batches:
+                    said = [ask(template.format(question=q, history=h, latest=t)) for q, h, t in zip(b["question"], b["_h"], b["_q"], strict=True)]
+                    yield b.assign(_a=said)
+
+            shape = asked.withColumn("_a", F.lit("")).schema
+            done = asked.mapInPandas(answers, shape).withColumn("_x", degraded_answer(F.col("_a")))
+            done = done.withColumns({"completions": F.concat("completions", F.array("_x.completion")), "reasonings": F.concat("reasonings", F.array("_x.reasoning")), "iteration": F.lit(k)})
+            done.select(*now.columns).write.mode("overwrite").parquet(at)
+        now = spark.read.schema(now.schema).parquet(at)
+    return now
+
+
 def odd_even(items: Sequence, better: Callable[[object, object], bool], *, quiet: int = 2, rounds: int | None = None) -> tuple[list[int], int]:
     """Odd-even transposition sort by a judge: (places of the items, best first; calls).
 
@@ -216,6 +354,7 @@ def rank_with_judge(df: DataFrame, key: str, index: str, text: str, better: Call
         order, _ = odd_even(rows[text].tolist(), better, quiet=quiet)
         return pd.DataFrame({key: rows[key].iloc[0], index: rows[index].to_numpy()[order], "place": range(1, len(order) + 1)})
 
+    ship(df.sparkSession)
     kinds = dict(df.dtypes)
     return df.select(key, index, text).groupBy(key).applyInPandas(one, f"{key} {kinds[key]}, {index} {kinds[index]}, place int")
 
@@ -330,6 +469,37 @@ def grouped_bias(df: DataFrame, *dimensions: str) -> DataFrame:
     return rows.groupBy("dimension", "value").agg(F.count(F.lit(1)).alias("n"), F.count_if("first_won").alias("first_wins"))
 
 
+def pair_bias(df: DataFrame) -> DataFrame:
+    """(dimension, value, total, first_wins, second_wins, first_percent) in one pass over comparisons.
+
+    ``df`` has winner, question_order, mode and both positions; the distance follows from these.
+    """
+    first, second = F.col("first_position"), F.col("second_position")
+    dims = {"all": F.lit("all"), "question_order": F.col("question_order"), "distance": F.abs(first - second), "first_position": first, "second_position": second, "mode": F.col("mode")}
+    cells = F.array(*[F.struct(F.lit(d).alias("dimension"), c.cast("string").alias("value")) for d, c in dims.items()])
+    rows = df.select("winner", F.explode(cells).alias("c")).select("winner", "c.*")
+    wins = lambda w: F.count_if(F.col("winner") == w)
+    out = rows.groupBy("dimension", "value").agg(F.count(F.lit(1)).alias("total"), wins("first_mentioned").alias("first_wins"), wins("second_mentioned").alias("second_wins"))
+    return out.withColumn("first_percent", F.bround(F.col("first_wins") * 100.0 / F.col("total"), 2))
+
+
+def pair_flags(bias: DataFrame) -> DataFrame:
+    """One row from :func:`pair_bias`: which side wins too often, and whether the question's order matters."""
+    at = lambda d, v, c: F.coalesce(F.max(F.when((F.col("dimension") == d) & (F.col("value") == v), c)), F.lit(0.0))
+    second = F.bround(F.col("second_wins") * 100.0 / F.col("total"), 2)
+    share = F.col("first_percent")
+    sums = bias.agg(at("all", "all", share).alias("first"), at("all", "all", second).alias("second"), at("question_order", "original_order", share).alias("original"), at("question_order", "reversed_order", share).alias("reversed"))
+    effect = F.abs(F.col("original") - F.col("reversed"))
+    direction = F.when(F.col("first") > F.col("second"), "first_mentioned").when(F.col("second") > F.col("first"), "second_mentioned").otherwise("None")
+    return sums.select("first", "second", (F.abs(F.col("first") - F.col("second")) > 10).alias("biased"), direction.alias("direction"), effect.alias("order_effect"), (effect > 5).alias("order_matters"))
+
+
+def position_table(df: DataFrame, key: str, position: str, places: int) -> DataFrame:
+    """One row a sample, one column p1, p2, ... a place: how often it was chosen."""
+    wide = df.groupBy(key).pivot(position, list(range(1, places + 1))).count().na.fill(0)
+    return wide.select(key, *[F.col(str(k)).alias(f"p{k}") for k in range(1, places + 1)])
+
+
 def agreement(df: DataFrame, *columns: str) -> DataFrame:
     """One row: the percentage of rows on which each two columns agree."""
     pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i + 1 :]]

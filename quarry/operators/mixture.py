@@ -20,10 +20,25 @@ def concatenate(*frames: DataFrame, missing: bool = False) -> DataFrame:
 
 
 def read_spec(path: str) -> dict[str, list[dict]]:
-    """name -> [{dataset_path, filters: [{field, values}]}]"""
+    """name -> [{dataset_path, filters: [{field, values}]} or {mixture: another name}]"""
     return yaml.safe_load(Path(path).read_text())
 
 
+def resolved(catalogue: Mapping[str, Sequence[Mapping]], name: str, above: tuple[str, ...] = ()) -> list[dict]:
+    """The entries of a named mixture, references to other mixtures replaced by theirs.
+
+    An entry's own filters hold for all that a reference stands for.  A mixture that contains itself raises.
+    """
+    if name in above:
+        raise ValueError(f"mixtures contain each other: {' > '.join((*above, name))}")
+    out = []
+    for entry in catalogue[name]:
+        own = list(entry.get("filters") or [])
+        inner = resolved(catalogue, entry["mixture"], (*above, name)) if "mixture" in entry else [dict(entry, filters=[])]
+        out += [dict(e, filters=[*(e.get("filters") or []), *own]) for e in inner]
+    return out
+
+
 def harmonise_metadata(df: DataFrame) -> DataFrame:
     """Metadata with an id and a source become one number that follows from both, whatever else they hold;
     other metadata without an original id become 0; anything else stays."""

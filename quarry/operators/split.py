@@ -9,17 +9,29 @@ from quarry.functions.paths import nested_get, text_of
 from quarry.functions.text import file_name
 
 
+def cut_keys(df: DataFrame, order: list[str], groups: int, each: int = 50) -> list[Column]:
+    """At most ``groups`` - 1 keys that cut ``df`` into ranges of about equal size.
+
+    The keys, of any type that can be sorted, are those of ``groups`` x ``each`` rows drawn by their hash.
+    All columns of the key count, so rows that share the first one can be cut apart, too.
+    """
+    key = F.struct(*order)
+    drawn = df.select(key.alias("k")).orderBy(F.xxhash64("k"), "k").limit(groups * each).orderBy("k").collect()  # bounded
+    kinds = dict(df.dtypes)
+    literal = lambda row: F.struct(*[F.lit(row[c]).cast(kinds[c]).alias(c) for c in order])
+    return [literal(r.k) for r in drawn[each::each]]
+
+
 def row_numbers(df: DataFrame, *order: str, by: list[str] = (), groups: int = 64) -> DataFrame:
     """``df`` with ``n`` (from 0) in the order of a unique key, within ``by`` if given.
 
-    Without a single sort in one task: rows are dealt into ranges of the first key,
+    Without a single sort in one task: rows are dealt into ranges of the key, whatever its type,
     numbered within a range, and shifted by the rows of the ranges before, whose
     counts are a table of ``groups`` rows.
     """
-    first = F.col(order[0])
-    cuts = df.stat.approxQuantile(order[0], [k / groups for k in range(1, groups)], 0.001) if dict(df.dtypes)[order[0]] in ("bigint", "int", "double") else []
-    cuts = sorted(set(cuts))
-    ranged = df.withColumn("_g", sum((F.when(first > c, 1).otherwise(0) for c in cuts), F.lit(0)))
+    key = F.struct(*order)
+    above = [F.when(key > cut, 1).otherwise(0) for cut in cut_keys(df, list(order), groups)]
+    ranged = df.withColumn("_g", sum(above, F.lit(0)))
     within = F.row_number().over(Window.partitionBy(*by, "_g").orderBy(*order)) - 1
     counts = ranged.groupBy(*by, "_g").agg(F.count(F.lit(1)).alias("_c"))
     earlier = counts.withColumn("_o", F.coalesce(F.sum("_c").over(Window.partitionBy(*by).orderBy("_g").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("_c")

@@ -66,6 +66,11 @@ def ngram_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
     return overlaps(spark, sf_dir)
 
 
+@query(f"WITH {GRAMS} SELECT DISTINCT id FROM overlap")
+def gram_prefilter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.candidates_only(train_texts(spark, sf_dir), bench_texts(spark, sf_dir)).select("id")
+
+
 @query(f"WITH {GRAMS} SELECT benchmark, count(DISTINCT id) AS contaminated FROM overlap GROUP BY benchmark")
 def contamination_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.report(overlaps(spark, sf_dir))
@@ -232,11 +237,11 @@ def message_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records(spark, sf_dir).select("conversation_id", annotate.message_count().alias("n"))
 
 
-PAIRS = "(SELECT doc_id, split_part(text, '.', 1) AS q, CASE WHEN doc_id % 4 = 0 THEN '' ELSE lang END AS extra, left(text, 40) AS a FROM documents)"
+PAIRS = "(SELECT doc_id, text AS q, CASE WHEN doc_id % 4 = 0 THEN '' ELSE lang END AS extra, source || ': ' || text AS a FROM documents)"
 
 
 def doc_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select("doc_id", F.substring_index("text", ".", 1).alias("q"), F.when(F.col("doc_id") % 4 == 0, "").otherwise(F.col("lang")).alias("extra"), F.substring("text", 1, 40).alias("a"))
+    return table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("q"), F.when(F.col("doc_id") % 4 == 0, "").otherwise(F.col("lang")).alias("extra"), F.concat("source", F.lit(": "), "text").alias("a"))
 
 
 @query(f"SELECT 'x_y_' || left(sha256(q || CASE WHEN extra = '' THEN '' ELSE chr(10) || chr(10) || extra END), 16) AS conversation_id, q || CASE WHEN extra = '' THEN '' ELSE chr(10) || chr(10) || extra END AS prompt, a AS answer FROM {PAIRS}")
@@ -303,7 +308,7 @@ def previous_user_message(spark: SparkSession, sf_dir: str) -> DataFrame:
     return annotate.previous_user(c, id_col="conv_id", order_col="turn", role_col="role", text_col="text").select("conv_id", "turn", "previous_user")
 
 
-WRAPPED = "CASE WHEN conv_id % 3 = 0 AND role = 'assistant' THEN '<think> ' || left(text, 20) || ' </THINK >' || text || '<think></think>' ELSE text END"
+WRAPPED = "CASE WHEN conv_id % 3 = 0 AND role = 'assistant' THEN '<think> ' || text || ' </THINK >' || text || '<think></think>' ELSE text END"
 
 
 @query(f"""WITH c AS (SELECT * REPLACE ({WRAPPED} AS text) FROM conversations WHERE role = 'assistant'),
@@ -374,17 +379,6 @@ def uniform_cast(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profile.uniform(d, {"doc_id": "int", "n": "int", "missing": "str", "key": "str", "d": "float"})
 
 
-@query("SELECT 'a' AS aggregation_input_data_path, count(*) AS n FROM documents WHERE lang IN ('en') UNION ALL SELECT 'b', count(*) FROM documents WHERE source IN ('src1', 'src2') AND lang IN ('fr')")
-def mixture_union(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = docs(spark, sf_dir)
-    made = convert.prompt_answers(d, "x/y", F.substring("text", 1, 30), [F.col("lang")], key=F.col("doc_id").cast("string"))
-    made = made.withColumn("lang", F.col("conversation_branches")[0]["messages"][0]["parts"][0]["content"])
-    plain = d.select(F.concat(F.lit("x_y_"), F.col("doc_id").cast("string")).alias("k"), "source")
-    made = made.withColumn("k", F.substring_index("conversation_id", "_", 3)).join(plain, "k")
-    spec = [{"dataset_path": "a", "filters": [{"field": "lang", "values": ["en"]}]}, {"dataset_path": "b", "filters": [{"field": "source", "values": ["src1", "src2"]}, {"field": "lang", "values": ["fr"]}]}]
-    return mixture.mixture(spark, spec, lambda _: made).groupBy("aggregation_input_data_path").agg(F.count(F.lit(1)).alias("n"))
-
-
 @query("SELECT structure, n FROM (SELECT CASE WHEN k > 0 THEN 'OBJECT<k: BIGINT>' END AS structure, count(*) AS n FROM (SELECT 1 AS k FROM events) GROUP BY ALL)")
 def schema_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profile.json_structures(table(spark, sf_dir, "events"), "props").select("structure", "n")
@@ -684,12 +678,6 @@ def schema_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---- without SQL ------------------------------------------------------------
 
 
-@query()
-def language_annotate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = annotate.annotate_language(table(spark, sf_dir, "documents"), F.col("text"))
-    return d.select("doc_id", "lang", F.col("languages")[0]["label"].alias("label"))
-
-
 @query()
 def linearised(spark: SparkSession, sf_dir: str) -> DataFrame:
     rec = records(spark, sf_dir)
@@ -705,12 +693,6 @@ def oddeven_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge.rank_with_judge(f, "sample_id", "idx", "t", lambda a, b: a >= b)
 
 
-@query()
-def refusal_classify(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tasks = annotate.response_tasks(records(spark, sf_dir))
-    return annotate.classify(tasks, annotate.LABELS["refusal"], lambda q, a: "refusal" if "est" in a.split() else "no_refusal")
-
-
 @query()
 def repaired_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.concat(F.lit('said: {"a": "'), F.col("lang"), F.lit('", "b": [1, 2,],} end'))

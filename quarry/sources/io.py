@@ -14,6 +14,8 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from pyspark.sql.pandas.types import from_arrow_schema
 from pyspark.sql.types import StructType
 
+from quarry.session import ship
+
 
 def read_lines(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
     """Rows of a JSON-lines file; blank lines are skipped, unreadable ones are null rows
@@ -117,5 +119,5 @@ class ArrowStreams(DataSource):
 
 
 def read_arrow(spark: SparkSession, path: str) -> DataFrame:
-    spark.dataSource.register(ArrowStreams)
+    ship(spark).dataSource.register(ArrowStreams)
     return spark.read.format("arrow_streams").load(path)

@@ -1,6 +1,6 @@
 import pytest
 
-from quarry.plans import catalog, converters
+from quarry.plans import annotations, catalog, converters, reports  # noqa: F401
 from tests.oracle import answers, rows
 
 

@@ -1,6 +1,8 @@
 import json
 import math
 import random
+import time
+import uuid
 
 import pyarrow as pa
 import pytest
@@ -162,19 +164,132 @@ def test_think_parts(spark):
     assert [(p.type, p.content) for p in parts] == [("thought", "a"), ("thought", "c"), ("response", "b")]
 
 
+TASKS = "conversation_id string, branch int, message int, part int, question string, answer string"
+
+
 def test_classifier_falls_back_and_resumes(spark):
-    tasks = spark.createDataFrame([("c", 0, 0, i, "q", str(i)) for i in range(3)], "conversation_id string, branch int, message int, part int, question string, answer string")
+    tasks = spark.createDataFrame([("c", 0, 0, i, "{q}", str(i)) for i in range(4)], TASKS)
 
-    def ask(q, a):
+    def ask(text):
+        assert text.startswith("Q: {q}\n")
+        a = text[-1]
         if a == "2":
             raise OSError("down")
-        return "refusal" if a == "0" else "what"
+        return {"0": '{"classification": "refusal", "reasoning": "says \\so"}', "3": "```refusal```".strip("`")}.get(a, "what")
+
+    got = {r.part: r for r in annotate.classify(tasks, annotate.LABELS["refusal"], ask, template="Q: {question}\n{answer}", attempts=2, pause=0.01).collect()}
+    assert (got[0].classification, got[0].reasoning, got[0].success, got[0].error) == ("refusal", "says \\so", True, None)
+    assert (got[1].classification, got[1].success, got[1].error) == ("no_refusal", False, "not a label: what")
+    assert got[2].error == "down" and got[3].classification == "refusal"
+    assert annotate.pending(tasks, tasks.limit(1)).count() == 3
+
+
+def test_classifier_pauses_and_lets_other_errors_through(spark, tmp_path):
+    tasks = spark.createDataFrame([("c", 0, 0, 0, "q", "a")], TASKS)
+
+    def late(text):
+        seen = len(list(tmp_path.iterdir()))
+        (tmp_path / str(seen)).write_text(str(time.time()))
+        if seen < 2:
+            raise OSError("not yet")
+        return "refusal"
+
+    assert annotate.classify(tasks, annotate.LABELS["refusal"], late, pause=0.1).head().success
+    at = [float((tmp_path / str(k)).read_text()) for k in range(3)]
+    assert at[1] - at[0] >= 0.1 and at[2] - at[1] >= 0.2
+
+    def broken(text):
+        raise KeyError("a fault of the client")
+
+    with pytest.raises(Exception, match="a fault of the client"):
+        annotate.classify(tasks, annotate.LABELS["refusal"], broken).collect()
+
+
+def test_results_of_models_add_up(spark):
+    rec = convert.prompt_answers(spark.createDataFrame([("a", "q")], "a string, q string"), "s", F.col("q"), [F.col("a")])
+    own = annotate.Classifier("refusal", annotate.LABELS["refusal"], annotate.identity_tasks)
+    out = own.run(own.run(rec, lambda t: "refusal", "m1"), lambda t: "what", "m2", attempts=1).head()
+    said = out.conversation_branches[0].messages[0].parts[0].metadata
+    assert json.loads(said["refusal_classification.m1"]) == {"classification": "refusal", "reasoning": ""}
+    assert json.loads(said["refusal_classification.m2"])["error"] == "not a label: what"
+    assert set(out.initial_prompt.metadata) == set(said)
+
+
+def test_languages_are_learned(spark):
+    d = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    model = annotate.train_languages(d, "text", "lang", "doc_id", sample_rows=60)
+    rows = annotate.annotate_language(d, F.col("text"), lambda: model).where("length(text) > 40").select((F.col("languages")[0]["label"] == F.col("lang")).alias("good"))
+    assert rows.agg(F.avg(F.col("good").cast("double"))).head()[0] > 0.95
+    assert model("") == [("unknown", 0.0)] or model("")[0][1] <= 1.0
+    assert annotate.train_languages(d.limit(0), "text", "lang", "doc_id")("x") == [("unknown", 0.0)]
+
+
+def test_language_failures_are_marked(spark):
+    def fails(text):
+        raise RuntimeError("no model")
+
+    d = spark.createDataFrame([("x",), ("",), (None,)], "t string")
+    assert [r.languages[0].label for r in annotate.annotate_language(d, F.col("t"), lambda: fails).collect()] == ["error", "unknown", "unknown"]
+
+
+def test_large_benchmarks_take_the_shuffled_way(spark):
+    words = [f"w{i}" for i in range(40)]
+    train = spark.createDataFrame([(1, " ".join(words[:20])), (2, " ".join(words[25:])), (3, "x y"), (None, " ".join(words[:9])), (4, None)], "id long, text string")
+    bench = spark.createDataFrame([("b", 0, " ".join(words[2:14])), ("b", 1, "nothing here")], "benchmark string, eval_idx long, text string")
+    rows = lambda **o: sorted(map(tuple, decontam.shared_grams(train, bench, n=8, **o).collect()), key=repr)
+    assert rows() == rows(most_rows=0) == rows(most_rows=0, most_hashes=0) == [(1, "b", 0, 4)]
+    assert [r.id for r in decontam.candidates_only(train, bench).collect()] == [1]
+    plan = decontam.shared_grams(train, bench)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
+def test_reports_are_kept_unless_asked(spark, tmp_path):
+    at = f"file://{tmp_path}/reports"
+    found = lambda rows: spark.createDataFrame(rows, "benchmark string, id long, eval_idx long")
+    read = lambda df: sorted((r.benchmark, r.id) for r in df.collect())
+    assert read(decontam.write_reports(found([("a", 1, 0)]), at)) == [("a", 1)]
+    assert read(decontam.write_reports(found([("a", 2, 0), ("b", 3, 0)]), at)) == [("a", 1), ("b", 3)]
+    assert read(decontam.write_reports(found([("a", 2, 0)]), at, overwrite=True)) == [("a", 2), ("b", 3)]
+
+
+def test_rows_are_numbered_whatever_the_key(spark):
+    rows = [("hot", i) for i in range(900)] + [(None, i) for i in range(50)] + [(f"k{i}", i) for i in range(50)]
+    df = spark.createDataFrame(rows, "s string, i long")
+    got = split.row_numbers(df, "s", "i", groups=8)
+    want = sorted(rows, key=lambda r: (r[0] is not None, r[0] or "", r[1]))
+    assert [(r.s, r.i) for r in got.orderBy("n").collect()] == want and sorted(r.n for r in got.collect()) == list(range(1000))
+    key = F.struct("s", "i")
+    cuts = split.cut_keys(df, ["s", "i"], 8)
+    largest = df.groupBy(sum([F.when(key > c, 1).otherwise(0) for c in cuts], F.lit(0)).alias("g")).count().agg(F.max("count")).head()[0]
+    assert largest < 350  # the hot first key is cut apart
+
+
+def test_mixtures_that_contain_each_other_raise():
+    with pytest.raises(ValueError, match="a > b > a"):
+        mixture.resolved({"a": [{"mixture": "b"}], "b": [{"mixture": "a"}]}, "a")
+
+
+def test_degradation_goes_on_where_it_stopped(spark, tmp_path):
+    seen = tmp_path / "asked"
+    seen.mkdir()
+
+    def ask(text):
+        (seen / uuid.uuid4().hex).write_text(text)
+        return f"REASONING: step\nCOMPLETION: {text.rsplit('|', 1)[1]}!"
+
+    samples = spark.createDataFrame([("s", "q", ["a"], [])], "id string, question string, completions array<string>, reasonings array<string>")
+    run = lambda steps: judge.degrade(samples, ask, steps, f"file://{tmp_path}/steps", "{question}|{history}|{latest}").head()
+    assert run(1).completions == ["a", "a!"] and len(list(seen.iterdir())) == 1
+    out = run(3)
+    assert (out.completions, out.reasonings, out.iteration) == (["a", "a!", "a!!", "a!!!"], ["step"] * 3, 3) and len(list(seen.iterdir())) == 3
+    assert any("ITERATION 1 (Previous Reasoning: step):" in f.read_text() for f in seen.iterdir())
 
-    got = {r.part: r for r in annotate.classify(tasks, annotate.LABELS["refusal"], ask).collect()}
-    assert (got[0].classification, got[0].success) == ("refusal", True)
-    assert (got[1].classification, got[1].success) == ("no_refusal", False)
-    assert got[2].error == "down"
-    assert annotate.pending(tasks, tasks.limit(1)).count() == 2
+
+def test_spread_sample_fills_up(spark):
+    got = [r.id for r in profile.spread_sample(spark.range(25), 10, "id").collect()]
+    assert len(got) == len(set(got)) == 10 and set(range(0, 20, 2)) == set(got)
+    assert profile.spread_sample(spark.range(5), 10, "id").count() == 5
+    assert profile.spread_sample(spark.range(0), 10, "id").count() == 0
 
 
 def test_even_parts_of_ten(spark):
