@@ -675,10 +675,15 @@ def schema_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profile.schema_groups(table(spark, sf_dir, "documents").select(text.alias("j")), "j").withColumn("share", F.round("share", 6))
 
 
-# ---- without SQL ------------------------------------------------------------
+# ---- texts with structure, ranks by a judge ---------------------------------
 
 
-@query()
+@query(f"""WITH {TURNS}, sys AS (SELECT h.conv_id, t.text FROM h JOIN t ON t.conv_id = h.conv_id AND t.n = h.s),
+x AS (SELECT conv_id, conversation_id, -3 AS k, 'system' AS role, NULL AS blocks, text, NULL AS has_thinking FROM sys JOIN h USING (conv_id)
+UNION ALL SELECT conv_id, conversation_id, -2, 'developer', NULL, NULL, EXISTS (SELECT 1 FROM r WHERE r.conv_id = h.conv_id AND r.role = 'assistant') FROM h
+UNION ALL SELECT conv_id, conversation_id, -1, 'user', NULL, NULL, NULL FROM h
+UNION ALL SELECT conv_id, conversation_id, message, role, CASE WHEN role = 'assistant' THEN '[{{"type":"thoughts","text":"plan","calls":[],"outputs":[]}},{{"type":"tool_calls","text":"","calls":[{{"name":"f","arguments":"{{}}"}}],"outputs":[]}},{{"type":"tool_outputs","text":"","calls":[],"outputs":[{{"name":"","output":"1"}}]}},{{"type":"response","text":' || CAST(to_json(text) AS VARCHAR) || ',"calls":[],"outputs":[]}}]' END, NULL, NULL FROM r WHERE role IN ('user', 'assistant'))
+SELECT conversation_id, CAST(row_number() OVER (PARTITION BY conv_id ORDER BY k) - 1 AS INTEGER) AS n, role, blocks, text, has_thinking FROM x""")
 def linearised(spark: SparkSession, sf_dir: str) -> DataFrame:
     rec = records(spark, sf_dir)
     call = F.array(part("thought", "plan"), part("function-call", name="f", args="{}"), part("function-output", "1"))
@@ -687,13 +692,13 @@ def linearised(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("conversation_id", "n", "m.role", F.to_json("m.blocks").alias("blocks"), "m.text", "m.has_thinking")
 
 
-@query()
+@query(f"SELECT sample_id, idx, CAST(row_number() OVER (PARTITION BY sample_id ORDER BY score DESC, idx) AS INTEGER) AS place FROM {FACTS}")
 def oddeven_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
     f = facts(spark, sf_dir).withColumn("t", F.format_string("%02d", "score"))
     return judge.rank_with_judge(f, "sample_id", "idx", "t", lambda a, b: a >= b)
 
 
-@query()
+@query("SELECT doc_id, lang AS a FROM documents")
 def repaired_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.concat(F.lit('said: {"a": "'), F.col("lang"), F.lit('", "b": [1, 2,],} end'))
     return table(spark, sf_dir, "documents").select("doc_id", F.get_json_object(T.repair_json(text), "$.a").alias("a"))
