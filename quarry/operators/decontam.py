@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from quarry.model import strip
 from quarry.session import ship, spread
+from quarry.sources.io import cached
 
 
 def words(text: Column) -> Column:
@@ -39,6 +40,11 @@ def _grams(df: DataFrame, keys: list[str], n: int, last: bool, tokenise: Callabl
     return tokens.select(*keys, F.explode(ngrams(F.col("tokens"), n, last)).alias("gram")).withColumn("h", F.xxhash64("gram"))
 
 
+def bench_grams(bench: DataFrame, folder: str, name: str, tokeniser: str = "words", *, n: int = 8, last: bool = False, tokenise: Callable[[Column], Column] = words) -> DataFrame:
+    """(benchmark, eval_idx, gram, h) of a benchmark, kept in ``folder`` under its name, tokeniser and length."""
+    return cached(bench.sparkSession, folder, lambda: _grams(bench, ["benchmark", "eval_idx"], n, last, tokenise), name, tokeniser, n)
+
+
 def with_known_grams(grams: DataFrame, known: DataFrame, most_hashes: int = MOST_HASHES) -> DataFrame:
     """Rows of ``grams`` whose hash occurs in ``known``: a semi-join that is decided inside the task as long as the
     hashes are few enough to be sent to all of them, so only what is left is ever shuffled."""

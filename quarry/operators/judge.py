@@ -392,6 +392,13 @@ def overall(df: DataFrame) -> DataFrame:
     )
 
 
+def report(metrics: DataFrame, method: str, model: str) -> str:
+    """The row of :func:`overall` as a Markdown page."""
+    row = metrics.head().asDict()
+    number = lambda x: "–" if x is None else f"{x:+.3f}" if isinstance(x, float) else str(x)
+    return "\n".join([f"# {method}: {model}", "", "| metric | value |", "| --- | --- |", *(f"| {k.replace('_', ' ')} | {number(v)} |" for k, v in row.items()), ""])
+
+
 def position_accuracy(df: DataFrame, predicted: str = "predicted", truth: str = "ground_truth") -> DataFrame:
     """(position, accuracy) over arrays of equal length."""
     rows = df.select(F.posexplode(F.arrays_zip(F.col(predicted).alias("p"), F.col(truth).alias("t"))).alias("position", "x"))

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
-from collections.abc import Iterator
+import logging
+from collections.abc import Callable, Iterator
 from datetime import datetime, timezone
 
 import pyarrow as pa
 from pyarrow import fs as pafs
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
@@ -29,17 +32,49 @@ def choose_split(df: DataFrame, split_col: str = "split", wanted: str = "train")
     return df.where(F.col(split_col) == (wanted if first.has else first.lo))
 
 
-def gather_prompts(tables: list[tuple[str, DataFrame, list[str], str]]) -> DataFrame:
+PROMPTS = "benchmark string, eval_idx long, prompt string, split_name string"
+
+
+def gather_prompts(tables: list[tuple[str, DataFrame | Callable[[], DataFrame], list[str], str]], *, skip: bool = False) -> DataFrame:
     """(benchmark, eval_idx, prompt, split_name) from (name, table, columns, split).
 
-    Rows are numbered by their content, so that the numbers don't depend on files.
+    Rows are numbered by their content, so that the numbers don't depend on files.  A table may be a
+    function that reads it; with ``skip`` one that can't be read, or lacks a column, is left out and logged.
     """
     out = None
-    for name, df, columns, split in tables:
-        for c in columns:
-            rows = df.select(F.lit(name).alias("benchmark"), F.xxhash64(c).alias("eval_idx"), F.col(c).cast("string").alias("prompt"), F.lit(split).alias("split_name")).where(F.col("prompt").isNotNull())
+    for name, source, columns, split in tables:
+        try:
+            df = source() if callable(source) else source
+            found = [df.select(F.lit(name).alias("benchmark"), F.xxhash64(c).alias("eval_idx"), F.col(c).cast("string").alias("prompt"), F.lit(split).alias("split_name")).where(F.col("prompt").isNotNull()) for c in columns]
+        except AnalysisException as e:
+            if not skip:
+                raise
+            logging.getLogger(__name__).warning("benchmark %s is left out: %s", name, e)
+            continue
+        for rows in found:
             out = rows if out is None else out.unionByName(rows)
-    return out
+    return SparkSession.active().createDataFrame([], PROMPTS) if out is None else out
+
+
+def read_reports(spark: SparkSession, folder: str, ending: str = "__contamination_report.json") -> tuple[DataFrame, list[str]]:
+    """(benchmark, id) of the reports in a folder, one JSON object by id each, and the names of those that can't be read.
+
+    A report without contamination has no row.
+    """
+    files = spark.read.option("wholetext", "true").option("pathGlobFilter", f"*{ending}").text(folder).withColumn("file", F.element_at(F.split(F.input_file_name(), "/"), -1))
+    held = files.select(F.replace(F.url_decode("file"), F.lit(ending), F.lit("")).alias("benchmark"), F.try_parse_json("value").alias("v"))
+    broken = sorted(r.benchmark for r in held.where(F.col("v").isNull()).select("benchmark").collect())  # names only
+    ids = held.where(F.col("v").isNotNull()).select("benchmark", F.explode(F.map_keys(F.from_json(F.to_json("v"), "map<string,string>"))).alias("id"))
+    return ids, broken
+
+
+def cached(spark: SparkSession, folder: str, make: Callable[[], DataFrame], *key: object) -> DataFrame:
+    """The table kept under ``key`` in a folder, made and written if there is none that was finished."""
+    path = f"{folder.rstrip('/')}/{hashlib.md5('_'.join(map(str, key)).encode()).hexdigest()}"
+    done = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    if not done.getFileSystem(spark._jsc.hadoopConfiguration()).exists(done):
+        make().write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
 
 
 def _driver_write(spark: SparkSession, path: str, text: str) -> None:

@@ -252,6 +252,36 @@ def test_reports_are_kept_unless_asked(spark, tmp_path):
     assert read(decontam.write_reports(found([("a", 2, 0)]), at, overwrite=True)) == [("a", 2), ("b", 3)]
 
 
+def test_reports_of_a_folder(spark, tmp_path):
+    for name, text in {"a b": '{"x1": {"k": 1}, "x2": {}}', "none": "{}", "bad": "{broken"}.items():
+        (tmp_path / f"{name}__contamination_report.json").write_text(text)
+    found, broken = io.read_reports(spark, f"file://{tmp_path}")
+    assert sorted(map(tuple, found.collect())) == [("a b", "x1"), ("a b", "x2")] and broken == ["bad"]
+
+
+def test_benchmark_grams_are_made_once(spark, tmp_path):
+    bench = spark.createDataFrame([("b", 0, "a b c d")], "benchmark string, eval_idx long, text string")
+    at = f"file://{tmp_path}/cache"
+    first = decontam.bench_grams(bench, at, "b", n=2).count()
+    assert first == decontam.bench_grams(bench.limit(0), at, "b", n=2).count() == 2
+    assert decontam.bench_grams(bench, at, "b", n=3).count() == 1
+
+
+def test_unreadable_benchmarks_are_skipped_if_asked(spark):
+    good = spark.createDataFrame([("q", None)], "a string, b string")
+    tables = [("x", lambda: spark.read.parquet("file:///nowhere"), ["a"], "test"), ("y", good, ["a", "b"], "test"), ("z", good, ["c"], "test")]
+    assert [(r.benchmark, r.prompt) for r in io.gather_prompts(tables, skip=True).collect()] == [("y", "q")]
+    with pytest.raises(Exception, match="nowhere"):
+        io.gather_prompts(tables)
+    assert io.gather_prompts(tables[:1], skip=True).count() == 0
+
+
+def test_report_page(spark):
+    rows = spark.createDataFrame([(True, 0, 1.0, 0.5, 3, 10), (False, 1, None, None, None, 5)], "success boolean, retries int, spearman double, kendall double, hits int, tokens int")
+    page = judge.report(judge.overall(rows), "ranking", "m")
+    assert "| mean spearman | +1.000 |" in page and "| total tokens | 15 |" in page
+
+
 def test_rows_are_numbered_whatever_the_key(spark):
     rows = [("hot", i) for i in range(900)] + [(None, i) for i in range(50)] + [(f"k{i}", i) for i in range(50)]
     df = spark.createDataFrame(rows, "s string, i long")
