@@ -1,8 +1,10 @@
 import hashlib
+import math
 import random
 import zlib
 
 import pytest
+import zstandard
 from pyspark.sql import functions as F
 
 from quarry.llm import compression_quality as q
@@ -36,6 +38,26 @@ def test_equal_texts_score_alike_and_labels_are_no_input(spark):
     assert q.score(empty(spark), model).count() == 0
 
 
+def test_scores_follow_from_compressed_sizes(spark):
+    """Against zstandard called here, block by block, without the model's code."""
+    rng = random.Random(4)
+    good, bad = words(rng, 400).encode(), b"click here to win " * 150
+    model = q.CompressionModel(good, bad, 3.0, 0.25)
+
+    def size(text: bytes, raw: bytes) -> int:
+        held = zstandard.ZstdCompressionDict(raw, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        return sum(len(zstandard.ZstdCompressor(level=q.LEVEL, dict_data=held, write_content_size=False, write_dict_id=False, write_checksum=False).compress(text[i : i + q.BLOCK])) for i in range(0, len(text), q.BLOCK))
+
+    texts = [words(rng, 30), words(rng, 3000), "click here to win " * 20, "", "é" * 700, None]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.quality_score for r in q.score(df, model, keep=["doc_id"]).collect()}
+    for k, text in enumerate(texts):
+        raw = (text or "").encode()
+        d = (size(raw, bad) - size(raw, good)) / max(1, len(raw))
+        assert got[k] == pytest.approx(1 / (1 + math.exp(-(3.0 * d + 0.25))), rel=1e-9)
+    assert got[0] > got[3] > got[2] and got[3] == got[5]
+
+
 def test_without_labels(spark):
     none = spark.createDataFrame([], "doc_id long, quality int")
     model = q.train(awkward(spark), none)
