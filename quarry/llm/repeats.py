@@ -225,7 +225,9 @@ def _ids_repeat(docs: DataFrame, id_col: str) -> bool:
 
 
 def covered(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", length: int = 100, marked: bool = True, bucket_runs: int = 1000, task_bytes: int = 8 << 20) -> DataFrame:
-    """(id, mark, start, count): suffixes whose first ``length`` bytes start earlier."""
+    """(id, mark, start, count): suffixes whose first ``length`` bytes, GRAM or more, start earlier."""
+    if length < GRAM:
+        raise ValueError(f"repeats of fewer than {GRAM} bytes aren't looked for")
     spark = docs.sparkSession
     source = _rows(docs, id_col, text_col, marked=marked)
 

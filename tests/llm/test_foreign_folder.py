@@ -11,7 +11,7 @@ def test_operators_on_a_users_table(tmp_path, monkeypatch):
 from quarry.llm import additive_ann, media, packing, repeats, simhash, compression_quality, mixing
 import public_tokenizers
 assert simhash.near_duplicates(df).count() == 2
-assert repeats.remove_repeats(df, length=10).count() == 2
+assert repeats.remove_repeats(df).count() == 2
 assert packing.pack_documents(df, public_tokenizers.path("word_bpe_49k.json")).count() == 2
 assert media.round_trip(df).count() == 2
 assert additive_ann.neighbours(df, lambda k: k == 1, id_col="doc_id").count() == 1

@@ -81,6 +81,11 @@ def test_repeated_ids(spark):
     assert run(spark, rows) == brute([(i, t.encode()) for i, t in rows])
 
 
+def test_short_repeats_are_refused(spark):
+    with pytest.raises(ValueError, match="fewer than 48"):
+        r.remove_repeats(empty(spark), length=10)
+
+
 def test_kept_bytes(spark):
     t = words(random.Random(0), 50)
     df = spark.createDataFrame([(1, t), (2, "é" + t + "é")], "doc_id long, text string")
