@@ -13,8 +13,8 @@ The rates r >= ``low`` solve
 gradient steps.  The posteriors of all documents stay distributed: a step
 sums (domains) numbers over them, and the rates are computed again from the steps'
 few multipliers, so no state of the size of the corpus moves.  W is the
-inverse of the domains' second moments, so a step lands on the targets but for the rates
-that it leaves at ``low``, and a few dozen are enough.  Steps go on until the totals meet the targets or don't move any more, and
+inverse of the domains' second moments, over the documents whose rates the step before has left free, so a step lands
+on the targets but for the rates that it newly brings to ``low`` or takes from there, and a handful are enough.  Steps go on until the totals meet the targets or don't move any more, and
 the shares reached are returned; :func:`demand` raises where they miss the targets.
 
 Defined results: a null text counts as empty and has no token; a document without
@@ -153,7 +153,8 @@ def fit_rates(members: DataFrame, targets: Mapping[str, float], domains: tuple[s
                     mass = b.column(1).flatten().to_numpy().reshape(-1, k) * b.column(0).to_numpy()[:, None]
                     r = fn(mass)
                     sums += r @ mass
-                    gram += (mass.T @ mass).ravel()
+                    moved = mass[(r > low) & (r < high)] if steps else mass
+                    gram += (moved.T @ moved).ravel()
             yield pa.RecordBatch.from_arrays([pa.array([sums.tolist()]), pa.array([gram.tolist()])], ["sums", "gram"])
 
         parts = in_arrow(members.select("tokens", "posterior"), run, schema)
@@ -161,6 +162,11 @@ def fit_rates(members: DataFrame, targets: Mapping[str, float], domains: tuple[s
         values = np.array([x or 0.0 for x in row])
         return values[:k], values[k:].reshape(k, k)
 
+    def inverse(gram: np.ndarray) -> np.ndarray:
+        scale = 1 / np.sqrt(np.maximum(np.diag(gram), 1e-300))
+        return scale[:, None] * np.linalg.pinv(scale[:, None] * gram * scale, rcond=1e-10, hermitian=True) * scale
+
+    steps: list[np.ndarray] = []
     sums, gram = summed(lambda mass: np.ones(len(mass)))
     if not sums.sum():
         return members.withColumn("rate", F.lit(1.0)), dict.fromkeys(domains, 0.0)
@@ -169,17 +175,21 @@ def fit_rates(members: DataFrame, targets: Mapping[str, float], domains: tuple[s
     elif not np.isfinite(total):
         total = float((sums[share > 0] / share[share > 0]).max())
     goal = share * total
-    scale = 1 / np.sqrt(np.maximum(np.diag(gram), 1e-300))
-    weight = scale[:, None] * np.linalg.pinv(scale[:, None] * gram * scale, rcond=1e-10, hermitian=True) * scale  # W
-    size = 1 / (1 + ridge)
-    steps: list[np.ndarray] = []
+    whole = weight = inverse(gram)  # W
+    size, scaled = 1 / (1 + ridge), True
     now = sums
     for _ in range(rounds):
         if np.abs(now - goal).max() <= tolerance * total:
             break
         steps.append(size * (weight @ (now - goal)))
         before = now
-        now, _ = summed(lambda mass: _rates(mass, steps, size * ridge, low, high))
+        now, gram = summed(lambda mass: _rates(mass, steps, size * ridge, low, high))
+        if scaled and len(steps) > 1 and np.abs(now - goal).max() >= np.abs(before - goal).max():
+            steps.pop()  # it brought nothing: from here on all documents count for W
+            now, weight, scaled = before, whole, False
+            continue
+        if scaled:
+            weight = inverse(gram)
         if np.abs(now - before).max() <= 1e-3 * tolerance * total:
             break
 
