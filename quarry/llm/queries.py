@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import additive_ann, compression_quality, license_sentences, media, mixing, packing, repeats, simhash, url_reputation, warc
+from quarry.llm import additive_ann, centroids, compression_quality, license_sentences, media, mixing, packing, periodic_runs, repeats, simhash, toxicity, url_reputation, warc
 from quarry.llm.common import table
 
 URL_RULES = [("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/")]
@@ -81,7 +81,47 @@ def op10_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.round_trip(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_warc, op2_license_sentences, op3_simhash, op4_additive_ann, op5_packing, op6_mixing, op7_repeats, op8_url_reputation, op9_compression_quality, op10_media)}
+def planted(docs: DataFrame) -> DataFrame:
+    """(doc_id, text): where crc32(doc_id) ends in 0, the words from a on repeat the p words there; a and p follow from the rest of that number."""
+    hashed = docs.select("doc_id", "text", F.crc32(F.col("doc_id").cast("string").cast("binary")).alias("h"))
+    words = hashed.select("doc_id", "text", F.when(F.col("h") % 10 == 0, F.expr(r"regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+', 0)")).alias("w"), F.floor(F.col("h") / 10).alias("g"))
+    at = words.select("*", F.when(F.size("w") > 0, F.expr("cast(g % size(w) as int)")).alias("a"))
+    period = at.select("*", F.expr("cast(1 + floor((size(w) - a) / (3 + g % 8)) as int)").alias("p"))
+    made = F.expr("array_join(transform(w, (x, i) -> if(i >= a, w[a + (i - a) % p], x)), ' ')")
+    return period.select("doc_id", F.when(F.col("a").isNotNull(), made).otherwise(F.col("text")).alias("text"))
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.periodic_runs(planted(table(spark, sf_dir, "documents")), keep=["doc_id"], min_words=24, exponent=3)
+    best, lines = periodic_runs.strongest("runs"), F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    rows = found.select("doc_id", "runs", best.alias("best"), F.concat(F.array_join(lines, "\n"), F.when(F.size("runs") > 0, "\n").otherwise("")).alias("lines"), "collapsed")
+    return rows.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "best.start",
+        "best.length",
+        "best.period",
+        F.expr("(1000 * best.length) div best.period").alias("exponent_milli"),
+        F.sha2(F.col("lines").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
+def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = centroids.cluster(table(spark, sf_dir, "embeddings"), dimension=64, k=8, rounds=10, scale=1024, seed="3")
+    digest = F.sha2(F.array_join("centroid", ",").cast("binary"), 256)
+    return found.select("vec_id", "cluster", "distance", "cluster_inertia", "inertia", digest.alias("centroid_sha256"))
+
+
+def op13_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = toxicity.train(docs, training_labels(labels))
+    held_out = F.coalesce(F.expr("crc32(cast(doc_id as string)) % 3") == 1, F.lit(False)).alias("held_out")
+    scored = toxicity.score(docs, model, keep=["doc_id", held_out])
+    return scored.select("doc_id", "held_out", F.col("toxicity_score").alias("score"), (F.col("toxicity_score") >= 0.7).cast("int").alias("predicted"))
+
+
+QUERIES = {f.__name__: f for f in (op1_warc, op2_license_sentences, op3_simhash, op4_additive_ann, op5_packing, op6_mixing, op7_repeats, op8_url_reputation, op9_compression_quality, op10_media, op11_periodic_runs, op12_centroids, op13_toxicity)}
 
 ORACLES: dict[str, str] = {}
 
@@ -164,3 +204,27 @@ FROM judged
 
 
 ORACLES["op8_url_reputation"] = _url_oracle()
+
+
+def _centroid_oracle(k: int = 8, rounds: int = 10) -> str:
+    """Rounds as a chain of tables; sums and distances as 128-bit integers."""
+    far = "list_sum([CAST(x[i] - c[i] AS HUGEINT) * (x[i] - c[i]) for i in range(1, 65)])"
+    near = f"SELECT vec_id, x, arg_min(j, (d, j)) AS j, min(d) AS d FROM (SELECT rid, vec_id, x, j, {far} AS d FROM vectors CROSS JOIN {{c}}) GROUP BY rid, vec_id, x"
+    chain = [f"c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY sha256('3:' || vec_id), x) - 1 AS j, x AS c FROM vectors WHERE vec_id IS NOT NULL ORDER BY j LIMIT {k})"]
+    for r in range(rounds):
+        sums = f"SELECT j, i, sum(v) AS s, count(*) AS n FROM (SELECT j, unnest(x) AS v, generate_subscripts(x, 1) AS i FROM ({near.format(c=f'c{r}')})) GROUP BY j, i"
+        fresh = f"SELECT j, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY i) AS c FROM ({sums}) GROUP BY j"
+        chain.append(f"c{r + 1} AS MATERIALIZED (SELECT c{r}.j, coalesce(f.c, c{r}.c) AS c FROM c{r} LEFT JOIN ({fresh}) f ON f.j = c{r}.j)")
+    return f"""
+WITH vectors AS MATERIALIZED (
+    SELECT row_number() OVER () AS rid, vec_id, [CAST(floor(1024 * CAST(v AS DOUBLE)) AS BIGINT) for v in embedding] AS x FROM embeddings
+    WHERE len(embedding) = 64 AND len([v for v in embedding if v IS NOT NULL AND isfinite(v)]) = 64),
+{", ".join(chain)},
+last AS MATERIALIZED ({near.format(c=f"c{rounds}")})
+SELECT vec_id, CAST(last.j AS INTEGER) AS cluster, CAST(d AS BIGINT) AS distance, CAST(sum(d) OVER (PARTITION BY last.j) AS BIGINT) AS cluster_inertia,
+       CAST(sum(d) OVER () AS BIGINT) AS inertia, sha256(array_to_string(c, ',')) AS centroid_sha256
+FROM last JOIN c{rounds} ON c{rounds}.j = last.j
+"""
+
+
+ORACLES["op12_centroids"] = _centroid_oracle()
