@@ -1,101 +1,266 @@
-"""Benchmark decontamination: shared n-grams give candidates, matching blocks verify."""
+"""Benchmark decontamination: shared n-grams give candidates, matching blocks verify.
+
+Tokens are words or the ids of a subword tokenizer.  N-grams are rolling 64-bit hashes over tokens, made in Arrow batches where
+the tokens are; a Bloom filter of the benchmarks' grams drops nearly all of them there, and only what it lets through becomes a
+row, with its gram in full, so that a collision makes no pair.
+"""
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable, Iterator
-from difflib import SequenceMatcher
+from functools import cache, lru_cache
 
+import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+import pyarrow as pa
+import xxhash
+from pyspark import Broadcast, SparkFiles
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from quarry.functions.text import lazy_udf
 from quarry.model import strip
-from quarry.session import ship, spread
+from quarry.operators.blocks import Benchmark
+from quarry.session import in_arrow, ship, spread
 from quarry.sources.io import cached
 
+Tokeniser = Callable[[Column], Column]
+
 
 def words(text: Column) -> Column:
     """Default tokens: lower-cased, split at white space."""
-    return F.filter(F.split(F.lower(strip(text)), r"\s+"), lambda w: w != "")
+    return F.array_remove(F.split(F.lower(strip(text)), r"\s+"), "")
 
 
-def ngrams(tokens: Column, n: int, last: bool = False) -> Column:
-    """Distinct n-grams; without ``last`` the final one is left out, so that n tokens give none."""
-    most = F.size(tokens) - n + (1 if last else 0)
-    found = F.transform(F.sequence(F.lit(1), most), lambda i: F.array_join(F.slice(tokens, i, F.lit(n)), " "))
-    return F.when(most > 0, F.array_distinct(found)).otherwise(F.array().cast("array<string>"))
+@cache
+def _tokenizer(path: str):
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
+    from tokenizers import Tokenizer
 
+    made = Tokenizer.from_file(path)
+    made.encode_special_tokens = True  # their strings in a text are ordinary text
+    return made
 
-#: Rows, each about a hundred bytes, that are sent to all tasks; and hashes of eight bytes.
-MOST_ROWS, MOST_HASHES = 500_000, 16_000_000
 
+def subwords(path: str) -> Tokeniser:
+    """Tokens by a tokenizer file: its ids, without special tokens.
 
-def _at_most(df: DataFrame, rows: int) -> bool:
-    return df.limit(rows + 1).count() <= rows
+    The file goes to the executors with the application, which needn't share the driver's disk.
+    """
+    name = os.path.basename(path)
 
+    def ids(texts: pd.Series) -> pd.Series:
+        found = _tokenizer(SparkFiles.get(name)).encode_batch([t or "" for t in texts], add_special_tokens=False)
+        return pd.Series([None if t is None else e.ids for t, e in zip(texts, found, strict=True)], dtype=object)
 
-def _grams(df: DataFrame, keys: list[str], n: int, last: bool, tokenise: Callable[[Column], Column]) -> DataFrame:
-    # The tokens are a column of their own, or each gram would tokenise its text again.
-    tokens = df.select(*keys, tokenise(F.col("text")).alias("tokens"))
-    return tokens.select(*keys, F.explode(ngrams(F.col("tokens"), n, last)).alias("gram")).withColumn("h", F.xxhash64("gram"))
+    made = lazy_udf("array<int>", own_step=True)(ids)
 
+    def column(text: Column) -> Column:
+        context = SparkSession.active().sparkContext
+        sent = context.__dict__.setdefault("_quarry_tokenizers", {})
+        if sent.setdefault(name, path) != path:
+            raise ValueError(f"another tokenizer of the name {name} is in use: {sent[name]}")
+        context.addFile(path)
+        return made(text)
 
-def bench_grams(bench: DataFrame, folder: str, name: str, tokeniser: str = "words", *, n: int = 8, last: bool = False, tokenise: Callable[[Column], Column] = words) -> DataFrame:
-    """(benchmark, eval_idx, gram, h) of a benchmark, kept in ``folder`` under its name, tokeniser and length."""
-    return cached(bench.sparkSession, folder, lambda: _grams(bench, ["benchmark", "eval_idx"], n, last, tokenise), name, tokeniser, n)
+    return column
+
+
+def ngrams(tokens: Column, n: int, last: bool = False) -> Column:
+    """Distinct n-grams; without ``last`` the final one is left out, so that n tokens give none."""
+    most = F.size(tokens) - n + (1 if last else 0)
+    found = F.transform(F.sequence(F.lit(1), most), lambda i: F.array_join(F.slice(tokens, i, F.lit(n)), " "))
+    return F.when(most > 0, F.array_distinct(found)).otherwise(F.array().cast("array<string>"))
 
 
-def with_known_grams(grams: DataFrame, known: DataFrame, most_hashes: int = MOST_HASHES) -> DataFrame:
-    """Rows of ``grams`` whose hash occurs in ``known``: a semi-join that is decided inside the task as long as the
-    hashes are few enough to be sent to all of them, so only what is left is ever shuffled."""
-    hashes = known.select("h").distinct()
-    return grams.join(F.broadcast(hashes) if _at_most(hashes, most_hashes) else hashes, "h", "left_semi")
+#: Grams, each about a hundred bytes, that are sent to all tasks; bits of a filter (64 MB), and those for each gram it holds.
+MOST_ROWS, MOST_BITS, GRAM_BITS, PROBES = 500_000, 1 << 29, 16, 4
+_ODD, _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
+
+
+def _codes(tokens: pa.Array) -> np.ndarray:
+    """A 64-bit number for each token: of a word its hash, computed once for each word of the batch."""
+    if pa.types.is_integer(tokens.type):
+        return tokens.to_numpy(zero_copy_only=False).astype(np.uint64)
+    known = tokens.dictionary_encode()
+    named = np.array([xxhash.xxh64_intdigest(w.encode()) for w in known.dictionary.to_pylist()] or [0], np.uint64)
+    return named[known.indices.to_numpy(zero_copy_only=False)] if len(tokens) else np.zeros(0, np.uint64)
+
+
+def rolling(codes: np.ndarray, sizes: np.ndarray, n: int, last: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, place, hash) of the n-grams of rows whose ``sizes`` tokens follow one another in ``codes``."""
+    if len(codes) < n:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64)
+    mixed = (codes + _MIX) * _ODD
+    mixed ^= mixed >> np.uint64(32)
+    held = np.zeros(len(codes) - n + 1, np.uint64)
+    for k in range(n):
+        held *= _MIX
+        held += mixed[k : k + len(held)]
+    held ^= held >> np.uint64(29)
+    held *= _ODD
+    held ^= held >> np.uint64(32)
+    row = np.repeat(np.arange(len(sizes)), sizes)[: len(held)]
+    place = np.flatnonzero(np.arange(len(held)) + n + (0 if last else 1) <= np.cumsum(sizes)[row])
+    return row[place], place, held[place]
+
+
+def _probes(hashes: np.ndarray, bits: int) -> Iterator[np.ndarray]:
+    step = (hashes >> np.uint64(32)) | np.uint64(1)
+    for k in range(PROBES):
+        yield (hashes + np.uint64(k) * step) & np.uint64(bits - 1)
+
+
+def maybe_in(hashes: np.ndarray, bloom: np.ndarray) -> np.ndarray:
+    """Which hashes the filter, an array of 64-bit numbers, may hold: all that it holds and few others."""
+    found = np.ones(len(hashes), bool)
+    for at in _probes(hashes, len(bloom) * 64):
+        found &= (bloom[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1) == 1
+    return found
+
+
+def _windows(b: pa.RecordBatch, n: int, last: bool) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray]:
+    """The tokens of a batch's last column, and its n-grams as (row, place, hash)."""
+    cells = b.column(b.num_columns - 1)
+    tokens, sizes = cells.flatten(), cells.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+    return tokens, *rolling(_codes(tokens), sizes, n, last)
+
+
+def _grams(df: DataFrame, keys: list[str], n: int, last: bool, tokenise: Tokeniser, known: Broadcast | None = None) -> DataFrame:
+    """(keys, gram, h): the distinct n-grams of each row that ``known`` may hold."""
+    rows = df.select(*keys, tokenise(F.col("text")).alias("tokens"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            tokens, row, place, held = _windows(b, n, last)
+            if known is not None:
+                keep = maybe_in(held, known.value)
+                row, place, held = row[keep], place[keep], held[keep]
+            order = np.lexsort((place, held, row))
+            row, place, held = row[order], place[order], held[order]
+            new = np.concatenate(([True], (row[1:] != row[:-1]) | (held[1:] != held[:-1])))[: len(row)]
+            row, place, held = row[new], place[new], held[new]
+            grams = [" ".join(map(str, tokens.slice(p, n).to_pylist())) for p in place.tolist()]
+            yield pa.RecordBatch.from_arrays([*(b.column(k).take(pa.array(row)) for k in range(len(keys))), pa.array(grams, pa.string()), pa.array(held.view(np.int64))], [*keys, "gram", "h"])
+
+    return in_arrow(rows, run, df.select(*keys, F.lit("").alias("gram"), F.lit(0).cast("long").alias("h")).schema)
+
+
+def gram_filter(bench: DataFrame, *, n: int = 8, last: bool = False, tokenise: Tokeniser = words, most_bits: int = MOST_BITS) -> tuple[Broadcast, int]:
+    """A Bloom filter of the n-grams of ``bench``, and at most how many it holds.
+
+    Tasks make partial filters, whose words Spark merges by ``bit_or``.  The filter has GRAM_BITS bits a gram up to ``most_bits``, which is all that
+    passes the driver; beyond that it lets more through, never less.
+    """
+    spark = bench.sparkSession
+    rows = bench.select(tokenise(F.col("text")).alias("tokens"))
+    many = rows.agg(F.sum(F.greatest(F.size("tokens") - n + int(last), F.lit(0)))).head()[0] or 0
+    bits = max(64, min(most_bits, 1 << max(0, many * GRAM_BITS - 1).bit_length()))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            _, _, _, held = _windows(b, n, last)
+            at = np.unique(np.concatenate(list(_probes(held, bits))))
+            word, first = np.unique(at >> np.uint64(6), return_index=True)
+            if len(word):
+                value = np.bitwise_or.reduceat(np.uint64(1) << (at & np.uint64(63)), first)
+                yield pa.RecordBatch.from_arrays([pa.array(word.astype(np.int64)), pa.array(value.view(np.int64))], ["word", "bits"])
+
+    found = in_arrow(rows, run, "word long, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow()
+    bloom = np.zeros(bits // 64, np.uint64)
+    bloom[found.column("word").to_numpy()] = found.column("bits").to_numpy().view(np.uint64)
+    return spark.sparkContext.broadcast(bloom), many
+
+
+def bench_grams(bench: DataFrame, folder: str, name: str, tokeniser: str = "words", *, n: int = 8, last: bool = False, tokenise: Tokeniser = words) -> DataFrame:
+    """(benchmark, eval_idx, gram, h) of a benchmark, kept in ``folder`` under its name, tokeniser and length."""
+    return cached(bench.sparkSession, folder, lambda: _grams(bench, ["benchmark", "eval_idx"], n, last, tokenise), name, tokeniser, n)
 
 
-def shared_grams(train: DataFrame, bench: DataFrame, *, n: int = 8, last: bool = False, tokenise: Callable[[Column], Column] = words, most_rows: int = MOST_ROWS, most_hashes: int = MOST_HASHES) -> DataFrame:
+def shared_grams(train: DataFrame, bench: DataFrame, *, n: int = 8, last: bool = False, tokenise: Tokeniser = words, most_rows: int = MOST_ROWS, most_bits: int = MOST_BITS) -> DataFrame:
     """(id, benchmark, eval_idx, grams): how many distinct n-grams each pair shares.
 
-    ``train`` has (id, text), ``bench`` (benchmark, eval_idx, text).  Grams meet by hash
-    and are then compared, so a collision makes no pair.  Benchmarks of at most ``most_rows`` grams go to all
-    tasks, where the train texts' grams are made and dropped again without a shuffle.  Of larger ones the hashes go first
-    (up to ``most_hashes``), and what they let through meets the grams in a shuffled join.
+    ``train`` has (id, text), ``bench`` (benchmark, eval_idx, text).  What the benchmarks' filter lets through meets their grams, by hash and gram: benchmarks of
+    at most ``most_rows`` grams go to all tasks, of larger ones only what was let through is shuffled, never the corpus.
     """
-    left, right = _grams(spread(train), ["id"], n, last, tokenise), _grams(bench, ["benchmark", "eval_idx"], n, last, tokenise)
-    if _at_most(right, most_rows):
-        met = left.join(F.broadcast(right), ["h", "gram"])
-    else:
-        met = with_known_grams(left, right, most_hashes).join(right, ["h", "gram"])
+    known, many = gram_filter(bench, n=n, last=last, tokenise=tokenise, most_bits=most_bits)
+    left, right = _grams(spread(train), ["id"], n, last, tokenise, known), _grams(bench, ["benchmark", "eval_idx"], n, last, tokenise)
+    met = left.join(F.broadcast(right) if many <= most_rows else right, ["h", "gram"])
     return met.groupBy("id", "benchmark", "eval_idx").agg(F.count(F.lit(1)).alias("grams"))
 
 
-def candidates_only(train: DataFrame, bench: DataFrame, *, n: int = 8, last: bool = False, tokenise: Callable[[Column], Column] = words) -> DataFrame:
+def candidates_only(train: DataFrame, bench: DataFrame, *, n: int = 8, last: bool = False, tokenise: Tokeniser = words, most_rows: int = MOST_ROWS) -> DataFrame:
     """Rows of ``train`` that share an n-gram with any benchmark: what the other steps need to look at."""
-    hits = with_known_grams(_grams(spread(train), ["id"], n, last, tokenise), _grams(bench, [], n, last, tokenise)).select("id").distinct()
+    known, many = gram_filter(bench, n=n, last=last, tokenise=tokenise)
+    grams = _grams(bench, [], n, last, tokenise).select("h", "gram").distinct()
+    met = _grams(spread(train), ["id"], n, last, tokenise, known).join(F.broadcast(grams) if many <= most_rows else grams, ["h", "gram"], "left_semi")
+    hits = met.select("id").distinct()
     return train.join(hits, train["id"].eqNullSafe(hits["id"]), "left_semi")
 
 
-def match_ratio(train: list[str], evaluation: list[str], least: int = 5) -> float:
+def match_ratio(train: list, evaluation: list, least: int = 5) -> float:
     """Tokens in matching blocks of at least ``least``, as a share of the benchmark's tokens."""
-    if not len(evaluation):
-        return 0.0
-    blocks = SequenceMatcher(None, list(train), list(evaluation), autojunk=False).get_matching_blocks()
-    return sum(b.size for b in blocks if b.size >= least) / len(evaluation)
+    return Benchmark(evaluation).ratio(train, least)
+
 
+#: Bytes of benchmark texts that are sent to all tasks at a time; candidates of a text in one row; benchmark texts whose automata a task keeps.
+MOST_BYTES, ROW_CANDIDATES, AUTOMATA = 32 << 20, 500, 256
 
-def verify(candidates: DataFrame, train: DataFrame, bench: DataFrame, *, threshold: float = 0.5, least: int = 5, tokenise: Callable[[Column], Column] = words) -> DataFrame:
-    """(benchmark, id, eval_idx): per benchmark and id the smallest eval_idx that is confirmed."""
-    pairs = candidates.select("id", "benchmark", "eval_idx").join(train.select("id", tokenise(F.col("text")).alias("a")), "id")
-    pairs = pairs.join(bench.select("benchmark", "eval_idx", tokenise(F.col("text")).alias("b")), ["benchmark", "eval_idx"])
 
-    def confirm(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for rows in batches:
-            good = [match_ratio(a, b, least) >= threshold for a, b in zip(rows["a"], rows["b"], strict=True)]
-            yield rows.loc[good, ["benchmark", "id", "eval_idx"]]
+def _slices(bench: DataFrame, most_bytes: int) -> list[DataFrame]:
+    """``bench`` in slices of about ``most_bytes``, dealt out by a hash of (benchmark, eval_idx)."""
+    size = bench.agg(F.sum(F.octet_length("text"))).head()[0] or 0
+    many = -(-int(size) // most_bytes) or 1
+    return [bench] if many == 1 else [bench.where(F.pmod(F.xxhash64("benchmark", "eval_idx"), F.lit(many)) == k) for k in range(many)]
 
-    kind = dict(pairs.dtypes)
-    ship(pairs.sparkSession)  # the function below names its module
-    hits = pairs.mapInPandas(confirm, f"benchmark string, id {kind['id']}, eval_idx {kind['eval_idx']}")
-    return hits.groupBy("benchmark", "id").agg(F.min("eval_idx").alias("eval_idx"))
+
+def verify(candidates: DataFrame, train: DataFrame, bench: DataFrame, *, threshold: float = 0.5, least: int = 5, tokenise: Tokeniser = words, most_bytes: int = MOST_BYTES) -> DataFrame:
+    """(benchmark, id, eval_idx): per benchmark and id the smallest eval_idx that is confirmed.
+
+    A text's candidates are one list (of ROW_CANDIDATES at most, longer ones are dealt out), so a text moves once and not for each pair.
+    The benchmark texts that have candidates are sent to the tasks, in slices of ``most_bytes``.
+    """
+    spark = ship(train.sparkSession)
+    pairs = candidates.select("id", "benchmark", "eval_idx")
+    wanted = bench.join(pairs.select("benchmark", "eval_idx").distinct(), ["benchmark", "eval_idx"], "left_semi").select("benchmark", "eval_idx", "text")
+    slices = _slices(wanted, most_bytes)
+    kind = dict(candidates.dtypes)
+    out = None
+    for k, part in enumerate(slices):
+        held = spark.sparkContext.broadcast(part.select("benchmark", "eval_idx", tokenise(F.col("text")).alias("tokens")).toArrow())
+        own = pairs if len(slices) == 1 else pairs.where(F.pmod(F.xxhash64("benchmark", "eval_idx"), F.lit(len(slices))) == k)
+        dealt = own.select("*", F.pmod(F.xxhash64("benchmark", "eval_idx"), F.ceil(F.count(F.lit(1)).over(Window.partitionBy("id")) / ROW_CANDIDATES)).alias("deal"))
+        lists = dealt.groupBy("id", "deal").agg(F.collect_set(F.struct("benchmark", "eval_idx")).alias("found")).drop("deal")
+        rows = lists.join(train.select("id", F.col("text")), "id").select("id", "found", tokenise(F.col("text")).alias("tokens"))
+        hits = in_arrow(rows, _confirm(held, threshold, least), f"benchmark {kind['benchmark']}, id {kind['id']}, eval_idx {kind['eval_idx']}")
+        out = hits if out is None else out.unionByName(hits)
+    return out.groupBy("benchmark", "id").agg(F.min("eval_idx").alias("eval_idx"))
+
+
+def _confirm(held: Broadcast, threshold: float, least: int) -> Callable:
+    """Batches of (id, candidates, tokens) to the first confirmed candidate of each benchmark."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        texts = held.value
+        names = list(zip(texts.column("benchmark").to_pylist(), texts.column("eval_idx").to_pylist(), strict=True))
+        several: dict[tuple, list[int]] = {}
+        for k, name in enumerate(names):
+            several.setdefault(name, []).append(k)
+        made = lru_cache(AUTOMATA)(lambda k: Benchmark(texts.column("tokens")[k].as_py() or []))
+        for b in batches:
+            out = []
+            for row in range(b.num_rows):
+                own, done = b.column(2)[row].as_py() or [], set()
+                for name in sorted((f["benchmark"], f["eval_idx"]) for f in b.column(1)[row].as_py()):
+                    if name[0] not in done and any(made(k).ratio(own, least) >= threshold for k in several.get(name, ())):
+                        done.add(name[0])
+                        out.append((name[0], row, name[1]))
+            benchmarks, rows, places = zip(*out, strict=True) if out else ((), (), ())
+            kinds = [b.column(1).type.value_type.field(k).type for k in ("benchmark", "eval_idx")]
+            yield pa.RecordBatch.from_arrays([pa.array(benchmarks, kinds[0]), b.column(0).take(pa.array(rows, pa.int64())), pa.array(places, kinds[1])], ["benchmark", "id", "eval_idx"])
+
+    return run
 
 
 def report(verified: DataFrame) -> DataFrame:
@@ -152,7 +317,7 @@ def write_reports(verified: DataFrame, path: str, *, overwrite: bool = False) ->
     store = folder.getFileSystem(spark._jsc.hadoopConfiguration())
     known = [s.getPath().getName().split("=", 1)[1] for s in store.listStatus(folder) if "=" in s.getPath().getName()] if store.exists(folder) else []
     due = verified if overwrite else verified.where(~F.col("benchmark").isin(*known))
-    due.write.mode("append").option("partitionOverwriteMode", "dynamic").mode("overwrite").partitionBy("benchmark").parquet(path)
+    due.write.option("partitionOverwriteMode", "dynamic").mode("overwrite").partitionBy("benchmark").parquet(path)
     return spark.read.parquet(path)
 
 

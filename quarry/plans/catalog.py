@@ -91,6 +91,23 @@ def decontam_verify(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.verify(overlaps(spark, sf_dir), train_texts(spark, sf_dir), bench_texts(spark, sf_dir))
 
 
+@query()
+def token_gram_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shared n-grams of token ids, as the thresholds of published decontamination mean them."""
+    import public_tokenizers
+
+    ids = decontam.subwords(public_tokenizers.path("byte_bpe_50k.json"))
+    return decontam.shared_grams(train_texts(spark, sf_dir), bench_texts(spark, sf_dir), tokenise=ids)
+
+
+@query()
+def token_verify(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    ids, train, bench = decontam.subwords(public_tokenizers.path("byte_bpe_50k.json")), train_texts(spark, sf_dir), bench_texts(spark, sf_dir)
+    return decontam.verify(decontam.shared_grams(train, bench, tokenise=ids), train, bench, tokenise=ids)
+
+
 @query("SELECT 'bench' || (item_id % 4) AS benchmark, count(*) AS n FROM benchmark WHERE item_id % 4 IN (1, 2) GROUP BY ALL")
 def benchmark_subset(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.subset(bench_texts(spark, sf_dir), names=["bench1,bench2"]).groupBy("benchmark").agg(F.count(F.lit(1)).alias("n"))

@@ -237,7 +237,7 @@ def test_large_benchmarks_take_the_shuffled_way(spark):
     train = spark.createDataFrame([(1, " ".join(words[:20])), (2, " ".join(words[25:])), (3, "x y"), (None, " ".join(words[:9])), (4, None)], "id long, text string")
     bench = spark.createDataFrame([("b", 0, " ".join(words[2:14])), ("b", 1, "nothing here")], "benchmark string, eval_idx long, text string")
     rows = lambda **o: sorted(map(tuple, decontam.shared_grams(train, bench, n=8, **o).collect()), key=repr)
-    assert rows() == rows(most_rows=0) == rows(most_rows=0, most_hashes=0) == [(1, "b", 0, 4)]
+    assert rows() == rows(most_rows=0) == rows(most_rows=0, most_bits=64) == [(1, "b", 0, 4)]
     assert [r.id for r in decontam.candidates_only(train, bench).collect()] == [1]
     plan = decontam.shared_grams(train, bench)._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
