@@ -225,11 +225,32 @@ def links(distinct: DataFrame, *, radius: int = 3, bucket_rows: int = 20_000, ta
     return in_arrow(rows.repartition(parts, "mask", "key"), run, "a long, b long")
 
 
-def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
-    """(id, component) for every id of ``edges`` (a, b): the smallest id reachable.
+def joined(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The edges (smallest id, id) of a star forest with the components of the edges (a, b)."""
+    ids, at = np.unique(np.concatenate([a, b]), return_inverse=True)
+    labels = np.arange(len(ids))
+    _merge(labels, at[: len(a)], at[len(a) :])
+    member = np.flatnonzero(labels != np.arange(len(ids)))
+    return ids[labels[member]], ids[member]
 
-    Alternating large and small stars; every round is a table in the shared
-    folder, and the table of the round before is deleted.
+
+def contracted(edges: DataFrame) -> DataFrame:
+    """(a, b): each task's edges as a star forest, so no task returns more edges than it has ids."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = [b for b in batches if b.num_rows]
+        if found:
+            held = pa.Table.from_batches(found)
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in joined(held.column("a").to_numpy(), held.column("b").to_numpy())], ["a", "b"])
+
+    return in_arrow(edges.select("a", "b"), run, "a long, b long")
+
+
+def components(edges: DataFrame, most_rounds: int = 60, task_edges: int = 250_000) -> DataFrame | None:
+    """(id, component) for every id of ``edges`` (a, b): the smallest id reachable; None without an edge.
+
+    Each round first contracts the edges within tasks of about ``task_edges`` (4 MB), then takes alternating large and small stars across them;
+    edges that are one task's are settled by that.  Every round is a table in the shared folder, and the table of the round before is deleted.
     """
     spark = edges.sparkSession
 
@@ -249,12 +270,17 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
         return tuple(row)
 
     path = shared_path(spark, "edges")
-    now = stored(edges.where(F.col("a") != F.col("b")).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "edges", path)
+    now = stored(contracted(edges.where(F.col("a") != F.col("b"))), "edges", path)
     before = mark(now)
+    if not before[0]:
+        return None
     for _ in range(most_rounds):
-        fresh = shared_path(spark, "edges")
-        now = stored(star(star(now, True), False), "edges", fresh)
+        tasks, fresh = -(-before[0] // task_edges), shared_path(spark, "edges")
+        few = contracted(now.coalesce(tasks))
+        now = stored(few if tasks == 1 else star(star(few, True), False), "edges", fresh)
         drop_path(spark, path)
+        if tasks == 1:
+            break  # one task has seen all edges
         path, after = fresh, mark(now)
         if after == before:
             break
@@ -277,7 +303,10 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     same_id = marked.join(several.select(apart(F.col("id")).alias("id"), "a"), "id").where(F.col("fp") > F.col("a")).select("a", F.col("fp").alias("b"))
     near = links(distinct.select(F.col("fp").alias("id"), "fp"), radius=radius)
     found = components(near.unionByName(same_id))
-    classes = distinct.join(found.withColumnRenamed("id", "fp"), "fp", "left").select("fp", "id", F.coalesce("component", "fp").alias("component"))
+    if found is None:
+        classes = distinct.select("fp", "id", F.col("fp").alias("component"))
+    else:
+        classes = distinct.join(found.withColumnRenamed("id", "fp"), "fp", "left").select("fp", "id", F.coalesce("component", "fp").alias("component"))
     classes = stored(classes, "fingerprint-classes")
     named = classes.groupBy("component").agg(F.min("id").alias("component_id"))
     classes = classes.select("fp", "component").join(named.select(apart(F.col("component")).alias("component"), "component_id"), "component")
