@@ -19,7 +19,8 @@ the shares reached are returned; :func:`demand` raises where they miss the targe
 
 Defined results: a null text counts as empty and has no token; a document without
 tokens keeps rate 1; a target for a domain nobody knows raises; an empty table gives
-an empty result; without any label all targets are equally likely; null labels are not learned from; repeated rows get equal rates.
+an empty result; without any label all targets are equally likely; null labels are not learned from; repeated rows get equal rates; rows without an id count like any other;
+columns of ``keep`` are fields of ``row``, so their names can't clash.
 """
 
 from __future__ import annotations
@@ -34,7 +35,8 @@ from pyspark.sql import functions as F
 
 from quarry.llm.common import in_arrow, stored
 
-SLOTS = 4096
+SLOTS, MOST_DOMAINS = 4096, 200
+_GOLDEN = (5**0.5 - 1) / 2
 
 
 def pair_features(text: bytes) -> np.ndarray:
@@ -65,12 +67,16 @@ class DomainModel:
 def train_domains(docs: DataFrame, labelled: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", domain_col: str = "domain", sample_rows: int = 1500, rounds: int = 150, rate: float = 4.0, ridge: float = 1e-4) -> DomainModel:
     """Fit on at most ``sample_rows`` labelled rows of each domain.
 
-    ``labelled`` has (id, domain); ids are drawn by their hash before any text is read.
+    ``labelled`` has (id, domain); ids are drawn by their hash before any text is read.  An id is learned once: by its first domain in
+    the order of names, and by the first of its texts.  More than ``MOST_DOMAINS`` domains raise.
     """
     known = labelled.select(F.col(id_col).alias("id"), F.col(domain_col).cast("string").alias("y")).where(F.col("y").isNotNull() & F.col("id").isNotNull())
-    domains = tuple(sorted(r.y for r in known.select("y").distinct().collect()))  # a handful of names
+    known = known.groupBy("id").agg(F.min("y").alias("y"))
+    domains = tuple(sorted(r.y for r in known.select("y").distinct().limit(MOST_DOMAINS + 1).collect()))
     if not domains:
         raise ValueError("no labelled row")
+    if len(domains) > MOST_DOMAINS:
+        raise ValueError(f"more than {MOST_DOMAINS} domains")
     order = [F.xxhash64("id"), F.col("id")]
     drawn = None
     for d in domains:
@@ -84,7 +90,8 @@ def train_domains(docs: DataFrame, labelled: DataFrame, *, id_col: str = "doc_id
             slots = [np.flatnonzero(f).astype("<u2") for f in whole]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([s.tobytes() for s in slots], pa.binary()), pa.array([f[s].tobytes() for f, s in zip(whole, slots, strict=True)], pa.binary())], ["id", "y", "slots", "values"])
 
-    chosen = rows.join(F.broadcast(drawn), "id").select("id", "y", "t")  # at most sample_rows ids a domain
+    # One row an id, so at most sample_rows rows a domain.
+    chosen = rows.join(F.broadcast(drawn), "id").groupBy("id").agg(F.min("y").alias("y"), F.min("t").alias("t"))
     kind = chosen.select("id", "y").withColumns({"slots": F.lit(b""), "values": F.lit(b"")}).schema
     got = sorted((r.id, r.y, bytes(r.slots), bytes(r.values)) for r in in_arrow(chosen, run, kind).toLocalIterator())
     weights, bias = np.zeros((SLOTS, len(domains)), np.float32), np.zeros(len(domains), np.float32)
@@ -225,8 +232,22 @@ def mix(docs: DataFrame, labelled: DataFrame, targets: Mapping[str, float], *, i
 
 
 def copies(rated: DataFrame, key: str) -> DataFrame:
-    """``row`` as often as its rate says: the whole part, and one more with the
-    probability of the rest, drawn from a hash of the row's ``key``."""
-    draw = F.pmod(F.xxhash64(F.lit("mix"), F.col("row")[key]), F.lit(1 << 30)) / float(1 << 30)
-    times = F.floor(F.col("rate") + draw).cast("int")
-    return rated.select("row", F.explode(F.array_repeat(F.lit(1), times)).alias("_copy")).select("row.*")
+    """``row`` as often as its rate says: the whole part, and one more with the probability of the rest.
+
+    The draw is a hash of the row's ``key``, so it doesn't depend on how rows are dealt out.  Of rows that share a key, null
+    being one, a task gives each further one the draw after it in an even sequence, so their copies add up to their rates as well.
+    """
+    rows = rated.select("row", F.pmod(F.xxhash64(F.lit("mix"), F.col("row")[key]), F.lit(1 << 30)).alias("draw"), "rate")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: dict[int, int] = {}
+        for b in batches:
+            turn = []
+            for d in b.column(1).to_pylist():
+                turn.append(k := seen.get(d, 0))
+                seen[d] = k + 1
+            draw = (b.column(1).to_numpy() / float(1 << 30) + np.array(turn, np.float64) * _GOLDEN) % 1.0
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(np.floor(b.column(2).to_numpy() + draw).astype(np.int32))], ["row", "times"])
+
+    drawn = in_arrow(rows, run, rows.select("row", F.lit(0).alias("times")).schema)
+    return drawn.select("row", F.explode(F.array_repeat(F.lit(1), F.col("times"))).alias("_copy")).select("row.*")

@@ -107,3 +107,26 @@ def test_missed_targets_raise(spark):
     with pytest.raises(ValueError, match="miss the targets"):
         mixing.demand(reached, targets)
     mixing.demand(dict.fromkeys(targets, 0.0), targets)
+
+
+def test_copies_of_rows_that_share_a_key(spark):
+    """A third of the rows has no id, a third shares one."""
+    rows = [(None if i % 3 == 0 else 7 if i % 3 == 1 else i, f"t{i}") for i in range(3000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    rated = df.select(F.struct("doc_id", "text").alias("row"), F.lit(1.5).alias("rate"))
+    got = mixing.copies(rated, "doc_id").groupBy("doc_id").count().collect()
+    by = {r.doc_id: r["count"] for r in got}
+    assert abs(by[None] - 1500) <= 6 and abs(by[7] - 1500) <= 6
+    assert abs(sum(n for i, n in by.items() if i not in (None, 7)) - 1500) < 80
+    again = mixing.copies(rated.repartition(2), "doc_id").where("doc_id <> 7").exceptAll(mixing.copies(rated, "doc_id").where("doc_id <> 7"))
+    assert again.count() == 0
+
+
+def test_repeated_ids_are_learned_once(spark):
+    docs = spark.createDataFrame([(i, f"{'der die das' if i % 2 else 'the of and'} {i}") for i in range(60)], "doc_id long, text string")
+    labelled = docs.select("doc_id", F.when(F.col("doc_id") % 2 == 1, "de").otherwise("en").alias("domain"))
+    more = docs.unionByName(docs.where("doc_id = 3").crossJoin(spark.range(500)).select("doc_id", "text"))
+    a, b = mixing.train_domains(docs, labelled), mixing.train_domains(more, labelled.unionByName(labelled))
+    assert (a.weights == b.weights).all() and (a.bias == b.bias).all()
+    with pytest.raises(ValueError, match="domains"):
+        mixing.train_domains(docs, spark.range(300).selectExpr("id as doc_id", "cast(id as string) as domain"))
