@@ -23,7 +23,7 @@ Only few suffixes need to be refined to the end:
 
 Repeats within a row are found while the row is read.  No group is gathered in one
 task: buckets are aggregated before the shuffle, joins on them are ones whose hot
-keys Spark splits, and what a row gathers is bounded by its own text.
+keys Spark splits, and what a row gathers is a set of places in its own text, however often the row is repeated.
 
 What names may confuse: step 4 compares the bytes where a bucket fits in memory, and 128-bit names where it
 doesn't.  Steps 2 and 3 and the repeats within a row go by 64-bit names, step 3 by those of whole runs in one bucket: two
@@ -316,7 +316,7 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     keep = [c for c in docs.columns if c != text_col] if keep is None else keep
     marked = _ids_repeat(docs, id_col)
     found = covered(docs, id_col=id_col, text_col=text_col, length=length, marked=marked)
-    lists = found.groupBy("id", "mark").agg(F.collect_list(F.struct("start", "count")).alias("s"))
+    lists = found.groupBy("id", "mark").agg(F.collect_set(F.struct("start", "count")).alias("s"))  # a set: rows that share id and text find the same
     lists = stored(lists.select("id", "mark", F.col("s.start").alias("starts"), F.col("s.count").alias("counts")), "covered")
     rows = _rows(docs, id_col, text_col, keep, marked=marked).join(lists, ["id", "mark"], "left").select("row", "t", "starts", "counts")
     names = ["row", "n_bytes", "n_removed", "n_spans", "kept_sha256", *["kept"] * kept_text]

@@ -4,6 +4,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from quarry.llm import repeats as r
 from tests.llm.fixtures import awkward, empty, words
@@ -98,3 +99,15 @@ def test_awkward_rows(spark):
     assert len(got) == 13 and "lang" in got[0].asDict()
     assert {x.n_removed for x in got if x.doc_id == 6} == {x.n_bytes for x in got if x.doc_id == 6}
     assert r.remove_repeats(empty(spark)).count() == 0
+
+
+def test_lists_of_repeated_rows_are_those_of_one_row(spark):
+    """A third of the rows is one row with spans of its own."""
+    rng = random.Random(9)
+    base = words(rng, 60)
+    rows = [(1, base)] + [(2, base[:150] + words(rng, 30) + base[200:])] * 400 + [(10 + i, words(rng, 20)) for i in range(800)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    spans = r.covered(df).groupBy("id", "mark").agg(F.collect_set(F.struct("start", "count")).alias("s"), F.count(F.lit(1)).alias("n")).where("id = 2").head()
+    assert spans.n >= 400 * len(spans.s) and len(spans.s) < 20
+    got = r.remove_repeats(df, keep=["doc_id"]).where("doc_id = 2").distinct().collect()
+    assert len(got) == 1 and got[0].n_removed > 100
