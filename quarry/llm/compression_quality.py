@@ -14,7 +14,10 @@ text whole.
 
 Defined results: a null text counts as empty; an empty text has difference 0 and
 the score of that; without labels of both classes the score is the share of
-good labels (0.5 without any label).
+good labels (0.5 without any label); labels that are null, other than 0 and 1 or without an id aren't learned from; an id
+that is labelled or occurs several times is learned once, by its smaller label and its smallest text; with one labelled text of a class dictionary and
+curve share it; equal texts have equal scores; an empty table gives an empty result; an older ``quality_score`` is replaced, other
+columns can have any name.
 """
 
 from __future__ import annotations
@@ -91,13 +94,15 @@ def train(
     bounded number, then meet the documents.
     """
     known = labels.select(F.col(id_col).alias("id"), F.col(label_col).alias("y")).where(F.col("y").isin(0, 1) & F.col("id").isNotNull())
+    known = known.groupBy("id").agg(F.min("y").alias("y"))
     base = known.agg(F.avg(F.col("y").cast("double"))).head()[0]
     most = dictionary_bytes // 400 + calibration_rows
     order = [F.xxhash64("id"), F.col("id")]
     drawn = known.where("y = 0").orderBy(*order).limit(most).unionByName(known.where("y = 1").orderBy(*order).limit(most))
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("binary").alias("t"))
     rows = rows.where(F.col("t").isNotNull() & (F.octet_length("t") <= max_train_bytes) & (F.octet_length("t") > 0))
-    got = rows.join(F.broadcast(drawn), "id").toLocalIterator()  # at most 2 * most ids
+    # One row an id, so at most 2 * most rows.
+    got = rows.join(F.broadcast(drawn), "id").groupBy("id").agg(F.min("y").alias("y"), F.min("t").alias("t")).toLocalIterator()
     ordered = sorted((zlib.crc32(str(r.id).encode()), r.id, r.y, bytes(r.t)) for r in got)
     sample = {y: [t for _, _, label, t in ordered if label == y] for y in (0, 1)}
     if not sample[0] or not sample[1]:
@@ -107,8 +112,8 @@ def train(
     held: dict[int, list[bytes]] = {}
     raw: dict[int, bytes] = {}
     for y, texts in sample.items():
-        half = max(1, min(calibration_rows, len(texts) // 2))
-        held[y], rest = texts[:half], texts[half:] or texts
+        half = min(calibration_rows, len(texts) // 2)
+        held[y], rest = texts[:half] or texts, texts[half:]  # a single text has to do for both
         parts, size = [], 0
         for t in rest:
             if size + len(t) > dictionary_bytes:

@@ -165,3 +165,14 @@ def test_members_are_read_again():
     data = b"\0" * m.HEAD_SIZE + body
     assert m.read_member(Flaky(data, 2), 0, len(body), zlib.crc32(body), 3) == body
     assert m.read_member(Flaky(data, 9), 0, len(body), zlib.crc32(body), 3) is None
+
+
+def test_repeated_ids_train_once(spark):
+    rng = random.Random(6)
+    docs = spark.createDataFrame([(i, words(rng, 40) if i % 2 else f"BUY NOW {i} " * 20) for i in range(80)], "doc_id long, text string")
+    labels = docs.select("doc_id", (F.col("doc_id") % 2).cast("int").alias("quality"))
+    more = docs.unionByName(docs.where("doc_id < 2").crossJoin(spark.range(2000)).select("doc_id", "text"))
+    a, b = q.train(docs, labels, calibration_rows=10), q.train(more, labels.unionByName(labels), calibration_rows=10)
+    assert a == b
+    one = q.train(docs, labels.where("doc_id < 2"))
+    assert one.good and one.bad and 0 <= one.scores([b"x"])[0] <= 1
