@@ -39,15 +39,20 @@ def leaf_paths(kind: DataType, at: str = "", path: str = "", depth: int = 8) ->
     return out
 
 
+def cells(df: DataFrame) -> DataFrame:
+    """(path, type, value) of every leaf of every row, the value as text."""
+    cell = lambda p, e, t: F.struct(F.lit(p).alias("path"), F.lit(t).alias("type"), text_of(F.expr(e)).alias("value"))
+    found = [F.when(F.expr(f"{within} IS NOT NULL"), cell(p, e, t)) if within else cell(p, e, t) for p, e, t, within in leaf_paths(df.schema)]
+    return df.select(F.explode(F.array_compact(F.array(*found))).alias("c")).select("c.*")
+
+
 def field_values(df: DataFrame) -> DataFrame:
     """(path, type, value, n): how often each value, as text, occurs at each path.
 
-    One pass: each row gives one small row per path, summed before the shuffle.
+    One pass: each row gives one small row per path, summed before the shuffle.  Every distinct value is a row of it: for columns
+    of many values see :mod:`quarry.operators.sketches`.
     """
-    cell = lambda p, e, t: F.struct(F.lit(p).alias("path"), F.lit(t).alias("type"), text_of(F.expr(e)).alias("value"))
-    cells = [F.when(F.expr(f"{within} IS NOT NULL"), cell(p, e, t)) if within else cell(p, e, t) for p, e, t, within in leaf_paths(df.schema)]
-    rows = df.select(F.explode(F.array_compact(F.array(*cells))).alias("c")).select("c.*")
-    return rows.groupBy("path", "type", "value").agg(F.count(F.lit(1)).alias("n"))
+    return cells(df).groupBy("path", "type", "value").agg(F.count(F.lit(1)).alias("n"))
 
 
 def field_stats(df: DataFrame) -> DataFrame:

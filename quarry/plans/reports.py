@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.operators import convert, decontam, filters, judge, mixture, profile, split
+from quarry.operators import convert, decontam, filters, judge, mixture, profile, sketches, split
 from quarry.plans.catalog import CHOICES, DOCS, RULES, bench_texts, choices, docs, query, table
 
 # ---- judge flows ------------------------------------------------------------
@@ -233,3 +233,26 @@ def mixture_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     }
     out = mixture.mixture(spark, mixture.resolved(catalogue, "all"), lambda _: made.join(plain, "k"))
     return out.groupBy("aggregation_input_data_path").agg(F.count(F.lit(1)).alias("n"))
+
+
+# ---- sketched profiles ------------------------------------------------------
+
+_CELLS = "(SELECT unnest([{'path': 'doc_id', 'type': 'bigint', 'value': CAST(doc_id AS VARCHAR)}, {'path': 'lang', 'type': 'string', 'value': lang}, {'path': 'source', 'type': 'string', 'value': source}, {'path': 'n_chars', 'type': 'bigint', 'value': CAST(n_chars AS VARCHAR)}], recursive := true) FROM documents)"
+
+
+@query(f"""
+WITH c AS {_CELLS}, t AS (SELECT path, count(value) AS filled FROM c GROUP BY path)
+SELECT path, type, value, count(*) AS n FROM c JOIN t USING (path) WHERE value IS NOT NULL GROUP BY path, type, value, filled HAVING count(*) >= 0.02 * filled""")
+def frequent_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sketches.frequent(table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "n_chars"), 0.02)
+
+
+@query("""
+SELECT 'lang' AS path, count(*) AS "rows", count(lang) AS filled, count(DISTINCT lang) AS "distinct", min(length(lang)) AS shortest, max(length(lang)) AS longest FROM documents
+UNION ALL SELECT 'source', count(*), count(source), count(DISTINCT source), min(length(source)), max(length(source)) FROM documents""")
+def sketched_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sketches of the table's three thirds, merged."""
+    docs = table(spark, sf_dir, "documents").select("lang", "source", F.pmod(F.xxhash64("doc_id"), F.lit(3)).alias("day"))
+    days = [sketches.sketched(docs.where(F.col("day") == k).drop("day")) for k in range(3)]
+    found = sketches.stats(sketches.merged(*days), quantiles=(0.0, 1.0))
+    return found.select("path", "rows", "filled", "distinct", F.col("lengths")[0].alias("shortest"), F.col("lengths")[1].alias("longest"))

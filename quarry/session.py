@@ -1,23 +1,34 @@
-"""Code for the executors."""
+"""Code for the executors, and folders that driver and executors share."""
 
 from __future__ import annotations
 
 import tempfile
+import uuid
 import zipfile
 from collections.abc import Callable
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 
+CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+#: Rows of an Arrow batch.  Rows here are texts of some kilobytes; 10,000 of them are tens of megabytes, several times over in a worker.
+BATCH, BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", 2_000
+
+
 def ship(spark: SparkSession) -> SparkSession:
     """Give the executors this package, once for each application.
 
     Python functions name their modules; workers that don't have the package on
-    their path get it from the driver, as with ``--py-files``.
+    their path get it from the driver, as with ``--py-files``.  Arrow batches get BATCH_ROWS rows unless the session sets another number.
     """
     context = spark.sparkContext
+    if spark.conf.get(BATCH) == "10000":  # Spark's default; a session that says otherwise keeps what it says
+        spark.conf.set(BATCH, str(BATCH_ROWS))
     if getattr(context, "_quarry_shipped", None) is None:
         here = Path(__file__).parent
         archive = Path(tempfile.mkdtemp(prefix="quarry-code-")) / "quarry.zip"
@@ -36,7 +47,12 @@ def in_arrow(df: DataFrame, run: Callable, schema: str | StructType) -> DataFram
     package has to be shipped before, whoever made ``df``.
     """
     ship(df.sparkSession)
-    return df.mapInArrow(run, schema)
+
+    def tidy(batches):
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()  # workers are kept for later tasks, what they held isn't
+
+    return df.mapInArrow(tidy, schema)
 
 
 def spread(df: DataFrame, core_bytes: int = 16 << 20) -> DataFrame:
@@ -48,3 +64,52 @@ def spread(df: DataFrame, core_bytes: int = 16 << 20) -> DataFrame:
     cores = df.sparkSession.sparkContext.defaultParallelism
     size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     return df.repartition(cores) if size < core_bytes * cores else df
+
+
+def shared_root(spark: SparkSession) -> str:
+    """The folder that driver and executors share: ``spark.checkpoint.dir``, else the
+    context's checkpoint folder.
+
+    Where neither is set, a local master gets a folder of its own, set on the context so
+    that checkpoints go there too; a cluster raises, as its executors don't share a disk.
+    """
+    context = ship(spark).sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not root:
+        if not context.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
+        context.setCheckpointDir("file://" + tempfile.mkdtemp(prefix="quarry-"))
+        root = context.getCheckpointDir()
+    return root.rstrip("/")
+
+
+def shared_path(spark: SparkSession, name: str) -> str:
+    """A new folder name under the shared root, removed when the application ends."""
+    path = f"{shared_root(spark)}/quarry-{uuid.uuid4().hex}-{name}"
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(hadoop)
+    return path
+
+
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder written by :func:`stored` that nothing reads any more."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop, True)
+
+
+def stored(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
+    """Write ``df`` to the shared folder and read it back.
+
+    This cuts the lineage with a table that outlives any executor, so a lost
+    executor costs a re-read and not a recomputation.  Once the table is written nothing reads
+    the shuffle files behind it, so Spark is told to delete them with the query.
+    """
+    spark = df.sparkSession
+    path = path or shared_path(spark, name)
+    before = spark.conf.get(CLEAN_UP)
+    spark.conf.set(CLEAN_UP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(CLEAN_UP, before)
+    return spark.read.schema(df.schema).parquet(path)

@@ -1,23 +1,19 @@
-"""Reading and writing: lines of JSON, splits, Arrow stream files, lineage."""
+"""Reading and writing: lines of JSON, splits, prompts, reports, lineage; Arrow tables are in :mod:`quarry.sources.arrow_tables`."""
 
 from __future__ import annotations
 
 import hashlib
 import json
 import logging
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 from datetime import datetime, timezone
 
-import pyarrow as pa
-from pyarrow import fs as pafs
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
-from pyspark.sql.pandas.types import from_arrow_schema
 from pyspark.sql.types import StructType
 
-from quarry.session import ship
+from quarry.sources.arrow_tables import read_arrow  # noqa: F401  beside the other readers
 
 
 def read_lines(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
@@ -112,47 +108,3 @@ def describe(df: DataFrame, split_col: str | None = None) -> DataFrame:
     """(split, rows) of a table."""
     key = F.col(split_col) if split_col else F.lit("train")
     return df.groupBy(key.alias("split")).agg(F.count(F.lit(1)).alias("rows"))
-
-
-class _File(InputPartition):
-    def __init__(self, path: str):
-        self.path = path
-
-
-class _ArrowReader(DataSourceReader):
-    def __init__(self, options: dict[str, str]):
-        self.options = options
-
-    def partitions(self) -> list[InputPartition]:
-        store, root = pafs.FileSystem.from_uri(self.options["path"])
-        found = store.get_file_info(pafs.FileSelector(root, recursive=True))
-        return [_File(i.path) for i in sorted(found, key=lambda i: i.path) if i.path.endswith(".arrow")]
-
-    def read(self, part: _File) -> Iterator[pa.RecordBatch]:
-        store, _ = pafs.FileSystem.from_uri(self.options["path"])
-        with store.open_input_stream(part.path) as f:
-            yield from pa.ipc.open_stream(f)
-
-
-class ArrowStreams(DataSource):
-    """Arrow stream files (``.arrow``) below a folder, a partition each."""
-
-    @classmethod
-    def name(cls) -> str:
-        return "arrow_streams"
-
-    def schema(self) -> StructType:
-        parts = self.reader(None).partitions()
-        if not parts:
-            raise FileNotFoundError(f"no .arrow file below {self.options['path']}")
-        store, _ = pafs.FileSystem.from_uri(self.options["path"])
-        with store.open_input_stream(parts[0].path) as f:
-            return from_arrow_schema(pa.ipc.open_stream(f).schema)
-
-    def reader(self, schema: StructType | None) -> DataSourceReader:
-        return _ArrowReader(dict(self.options))
-
-
-def read_arrow(spark: SparkSession, path: str) -> DataFrame:
-    ship(spark).dataSource.register(ArrowStreams)
-    return spark.read.format("arrow_streams").load(path)
