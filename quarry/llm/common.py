@@ -2,67 +2,14 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.session import in_arrow, ship
+from quarry.session import drop_path, in_arrow, shared_path, shared_root, ship, stored
 
-CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
-def shared_root(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir``, else the
-    context's checkpoint folder.
-
-    Where neither is set, a local master gets a folder of its own, set on the context so
-    that checkpoints go there too; a cluster raises, as its executors don't share a disk.
-    """
-    context = ship(spark).sparkContext
-    root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
-    if not root:
-        if not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
-        context.setCheckpointDir("file://" + tempfile.mkdtemp(prefix="quarry-"))
-        root = context.getCheckpointDir()
-    return root.rstrip("/")
-
-
-def shared_path(spark: SparkSession, name: str) -> str:
-    """A new folder name under the shared root, removed when the application ends."""
-    path = f"{shared_root(spark)}/quarry-{uuid.uuid4().hex}-{name}"
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
-    hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(hadoop)
-    return path
-
-
-def drop_path(spark: SparkSession, path: str) -> None:
-    """Delete a folder written by :func:`stored` that nothing reads any more."""
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
-    hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop, True)
-
-
-def stored(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back.
-
-    This cuts the lineage with a table that outlives any executor, so a lost
-    executor costs a re-read and not a recomputation.  Once the table is written nothing reads
-    the shuffle files behind it, so Spark is told to delete them with the query.
-    """
-    spark = df.sparkSession
-    path = path or shared_path(spark, name)
-    before = spark.conf.get(CLEAN_UP)
-    spark.conf.set(CLEAN_UP, "true")
-    try:
-        df.write.option("compression", "zstd").parquet(path)
-    finally:
-        spark.conf.set(CLEAN_UP, before)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def apart(column: Column) -> Column:
     """A long key whose partitioning Spark doesn't know.
 
