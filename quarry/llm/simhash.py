@@ -270,7 +270,7 @@ def components(edges: DataFrame, most_rounds: int = 60, task_edges: int = 250_00
         return tuple(row)
 
     path = shared_path(spark, "edges")
-    now = stored(contracted(edges.where(F.col("a") != F.col("b"))), "edges", path)
+    now = stored(edges.select("a", "b").where(F.col("a") != F.col("b")), "edges", path)
     before = mark(now)
     if not before[0]:
         return None
