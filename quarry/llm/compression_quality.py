@@ -33,7 +33,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import in_arrow
+from quarry.llm.common import in_arrow, stored
 
 LEVEL, BLOCK = 6, 2048
 
@@ -94,7 +94,7 @@ def train(
     bounded number, then meet the documents.
     """
     known = labels.select(F.col(id_col).alias("id"), F.col(label_col).alias("y")).where(F.col("y").isin(0, 1) & F.col("id").isNotNull())
-    known = known.groupBy("id").agg(F.min("y").alias("y"))
+    known = stored(known.groupBy("id").agg(F.min("y").alias("y")), "labelled")
     base = known.agg(F.avg(F.col("y").cast("double"))).head()[0]
     most = dictionary_bytes // 400 + calibration_rows
     order = [F.xxhash64("id"), F.col("id")]
@@ -102,7 +102,7 @@ def train(
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("binary").alias("t"))
     rows = rows.where(F.col("t").isNotNull() & (F.octet_length("t") <= max_train_bytes) & (F.octet_length("t") > 0))
     # One row an id, so at most 2 * most rows.
-    got = rows.join(F.broadcast(drawn), "id").groupBy("id").agg(F.min("y").alias("y"), F.min("t").alias("t")).toLocalIterator()
+    got = rows.join(F.broadcast(drawn), "id").groupBy("id").agg(F.min("y").alias("y"), F.min("t").alias("t")).coalesce(4).toLocalIterator()
     ordered = sorted((zlib.crc32(str(r.id).encode()), r.id, r.y, bytes(r.t)) for r in got)
     sample = {y: [t for _, _, label, t in ordered if label == y] for y in (0, 1)}
     if not sample[0] or not sample[1]:

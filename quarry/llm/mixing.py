@@ -71,7 +71,7 @@ def train_domains(docs: DataFrame, labelled: DataFrame, *, id_col: str = "doc_id
     the order of names, and by the first of its texts.  More than ``MOST_DOMAINS`` domains raise.
     """
     known = labelled.select(F.col(id_col).alias("id"), F.col(domain_col).cast("string").alias("y")).where(F.col("y").isNotNull() & F.col("id").isNotNull())
-    known = known.groupBy("id").agg(F.min("y").alias("y"))
+    known = stored(known.groupBy("id").agg(F.min("y").alias("y")), "labelled")
     domains = tuple(sorted(r.y for r in known.select("y").distinct().limit(MOST_DOMAINS + 1).collect()))
     if not domains:
         raise ValueError("no labelled row")
@@ -93,7 +93,7 @@ def train_domains(docs: DataFrame, labelled: DataFrame, *, id_col: str = "doc_id
     # One row an id, so at most sample_rows rows a domain.
     chosen = rows.join(F.broadcast(drawn), "id").groupBy("id").agg(F.min("y").alias("y"), F.min("t").alias("t"))
     kind = chosen.select("id", "y").withColumns({"slots": F.lit(b""), "values": F.lit(b"")}).schema
-    got = sorted((r.id, r.y, bytes(r.slots), bytes(r.values)) for r in in_arrow(chosen, run, kind).toLocalIterator())
+    got = sorted((r.id, r.y, bytes(r.slots), bytes(r.values)) for r in stored(in_arrow(chosen, run, kind), "sample").coalesce(4).toLocalIterator())
     weights, bias = np.zeros((SLOTS, len(domains)), np.float32), np.zeros(len(domains), np.float32)
     if got:
         x, y = np.zeros((len(got), SLOTS), np.float32), np.zeros((len(got), len(domains)), np.float32)

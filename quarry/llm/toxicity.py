@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import in_arrow
+from quarry.llm.common import in_arrow, stored
 
 BITS, SCALE, SMOOTH, CHUNK, FOLDS = 18, 50.0, 50.0, 1 << 20, 3
 SLOTS = 1 << BITS
@@ -285,7 +285,7 @@ def train(
     Ids are drawn among the labels, without texts; only they meet the documents, and tasks send features and no texts.
     """
     known = labels.select(F.col(id_col).alias("id"), F.col(label_col).alias("y")).where(F.col("y").isin(0, 1) & F.col("id").isNotNull())
-    known = known.groupBy("id").agg(F.min("y").alias("y"))
+    known = stored(known.groupBy("id").agg(F.min("y").alias("y")), "labelled")
     share = known.agg(F.avg(F.col("y").cast("double"))).head()[0]
     order = [F.xxhash64("id"), F.col("id")]
     drawn = known.where("y = 0").orderBy(*order).limit(class_rows).unionByName(known.where("y = 1").orderBy(*order).limit(class_rows))
@@ -305,7 +305,7 @@ def train(
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), *cells], ["id", "y", "s", "v", "other"])
 
     kind = chosen.select("id", "y", F.lit(b"").alias("s"), F.lit(b"").alias("v"), F.lit(None).cast("array<struct<s:binary,v:binary>>").alias("other")).schema
-    got = sorted(((r.id, r.y, bytes(r.s), bytes(r.v), [(bytes(o.s), bytes(o.v)) for o in r.other]) for r in in_arrow(chosen.select("id", "t", "y"), run, kind).toLocalIterator()), key=lambda r: r[0])
+    got = sorted(((r.id, r.y, bytes(r.s), bytes(r.v), [(bytes(o.s), bytes(o.v)) for o in r.other]) for r in stored(in_arrow(chosen.select("id", "t", "y"), run, kind), "sample").coalesce(4).toLocalIterator()), key=lambda r: r[0])
     read = lambda s, v: (np.frombuffer(s, "<i4").astype(np.int64), np.frombuffer(v, "<f4").astype(np.float64))
     y, x, other = np.array([r[1] for r in got], np.float64), [read(r[2], r[3]) for r in got], [[read(*o) for o in r[4]] for r in got]
     if len(np.unique(y)) < 2:
