@@ -10,9 +10,12 @@ A host is blocked if the lower bound of its posterior rate of bad pages exceeds
 Reputation is a site's: user, port and a dot at the end are left off the host before outcomes are
 counted, while the host of the result and of the rules is as the url has it.
 
+A host without outcomes of its own has its registered domain's rate, as uncertain as hosts are about their domains; one of an
+unknown domain the suffix's, as uncertain as domains are about suffixes; one of an unknown suffix the corpus's, as uncertain as suffixes are about that.
+
 Defined results: a null url, or one without ``://``, has an empty host and path
-and no rule; an empty host, a host without outcomes and an empty outcome table
-get the prior alone.  Null outcomes are ignored.  Repeated rows count each time; an empty table of pages
+and no rule, and is judged like the host of an unknown suffix; without any outcome there is no bound, and all that no rule
+blocks is allowed.  Null outcomes are ignored.  Repeated rows count each time; an empty table of pages
 gives an empty result.
 Other columns of the input are dropped from the result, so their names can't
 clash.
@@ -21,11 +24,12 @@ clash.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import ascii_lower
+from quarry.llm.common import ascii_lower, stored
 
 #: Labels that make a public suffix with any country code after them (a rule instead of a table).
 SECOND_LEVEL = ("ac", "co", "com", "edu", "gov", "net", "org")
@@ -99,37 +103,59 @@ def _concentration(rates: DataFrame, name: str) -> DataFrame:
     return sums.select(((1 - bounded) / bounded).alias(name))
 
 
-def host_reputation(outcomes: DataFrame, long_suffixes: Sequence[str] = LONG_SUFFIXES) -> DataFrame:
-    """(host, n, bad, domain_rate, suffix_rate, ...) from rows (host, bad 0/1).
+@dataclass(frozen=True)
+class Reputation:
+    """Posterior rates and their sizes (n + concentration), by level; ``corpus`` is one row.
+
+    ``hosts`` has (host, rate, size), ``domains`` (domain, suffix, rate, size) and ``suffixes`` (suffix, rate, size) those of a host that
+    the level below doesn't know.
+    """
+
+    hosts: DataFrame
+    domains: DataFrame
+    suffixes: DataFrame
+    corpus: DataFrame
+
+
+def host_reputation(outcomes: DataFrame, long_suffixes: Sequence[str] = LONG_SUFFIXES) -> Reputation:
+    """The levels' posteriors from rows (host, bad 0/1).
 
     Hosts are summed before any shuffle, so a host with a third of the rows is
-    one row per task.  The result has a row for each host with an outcome.
+    one row per task; the sums are written once, and every level starts from them.
     """
     rows = outcomes.where(F.col("bad").isNotNull())
     hosts = rows.groupBy("host").agg(F.count(F.lit(1)).cast("double").alias("n"), F.sum("bad").cast("double").alias("bad"))
     hosts = hosts.withColumn("suffix", host_suffix(F.col("host"), long_suffixes))
-    hosts = hosts.withColumn("domain", registered_domain(F.col("host"), F.col("suffix")))
-    domains = hosts.groupBy("domain", "suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
-    suffixes = domains.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
+    hosts = stored(hosts.withColumn("domain", registered_domain(F.col("host"), F.col("suffix"))), "host-outcomes")
+    domains = stored(hosts.groupBy("domain", "suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad")), "domain-outcomes")
+    suffixes = stored(domains.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad")), "suffix-outcomes")
     whole = suffixes.agg(((F.coalesce(F.sum("bad"), F.lit(0.0)) + 1) / (F.coalesce(F.sum("n"), F.lit(0.0)) + 2)).alias("parent"))
 
-    def shrunk(level: DataFrame, parents: DataFrame, keys: list[str], rate: str, strength: str) -> DataFrame:
+    def shrunk(level: DataFrame, parents: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:
         above = level.join(parents, keys) if keys else level.join(F.broadcast(parents))  # without keys: one row
-        fitted = above.join(F.broadcast(_concentration(above, strength)))  # one row
-        mean = (F.col("bad") + F.col(strength) * F.col("parent")) / (F.col("n") + F.col(strength))
-        return fitted.withColumn(rate, mean)
-
-    by_suffix = shrunk(suffixes, whole, [], "suffix_rate", "suffix_strength")
-    by_domain = shrunk(domains, by_suffix.select("suffix", F.col("suffix_rate").alias("parent")), ["suffix"], "domain_rate", "domain_strength")
-    by_host = shrunk(hosts, by_domain.select("domain", "suffix", F.col("domain_rate").alias("parent")), ["domain", "suffix"], "host_rate", "host_strength")
-    return by_host.select("host", "domain", "suffix", "n", "bad", F.col("parent").alias("domain_rate"), "host_strength", "host_rate")
-
-
-def posterior_bound(reputation: DataFrame, z: float) -> DataFrame:
-    """Adds ``bad_bound``: mean - z * standard deviation of the host's beta posterior."""
-    size = F.col("n") + F.col("host_strength")
-    sd = F.sqrt(F.col("host_rate") * (1 - F.col("host_rate")) / (size + 1))
-    return reputation.withColumn("bad_bound", F.col("host_rate") - F.lit(z) * sd)
+        strength = _concentration(above, "strength")  # one row
+        mean = (F.col("bad") + F.col("strength") * F.col("parent")) / (F.col("n") + F.col("strength"))
+        return above.join(F.broadcast(strength)).select(*level.columns, mean.alias("rate"), (F.col("n") + F.col("strength")).alias("size")), strength
+
+    by_suffix, about_corpus = shrunk(suffixes, whole, [])
+    by_domain, about_suffix = shrunk(domains, by_suffix.select("suffix", F.col("rate").alias("parent")), ["suffix"])
+    by_host, about_domain = shrunk(hosts, by_domain.select("domain", "suffix", F.col("rate").alias("parent")), ["domain", "suffix"])
+    told = suffixes.agg(F.count(F.lit(1)).alias("told"))  # without an outcome nothing is known, and no page is blocked
+    corpus = whole.join(F.broadcast(about_corpus)).join(F.broadcast(told)).select(F.when(F.col("told") > 0, F.col("parent")).alias("rate"), F.col("strength").alias("size"))  # one row
+    unseen = lambda level, about, *keys: level.join(F.broadcast(about)).select(*keys, "rate", F.col("strength").alias("size"))
+    return Reputation(by_host.select("host", "rate", "size"), unseen(by_domain, about_domain, "domain", "suffix"), unseen(by_suffix, about_suffix, "suffix"), corpus)
+
+
+def bounded(sites: DataFrame, known: Reputation, z: float, long_suffixes: Sequence[str] = LONG_SUFFIXES) -> DataFrame:
+    """(site, bad_bound) of distinct sites: mean - z * standard deviation of the posterior of the lowest level that knows the site."""
+    named = sites.select("site", host_suffix(F.col("site"), long_suffixes).alias("suffix"))
+    named = named.withColumn("domain", registered_domain(F.col("site"), F.col("suffix")))
+    level = lambda df, k: df.withColumnsRenamed({"rate": f"rate{k}", "size": f"size{k}"})
+    found = named.join(level(known.hosts, 0).withColumnRenamed("host", "site"), "site", "left")
+    found = found.join(level(known.domains, 1), ["domain", "suffix"], "left").join(level(known.suffixes, 2), "suffix", "left")
+    found = found.join(F.broadcast(level(known.corpus, 3)))  # one row
+    rate, size = (F.coalesce(*[F.col(f"{c}{k}") for k in range(4)]) for c in ("rate", "size"))
+    return found.select("site", (rate - F.lit(z) * F.sqrt(rate * (1 - rate) / (size + 1))).alias("bad_bound"))
 
 
 def filter_urls(
@@ -145,14 +171,14 @@ def filter_urls(
 ) -> DataFrame:
     """(id, host, path, rule, verdict, bad_bound) for each row of ``pages``.
 
-    ``outcomes`` has columns url and bad (0 or 1).  A host that no outcome
-    names is allowed: nothing speaks against it.
+    ``outcomes`` has columns url and bad (0 or 1).  Reputations are looked up once for each site of the pages.
     """
     parsed = pages.select(F.col(id_col), F.col(url_col).alias("_url"))
     parsed = parsed.select(id_col, url_host(F.col("_url")).alias("host"), url_path(F.col("_url")).alias("path"))
     known = host_reputation(outcomes.select(site(url_host(F.col("url"))).alias("host"), F.col("bad")), long_suffixes)
-    known = posterior_bound(known, z).select(F.col("host").alias("_site"), "bad_bound")
-    judged = parsed.withColumn("_site", site(F.col("host"))).join(known, "_site", "left")
+    parsed = parsed.withColumn("_site", site(F.col("host")))
+    bounds = bounded(parsed.select(F.col("_site").alias("site")).distinct(), known, z, long_suffixes)
+    judged = parsed.join(bounds.withColumnRenamed("site", "_site"), "_site", "left")
     rule, verdict = rule_of(F.col("host"), F.col("path"), rules)
     method = F.when(F.col("bad_bound") > max_bad, F.lit("block")).otherwise("allow")
     return judged.select(id_col, "host", "path", rule.alias("rule"), F.coalesce(verdict, method).alias("verdict"), "bad_bound")
