@@ -16,8 +16,7 @@ shuffle.
 
 Defined results: null and empty texts have no sentence and no licence; the same
 licence twice is reported once; sentences nobody knows don't count, so identifiers next to
-them are next to each other; a BSD third clause that names another holder than the listed ones is such a
-sentence; repeated rows are judged one by one; an empty table gives an empty result; other columns are not read.
+them are next to each other; repeated rows are judged one by one; an empty table gives an empty result; other columns are not read.
 """
 
 from __future__ import annotations
@@ -59,8 +58,40 @@ SENTENCES: dict[str, str] = {
     "this source code form is subject to the terms of the mozilla public license v 2.0": "MPL2Grant",
     "this source code form is subject to the terms of the mozilla public license v": "MPL2Grant",  # cut after "v."; no other version says so
     "all rights reserved": "AllRights",
+    "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies": "ISCGrant",
+    "permission to use copy modify and distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies": "ISCGrant",
+    "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted": "0BSDGrant",
+    "the software is provided as is and the author disclaims all warranties with regard to this software including all implied warranties of merchantability and fitness": "ISCWarranty",
+    "permission is granted to anyone to use this software for any purpose including commercial applications and to alter it and redistribute it freely subject to the following restrictions": "ZlibGrant",
+    "the origin of this software must not be misrepresented you must not claim that you wrote the original software": "ZlibOrigin",
+    "this is free and unencumbered software released into the public domain": "UnlicenseGrant",
+    "apache license version 2.0 january 2004 http www.apache.org licenses": "ApacheText",
+    "version 2 of the license": "Version2Only",
+    "version 3 of the license": "Version3Only",
 }
 
+# Licences of the Free Software Foundation by name and the versions that their notices speak of.
+NOTICES = (("GPL", "gnu general public license", ("2", "3")), ("LGPL", "gnu lesser general public license", ("2.1", "3")), ("LGPL", "gnu library general public license", ("2",)), ("AGPL", "gnu affero general public license", ("3",)))
+
+
+def notices() -> tuple[dict[str, str], list[tuple[str, tuple[str, ...]]]]:
+    """Sentences and rules of those notices, whole or cut at their semicolons, "or later" or not."""
+    said, rules = {}, []
+    for key, name, versions in NOTICES:
+        terms = f"you can redistribute it and or modify it under the terms of the {name}"
+        said[f"{terms} as published by the free software foundation"] = f"{key}Terms"
+        for v in versions:
+            full, later, only = f"{key}-{v if '.' in v else v + '.0'}", f"either version {v} of the license or at your option any later version", f"version {v} of the license"
+            said |= {later: f"Version{v.replace('.', '')}Later", only: f"Version{v.replace('.', '')}Only"}
+            for begin in ("", "this program is free software ", "this library is free software "):
+                said[f"{begin}{terms} as published by the free software foundation {later}"] = f"{key}{v}PlusGrant"
+                said[f"{begin}{terms} as published by the free software foundation {only}"] = f"{key}{v}Grant"
+                said[f"{begin}{terms} version {v} as published by the free software foundation"] = f"{key}{v}Grant"
+            rules += [(f"{full}-or-later", (f"{key}{v}PlusGrant",)), (f"{full}-or-later", (f"{key}Terms", f"Version{v.replace('.', '')}Later"))]
+            rules += [(f"{full}-only", (f"{key}{v}Grant",)), (f"{full}-only", (f"{key}Terms", f"Version{v.replace('.', '')}Only"))]
+    return said, rules
+
+
 # Licence and the identifiers that stand for it, in the order tried.
 RULES: list[tuple[str, tuple[str, ...]]] = [
     ("MIT", ("MITGrant", "MITNotice", "MITWarranty")),
@@ -73,6 +104,13 @@ RULES: list[tuple[str, tuple[str, ...]]] = [
     ("GPL-2.0-or-later", ("GPL2PlusGrant",)),
     ("GPL-3.0-or-later", ("GPLTerms", "Version3Later")),
     ("GPL-2.0-or-later", ("GPLTerms", "Version2Later")),
+    ("Apache-2.0", ("ApacheText",)),
+    ("ISC", ("ISCGrant", "ISCWarranty")),
+    ("ISC", ("ISCGrant",)),
+    ("0BSD", ("0BSDGrant", "ISCWarranty")),
+    ("Zlib", ("ZlibGrant", "ZlibOrigin")),
+    ("Zlib", ("ZlibGrant",)),
+    ("Unlicense", ("UnlicenseGrant",)),
     ("MPL-2.0", ("MPL2Grant",)),
     ("LicenseRef-all-rights-reserved", ("AllRights",)),
 ]
@@ -149,22 +187,34 @@ SAYS = "(?:dual )?(?:licensed|licenced|released|distributed|published|available|
 UNDER = f"^{SUBJECT}{SAYS} under (?:the terms of )?(?:the |a |an )?"
 
 
+# The clause about names, whoever the holder is, and how it is known; what stands before a licence's tag.
+HOLDER = "^(?:.+ )?nor the names of (?:its|their|the) contributors may be used"  # a holder with a full stop has cut the clause
+NAMES = "neither the name of the copyright holder nor the names of its contributors may be used"
+TAG = "spdx-license-identifier:[ \\t]*"
+
+
+def licences() -> list[str]:
+    """All licences known by a name or a text."""
+    return list(dict.fromkeys([*short_names().values(), *(name for name, _ in [*RULES, *notices()[1]] if not name.startswith("LicenseRef"))]))
+
+
 def sentence_table() -> list[tuple[str, str]]:
     """(sentence in normal form, identifier), all that are known here."""
     named = {f"under {name}": f"{key}:name" for name, key in short_names().items()}
-    return list(({normal_text(s): i for s, i in SENTENCES.items()} | named).items())
+    tagged = {normal_text(f"spdx license identifier {key}"): f"{key}:name" for key in licences()}
+    return list(({normal_text(s): i for s, i in (notices()[0] | SENTENCES).items()} | named | tagged).items())
 
 
 def rule_table() -> list[tuple[int, str, list[str]]]:
     """(place, licence, identifiers next to each other), in the order tried: texts first, names after them."""
-    rules = [(name, list(ids)) for name, ids in RULES] + [(key, [f"{key}:name"]) for key in dict.fromkeys(short_names().values())]
+    rules = [(name, list(ids)) for name, ids in [*RULES, *notices()[1]]] + [(key, [f"{key}:name"]) for key in licences()]
     return [(k, name, ids) for k, (name, ids) in enumerate(rules)]
 
 
 def normal_text(sentence: str) -> str:
     """:func:`normal` for a sentence of a table."""
     bare = re.sub("[^a-z0-9.]+", " ", sentence.lower()) + " "
-    return re.sub(UNDER, "under ", re.sub(r"\.+ ", " ", bare).strip())
+    return re.sub(HOLDER, NAMES, re.sub(UNDER, "under ", re.sub(r"\.+ ", " ", bare).strip()))
 
 
 @dataclass(frozen=True)
@@ -216,7 +266,7 @@ def tables(spark: SparkSession) -> tuple[DataFrame, DataFrame]:
 
 
 #: Each known sentence holds one of these, so a text without any has no match.
-ANCHORS = ("licen", "copyright", "permission", "redistribut", "rights reserved", "warrant", "under")
+ANCHORS = ("licen", "copyright", "permission", "redistribut", "rights reserved", "warrant", "under", "public domain", "software")
 
 SPACES = "[ \\t\\r\\n\\f\\x0B]"
 _END = "\u0001"
@@ -235,7 +285,8 @@ def sentences(text: Column) -> Column:
 def normal(sentence: Column) -> Column:
     bare = F.regexp_replace(ascii_lower(sentence), "[^a-z0-9.]+", " ")
     bare = F.trim(F.regexp_replace(F.concat(bare, F.lit(" ")), "\\.+ ", " "))
-    return F.when(bare.contains("under "), F.regexp_replace(bare, UNDER, "under ")).otherwise(bare)
+    said = F.when(bare.contains("under "), F.regexp_replace(bare, UNDER, "under ")).otherwise(bare)
+    return F.when(said.contains("nor the names of "), F.regexp_replace(said, HOLDER, NAMES)).otherwise(said)
 
 
 def sentence_ids(text: Column, known: Knowledge | None = None) -> Column:
@@ -246,6 +297,7 @@ def sentence_ids(text: Column, known: Knowledge | None = None) -> Column:
     hit = F.lit(False)
     for a in ANCHORS:
         hit = hit | low.contains(a.split(" ")[0])
+    low = F.when(low.contains("spdx"), F.regexp_replace(low, TAG, "spdx-license-identifier ")).otherwise(low)  # a tag is one sentence
     names = known.table()
     look_up = lambda s: F.try_element_at(F.get(names, F.pmod(F.xxhash64(s), F.lit(known.buckets)).cast("int")), s)
     ids = F.filter(F.transform(F.transform(sentences(low), normal), look_up), lambda x: x.isNotNull())

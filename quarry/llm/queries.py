@@ -145,12 +145,12 @@ def _license_oracle() -> str:
     return f"""
 WITH RECURSIVE known(sentence, id) AS (VALUES {known}),
 rules(k, name, seen) AS (VALUES {rules}),
-low AS (SELECT row_number() OVER () AS rid, doc_id, translate(coalesce(text, ''), '{up}', '{low}') AS t FROM documents),
+low AS (SELECT row_number() OVER () AS rid, doc_id, regexp_replace(translate(coalesce(text, ''), '{up}', '{low}'), '{license_sentences.TAG}', 'spdx-license-identifier ', 'g') AS t FROM documents),
 marked AS (SELECT rid, doc_id, regexp_replace(regexp_replace(t, '([.!?:;]){ws}+', '\\1' || chr(1), 'g'), '\\n{ws}*\\n', chr(1), 'g') AS t FROM low),
 parts AS (SELECT rid, doc_id, unnest(string_split(t, chr(1))) AS s, generate_subscripts(string_split(t, chr(1)), 1) AS i FROM marked),
 cut AS (SELECT rid, doc_id, i, 0 AS j, s FROM parts UNION ALL
         SELECT rid, doc_id, i, generate_subscripts(string_split(s, chr(10)), 1), unnest(string_split(s, chr(10))) FROM parts WHERE contains(s, chr(10))),
-norm AS (SELECT rid, i, j, regexp_replace(trim(regexp_replace(regexp_replace(s, '[^a-z0-9.]+', ' ', 'g') || ' ', '\\.+ ', ' ', 'g')), '{license_sentences.UNDER}', 'under ') AS s FROM cut),
+norm AS (SELECT rid, i, j, regexp_replace(regexp_replace(trim(regexp_replace(regexp_replace(s, '[^a-z0-9.]+', ' ', 'g') || ' ', '\\.+ ', ' ', 'g')), '{license_sentences.UNDER}', 'under '), '{license_sentences.HOLDER}', '{license_sentences.NAMES}') AS s FROM cut),
 hits AS (SELECT rid, list(id ORDER BY i, j) AS ids FROM norm JOIN known ON norm.s = known.sentence GROUP BY rid),
 tried AS (SELECT rid, 0 AS n, '|' || array_to_string(ids, '||') || '|' AS rest, CAST([] AS VARCHAR[]) AS found FROM hits
           UNION ALL
@@ -176,27 +176,37 @@ def _url_oracle() -> str:
     site = "regexp_replace(regexp_replace(regexp_replace(host, '^.*@', ''), ':[0-9]*$', ''), '[.]$', '')"
 
     def strength(of: str) -> str:
-        return f"""(SELECT (1 - b) / b FROM (SELECT least(greatest(coalesce((spread - v * (k - 1)) / nullif(v * (total - squares / nullif(total, 0) - (k - 1)), 0), 0.01), 0.001), 0.5) AS b
-        FROM (SELECT sum(n) AS total, sum(n * n) AS squares, count(*) AS k, sum(n * (bad / n - parent) * (bad / n - parent)) AS spread, sum(n * parent * (1 - parent)) / nullif(sum(n), 0) AS v FROM {of})))"""
+        return f"""SELECT (1 - b) / b AS m FROM (SELECT least(greatest(coalesce((spread - v * (k - 1)) / nullif(v * (total - squares / nullif(total, 0) - (k - 1)), 0), 0.01), 0.001), 0.5) AS b
+        FROM (SELECT sum(n) AS total, sum(n * n) AS squares, count(*) AS k, sum(n * (bad / n - parent) * (bad / n - parent)) AS spread, sum(n * parent * (1 - parent)) / nullif(sum(n), 0) AS v FROM {of}))"""
 
     parse = """CASE WHEN instr(url, '://') > 0 THEN translate(regexp_extract(substr(url, instr(url, '://') + 3), '^[^/?#]*', 0), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') ELSE '' END AS host,
         CASE WHEN instr(url, '://') > 0 THEN regexp_extract(regexp_replace(substr(url, instr(url, '://') + 3), '^[^/?#]*', ''), '^[^?#]*', 0) ELSE '' END AS path"""
+    suffix_labels = f"CASE WHEN array_to_string(l[-2:], '.') IN ({long}) OR regexp_matches(array_to_string(l[-2:], '.'), '^({ruled})[.][a-z][a-z]$') THEN 2 ELSE 1 END"
     return f"""
 WITH parsed AS (SELECT page_id, url, {parse} FROM pages),
 outcomes AS (SELECT {site} AS host, CAST(1 - quality AS DOUBLE) AS bad FROM parsed JOIN labels ON labels.doc_id = try_cast(regexp_extract(url, '/([0-9]+)[^/]*$', 1) AS BIGINT) WHERE quality IS NOT NULL),
 h0 AS (SELECT host, CAST(count(*) AS DOUBLE) AS n, sum(bad) AS bad, string_split(host, '.') AS l FROM outcomes GROUP BY host),
-h1 AS (SELECT *, CASE WHEN array_to_string(l[-2:], '.') IN ({long}) OR regexp_matches(array_to_string(l[-2:], '.'), '^({ruled})[.][a-z][a-z]$') THEN 2 ELSE 1 END AS k FROM h0),
+h1 AS (SELECT *, {suffix_labels} AS k FROM h0),
 h AS (SELECT host, n, bad, array_to_string(l[-k:], '.') AS suffix, array_to_string(l[-(k + 1):], '.') AS domain FROM h1),
 d AS (SELECT domain, suffix, sum(n) AS n, sum(bad) AS bad FROM h GROUP BY ALL),
 s AS (SELECT suffix, sum(n) AS n, sum(bad) AS bad FROM d GROUP BY ALL),
 sp AS (SELECT s.*, (SELECT (coalesce(sum(bad), 0) + 1) / (coalesce(sum(n), 0) + 2) FROM s) AS parent FROM s),
-sr AS (SELECT suffix, (bad + m * parent) / (n + m) AS rate FROM sp, (SELECT {strength("sp")} AS m)),
+sm AS ({strength("sp")}),
+sr AS (SELECT suffix, (bad + m * parent) / (n + m) AS rate FROM sp, sm),
 dp AS (SELECT d.*, rate AS parent FROM d JOIN sr USING (suffix)),
-dr AS (SELECT domain, suffix, (bad + m * parent) / (n + m) AS rate FROM dp, (SELECT {strength("dp")} AS m)),
+dm AS ({strength("dp")}),
+dr AS (SELECT domain, suffix, (bad + m * parent) / (n + m) AS rate FROM dp, dm),
 hp AS (SELECT h.*, rate AS parent FROM h JOIN dr USING (domain, suffix)),
-hr AS (SELECT host, (bad + m * parent) / (n + m) AS rate, n + m AS size FROM hp, (SELECT {strength("hp")} AS m)),
-bound AS (SELECT host, rate - 1.645 * sqrt(rate * (1 - rate) / (size + 1)) AS low FROM hr),
-judged AS (SELECT page_id, parsed.host, path, low, CASE {fits.replace("(host", "(parsed.host").replace("ends_with(host", "ends_with(parsed.host")} END AS hit FROM parsed LEFT JOIN bound ON bound.host = {site.replace("host", "parsed.host")})
+hm AS ({strength("hp")}),
+hr AS (SELECT host, (bad + m * parent) / (n + m) AS rate, n + m AS size FROM hp, hm),
+sites AS (SELECT *, {site} AS site FROM parsed),
+cut AS (SELECT page_id, host, path, site, string_split(site, '.') AS l FROM sites),
+named AS (SELECT *, {suffix_labels} AS k FROM cut),
+known AS (SELECT page_id, p.host, path, coalesce(hr.rate, dr.rate, sr.rate, (SELECT (sum(bad) + 1) / (sum(n) + 2) FROM s)) AS rate,
+          CASE WHEN hr.rate IS NOT NULL THEN hr.size WHEN dr.rate IS NOT NULL THEN hm.m WHEN sr.rate IS NOT NULL THEN dm.m ELSE sm.m END AS size
+          FROM named p CROSS JOIN sm CROSS JOIN dm CROSS JOIN hm LEFT JOIN hr ON hr.host = site
+          LEFT JOIN dr ON dr.domain = array_to_string(l[-(k + 1):], '.') AND dr.suffix = array_to_string(l[-k:], '.') LEFT JOIN sr ON sr.suffix = array_to_string(l[-k:], '.')),
+judged AS (SELECT page_id, host, path, rate - 1.645 * sqrt(rate * (1 - rate) / (size + 1)) AS low, CASE {fits} END AS hit FROM known)
 SELECT page_id, host, path, split_part(hit, '|', 2) AS rule,
        CASE WHEN hit IS NOT NULL THEN split_part(hit, '|', 1) WHEN low > 0.2 THEN 'block' ELSE 'allow' END AS verdict
 FROM judged
