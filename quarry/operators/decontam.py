@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from quarry.functions.text import lazy_udf
 from quarry.model import strip
 from quarry.operators.blocks import Benchmark
-from quarry.session import in_arrow, ship, spread
+from quarry.session import in_arrow, sent_file, ship, spread
 from quarry.sources.io import cached
 
 Tokeniser = Callable[[Column], Column]
@@ -57,11 +57,7 @@ def subwords(path: str) -> Tokeniser:
     made = lazy_udf("array<int>", own_step=True)(ids)
 
     def column(text: Column) -> Column:
-        context = SparkSession.active().sparkContext
-        sent = context.__dict__.setdefault("_quarry_tokenizers", {})
-        if sent.setdefault(name, path) != path:
-            raise ValueError(f"another tokenizer of the name {name} is in use: {sent[name]}")
-        context.addFile(path)
+        sent_file(SparkSession.active(), path)
         return made(text)
 
     return column

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 import zipfile
@@ -40,6 +41,16 @@ def ship(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def sent_file(spark: SparkSession, path: str) -> str:
+    """Send a file of the driver's to the executors, once; ``SparkFiles.get`` of the name returned is its place there."""
+    context, name = spark.sparkContext, os.path.basename(path)
+    sent = context.__dict__.setdefault("_quarry_files", {})
+    if sent.setdefault(name, path) != path:
+        raise ValueError(f"another file of the name {name} is in use: {sent[name]}")
+    context.addFile(path)
+    return name
+
+
 def in_arrow(df: DataFrame, run: Callable, schema: str | StructType) -> DataFrame:
     """``df.mapInArrow`` with the package on the executors.
 
