@@ -14,7 +14,8 @@ its length; ranks come from counts per salted group, so no length, however
 common, meets in one task.
 
 Defined results: a null text counts as empty and is the end token alone; equal rows
-are packed once each; an empty table packs into no sequence.
+are packed once each, rows without an id or with a repeated one like any other; an empty table packs into no sequence; other
+columns are not read, so their names can't clash.  The vocabulary is a file of the driver's and goes to the executors with the application.
 """
 
 from __future__ import annotations
@@ -26,13 +27,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import SparkFiles
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from quarry.llm.common import in_arrow, stored
+from quarry.session import sent_file
 
-CACHE = 1_000_000
+#: Bytes of memory for the parts that a worker remembers, what each costs beside its bytes, and the longest that is remembered.
+CACHE_BYTES, PART_BYTES, LONGEST = 48 << 20, 200, 64
 
 _PLAIN = re.compile(rb"(?:[a-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+").fullmatch
 _TAIL = re.compile(rb"([a-z]+)([!-&(-/:-@\[-`{-~]+)").fullmatch
@@ -49,13 +53,14 @@ class WordCoder(dict):
 
     The vocabulary's rules never cross white space and fold case, so a text's ids
     are those of its parts in order.  Plain words go straight to the vocabulary's
-    merges; any other part through the whole tokenizer.  At most CACHE parts
-    are remembered.  Special tokens are found first, in the text as it stands, as the
+    merges; any other part through the whole tokenizer.  Parts of up to
+    LONGEST bytes are remembered, CACHE_BYTES of them; a longer part, as in texts without blanks, is coded each time.  Special tokens are found first, in the text as it stands, as the
     tokenizer does it; they cut the text, and what lies between them is coded as above.
     """
 
     def __init__(self, path: str):
         super().__init__()
+        self.held = 0
         self.tokenizer = Tokenizer.from_file(path)
         self.merge, self.symbols = self.tokenizer.model.tokenize, byte_symbols()
         self.special = {t.content.encode(): np.array([i], "<u4").tobytes() for i, t in self.tokenizer.get_added_tokens_decoder().items()}
@@ -70,15 +75,19 @@ class WordCoder(dict):
             word = part.decode() if part.isascii() else part.decode().lower().encode().decode("latin-1").translate(self.symbols)
             ids = [t.id for t in self.merge(word)]
         elif end := _TAIL(part):
-            found = self[end[1]] + self[end[2]]
-            self[part] = found
-            return found
+            return self._kept(part, self[end[1]] + self[end[2]])
         else:
             ids = self.plain.encode(part.decode("utf-8", "replace"), add_special_tokens=False).ids
-        if len(self) >= CACHE:
-            self.clear()
-        found = self[part] = np.array(ids, "<u4").tobytes()
-        return found
+        return self._kept(part, np.array(ids, "<u4").tobytes())
+
+    def _kept(self, part: bytes, ids: bytes) -> bytes:
+        if len(part) <= LONGEST:
+            if self.held > CACHE_BYTES:
+                self.clear()
+                self.held = 0
+            self[part] = ids
+            self.held += len(part) + len(ids) + PART_BYTES
+        return ids
 
     def encode(self, text: bytes) -> bytes:
         out, code = [], self.__getitem__
@@ -103,10 +112,11 @@ def coder(path: str) -> WordCoder:
 def pieces(docs: DataFrame, vocabulary: str, *, id_col: str = "doc_id", text_col: str = "text", max_len: int = 4096, end_id: int = 1, with_ids: bool = False) -> DataFrame:
     """(id, piece, start, length, ids_crc32[, ids]) in pieces of at most ``max_len``."""
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col).cast("binary"), F.lit(b"")).alias("t"))
+    name = sent_file(docs.sparkSession, vocabulary)
     end = np.array([end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = coder(vocabulary).encode
+        encode = coder(SparkFiles.get(name)).encode
         for b in batches:
             out = []
             for key, text in zip(b.column(0).to_pylist(), b.column(1), strict=True):
