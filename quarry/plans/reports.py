@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.operators import convert, decontam, filters, judge, mixture, profile, sketches, split
+from quarry.operators import convert, decontam, filters, judge, mixture, profile, sketches, split, structures
 from quarry.plans.catalog import CHOICES, DOCS, RULES, bench_texts, choices, docs, query, table
 
 # ---- judge flows ------------------------------------------------------------
@@ -256,3 +256,32 @@ def sketched_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     days = [sketches.sketched(docs.where(F.col("day") == k).drop("day")) for k in range(3)]
     found = sketches.stats(sketches.merged(*days), quantiles=(0.0, 1.0))
     return found.select("path", "rows", "filled", "distinct", F.col("lengths")[0].alias("shortest"), F.col("lengths")[1].alias("longest"))
+
+
+# ---- merged structures ------------------------------------------------------
+
+
+@query("""
+WITH k AS (
+    SELECT '' AS path, '' AS above, doc_id AS i, 'dict' AS kind FROM documents
+    UNION ALL SELECT '.id', '', doc_id, 'int' FROM documents
+    UNION ALL SELECT '.note', '', doc_id, CASE doc_id % 5 WHEN 0 THEN 'null' WHEN 1 THEN 'dict' ELSE 'str' END FROM documents
+    UNION ALL SELECT '.note.a', '.note', doc_id, 'float' FROM documents WHERE doc_id % 5 = 1
+    UNION ALL SELECT '.mix', '', doc_id, CASE doc_id % 4 WHEN 0 THEN 'str' ELSE 'dict' END FROM documents
+    UNION ALL SELECT '.mix.z', '.mix', doc_id, 'int' FROM documents WHERE doc_id % 4 <> 0
+    UNION ALL SELECT '.tags', '', doc_id, CASE doc_id % 3 WHEN 0 THEN '[]' ELSE 'list' END FROM documents
+    UNION ALL SELECT '.tags[0]', '.tags', doc_id, 'dict' FROM documents WHERE doc_id % 3 <> 0
+    UNION ALL SELECT '.tags[0].t', '.tags[0]', doc_id, CASE doc_id % 2 WHEN 0 THEN 'null' ELSE 'bool' END FROM documents WHERE doc_id % 3 <> 0
+    UNION ALL SELECT '.metadata', '', doc_id, 'null' FROM documents
+    UNION ALL SELECT '.options', '', doc_id, 'null' FROM documents
+    UNION ALL SELECT '.empty', '', doc_id, '{}' FROM documents),
+w AS (SELECT path, any_value(above) AS above, coalesce(arg_min(kind, i) FILTER (kind NOT IN ('null', '{}', '[]')), arg_max(kind, i) FILTER (kind IN ('{}', '[]')), CASE path WHEN '.metadata' THEN '{}' WHEN '.options' THEN '[]' ELSE 'str' END) AS kind FROM k GROUP BY path)
+SELECT a.path, a.kind FROM w a JOIN w b ON b.path = a.above WHERE a.path = '' OR b.kind = CASE WHEN ends_with(a.path, '[0]') THEN 'list' ELSE 'dict' END""")
+def merged_structure(spark: SparkSession, sf_dir: str) -> DataFrame:
+    i = F.col("doc_id")
+    said = F.concat(
+        F.lit('{"id": '), i, F.lit(', "metadata": null, "options": null, "empty": {}, "note": '), F.when(i % 5 == 0, "null").when(i % 5 == 1, '{"a": 1.5}').otherwise('"x"'),
+        F.lit(', "mix": '), F.when(i % 4 == 0, '"x"').otherwise('{"z": 1}'), F.lit(', "tags": '), F.when(i % 3 == 0, "[]").when(i % 2 == 0, '[{"t": null}]').otherwise('[{"t": true}]'), F.lit("}"),
+    )
+    rows = structures.structure_rows(table(spark, sf_dir, "documents").select("doc_id", said.alias("said")), "said", "doc_id")
+    return structures.resolved(rows).select(F.array_join("path", "").alias("path"), "kind")
