@@ -69,10 +69,49 @@ def has_keyword(text: Column, keyword: str) -> Column:
     return F.lower(text).rlike(f"(^|{edge}){word}($|{edge})")
 
 
+_EDGE = r"[\p{L}\p{N}_]"
+
+
+def trie_pattern(keywords: Sequence[str]) -> str:
+    """One pattern for many keywords: what they begin with alike is tried once, and the longest that fits is taken."""
+    root: dict = {}
+    for k in keywords:
+        at = root
+        for c in k:
+            at = at.setdefault(c, {})
+        at[""] = {}
+
+    def built(at: dict) -> str:
+        ways = [re.sub(r"([.^$*+?()\[\]{}|\\])", r"\\\1", c) + built(below) for c, below in sorted(at.items()) if c]
+        if not ways:
+            return ""
+        one = ways[0] if len(ways) == 1 and "" not in at else "(?:" + "|".join(ways) + ")"
+        return one + "?" if "" in at else one
+
+    return built(root)
+
+
 def keywords_in(text: Column, keywords: Sequence[str] = ASSISTANT_KEYWORDS) -> Column:
-    """The keywords found, in the list's order."""
-    hits = F.array(*[F.when(has_keyword(text, k), F.lit(k)) for k in keywords])
-    return F.coalesce(F.array_compact(hits), F.array().cast("array<string>"))
+    """The keywords found, in the list's order.
+
+    One pass over the lower-cased text, however many keywords there are: at each place where a word begins the longest keyword that ends
+    at a word's edge is taken; which shorter ones it stands for, as "gpt" in "gpt-4", is known beforehand.
+    """
+    low = [k.lower() for k in keywords]
+    edge = re.compile(r"[^\W_]|_", re.UNICODE).match
+
+    def stands_for(longest: str) -> list[int]:
+        """Places of the keywords that ``longest`` begins with, up to an edge."""
+        return [i for i, k in enumerate(low) if longest == k or (longest.startswith(k) and not edge(longest, len(k)))]
+
+    # A look-ahead takes no text, so keywords that overlap are all found.
+    pattern = f"(?<!{_EDGE})(?=({trie_pattern(sorted(set(low) - {''}))})(?!{_EDGE}))"
+    known = F.from_json(F.lit(json.dumps({k: stands_for(k) for k in set(low)})), "map<string,array<int>>")
+    names = F.array(*[F.lit(k) for k in keywords])
+    found = F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(pattern), F.lit(1)))
+    places = F.array_sort(F.array_distinct(F.flatten(F.transform(found, lambda k: F.try_element_at(known, k)))))
+    named = F.transform(places, lambda i: F.get(names, i))
+    return F.when(F.size(found) > 0, named).otherwise(F.array().cast("array<string>"))
 
 
 THINK = r"(?is)<think\s*>(.*?)</think\s*>"
