@@ -7,36 +7,47 @@ from pyspark.sql import functions as F
 
 from quarry.functions.paths import nested_get, text_of
 from quarry.functions.text import file_name
+from quarry.session import stored
 
 
-def cut_keys(df: DataFrame, order: list[str], groups: int, each: int = 50) -> list[Column]:
-    """At most ``groups`` - 1 keys that cut ``df`` into ranges of about equal size.
+#: Bytes of a table, as Spark estimates them, that one range holds; rows of a broadcast of totals.
+RANGE_BYTES, MOST_TOTALS = 128 << 20, 100_000
+UNKNOWN = 1 << 60  # what Spark says of a size that it doesn't know
+_LOW = (1 << 33) - 1  # the bits of a row's place in its partition, in Spark's increasing ids
 
-    The keys, of any type that can be sorted, are those of ``groups`` x ``each`` rows drawn by their hash.
-    All columns of the key count, so rows that share the first one can be cut apart, too.
-    """
-    key = F.struct(*order)
-    drawn = df.select(key.alias("k")).orderBy(F.xxhash64("k"), "k").limit(groups * each).orderBy("k").collect()  # bounded
-    kinds = dict(df.dtypes)
-    literal = lambda row: F.struct(*[F.lit(row[c]).cast(kinds[c]).alias(c) for c in order])
-    return [literal(r.k) for r in drawn[each::each]]
+
+def ranges(df: DataFrame) -> int:
+    """How many ranges a table is cut into: by the size of what it is read from, and no fewer than there are cores to work on them."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [int(str(leaves.apply(k).stats().sizeInBytes())) for k in range(leaves.size())]
+    size = sum(s for s in sizes if s < UNKNOWN)
+    return max(df.sparkSession.sparkContext.defaultParallelism, min(100_000, -(-size // RANGE_BYTES)))
+
+
+def _at_most(df: DataFrame, rows: int) -> bool:
+    return df.limit(rows + 1).count() <= rows
 
 
-def row_numbers(df: DataFrame, *order: str, by: list[str] = (), groups: int = 64) -> DataFrame:
+def row_numbers(df: DataFrame, *order: str, by: list[str] = (), groups: int | None = None) -> DataFrame:
     """``df`` with ``n`` (from 0) in the order of a unique key, within ``by`` if given.
 
-    Without a single sort in one task: rows are dealt into ranges of the key, whatever its type,
-    numbered within a range, and shifted by the rows of the ranges before, whose
-    counts are a table of ``groups`` rows.
+    Without a single sort in one task: rows are dealt into as many ranges of the key as the table's size asks for (``groups`` sets another
+    number), sorted within them and written once.  A row's place in its range is then known, and what comes before a range is the sum of
+    the counts before it, a table with a row for each range; within ``by`` the first number of each value is taken off.
     """
-    key = F.struct(*order)
-    above = [F.when(key > cut, 1).otherwise(0) for cut in cut_keys(df, list(order), groups)]
-    ranged = df.withColumn("_g", sum(above, F.lit(0)))
-    within = F.row_number().over(Window.partitionBy(*by, "_g").orderBy(*order)) - 1
-    counts = ranged.groupBy(*by, "_g").agg(F.count(F.lit(1)).alias("_c"))
-    earlier = counts.withColumn("_o", F.coalesce(F.sum("_c").over(Window.partitionBy(*by).orderBy("_g").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("_c")
-    joined = ranged.withColumn("_w", within).join(earlier, [*by, "_g"])
-    return joined.withColumn("n", (F.col("_w") + F.col("_o")).cast("long")).select(*df.columns, "n")
+    key = [F.col(c) for c in (*by, *order)]
+    dealt = df.repartitionByRange(groups or ranges(df), *key).sortWithinPartitions(*key)
+    placed = stored(dealt.select(*df.columns, F.monotonically_increasing_id().alias("_m")), "row-numbers")
+    placed = placed.withColumn("_g", F.shiftright("_m", 33))
+    counts = placed.groupBy("_g").agg(F.count(F.lit(1)).alias("_c"))
+    before = F.coalesce(F.sum("_c").over(Window.orderBy("_g").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    offsets = counts.select("_g", before.alias("_o"))  # a row for each range, 100,000 at most
+    numbered = placed.join(F.broadcast(offsets), "_g").withColumn("n", F.col("_o") + F.col("_m").bitwiseAND(F.lit(_LOW)))
+    if by:
+        first = numbered.groupBy(*by).agg(F.min("n").alias("_first")).withColumnsRenamed({c: f"_by_{c}" for c in by})
+        same = [F.col(c).eqNullSafe(F.col(f"_by_{c}")) for c in by]
+        numbered = numbered.join(F.broadcast(first) if _at_most(first, MOST_TOTALS) else first, same).withColumn("n", F.col("n") - F.col("_first"))
+    return numbered.select(*df.columns, F.col("n").cast("long").alias("n"))
 
 
 def suffix(part: Column) -> Column:
@@ -47,8 +58,12 @@ def suffix(part: Column) -> Column:
 def even_parts(df: DataFrame, parts: int, *order: str, by: list[str] = ()) -> DataFrame:
     """``df`` with ``part`` (from 0) of ``parts`` contiguous parts; the first ones take the rest."""
     numbered = row_numbers(df, *order, by=by)
-    sizes = df.groupBy(*by).agg(F.count(F.lit(1)).alias("_t")) if by else df.agg(F.count(F.lit(1)).alias("_t"))
-    joined = numbered.join(F.broadcast(sizes), list(by)) if by else numbered.crossJoin(F.broadcast(sizes))  # one row, or one per split
+    if by:
+        sizes = df.groupBy(*by).agg(F.count(F.lit(1)).alias("_t")).withColumnsRenamed({c: f"_of_{c}" for c in by})
+        same = [F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in by]
+        joined = numbered.join(F.broadcast(sizes) if _at_most(sizes, MOST_TOTALS) else sizes, same)
+    else:
+        joined = numbered.crossJoin(F.broadcast(df.agg(F.count(F.lit(1)).alias("_t"))))  # one row
     size, rest = F.floor(F.col("_t") / parts), F.col("_t") % parts
     edge = rest * (size + 1)
     part = F.when(F.col("n") < edge, F.floor(F.col("n") / (size + 1))).otherwise(rest + F.floor((F.col("n") - edge) / F.greatest(size, F.lit(1))))

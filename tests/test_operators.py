@@ -288,10 +288,14 @@ def test_rows_are_numbered_whatever_the_key(spark):
     got = split.row_numbers(df, "s", "i", groups=8)
     want = sorted(rows, key=lambda r: (r[0] is not None, r[0] or "", r[1]))
     assert [(r.s, r.i) for r in got.orderBy("n").collect()] == want and sorted(r.n for r in got.collect()) == list(range(1000))
-    key = F.struct("s", "i")
-    cuts = split.cut_keys(df, ["s", "i"], 8)
-    largest = df.groupBy(sum([F.when(key > c, 1).otherwise(0) for c in cuts], F.lit(0)).alias("g")).count().agg(F.max("count")).head()[0]
+    largest = df.repartitionByRange(8, "s", "i").groupBy(F.spark_partition_id().alias("g")).count().agg(F.max("count")).head()[0]
     assert largest < 350  # the hot first key is cut apart
+    within = split.row_numbers(df, "i", by=["s"], groups=8)
+    assert {(r.s, r.i): r.n for r in within.collect()} == {(s, i): sum(1 for t, j in rows if t == s and j < i) for s, i in rows}
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan.split("BroadcastExchange")[0]  # only the ranges' counts are summed in one task
+    assert split.ranges(df) == df.sparkSession.sparkContext.defaultParallelism
+    assert split.ranges(spark.range(1 << 40)) == 65_536  # 8 TB
 
 
 def test_mixtures_that_contain_each_other_raise():
