@@ -9,6 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quarry.operators import inversions
 from quarry.session import ship
 
 EMPTY = "[EMPTY RESPONSE]"
@@ -202,16 +203,9 @@ def spearman(df: DataFrame, by: list[str], x: str, y: str) -> DataFrame:
     return ranked.groupBy(*by).agg(F.corr("_x", "_y").alias("spearman"))
 
 
-def kendall(df: DataFrame, by: list[str], x: str, y: str, index: str) -> DataFrame:
-    """(by, kendall): tau-b.  A group is one ranked list, a handful of items, so its
-    pairs are formed inside the row's array and never joined."""
-    lists = df.groupBy(*by).agg(F.array_sort(F.collect_list(F.struct(F.col(index).alias("i"), F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y")))).alias("l"))
-    pairs = F.flatten(F.transform("l", lambda a, i: F.transform(F.filter("l", lambda b, j: j > i), lambda b: F.struct(F.signum(a["x"] - b["x"]).alias("x"), F.signum(a["y"] - b["y"]).alias("y")))))
-    rows = lists.withColumn("p", pairs)
-    total = lambda f: F.aggregate("p", F.lit(0.0), lambda a, p: a + f(p))
-    top = total(lambda p: p["x"] * p["y"])
-    below = F.sqrt(total(lambda p: F.abs(p["x"])) * total(lambda p: F.abs(p["y"])))
-    return rows.select(*by, F.try_divide(top, below).alias("kendall"))
+def kendall(df: DataFrame, by: list[str], x: str, y: str) -> DataFrame:
+    """(by, kendall): tau-b, by inversion counts, so lists may be of any length."""
+    return inversions.kendall(df, by, x, y)
 
 
 def top_hits(df: DataFrame, by: list[str], truth: str, predicted: str, index: str, k: int = 3) -> DataFrame:

@@ -421,7 +421,7 @@ def spearman(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"""WITH f AS {FACTS}, p AS (SELECT a.sample_id, sign(a.truth - b.truth) AS x, sign(a.score - b.score) AS y FROM f a JOIN f b ON a.sample_id = b.sample_id AND a.idx < b.idx)
 SELECT sample_id, round(sum(x * y) / sqrt(sum(abs(x))::DOUBLE * sum(abs(y))), 6) AS kendall FROM p GROUP BY sample_id""")
 def kendall(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return judge.kendall(facts(spark, sf_dir), ["sample_id"], "truth", "score", "idx").select("sample_id", F.round("kendall", 6).alias("kendall"))
+    return judge.kendall(facts(spark, sf_dir), ["sample_id"], "truth", "score").select("sample_id", F.round("kendall", 6).alias("kendall"))
 
 
 @query(f"SELECT sample_id, count(*) FILTER (t <= 3 AND score > 6) AS hits FROM (SELECT *, row_number() OVER (PARTITION BY sample_id ORDER BY truth DESC, idx) AS t FROM {FACTS}) GROUP BY sample_id")
