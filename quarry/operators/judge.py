@@ -6,11 +6,12 @@ import math
 from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.operators import inversions
-from quarry.session import ship
+from quarry.session import in_arrow, ship, stored
 
 EMPTY = "[EMPTY RESPONSE]"
 
@@ -340,17 +341,59 @@ def odd_even(items: Sequence, better: Callable[[object, object], bool], *, quiet
     return order, calls
 
 
-def rank_with_judge(df: DataFrame, key: str, index: str, text: str, better: Callable[[str, str], bool], quiet: int = 2) -> DataFrame:
-    """(key, index, place) per list of completions; a group is one sample's list."""
+Better = Callable[[str, str], bool]
 
-    def one(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(index)
-        order, _ = odd_even(rows[text].tolist(), better, quiet=quiet)
-        return pd.DataFrame({key: rows[key].iloc[0], index: rows[index].to_numpy()[order], "place": range(1, len(order) + 1)})
 
-    ship(df.sparkSession)
-    kinds = dict(df.dtypes)
-    return df.select(key, index, text).groupBy(key).applyInPandas(one, f"{key} {kinds[key]}, {index} {kinds[index]}, place int")
+def _asked(pairs: DataFrame, better: Better | None, better_all: Callable[[list[tuple[str, str]]], list[bool]] | None) -> DataFrame:
+    """``pairs`` (..., first, second) with ``won``: whether the first is the better one; the judge gets a batch at a time."""
+    judge = better_all or (lambda many: [better(a, b) for a, b in many])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            first, second = (b.column(b.schema.get_field_index(c)).to_pylist() for c in ("first", "second"))
+            said = judge(list(zip(first, second, strict=True))) if b.num_rows else []
+            yield pa.RecordBatch.from_arrays([*b.drop_columns(["first", "second"]).columns, pa.array(map(bool, said), pa.bool_())], [n for n in b.schema.names if n not in ("first", "second")] + ["won"])
+
+    return in_arrow(pairs, run, pairs.drop("first", "second").withColumn("won", F.lit(True)).schema)
+
+
+def rank_with_judge(df: DataFrame, key: str, index: str, text: str, better: Better | None = None, quiet: int = 2, *, better_all: Callable[[list[tuple[str, str]]], list[bool]] | None = None) -> DataFrame:
+    """(key, index, place) per list of completions, in rounds over all lists at once, as :func:`odd_even` sorts one.
+
+    A round's pairs that nobody has asked yet are rows: they go to the judge in batches, and the answers are written before
+    they are used, so a lost executor asks nothing twice.  Lists are orders of indexes; texts only move to be asked.  A
+    list is done after ``quiet`` rounds without a swap, or twice as many rounds as it has items; the rounds end with the last list.
+    """
+    if (better is None) == (better_all is None):
+        raise ValueError("one judge, of a pair or of a batch of pairs")
+    kind = dict(df.dtypes)[index]
+    texts = stored(df.select(F.col(key).alias("_k"), F.col(index).alias("_i"), F.col(text).alias("_t")), "completions")
+    state = texts.groupBy("_k").agg(F.array_sort(F.collect_list("_i")).alias("order")).withColumn("calm", F.lit(0))
+    state, memo = stored(state, "orders"), None
+    r = 0
+    while True:
+        open_ = (F.col("calm") < quiet) & (F.lit(r) < 2 * F.size("order"))
+        if state.where(open_).isEmpty():
+            break
+        starts = F.when(F.size("order") - 2 >= r % 2, F.sequence(F.lit(r % 2), F.size("order") - 2, F.lit(2))).otherwise(F.array().cast("array<int>"))
+        pairs = state.where(open_).select("_k", "order", F.explode(starts).alias("at"))
+        pairs = pairs.select("_k", "at", F.get("order", F.col("at")).alias("a"), F.get("order", F.col("at") + 1).alias("b"))
+        pairs = pairs.select("*", F.least("a", "b").alias("lo"), F.greatest("a", "b").alias("hi"))
+        new = pairs.select("_k", "lo", "hi") if memo is None else pairs.select("_k", "lo", "hi").join(memo, ["_k", "lo", "hi"], "left_anti")
+        side = lambda end, name: texts.select("_k", F.col("_i").alias(end), F.col("_t").alias(name))
+        asked = _asked(new.join(side("lo", "first"), ["_k", "lo"]).join(side("hi", "second"), ["_k", "hi"]).select("_k", "lo", "hi", "first", "second"), better, better_all)
+        asked = stored(asked, "answers")
+        memo = asked if memo is None else memo.unionByName(asked)
+        if r % 8 == 7:
+            memo = stored(memo, "memory")  # not a union of a hundred tables
+        winner = F.when(F.col("won"), F.col("lo")).otherwise(F.col("hi"))
+        swaps = pairs.join(memo, ["_k", "lo", "hi"]).where(winner == F.col("b")).groupBy("_k").agg(F.collect_set("at").alias("swaps"))
+        moved = F.transform("order", lambda x, j: F.when(F.array_contains("swaps", j), F.get("order", j + 1)).when(F.array_contains("swaps", j - 1), F.get("order", j - 1)).otherwise(x))
+        none = F.col("swaps").isNull()
+        after = state.join(swaps, "_k", "left").select("_k", F.when(none, F.col("order")).otherwise(moved).alias("order"), F.when(~open_, F.col("calm")).when(none, F.col("calm") + 1).otherwise(0).alias("calm"))
+        state, r = stored(after, "orders"), r + 1
+    places = state.select("_k", F.posexplode("order").alias("place", "_i"))
+    return places.select(F.col("_k").alias(key), F.col("_i").cast(kind).alias(index), (F.col("place") + 1).cast("int").alias("place"))
 
 
 def sorted_branches(branches: Column, score_key: str = "score") -> Column:
