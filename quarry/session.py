@@ -18,7 +18,7 @@ CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 #: Rows of an Arrow batch.  Rows here are texts of some kilobytes; 10,000 of them are tens of megabytes, several times over in a worker.
-BATCH, BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", 2_000
+BATCH, BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", 1_000
 
 
 def ship(spark: SparkSession) -> SparkSession:
