@@ -36,7 +36,7 @@ from quarry.llm.common import in_arrow, stored
 from quarry.session import sent_file
 
 #: Bytes of memory for the parts that a worker remembers, what each costs beside its bytes, and the longest that is remembered.
-CACHE_BYTES, PART_BYTES, LONGEST = 48 << 20, 200, 64
+CACHE_BYTES, PART_BYTES, LONGEST = 32 << 20, 200, 64
 
 _PLAIN = re.compile(rb"(?:[a-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+").fullmatch
 _TAIL = re.compile(rb"([a-z]+)([!-&(-/:-@\[-`{-~]+)").fullmatch
@@ -61,14 +61,12 @@ class WordCoder(dict):
     def __init__(self, path: str):
         super().__init__()
         self.held = 0
-        self.tokenizer = Tokenizer.from_file(path)
-        self.merge, self.symbols = self.tokenizer.model.tokenize, byte_symbols()
-        self.special = {t.content.encode(): np.array([i], "<u4").tobytes() for i, t in self.tokenizer.get_added_tokens_decoder().items()}
+        self.plain = Tokenizer.from_file(path)
+        self.merge, self.symbols = self.plain.model.tokenize, byte_symbols()
+        self.special = {t.content.encode(): np.array([i], "<u4").tobytes() for i, t in self.plain.get_added_tokens_decoder().items()}
         longest_first = sorted(self.special, key=len, reverse=True)
         self.cut = re.compile(b"(" + b"|".join(map(re.escape, longest_first)) + b")").split if longest_first else lambda text: [text]
-        # What a lower-cased part may look like without being that token.
-        self.plain = Tokenizer.from_file(path)
-        self.plain.encode_special_tokens = True
+        self.plain.encode_special_tokens = True  # what a lower-cased part may look like without being that token
 
     def __missing__(self, part: bytes) -> bytes:
         if _PLAIN(part):
