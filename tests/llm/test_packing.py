@@ -87,3 +87,62 @@ def test_pieces_lie_gapless(spark):
         want.update((row.doc_id, k, k * 256, len(ids[k * 1024 : k * 1024 + 1024]) // 4, zlib.crc32(ids[k * 1024 : k * 1024 + 1024])) for k in range(math.ceil(len(ids) / 1024)))
     assert Counter((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in got) == want
     assert p.pack_documents(empty(spark), PATH).count() == 0
+
+
+def fewest(lengths: list[int], most: int) -> int:
+    """The least number of sequences, by trying all ways."""
+    best = len(lengths)
+
+    def place(k: int, room: tuple[int, ...]) -> None:
+        nonlocal best
+        if len(room) >= best:
+            return
+        if k == len(lengths):
+            best = len(room)
+            return
+        for i in {r: i for i, r in enumerate(room) if r >= lengths[k]}.values():
+            place(k + 1, tuple(sorted((*room[:i], room[i] - lengths[k], *room[i + 1 :]))))
+        place(k + 1, (*room, most - lengths[k]))
+
+    place(0, ())
+    return best
+
+
+def test_small_histograms_against_the_optimum():
+    rng = random.Random(8)
+    off = 0
+    for _ in range(200):
+        lengths = sorted((rng.randint(1, 20) for _ in range(rng.randint(1, 9))), reverse=True)
+        plan = p.Plan(dict(Counter(lengths)), max_len=20)
+        check(plan, Counter(lengths))
+        least = fewest(lengths, 20)
+        assert plan.sequences <= least + 1
+        off += plan.sequences - least
+    assert off <= 6
+
+
+@pytest.mark.parametrize("counts, sequences", [({1366: 1000, 1365: 2000}, 1000), ({3000: 1000, 1000: 1000, 96: 1000}, 1000), ({2049: 100, 2047: 100}, 100), ({4096: 7}, 7), ({}, 0)])
+def test_patterns_that_fit_exactly(counts, sequences):
+    plan = p.Plan(counts)
+    check(plan, Counter(counts))
+    assert plan.sequences == plan.by_pattern == sequences
+
+
+@pytest.mark.parametrize("mean, spread", [(5.0, 0.5), (5.0, 1.0), (6.5, 1.0)])
+def test_patterns_fill_short_and_long_documents(mean, spread):
+    lengths = np.clip(np.random.default_rng(0).lognormal(mean, spread, 100_000).astype(int), 1, 4096)
+    counts = Counter(lengths.tolist())
+    plan, plain = p.Plan(dict(counts)), p.Plan(dict(counts), share=0.0)
+    check(plan, counts)
+    assert plan.by_pattern > plan.sequences / 2
+    assert plan.sequences <= 1.002 * plain.sequences + 1 and plan.sequences <= 1.01 * lengths.sum() / 4096 + 1
+
+
+def test_memory_of_parts_is_bounded():
+    coder = p.WordCoder(public_tokenizers.path("word_bpe_49k.json"))
+    for k in range(3000):
+        coder.encode(f"word{k} {'x' * 500}{k}".encode())
+    assert not any(len(part) > p.LONGEST for part in coder)
+    coder.held = p.CACHE_BYTES
+    first = coder.encode(b"wordfresh word1")
+    assert len(coder) <= 4 and coder.older and coder.encode(b"wordfresh word1") == first
