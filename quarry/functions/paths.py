@@ -65,6 +65,8 @@ def nested_set(df: DataFrame, path: str, value: Column) -> DataFrame:
         if at is None or not isinstance(kind, StructType):
             return F.struct(put(None, None, more).alias(step))
         inner = kind[step].dataType if step in kind.fieldNames() else None
+        if kind.fields:  # where there is no struct yet, one without values
+            at = F.coalesce(at, F.struct(*[F.lit(None).cast(f.dataType).alias(f.name) for f in kind.fields]))
         return at.withField(step, put(inner, at.getField(step) if inner is not None else None, more))
 
     first, *rest = steps

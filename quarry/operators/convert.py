@@ -171,17 +171,6 @@ def xlam_parameters(parameters: Column) -> Column:
     return F.to_json(F.struct(F.lit("object").alias("type"), props.alias("properties"), needed.alias("required")))
 
 
-def xlam(df: DataFrame, source: str, key: Column | None = None) -> DataFrame:
-    """Query, tools and answers (JSON texts) to a record with calls."""
-    tools = F.from_json("tools", "array<struct<name:string,description:string,parameters:map<string,struct<type:string,description:string,default:string>>>>")
-    calls = F.from_json("answers", "array<struct<name:string,arguments:string>>")
-    parts = F.transform(calls, lambda c: part("function-call", "", name=c["name"], args=c["arguments"]))
-    rows = df.where(F.col("query").isNotNull() & tools.isNotNull() & calls.isNotNull())
-    out = rows.select(*record(source, F.col("query"), key=key, system_prompt=F.lit(None).cast("struct<content:string,metadata:map<string,string>>"), initial=prompt(F.col("query")), branches=one_branch(F.array(message("assistant", parts)))), tools.alias("_tools"))
-    functions = F.transform("_tools", lambda t: F.struct(t["name"].alias("name"), t["description"].alias("description"), xlam_parameters(t["parameters"]).alias("parameters")))
-    return out.withColumn("available_functions", functions).drop("_tools")
-
-
 def call_part(value: Column) -> Column:
     """A call's JSON as a part: ``think`` is a thought, unreadable JSON is null."""
     v = F.try_parse_json(value)
@@ -332,6 +321,21 @@ def translation_direction(text: Column) -> Column:
     return F.struct(F.when(target == GERMAN, ROMANSH).otherwise(GERMAN).alias("source_lang"), target.alias("target_lang"))
 
 
+def translation_patterns(text: Column) -> list[Column]:
+    """Over all rows: how many inputs name a direction, and which have the form of a list; aggregates."""
+    low = F.lower(F.coalesce(text, F.lit("")))
+    # Words of the directions; what a list has in it.
+    ahead, back = low.rlike("ins sursilvan|ins romansch"), low.contains("ins deutsche")
+    listed = low.rlike(r"[*]|-|[0-9]+\)|[a-z]\)")
+    return [F.count_if(ahead).alias("german_to_romansh"), F.count_if(~ahead & back).alias("romansh_to_german"), F.count_if(listed).alias("list_translations"), F.count_if(~listed).alias("single_translations")]
+
+
+def value_counts(df: DataFrame, **fields: Column) -> DataFrame:
+    """(field, value, n): how often each value of each field occurs, in one pass; nulls are a value."""
+    cells = F.array(*[F.struct(F.lit(k).alias("field"), v.cast("string").alias("value")) for k, v in fields.items()])
+    return df.select(F.explode(cells).alias("c")).groupBy("c.field", "c.value").agg(F.count(F.lit(1)).alias("n"))
+
+
 # Names of Swiss German dialects by code.
 DIALECTS = {"ch_sg": "St. Gallen", "ch_be": "Bern", "ch_gr": "Graubünden", "ch_zh": "Zürich", "ch_vs": "Valais", "ch_bs": "Basel-Stadt", "ch_ag": "Aargau", "ch_lu": "Luzern"}
 

@@ -120,6 +120,38 @@ def pair_logprobs(tokens: list[dict], labels: tuple[str, str] = ("A", "B"), mark
     return -10.0, -10.1
 
 
+def choice_logprobs(tokens: Column, labels: tuple[str, ...] = ("A", "B", "C", "D")) -> Column:
+    """Log-probabilities of the labels, by label, at the first token that is one of them, thinking left out; null without such a token.
+
+    ``tokens`` are (token, top array of (token, logprob)); a label that isn't listed there has none.
+    """
+    word = lambda t: F.trim(t["token"])
+    # What a think tag opens isn't an answer until its end.
+    state = F.struct(F.lit(False).alias("thinking"), F.lit(None).cast("array<struct<token:string,logprob:double>>").alias("top"))
+
+    def step(s: Column, t: Column) -> Column:
+        thinking = F.when(word(t) == "<think>", True).when(word(t) == "</think>", False).otherwise(s["thinking"])
+        hit = s["top"].isNull() & ~thinking & word(t).isin(*labels)
+        listed = F.transform(t["top"], lambda x: F.struct(F.trim(x["token"]).alias("token"), x["logprob"].cast("double").alias("logprob")))
+        return F.struct(thinking.alias("thinking"), F.when(hit, listed).otherwise(s["top"]).alias("top"))
+
+    top = F.aggregate(tokens, state, step)["top"]
+    best = lambda k: F.array_max(F.transform(F.filter(top, lambda x: x["token"] == k), lambda x: x["logprob"]))
+    return F.when(top.isNotNull(), F.map_filter(F.create_map(*[y for k in labels for y in (F.lit(k), best(k))]), lambda _, v: v.isNotNull()))
+
+
+def choices_over_repeats(answers: DataFrame, by: list[str], choices: str = "choices") -> DataFrame:
+    """(by, label, picked, asked, share, mean_probability): over the repeats of a question, how often each label was the likeliest
+    (ties: the first by name), and its mean probability among the labels that were listed."""
+    rows = answers.where(F.col(choices).isNotNull() & (F.size(choices) > 0)).select(*by, F.array_sort(F.map_entries(choices)).alias("e"))
+    mass = F.aggregate("e", F.lit(0.0), lambda s, x: s + F.exp(x["value"]))
+    first = F.array_min(F.transform("e", lambda x: F.named_struct(F.lit("v"), -x["value"], F.lit("k"), x["key"])))["k"]
+    each = rows.select(*by, first.alias("_won"), mass.alias("_m"), F.explode("e").alias("x"))
+    counted = each.groupBy(*by, F.col("x.key").alias("label")).agg(F.count_if(F.col("x.key") == F.col("_won")).alias("picked"), F.avg(F.exp("x.value") / F.col("_m")).alias("mean_probability"))
+    asked = rows.groupBy(*by).agg(F.count(F.lit(1)).alias("asked"))
+    return counted.join(asked, by).select(*by, "label", "picked", "asked", (F.col("picked") / F.col("asked")).alias("share"), "mean_probability")
+
+
 def dual_winner(ab_a: Column, ab_b: Column, ba_a: Column, ba_b: Column) -> list[Column]:
     """Winner over both orders by mean log-probability, and whether the orders agree.
 
@@ -291,14 +323,22 @@ def degradation_history(completions: Column, reasonings: Column, most: int = 500
     return F.array_join(lines, "")
 
 
-def degrade(samples: DataFrame, ask: Callable[[str], str], steps: int, path: str, template: str) -> DataFrame:
+def degrade(samples: DataFrame, ask: Callable[[str], str], steps: int, path: str, template: str, failures: tuple[type[Exception], ...] = (OSError, ValueError, RuntimeError)) -> DataFrame:
     """Samples (key columns, question, completions, reasonings) after ``steps`` answers of the model, each worse than the last.
 
     ``template`` has places {question}, {history} and {latest}.  Every step is a table below ``path``; a run that
-    finds some of them goes on from there, so neither a lost executor nor a lost driver asks a question twice.
+    finds some of them goes on from there, so neither a lost executor nor a lost driver asks a question twice.  A call that fails in a way
+    named fails for its sample alone, which stays as it was in that step.
     """
     spark = ship(samples.sparkSession)
     now = samples.withColumn("iteration", F.lit(0))
+
+    def answered(text: str) -> str | None:
+        try:
+            return ask(text)
+        except failures:
+            return None
+
     for k in range(1, steps + 1):
         at = f"{path}/step={k}"
         folder = spark._jvm.org.apache.hadoop.fs.Path(f"{at}/_SUCCESS")
@@ -307,12 +347,13 @@ def degrade(samples: DataFrame, ask: Callable[[str], str], steps: int, path: str
 
             def answers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 for b in batches:
-                    said = [ask(template.format(question=q, history=h, latest=t)) for q, h, t in zip(b["question"], b["_h"], b["_q"], strict=True)]
+                    said = [answered(template.format(question=q, history=h, latest=t)) for q, h, t in zip(b["question"], b["_h"], b["_q"], strict=True)]
                     yield b.assign(_a=said)
 
             shape = asked.withColumn("_a", F.lit("")).schema
             done = asked.mapInPandas(answers, shape).withColumn("_x", degraded_answer(F.col("_a")))
-            done = done.withColumns({"completions": F.concat("completions", F.array("_x.completion")), "reasonings": F.concat("reasonings", F.array("_x.reasoning")), "iteration": F.lit(k)})
+            more = lambda old, new: F.when(F.col("_a").isNull(), F.col(old)).otherwise(F.concat(old, F.array(new)))
+            done = done.withColumns({"completions": more("completions", "_x.completion"), "reasonings": more("reasonings", "_x.reasoning"), "iteration": F.lit(k)})
             done.select(*now.columns).write.mode("overwrite").parquet(at)
         now = spark.read.schema(now.schema).parquet(at)
     return now

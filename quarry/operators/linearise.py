@@ -117,14 +117,23 @@ def render_tools(tools: list[dict]) -> str:
     return "\n".join(out)
 
 
+def _object(value) -> dict:
+    """A JSON object, or a text that holds one; anything else, malformed JSON too, is an empty one."""
+    if isinstance(value, str):
+        try:
+            value = json.loads(value) if value else {}
+        except (ValueError, RecursionError):
+            value = {}
+    return value if isinstance(value, dict) else {}
+
+
 def normal_tools(functions: list[dict], answers: bool) -> list[dict]:
-    """Functions with their parameters as objects, and the answers tool if asked for."""
+    """Functions with their parameters as objects, empty where they can't be read, and the answers tool if asked for."""
     out = []
     for f in functions:
-        params = f.get("parameters")
-        params = json.loads(params) if isinstance(params, str) and params else params or {}
+        params = _object(f.get("parameters"))
         if isinstance(params.get("properties"), str):
-            params["properties"] = json.loads(params["properties"])
+            params["properties"] = _object(params["properties"])
         if isinstance(params.get("required"), bool):
             params = listed_required(params)
         out.append({"name": f["name"], "description": f["description"], "parameters": params})

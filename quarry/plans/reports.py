@@ -67,12 +67,16 @@ def winner_completions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", w["id"].alias("id"), w["place"].alias("place"))
 
 
-@query("SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN text ELSE 'no marks' END AS completion, CASE WHEN doc_id % 2 = 0 THEN 'worse ' || lang ELSE 'Format not followed correctly' END AS reasoning FROM documents")
+_WORSE = "' REASONING:' || chr(10) || ' worse ' || lang || chr(10) || chr(10) || 'COMPLETION:' || chr(10) || text || chr(10)"
+_BARE = "E' \\t\\n\\r\\x0b\\f'"
+
+
+@query(f"""WITH s AS (SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN {_WORSE} ELSE 'no marks' END AS s FROM documents), p AS (SELECT *, string_split(s, 'COMPLETION:') AS p, contains(s, 'REASONING:') AND contains(s, 'COMPLETION:') AS m FROM s)
+SELECT doc_id, CASE WHEN m THEN trim(p[2], {_BARE}) ELSE s END AS completion, CASE WHEN m THEN trim(replace(p[1], 'REASONING:', ''), {_BARE}) ELSE 'Format not followed correctly' END AS reasoning FROM p""")
 def degraded_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = F.when(F.col("doc_id") % 2 == 0, F.concat(F.lit(" REASONING:\n worse "), F.col("lang"), F.lit("\n\nCOMPLETION:\n"), F.col("text"), F.lit("\n"))).otherwise("no marks")
     x = judge.degraded_answer(said)
-    trimmed = F.regexp_replace(x["completion"], r"^\s+|\s+$", "")
-    return table(spark, sf_dir, "documents").where("text rlike '^\\\\S[\\\\s\\\\S]*\\\\S$' AND NOT contains(text, 'COMPLETION:')").select("doc_id", trimmed.alias("completion"), x["reasoning"].alias("reasoning"))
+    return table(spark, sf_dir, "documents").select("doc_id", x["completion"].alias("completion"), x["reasoning"].alias("reasoning"))
 
 
 @query("SELECT doc_id, 'ORIGINAL COMPLETION:' || chr(10) || CASE WHEN length(text) > 500 THEN left(text, 500) || '...' ELSE text END || chr(10) || chr(10) || 'ITERATION 1 (Previous Reasoning: ' || lang || '):' || chr(10) || source || chr(10) || chr(10) AS history FROM documents")

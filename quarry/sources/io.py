@@ -8,11 +8,12 @@ import logging
 from collections.abc import Callable
 from datetime import datetime, timezone
 
-from pyspark.errors import AnalysisException
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from quarry.session import stored
 from quarry.sources.arrow_tables import read_arrow  # noqa: F401  beside the other readers
 
 
@@ -35,14 +36,16 @@ def gather_prompts(tables: list[tuple[str, DataFrame | Callable[[], DataFrame],
     """(benchmark, eval_idx, prompt, split_name) from (name, table, columns, split).
 
     Rows are numbered by their content, so that the numbers don't depend on files.  A table may be a
-    function that reads it; with ``skip`` one that can't be read, or lacks a column, is left out and logged.
+    function that reads it; with ``skip`` one that can't be read, lacks a column or breaks while it is read is left out and logged: its
+    prompts are written to the shared folder first, and read from there.
     """
     out = None
     for name, source, columns, split in tables:
         try:
             df = source() if callable(source) else source
             found = [df.select(F.lit(name).alias("benchmark"), F.xxhash64(c).alias("eval_idx"), F.col(c).cast("string").alias("prompt"), F.lit(split).alias("split_name")).where(F.col("prompt").isNotNull()) for c in columns]
-        except AnalysisException as e:
+            found = [stored(rows, "prompts") for rows in found] if skip else found
+        except PySparkException as e:
             if not skip:
                 raise
             logging.getLogger(__name__).warning("benchmark %s is left out: %s", name, e)
