@@ -30,12 +30,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarry.llm.common import in_arrow, stored
 
-SLOTS, MOST_DOMAINS = 4096, 200
+SLOTS, MOST_DOMAINS, DRAWS = 4096, 200, 1 << 30
 _GOLDEN = (5**0.5 - 1) / 2
 
 
@@ -110,22 +110,35 @@ def train_domains(docs: DataFrame, labelled: DataFrame, *, id_col: str = "doc_id
     return DomainModel(domains, weights, bias)
 
 
-def membership(docs: DataFrame, model: DomainModel, *, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """The columns ``keep`` as ``row``, the tokens (words between ASCII white space) and
+def _draw(key: Column) -> Column:
+    return F.pmod(F.xxhash64(F.lit("mix"), key), F.lit(DRAWS))
+
+
+def _turns(draws: list[int], seen: dict[int, int]) -> list[int]:
+    """How often each draw was seen before in the task."""
+    out = []
+    for d in draws:
+        out.append(k := seen.get(d, 0))
+        seen[d] = k + 1
+    return out
+
+
+def membership(docs: DataFrame, model: DomainModel, *, id_col: str = "doc_id", text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
+    """The columns ``keep`` as ``row``, a draw by the id (see :func:`copies`), the tokens (words between ASCII white space) and
     the posterior over the domains, for each row."""
     keep = docs.columns if keep is None else keep
-    rows = docs.select(F.struct(*[F.col(c) for c in keep]).alias("row"), F.coalesce(F.col(text_col).cast("binary"), F.lit(b"")).alias("t"))
+    rows = docs.select(F.struct(*[F.col(c) for c in keep]).alias("row"), _draw(F.col(id_col)).alias("draw"), F.coalesce(F.col(text_col).cast("binary"), F.lit(b"")).alias("t"))
     held = docs.sparkSession.sparkContext.broadcast(model)  # SLOTS x domains numbers
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            texts = b.column(1).to_pylist()
+            texts = b.column(2).to_pylist()
             p = held.value.posteriors(texts)
             tokens = [float(len(t.split())) for t in texts]
             offsets = np.arange(0, p.size + 1, p.shape[1], dtype=np.int32)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(tokens, pa.float64()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(p.ravel()))], ["row", "tokens", "posterior"])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(tokens, pa.float64()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(p.ravel()))], ["row", "draw", "tokens", "posterior"])
 
-    schema = rows.select("row").withColumns({"tokens": F.lit(0.0), "posterior": F.array(F.lit(0.0))}).schema
+    schema = rows.select("row", "draw").withColumns({"tokens": F.lit(0.0), "posterior": F.array(F.lit(0.0))}).schema
     return in_arrow(rows, run, schema)
 
 
@@ -176,7 +189,8 @@ def fit_rates(members: DataFrame, targets: Mapping[str, float], domains: tuple[s
     steps: list[np.ndarray] = []
     sums, gram = summed(lambda mass: np.ones(len(mass)))
     if not sums.sum():
-        return members.withColumn("rate", F.lit(1.0)), dict.fromkeys(domains, 0.0)
+        plain = members.withColumn("rate", F.lit(1.0))
+        return plain.withColumn("turn", F.lit(0).cast("long")) if "draw" in members.columns else plain, dict.fromkeys(domains, 0.0)
     if total is None:
         total = float(sums.sum())
     elif not np.isfinite(total):
@@ -200,14 +214,18 @@ def fit_rates(members: DataFrame, targets: Mapping[str, float], domains: tuple[s
         if np.abs(now - before).max() <= 1e-3 * tolerance * total:
             break
 
+    drawn = "draw" in members.columns
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: dict[int, int] = {}
         for b in batches:
             at = b.schema.get_field_index("posterior")
             tokens = b.column(b.schema.get_field_index("tokens")).to_numpy()
             mass = b.column(at).flatten().to_numpy().reshape(-1, k) * tokens[:, None]
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(_rates(mass, steps, size * ridge, low, high))], [*b.schema.names, "rate"])
+            turn = [pa.array(_turns(b.column(b.schema.get_field_index("draw")).to_pylist(), seen), pa.int64())] if drawn else []
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(_rates(mass, steps, size * ridge, low, high)), *turn], [*b.schema.names, "rate", *["turn"] * drawn])
 
-    out = in_arrow(members, run, members.withColumn("rate", F.lit(0.0)).schema)
+    out = in_arrow(members, run, members.withColumns({"rate": F.lit(0.0)} | ({"turn": F.lit(0).cast("long")} if drawn else {})).schema)
     return out, dict(zip(domains, (now / now.sum()).tolist(), strict=True))
 
 
@@ -226,28 +244,16 @@ def mix(docs: DataFrame, labelled: DataFrame, targets: Mapping[str, float], *, i
         model = DomainModel(names, np.zeros((SLOTS, len(names)), np.float32), np.zeros(len(names), np.float32))
     else:
         model = train_domains(docs, labelled, id_col=id_col, text_col=text_col)
-    members = stored(membership(docs, model, text_col=text_col, keep=keep), "membership")
+    members = stored(membership(docs, model, id_col=id_col, text_col=text_col, keep=keep), "membership")
     rated, reached = fit_rates(members, targets, model.domains, **options)
     return rated, model.domains, reached
 
 
-def copies(rated: DataFrame, key: str) -> DataFrame:
+def copies(rated: DataFrame) -> DataFrame:
     """``row`` as often as its rate says: the whole part, and one more with the probability of the rest.
 
-    The draw is a hash of the row's ``key``, so it doesn't depend on how rows are dealt out.  Of rows that share a key, null
-    being one, a task gives each further one the draw after it in an even sequence, so their copies add up to their rates as well.
+    The draw is a hash of the row's id, so it doesn't depend on how rows are dealt out.  Of rows that share an id, null
+    being one, a task gives each further one the draw after it in an even sequence (``turn``), so their copies add up to their rates as well.
     """
-    rows = rated.select("row", F.pmod(F.xxhash64(F.lit("mix"), F.col("row")[key]), F.lit(1 << 30)).alias("draw"), "rate")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: dict[int, int] = {}
-        for b in batches:
-            turn = []
-            for d in b.column(1).to_pylist():
-                turn.append(k := seen.get(d, 0))
-                seen[d] = k + 1
-            draw = (b.column(1).to_numpy() / float(1 << 30) + np.array(turn, np.float64) * _GOLDEN) % 1.0
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(np.floor(b.column(2).to_numpy() + draw).astype(np.int32))], ["row", "times"])
-
-    drawn = in_arrow(rows, run, rows.select("row", F.lit(0).alias("times")).schema)
-    return drawn.select("row", F.explode(F.array_repeat(F.lit(1), F.col("times"))).alias("_copy")).select("row.*")
+    draw = (F.col("draw") / F.lit(float(DRAWS)) + F.col("turn") * F.lit(_GOLDEN)) % 1.0
+    return rated.select("row", F.explode(F.array_repeat(F.lit(1), F.floor(F.col("rate") + draw).cast("int"))).alias("_copy")).select("row.*")

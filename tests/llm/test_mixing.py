@@ -68,7 +68,7 @@ def test_long_texts_are_learned_from_and_repeated_rows_get_equal_rates(spark):
 def test_growing_only_keeps_every_document(spark):
     d = docs(spark)
     rated, _, reached = mixing.mix(d, d.select("doc_id", "domain"), {"a": 0.5, "b": 0.3, "c": 0.2}, low=1.0, total=math.inf)
-    out = mixing.copies(rated, "doc_id")
+    out = mixing.copies(rated)
     assert out.select("doc_id").distinct().count() == 600
     assert reached["c"] == pytest.approx(0.2, abs=0.01)
 
@@ -113,12 +113,18 @@ def test_copies_of_rows_that_share_a_key(spark):
     """A third of the rows has no id, a third shares one."""
     rows = [(None if i % 3 == 0 else 7 if i % 3 == 1 else i, f"t{i}") for i in range(3000)]
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
-    rated = df.select(F.struct("doc_id", "text").alias("row"), F.lit(1.5).alias("rate"))
-    got = mixing.copies(rated, "doc_id").groupBy("doc_id").count().collect()
+    model = mixing.DomainModel(("a",), np.zeros((mixing.SLOTS, 1), np.float32), np.zeros(1, np.float32))
+
+    def rated(rows):
+        members = mixing.membership(rows, model)
+        return mixing.fit_rates(members, {"a": 1.0}, ("a",), total=1.5 * rows.count())[0]  # one word a row: all rates are 1.5
+
+    assert {round(r.rate, 3) for r in rated(df).select("rate").distinct().collect()} == {1.5}
+    got = mixing.copies(rated(df)).groupBy("doc_id").count().collect()
     by = {r.doc_id: r["count"] for r in got}
     assert abs(by[None] - 1500) <= 6 and abs(by[7] - 1500) <= 6
     assert abs(sum(n for i, n in by.items() if i not in (None, 7)) - 1500) < 80
-    again = mixing.copies(rated.repartition(2), "doc_id").where("doc_id <> 7").exceptAll(mixing.copies(rated, "doc_id").where("doc_id <> 7"))
+    again = mixing.copies(rated(df.repartition(2))).where("doc_id <> 7").exceptAll(mixing.copies(rated(df)).where("doc_id <> 7"))
     assert again.count() == 0
 
 
