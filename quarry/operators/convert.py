@@ -184,19 +184,18 @@ def call_part(value: Column) -> Column:
 
 
 def turn_fold(turns: Column | str) -> Column:
-    """Array of (role, items): neighbours that aren't human form one assistant turn."""
-    start = F.array().cast("array<struct<role:string,items:array<struct<from:string,value:string>>>>")
-
-    def add(done: Column, x: Column) -> Column:
-        role = F.when(x["from"] == "human", "user").otherwise("assistant")
-        item = F.struct(x["from"].alias("from"), x["value"].alias("value"))
-        last = F.try_element_at(done, F.lit(-1))
-        joins = F.coalesce((role == "assistant") & (last["role"] == "assistant"), F.lit(False))
-        fresh = F.concat(done, F.array(F.struct(role.alias("role"), F.array(item).alias("items"))))
-        merged = F.concat(F.slice(done, F.lit(1), F.greatest(F.size(done) - 1, F.lit(0))), F.array(F.struct(F.lit("assistant").alias("role"), F.concat(last["items"], F.array(item)).alias("items"))))
-        return F.when(joins, merged).otherwise(fresh)
-
-    return F.aggregate(turns, start, add)
+    """Array of (role, items): neighbours that aren't human form one assistant turn.
+
+    A turn begins at the first item, at a human one and after one; its items are a slice, so each is copied once.
+    """
+    turns = F.col(turns) if isinstance(turns, str) else turns
+    n = F.size(turns)
+    human = F.transform(turns, lambda x: F.coalesce(x["from"] == "human", F.lit(False)))
+    places = F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
+    starts = F.filter(places, lambda i: (i == 0) | F.get(human, i) | F.get(human, i - 1))
+    item = lambda x: F.struct(x["from"].alias("from"), x["value"].alias("value"))
+    made = F.transform(starts, lambda s, k: F.struct(F.when(F.get(human, s), "user").otherwise("assistant").alias("role"), F.transform(F.slice(turns, s + 1, F.coalesce(F.get(starts, k + 1), n) - s), item).alias("items")))
+    return F.when(turns.isNotNull(), made)
 
 
 def grouped_turns(df: DataFrame, *, turns: str = "conversations", keys: list[str]) -> DataFrame:
