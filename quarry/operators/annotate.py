@@ -8,7 +8,9 @@ import random
 import time
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
+from functools import cached_property
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -89,16 +91,30 @@ class LanguageModel:
     grams: dict[str, dict[str, float]]
     unseen: float
 
+    @cached_property
+    def table(self) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """Languages, all trigrams as sorted numbers, and for each of them what it adds for each language."""
+        names = list(self.grams)
+        known = sorted({g for own in self.grams.values() for g in own}, key=lambda g: int(_trigrams(g)[0]))
+        more = np.array([[self.grams[k].get(g, self.unseen) - self.unseen for k in names] for g in known]).reshape(-1, len(names))
+        return names, np.array([_trigrams(g)[0] for g in known], np.uint64), more
+
     def __call__(self, text: str) -> list[tuple[str, float]]:
         """(language, probability), the likeliest first."""
-        low = f" {text.lower()} "
-        found = [low[i : i + 3] for i in range(len(low) - 2)]
-        if not self.grams or not found:
+        found = _trigrams(f" {text.lower()} ")
+        if not self.grams or not len(found):
             return [("unknown", 0.0)]
-        sums = {k: sum(g.get(x, self.unseen) for x in found) for k, g in self.grams.items()}
-        best = max(sums.values())
-        weights = {k: math.exp(max(s - best, -700.0)) for k, s in sums.items()}
-        return sorted(((k, w / sum(weights.values())) for k, w in weights.items()), key=lambda x: (-x[1], x[0]))
+        names, known, more = self.table
+        at = np.minimum(np.searchsorted(known, found), len(known) - 1)
+        sums = more[at[known[at] == found]].sum(0) if len(known) else np.zeros(len(names))  # what is unseen adds alike for all
+        weights = np.exp(np.maximum(sums - sums.max(), -700.0))
+        return sorted(zip(names, (weights / weights.sum()).tolist(), strict=True), key=lambda x: (-x[1], x[0]))
+
+
+def _trigrams(text: str) -> np.ndarray:
+    """Each three characters in a row as one number, 21 bits a character."""
+    c = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
+    return (c[:-2] << np.uint64(42)) | (c[1:-1] << np.uint64(21)) | c[2:]
 
 
 def train_languages(rows: DataFrame, text: str, label: str, key: str, *, sample_rows: int = 500, most: int = 5000) -> LanguageModel:

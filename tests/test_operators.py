@@ -224,6 +224,24 @@ def test_languages_are_learned(spark):
     assert annotate.train_languages(d.limit(0), "text", "lang", "doc_id")("x") == [("unknown", 0.0)]
 
 
+def test_language_scores_against_a_plain_sum():
+    rng = random.Random(5)
+    grams = {k: {"".join(rng.choice("abé 😀") for _ in range(3)): -rng.random() * 9 for _ in range(60)} for k in ("xx", "yy", "zz")}
+    model = annotate.LanguageModel(grams, math.log(1e-7))
+    for _ in range(200):
+        text = "".join(rng.choice("abé 😀q") for _ in range(rng.randint(0, 40)))
+        low = f" {text.lower()} "
+        found = [low[i : i + 3] for i in range(len(low) - 2)]
+        got = model(text)
+        if not found:
+            assert got == [("unknown", 0.0)]
+            continue
+        sums = {k: sum(g.get(x, model.unseen) for x in found) for k, g in grams.items()}
+        whole = sum(math.exp(s - max(sums.values())) for s in sums.values())
+        want = sorted(((k, math.exp(s - max(sums.values())) / whole) for k, s in sums.items()), key=lambda x: (-x[1], x[0]))
+        assert [k for k, _ in got] == [k for k, _ in want] and [p for _, p in got] == pytest.approx([p for _, p in want])
+
+
 def test_language_failures_are_marked(spark):
     def fails(text):
         raise RuntimeError("no model")
