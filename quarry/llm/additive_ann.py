@@ -15,7 +15,7 @@ their smallest ids, so copies of one vector can't crowd out the others.
 
 Defined results: vectors that are null, zero, hold a null or non-finite component,
 or have another dimension than most, take no part; ties go to the smaller id; with
-fewer candidates than ``k`` all are returned; an id that occurs twice is a
+fewer candidates than ``k`` all are returned; other columns are not read, so their names can't clash; an id that occurs twice is a
 candidate twice, and neither row is its own neighbour; a query id with several vectors
 asks with the least of them; null ids take no part; an empty table has no result.
 """
@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
-from quarry.llm.common import in_arrow, stored
+from quarry.llm.common import in_arrow, shared_path, stored
 from quarry.session import spread
 
 
@@ -174,7 +174,7 @@ def search(
     """(query_id, rank, vec_id, score): the k nearest of each query (id, v), but not itself.
 
     ``metric``: ip (inner product), cosine, or l2 (negative squared distance).  The driver passes on
-    one slice of queries at a time; a slice is one broadcast and one scan of the index.
+    one slice of queries at a time; a slice is one broadcast and one scan of the index, whose result is written before the next.
     """
     spark = index.sparkSession
     if model is None:
@@ -217,12 +217,20 @@ def search(
 
         return in_arrow(index, run, "query_id long, ids array<long>, score double")
 
-    found = None
+    path, written, found = shared_path(spark, "found"), 0, None
     for s in range(slices):
         part = asking.where(F.pmod(F.xxhash64("id"), F.lit(slices)) == s).toArrow()  # about slice_rows rows
-        if part.num_rows:
-            one = scan(spark.sparkContext.broadcast((part.column("id").to_numpy(), matrix(part.column("v")))))
-            found = one if found is None else found.unionByName(one)
+        if not part.num_rows:
+            continue
+        held = spark.sparkContext.broadcast((part.column("id").to_numpy(), matrix(part.column("v"))))
+        if slices == 1:
+            found = scan(held)
+        else:  # one slice at a time is held anywhere, and the plan doesn't grow with their number
+            stored(scan(held), "found", f"{path}/slice={s}")
+            held.destroy()
+            written += 1
+    if written:
+        found = spark.read.schema("query_id long, ids array<long>, score double").parquet(f"{path}/slice=*")
     if found is None:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")

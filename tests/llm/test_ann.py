@@ -79,3 +79,11 @@ def test_beam_is_no_worse_than_greedy():
     m = ann.train(x, 4, 32)
     error = lambda beam: float(((x - m.decode(m.encode(x, beam))) ** 2).sum())
     assert error(8) <= error(1) < float((x**2).sum())
+
+
+def test_many_slices_find_what_one_does(spark):
+    rng = np.random.default_rng(6)
+    df = spark.createDataFrame([(i, [float(x) for x in rng.normal(size=8)]) for i in range(900)], "vec_id long, embedding array<float>").repartition(3)
+    find = lambda n: sorted(map(tuple, ann.neighbours(df, lambda key: key % 4 == 0, k=5, books=4, words=16, sample_rows=500, slice_rows=n).collect()))
+    plan = ann.neighbours(df, lambda key: key % 4 == 0, k=5, books=4, words=16, sample_rows=500, slice_rows=10)._jdf.queryExecution().optimizedPlan().toString()
+    assert find(1000) == find(10) and "Union" not in plan
