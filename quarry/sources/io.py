@@ -8,6 +8,7 @@ import logging
 from collections.abc import Callable
 from datetime import datetime, timezone
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -45,7 +46,7 @@ def gather_prompts(tables: list[tuple[str, DataFrame | Callable[[], DataFrame],
             df = source() if callable(source) else source
             found = [df.select(F.lit(name).alias("benchmark"), F.xxhash64(c).alias("eval_idx"), F.col(c).cast("string").alias("prompt"), F.lit(split).alias("split_name")).where(F.col("prompt").isNotNull()) for c in columns]
             found = [stored(rows, "prompts") for rows in found] if skip else found
-        except PySparkException as e:
+        except (PySparkException, Py4JJavaError) as e:
             if not skip:
                 raise
             logging.getLogger(__name__).warning("benchmark %s is left out: %s", name, e)

@@ -1,5 +1,6 @@
 import json
 import math
+import os
 import random
 import time
 import uuid
@@ -372,3 +373,33 @@ def test_stream_is_done_once(spark, tmp_path):
         q = ingest.annotate(ingest.follow(spark, src, "id long, t string"), change, out, f"{tmp_path}/check")
         q.awaitTermination()
     assert [tuple(r) for r in spark.read.parquet(out).collect()] == [(1, "a openai b", True)]
+
+
+def test_benchmarks_that_break_while_they_are_read_are_skipped(spark, tmp_path):
+    good = spark.createDataFrame([("q", None)], "a string, b string")
+    os.makedirs(f"{tmp_path}/bad")
+    with open(f"{tmp_path}/bad/part-0.parquet", "wb") as f:
+        f.write(b"PAR1 this is no table PAR1")
+    broken = lambda: spark.read.schema("a string").parquet(f"file://{tmp_path}/bad")
+    tables = [("x", broken, ["a"], "test"), ("y", good, ["a"], "test")]
+    assert [(r.benchmark, r.prompt) for r in io.gather_prompts(tables, skip=True).collect()] == [("y", "q")]
+    with pytest.raises(Exception):
+        io.gather_prompts(tables).collect()
+
+
+def test_a_member_of_a_struct_that_is_null_can_be_set(spark):
+    df = spark.sql("SELECT CAST(NULL AS STRUCT<x: INT, y: STRUCT<z: STRING>>) AS a, array(named_struct('k', 1, 'm', 'u')) AS l")
+    out = nested_set(nested_set(df, "a.y.z", F.lit("new")), "l[2].k", F.lit(7)).head()
+    assert out.a.asDict(True) == {"x": None, "y": {"z": "new"}}
+    assert [x and x.asDict() for x in out.l] == [{"k": 1, "m": "u"}, None, {"k": 7, "m": None}]
+
+
+def test_a_failing_call_fails_for_its_sample_alone(spark, tmp_path):
+    def ask(text):
+        if "bad" in text:
+            raise OSError("gone")
+        return "REASONING: worse COMPLETION: less"
+
+    rows = spark.createDataFrame([(1, "good", ["c"], []), (2, "bad", ["c"], [])], "id int, question string, completions array<string>, reasonings array<string>")
+    got = {r.id: (r.completions, r.iteration) for r in judge.degrade(rows, ask, 2, f"file://{tmp_path}/steps", "{question}").collect()}
+    assert got == {1: (["c", "less", "less"], 2), 2: (["c"], 2)}
