@@ -350,7 +350,7 @@ def degrade(samples: DataFrame, ask: Callable[[str], str], steps: int, path: str
                     said = [answered(template.format(question=q, history=h, latest=t)) for q, h, t in zip(b["question"], b["_h"], b["_q"], strict=True)]
                     yield b.assign(_a=said)
 
-            shape = asked.withColumn("_a", F.lit("")).schema
+            shape = asked.withColumn("_a", F.lit(None).cast("string")).schema
             done = asked.mapInPandas(answers, shape).withColumn("_x", degraded_answer(F.col("_a")))
             more = lambda old, new: F.when(F.col("_a").isNull(), F.col(old)).otherwise(F.concat(old, F.array(new)))
             done = done.withColumns({"completions": more("completions", "_x.completion"), "reasonings": more("reasonings", "_x.reasoning"), "iteration": F.lit(k)})
