@@ -34,7 +34,7 @@ from tokenizers import Tokenizer
 from quarry.llm.common import in_arrow, stored
 from quarry.session import sent_file
 
-#: Bytes of memory for the parts that a worker remembers, what each costs beside its bytes, and the longest that is remembered.
+#: Bytes of memory for the parts that a worker remembers unless a caller says otherwise, what each costs beside its bytes, and the longest that is remembered.
 CACHE_BYTES, PART_BYTES, LONGEST = 64 << 20, 200, 64
 
 #: Shares of the fitted repeats that are tried, what best fit alone has to spare to be taken instead, and pairs of last lengths that are tried.
@@ -56,14 +56,14 @@ class WordCoder(dict):
     The vocabulary's rules never cross white space and fold case, so a text's ids
     are those of its parts in order.  Plain words go straight to the vocabulary's
     merges; any other part through the whole tokenizer.  Parts of up to
-    LONGEST bytes are remembered, CACHE_BYTES of them in two generations: when the younger one is full it becomes the older one, and what
+    LONGEST bytes are remembered, ``cache_bytes`` of them in two generations: when the younger one is full it becomes the older one, and what
     is used again comes back from there.  A longer part, as in texts without blanks, is coded each time.  Special tokens are found first, in the text as it stands, as the
     tokenizer does it; they cut the text, and what lies between them is coded as above.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, cache_bytes: int = CACHE_BYTES):
         super().__init__()
-        self.held, self.older = 0, {}
+        self.held, self.older, self.most = 0, {}, cache_bytes
         self.plain = Tokenizer.from_file(path)
         self.merge, self.symbols = self.plain.model.tokenize, byte_symbols()
         self.special = {t.content.encode(): np.array([i], "<u4").tobytes() for i, t in self.plain.get_added_tokens_decoder().items()}
@@ -85,7 +85,7 @@ class WordCoder(dict):
 
     def _kept(self, part: bytes, ids: bytes) -> bytes:
         if len(part) <= LONGEST:
-            if self.held > CACHE_BYTES // 2:
+            if self.held > self.most // 2:
                 self.older = dict(self)
                 self.clear()
                 self.held = 0
@@ -103,24 +103,27 @@ class WordCoder(dict):
         return b"".join(out)
 
 
-_coders: dict[str, WordCoder] = {}
+_coders: dict[tuple[str, int], WordCoder] = {}
 
 
-def coder(path: str) -> WordCoder:
+def coder(path: str, cache_bytes: int = CACHE_BYTES) -> WordCoder:
     """One coder for each worker and vocabulary, kept over its tasks."""
-    if path not in _coders:
-        _coders[path] = WordCoder(path)
-    return _coders[path]
+    if (path, cache_bytes) not in _coders:
+        _coders[path, cache_bytes] = WordCoder(path, cache_bytes)
+    return _coders[path, cache_bytes]
 
 
-def pieces(docs: DataFrame, vocabulary: str, *, id_col: str = "doc_id", text_col: str = "text", max_len: int = 4096, end_id: int = 1, with_ids: bool = False) -> DataFrame:
-    """(id, piece, start, length, ids_crc32[, ids]) in pieces of at most ``max_len``."""
+def pieces(docs: DataFrame, vocabulary: str, *, id_col: str = "doc_id", text_col: str = "text", max_len: int = 4096, end_id: int = 1, with_ids: bool = False, cache_bytes: int = CACHE_BYTES) -> DataFrame:
+    """(id, piece, start, length, ids_crc32[, ids]) in pieces of at most ``max_len``.
+
+    ``cache_bytes`` is the memory a worker has for parts that it has coded before: more of it saves CPU time.
+    """
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col).cast("binary"), F.lit(b"")).alias("t"))
     name = sent_file(docs.sparkSession, vocabulary)
     end = np.array([end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = coder(SparkFiles.get(name)).encode
+        encode = coder(SparkFiles.get(name), cache_bytes).encode
         for b in batches:
             out = []
             for key, text in zip(b.column(0).to_pylist(), b.column(1), strict=True):
@@ -392,9 +395,9 @@ def pack(cut: DataFrame, *, max_len: int = 4096, bins: int = 40, depth: int = 6,
     return in_arrow(ranked, place, schema)
 
 
-def pack_documents(docs: DataFrame, vocabulary: str, *, id_col: str = "doc_id", text_col: str = "text", max_len: int = 4096, end_id: int = 1, bins: int = 40, depth: int = 6) -> DataFrame:
+def pack_documents(docs: DataFrame, vocabulary: str, *, id_col: str = "doc_id", text_col: str = "text", max_len: int = 4096, end_id: int = 1, bins: int = 40, depth: int = 6, cache_bytes: int = CACHE_BYTES) -> DataFrame:
     """(id, piece, start, length, ids_crc32, sequence_id, offset), one row a piece."""
-    cut = pieces(docs, vocabulary, id_col=id_col, text_col=text_col, max_len=max_len, end_id=end_id)
+    cut = pieces(docs, vocabulary, id_col=id_col, text_col=text_col, max_len=max_len, end_id=end_id, cache_bytes=cache_bytes)
     cut = stored(cut.withColumn("uid", F.monotonically_increasing_id()), "pieces")
     packed = pack(cut, max_len=max_len, bins=bins, depth=depth)
     return packed.select(F.col("id").alias(id_col), F.col("piece").cast("int").alias("piece"), "start", "length", "ids_crc32", "sequence_id", "offset")

@@ -35,7 +35,7 @@ def vocabulary() -> str:
 
 
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack_documents(table(spark, sf_dir, "documents"), vocabulary(), max_len=4096, end_id=1)
+    return packing.pack_documents(table(spark, sf_dir, "documents"), vocabulary(), max_len=4096, end_id=1, cache_bytes=224 << 20)
 
 
 #: Wanted shares of tokens by domain, here the languages of the labelled documents.

@@ -143,6 +143,6 @@ def test_memory_of_parts_is_bounded():
     for k in range(3000):
         coder.encode(f"word{k} {'x' * 500}{k}".encode())
     assert not any(len(part) > p.LONGEST for part in coder)
-    coder.held = p.CACHE_BYTES
+    coder.held = coder.most
     first = coder.encode(b"wordfresh word1")
     assert len(coder) <= 4 and coder.older and coder.encode(b"wordfresh word1") == first
