@@ -1,9 +1,9 @@
 """A corpus pipeline over ``documents``: quality, near-duplicates, repeated passages,
 mixing and packing.
 
-The stages are the operators' functions, but for near-duplicates: 0.8 on five-word shingles is beyond what SimHash blocks
-can deal out, so min-wise buckets and rare shingles bring rows together, and the operator's Gray-ordered index of
-SimHash fingerprints searches within (:mod:`quarry.llm.near_copies`; README says what that finds and what it costs).
+The stages are the operators' functions, but for near-duplicates: 0.8 on five-word shingles is beyond what op3's exact
+blocks can deal out, so wider SimHash fingerprints are dealt out by tables of their bits, and the operator's
+Gray-ordered index searches the buckets (:mod:`quarry.llm.near_copies`; README says what that finds and what it costs).
 
 Every stage takes (spark, docs, sf_dir), works on all rows that the stage before
 kept, and its result is written before the next one reads it.

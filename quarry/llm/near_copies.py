@@ -1,20 +1,18 @@
 """Near copies: rows whose sets of five-word shingles are alike by 0.8 (Jaccard) or more.
 
-Rows with equal sets are one class.  Classes meet in buckets: ``BANDS`` keys of four
-min-wise samples each, so a pair at 0.8 misses all of them with a probability of
-(1 - 0.8 ** 4) ** 24 = 3e-6.  SimHash fingerprints of the sets drop pairs that differ in
-more than ``radius`` of 64 bits (0.8 means 10 bits, 3 more or less; unrelated sets 32, 4
-more or less), and sets whose sizes rule 0.8 out are dropped with them.  What is left is verified on the sets
-themselves, so no link is a guess.
-
-The blocks of fingerprint bits that deal out exact links (:mod:`quarry.llm.simhash`) are of no use here: a radius
-that holds 0.8 leaves blocks of two bits.  So the buckets are min-wise ones, and within a bucket the
-Gray-ordered hierarchical index searches the fingerprints.
-
-Each bucket first compares its rows to a pivot, ``pivots`` times, so a large group of near copies costs its size.
-What is not connected then is dealt out anew by its rarest shingles, where rows that only have a frequent passage in
-common don't meet, and the index yields all pairs within the radius that are still apart; buckets of more than SMALL
-rows are verified where their members meet, in blocks, and yield links alone.  No pair is left out.
+Rows with equal sets are one class.  Classes are compared by SimHash: a fingerprint of ``BITS`` bits, each the majority
+of one hash bit over the set.  Two sets alike by 0.8 differ in 15 % of the bits, in no case in more than a sixth (four
+shingles of five: 3/16), unrelated ones in half of them.  What keeps three bits of 64 apart deals out by blocks (:mod:`quarry.llm.simhash`);
+a sixth leaves no block untouched.  So each of a number of tables picks a few of the bits, and rows that agree on them are a
+bucket; the bits of a key grow with the logarithm of the rows, so that a bucket has about ``bucket_rows``, and
+there are as many tables as let a pair that differs in a sixth of its bits meet in none with a probability of MISS.
+Within a bucket the Gray-ordered hierarchical index yields the pairs within ``radius`` of the first 64 bits; those
+within FAR of 192 bits and of sizes that 0.8 allows are left, and verified on the sets themselves, so no link is a guess.
+
+First come turns with few tables (``pivots`` of them), in which each cluster of a bucket is only compared to one of its members, so
+a large group of near copies costs its size.  Then all pairs of all tables follow that are still apart.  Where those are many
+for a bucket's rows (documents of one template that aren't near copies), its rows are not paired but dealt out by their rarest shingles,
+which no pair at 0.8 can miss, and buckets of more than SMALL of such rows are verified where their members meet, in blocks.
 
 Defined results: null texts count as empty; texts of at most five words are one shingle;
 texts without words are equal; an empty table gives an empty result; keys must be unique.
@@ -22,7 +20,9 @@ texts without words are equal; an empty table gives an empty result; keys must b
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -33,11 +33,17 @@ from pyspark.sql import functions as F
 from quarry.llm.common import apart, in_arrow, stored
 from quarry.llm.simhash import HierarchicalIndex, components, gray_rank, joined
 
-SEED, BANDS, DEEP, CHUNK = 42, 24, 4, 4096
+SEED, BITS, MISS = 42, 1024, 1e-6
+SIXTH, SHORT, SHORT_SIXTH = 1 / 6, 5, 3 / 16  # most bits that sets alike by 0.8 differ in; sets of at most SHORT shingles
+MOST_KEY_BITS, MOST_TABLES = 20, 1024
+PIVOT_TABLES, SLICE = 8, 32  # tables of a turn with pivots; tables that are shuffled at a time
+NEAR, FAR = 12, 60  # bits of 64 that make a cluster of a bucket; most bits of 192 that a pair at 0.8 differs in
+TASK_ROWS, INDEX_ROWS, DENSE = 300_000, 32_768, 8  # dealt rows of a task; rows of an index; pairs a row beyond which a bucket is dealt out by shingles
 PAIRS = 500_000  # pairs of a searcher and a node held at a time
 SMALL, BLOCK, WIDE = 64, 1024, 4096  # rows of a bucket whose pairs become rows; rows of a block; columns at a time
-_DRAWN = np.random.default_rng(SEED).integers(0, 1 << 64, (2, BANDS * DEEP), dtype=np.uint64)
-_XOR, _ODD = _DRAWN[0][:, None], (_DRAWN[1] | np.uint64(1))[:, None]
+_DRAWN = np.random.default_rng(SEED)
+_WORDS = _DRAWN.integers(0, 1 << 64, BITS // 64, dtype=np.uint64)
+_PICKED = np.argsort(_DRAWN.random((MOST_TABLES, BITS)), axis=1)[:, :MOST_KEY_BITS]  # bits of the tables' keys
 _MIX, _HALF = np.uint64(0x9E3779B97F4A7C15), np.uint64(32)
 
 
@@ -68,37 +74,117 @@ def jaccard(a: np.ndarray, b: np.ndarray) -> float:
     return both / (len(a) + len(b) - both)
 
 
-def signature(found: np.ndarray) -> tuple[int, np.ndarray]:
-    """SimHash (as a signed long) and band keys of a set of shingles."""
-    if not len(found):
-        return 0, np.zeros(0, np.int64)
-    counts, least = np.zeros(64, np.int64), np.full(BANDS * DEEP, ~np.uint64(0))
-    for at in range(0, len(found), CHUNK):  # bounded memory for very long texts
-        part = found[at : at + CHUNK]
-        counts += np.unpackbits(part.astype(">u8").view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
-        least = np.minimum(least, ((part ^ _XOR) * _ODD).min(axis=1))
-    keys = np.arange(BANDS, dtype=np.uint64)
-    for sample in least.reshape(BANDS, DEEP).T:
-        keys = _mixed(keys, sample)
-    return int.from_bytes(np.packbits(counts * 2 > len(found)).tobytes(), "big", signed=True), keys.view(np.int64)
+def signature(found: np.ndarray) -> bytes:
+    """SimHash of a set of shingles."""
+    counts = np.zeros(BITS, np.int64)
+    for at in range(0, len(found), 255):  # as many as a byte counts
+        mixed = _mixed(found[at : at + 255, None], _WORDS)
+        counts += np.add.reduce(np.unpackbits((mixed ^ (mixed >> _HALF)).view(np.uint8), axis=1), axis=0, dtype=np.uint8)
+    return np.packbits(counts * 2 > len(found)).tobytes()
 
 
 def signatures(rows: DataFrame, words: int) -> DataFrame:
-    """(uid, equal, n, fp, keys) for each of (uid, t); ``equal`` names the set itself, n is its size."""
+    """(uid, equal, n, print) for each of (uid, t); ``equal`` names the set itself, n is its size."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            equal, sizes, prints, keys = [], [], [], []
+            equal, sizes, prints = [], [], []
             for t in b.column(1):
                 found = shingles(t.as_py(), words)
-                fp, bands = signature(found)
                 equal.append(xxhash.xxh3_128_digest(found.tobytes()))
                 sizes.append(len(found))
-                prints.append(fp)
-                keys.append(bands)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(equal, pa.binary()), pa.array(sizes, pa.int64()), pa.array(prints, pa.int64()), pa.array(keys, pa.list_(pa.int64()))], ["uid", "equal", "n", "fp", "keys"])
+                prints.append(signature(found))
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(equal, pa.binary()), pa.array(sizes, pa.int64()), pa.array(prints, pa.binary())], ["uid", "equal", "n", "print"])
 
-    return in_arrow(rows, run, "uid long, equal binary, n long, fp long, keys array<long>")
+    return in_arrow(rows, run, "uid long, equal binary, n long, print binary")
+
+
+def tables_for(rows: int, bucket_rows: int = 64, differ: float = SIXTH) -> tuple[int, int]:
+    """Bits of a key and number of tables for so many rows."""
+    bits = min(MOST_KEY_BITS, max(0, math.ceil(math.log2(max(1, rows) / bucket_rows))))
+    met = (1 - differ) ** bits
+    return bits, 1 if met == 1 else math.ceil(math.log(MISS) / math.log1p(-met))
+
+
+def dealt(rows: DataFrame, bits: int, tables: range) -> DataFrame:
+    """(key, uid, c, n, fp, fp1, fp2) for each of (uid, c, n, print) and each of ``tables``; the latter are the first 192 bits."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        picked, powers = _PICKED[tables.start : tables.stop, :bits], 1 << np.arange(bits, dtype=np.int64)
+        for b in batches:
+            prints = np.frombuffer(b"".join(b.column("print").to_pylist()), np.uint8).reshape(-1, BITS // 8)
+            keys = np.unpackbits(prints, axis=1)[:, picked] @ powers + (np.arange(tables.start, tables.stop) << MOST_KEY_BITS)
+            first = np.ascontiguousarray(prints[:, :24]).view(">i8").astype(np.int64)
+            columns = [b.column("uid").to_numpy(), b.column("c").to_numpy(), b.column("n").to_numpy(), *first.T]
+            yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), *(pa.array(np.repeat(x, len(tables))) for x in columns)], ["key", "uid", "c", "n", "fp", "fp1", "fp2"])
+
+    return in_arrow(rows, run, "key long, uid long, c long, n long, fp long, fp1 long, fp2 long")
+
+
+def candidates(rows: DataFrame, parts: int, radius: int, least: float, pivot: bool) -> DataFrame:
+    """(a, b, ca, cb): pairs of :func:`dealt` rows that share a bucket and may be alike by ``least``, their components
+    being different; with ``pivot`` only those of a member of a bucket's cluster and the others.  A row with
+    a null b says that a is in a bucket of too many such pairs."""
+    names = ["a", "b", "ca", "cb"]
+
+    def search(key: np.ndarray, uid: np.ndarray, c: np.ndarray, n: np.ndarray, fp: np.ndarray, *more: np.ndarray) -> Iterator[pa.RecordBatch]:
+        _, roots, sizes = np.unique(key, return_inverse=True, return_counts=True)
+        index, block = HierarchicalIndex(fp, roots), max(16, PAIRS // int(sizes.max()))
+
+        def like(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+            differ = sum(np.bitwise_count(p[x] ^ p[y]) for p in (fp, *more))  # at most 192, so bytes do
+            return (differ <= FAR) & (np.minimum(n[x], n[y]) >= least * np.maximum(n[x], n[y])) & (c[x] != c[y])
+
+        def pairs(x: np.ndarray, y: np.ndarray) -> pa.RecordBatch:
+            first = uid[x] < uid[y]
+            a, b = np.where(first, x, y), np.where(first, y, x)
+            return pa.RecordBatch.from_arrays([pa.array(v) for v in (uid[a], uid[b], c[a], c[b])], names)
+
+        if pivot:
+            labels = index.search(NEAR, np.arange(len(fp)), block)
+            y = np.flatnonzero(labels != np.arange(len(fp)))
+            x = labels[y]
+            keep = like(x, y)
+            yield pairs(x[keep], y[keep])
+            return
+        labels = np.unique(c, return_inverse=True)[1]
+        met, dense = np.zeros(len(sizes), np.int64), np.zeros(len(sizes), bool)
+        for x, y in index.near(radius, labels, block):
+            keep = x < y
+            x, y = x[keep], y[keep]
+            keep = like(x, y) & ~dense[roots[x]]
+            x, y = x[keep], y[keep]
+            met += np.bincount(roots[x], minlength=len(sizes))
+            new = (met > DENSE * sizes) & ~dense
+            if new.any():
+                dense |= new
+                labels[new[roots]] = len(fp) + roots[new[roots]]  # the index leaves these buckets out from here on
+                keep = ~dense[roots[x]]
+                x, y = x[keep], y[keep]
+            if len(x):
+                yield pairs(x, y)
+        left = dense[roots]
+        if left.any():
+            none = pa.nulls(int(left.sum()), pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array(uid[left]), none, pa.array(c[left]), none], names)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = [b for b in batches if b.num_rows]
+        if not found:
+            return
+        key, uid, c, n, *prints = (x.to_numpy() for x in pa.Table.from_batches(found).columns)
+        del found
+        prints = [p.view(np.uint64) for p in prints]
+        order = np.lexsort((gray_rank(prints[0]), key))
+        key, uid, c, n, *prints = (x[order] for x in (key, uid, c, n, *prints))
+        ends, at = np.append(np.flatnonzero(key[1:] != key[:-1]) + 1, len(key)), 0
+        while at < len(key):  # an index of whole buckets: as many as INDEX_ROWS hold, or one
+            first, last = np.searchsorted(ends, (at, at + INDEX_ROWS), "right")
+            end = int(ends[max(first, last - 1)])
+            yield from search(*(x[at:end] for x in (key, uid, c, n, *prints)))
+            at = end
+
+    return in_arrow(rows.repartition(parts, "key"), run, "a long, b long, ca long, cb long")
 
 
 def sets_of(rows: DataFrame, words: int) -> DataFrame:
@@ -126,10 +212,8 @@ def verified(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
     return in_arrow(both, run, "ca long, cb long")
 
 
-def _moved(rows: DataFrame, moved: DataFrame | None) -> DataFrame:
+def _moved(rows: DataFrame, moved: DataFrame) -> DataFrame:
     """``rows`` with their components c merged as (id, component) says."""
-    if moved is None:
-        return rows
     named = rows.join(moved.select(apart(F.col("id")).alias("c"), "component"), "c", "left")
     return named.withColumn("c", F.coalesce("component", "c")).select(*rows.columns)
 
@@ -140,14 +224,6 @@ def _open(rows: DataFrame) -> DataFrame:
     return rows.select("key", "uid", "fp", "c", "n").join(several.select(apart(F.col("key")).alias("key"), "many"), "key")
 
 
-def _pivot_pairs(rows: DataFrame, turn: int, radius: int, least: float) -> DataFrame:
-    rank = F.struct(F.xxhash64(F.lit(turn), "uid"), F.col("uid").alias("p"), F.col("fp").alias("pf"), F.col("c").alias("pc"), F.col("n").alias("pn"))
-    pivot = rows.groupBy("key").agg(F.min(rank).alias("m")).select(apart(F.col("key")).alias("key"), "m.p", "m.pf", "m.pc", "m.pn")
-    near = (F.bit_count(F.col("fp").bitwiseXOR(F.col("pf"))) <= radius) & (F.least("n", "pn") >= least * F.greatest("n", "pn"))
-    met = rows.join(pivot, "key").where((F.col("c") != F.col("pc")) & near)
-    return met.select(F.col("p").alias("a"), F.col("uid").alias("b"), F.col("pc").alias("ca"), F.col("c").alias("cb")).distinct()
-
-
 def _by_rare_shingles(rows: DataFrame, sets: DataFrame, least: float) -> DataFrame:
     """(key, uid, fp, c, n): the members of ``rows`` by their rarest shingles.
 
@@ -254,32 +330,47 @@ def _group_links(rows: DataFrame, sets: DataFrame, least: float) -> DataFrame:
     return in_arrow(met, run, "ca long, cb long").distinct()
 
 
-def near_copies(rows: DataFrame, *, key_col: str, text_col: str = "text", words: int = 5, least: float = 0.8, radius: int = 26, pivots: int = 2) -> DataFrame:
-    """(key, component) for each row; component is the smallest key reachable.
-
-    Every turn compares what is still apart, merges components and drops the buckets that hold one
-    component only, so a turn costs what the turns before have left; without an open bucket they end.
-    """
+def near_copies(rows: DataFrame, *, key_col: str, text_col: str = "text", words: int = 5, least: float = 0.8, radius: int = 26, pivots: int = 2, bucket_rows: int = 64) -> DataFrame:
+    """(key, component) for each row; component is the smallest key reachable."""
+    if least < 0.8:
+        raise ValueError("tables and radius hold 0.8 and more")
+    spark = rows.sparkSession
     texts = rows.select(F.col(key_col).alias("uid"), F.coalesce(F.col(text_col).cast("binary"), F.lit(b"")).alias("t"))
     signed = stored(signatures(texts, words), "signatures")
-    classes = stored(signed.groupBy("equal").agg(F.min("uid").alias("c")), "equal-sets")
-    dealt = signed.join(classes.select(F.col("c").alias("uid")), "uid", "left_semi").select(F.explode("keys").alias("key"), "uid", "fp", "n")
-    left = stored(_open(dealt.withColumn("c", F.col("uid"))), "open-buckets")
-    sets = stored(sets_of(texts.join(left.select("uid").distinct(), "uid", "left_semi"), words), "bucket-sets")
+    classes = stored(signed.groupBy("equal").agg(F.min("uid").alias("uid")).withColumn("c", F.col("uid")), "equal-sets")
+    single = stored(signed.join(classes.select("uid"), "uid", "left_semi").select("uid", "n", "print"), "distinct-sets")
+    many = single.count()
+    bits, tables = tables_for(many, bucket_rows)
+
+    def sets(of: DataFrame) -> DataFrame:
+        return stored(sets_of(texts.join(of.distinct(), "uid", "left_semi"), words), "candidates-sets")
+
+    def found(of: DataFrame, tables: range, pivot: bool) -> DataFrame:
+        now = of.join(classes.select(apart(F.col("uid")).alias("uid"), "c"), "uid").select("uid", "c", "n", "print")
+        parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-many * len(tables) // TASK_ROWS))
+        return stored(candidates(dealt(now, bits, tables), parts, radius, least, pivot), "candidates")
+
     for turn in range(pivots + 1):
-        if turn < pivots:
-            links = verified(_pivot_pairs(left, turn, radius, least), sets, least)
-        else:
-            rare = stored(_by_rare_shingles(left, sets, least), "rare-buckets")
+        last = turn == pivots
+        if last:
+            slices = [(single, range(at, min(at + SLICE, tables))) for at in range(0, tables, SLICE)]
+            more = tables_for(many, bucket_rows, SHORT_SIXTH)[1]
+            if more > tables:
+                slices.append((single.where(F.col("n") <= SHORT), range(tables, more)))
+            met = reduce(DataFrame.unionByName, [found(of, part, False) for of, part in slices])
+        else:  # other tables in each turn, where there are several
+            met = found(single, range(turn * PIVOT_TABLES, turn * PIVOT_TABLES + min(PIVOT_TABLES, tables)), True)
+        pairs = stored(met.where("b IS NOT NULL").distinct(), "pairs")
+        links = verified(pairs, sets(pairs.select(F.explode(F.array("a", "b")).alias("uid"))), least)
+        crowd = stored(met.where("b IS NULL").select(F.col("a").alias("uid"), F.col("ca").alias("c")).distinct(), "crowds")
+        if last and not crowd.isEmpty():
+            own = sets(crowd.select("uid"))
+            of = crowd.join(single, "uid").select("uid", F.conv(F.hex(F.substring("print", 1, 8)), 16, -10).cast("long").alias("fp"), "c", "n")
+            rare = stored(_by_rare_shingles(of, own, least), "rare-buckets")
             small, large = rare.where(F.col("many") <= SMALL), rare.where(F.col("many") > SMALL)
-            links = verified(_all_pairs(small, radius, least), sets, least).unionByName(_group_links(large, sets, least))
+            links = links.unionByName(verified(_all_pairs(small, radius, least), own, least)).unionByName(_group_links(large, own, least))
         moved = components(links.select(F.col("ca").alias("a"), F.col("cb").alias("b")))
-        if moved is None:
-            continue  # a pivot without a copy says nothing of the others
-        classes = stored(_moved(classes, moved), "classes")
-        if turn < pivots:
-            left = stored(_open(_moved(left, moved)), "open-buckets")
-            if left.isEmpty():
-                break
+        if moved is not None:
+            classes = stored(_moved(classes, moved), "classes")
     named = classes.withColumn("equal", F.concat("equal", F.lit(b"")))  # a key whose partitioning Spark doesn't know
-    return signed.select("uid", "equal").join(named, "equal").select(F.col("uid").alias(key_col), F.col("c").alias("component"))
+    return signed.select("uid", "equal").join(named.select("equal", "c"), "equal").select(F.col("uid").alias(key_col), F.col("c").alias("component"))

@@ -104,10 +104,10 @@ class HierarchicalIndex:
             levels.append((pattern[first], ~differ, root[first], first, last))
         self.levels = levels
 
-    def search(self, radius: int, labels: np.ndarray) -> np.ndarray:
+    def search(self, radius: int, labels: np.ndarray, block: int = 2048) -> np.ndarray:
         """Components of codes linked within ``radius`` and within buckets, as the
         smallest position of each, merged into ``labels`` (changed in place)."""
-        for query, node in self.near(radius, labels):
+        for query, node in self.near(radius, labels, block):
             _merge(labels, query, node)
         return labels
 

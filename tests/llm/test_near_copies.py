@@ -77,3 +77,36 @@ def test_awkward_rows(spark):
     groups = brute_groups([texts[k] for k in keys])
     assert {r.k: r.component for r in n.near_copies(rows, key_col="k").collect()} == {k: keys[g] for k, g in zip(keys, groups)}
     assert n.near_copies(empty(spark).selectExpr("*", "1L AS k"), key_col="k").count() == 0
+
+
+def test_tables_of_fingerprint_bits_deal_the_pairs(spark):
+    """Of rows given as fingerprints alone, those that differ in 15 % of the bits meet, however few rows share a bucket."""
+    rng = np.random.default_rng(4)
+    base = rng.integers(0, 2, (1500, n.BITS), dtype=np.uint8)
+    prints = np.packbits(np.concatenate([base, base[:500] ^ (rng.random((500, n.BITS)) < 0.1515)]), axis=1)
+    rows = spark.createDataFrame([(i, i, 100, p.tobytes()) for i, p in enumerate(prints)], "uid long, c long, n long, print binary")
+    bits, tables = n.tables_for(2000, bucket_rows=4)
+    assert (bits, n.tables_for(64), n.tables_for(0)) == (9, (0, 1), (0, 1))
+    found = n.candidates(n.dealt(rows, bits, range(tables)), 4, 26, 0.8, False).distinct().collect()
+    assert {(r.a, r.b) for r in found} >= {(i, 1500 + i) for i in range(500)} and len(found) < 520
+    assert all((r.ca, r.cb) == (r.a, r.b) for r in found)
+    few = n.candidates(n.dealt(rows, bits, range(8)), 4, 26, 0.8, True).distinct().collect()
+    assert few and {(r.a, r.b) for r in few} <= {(r.a, r.b) for r in found}
+
+
+@pytest.mark.parametrize(("pivots", "dense", "small", "block"), [(0, 8, 64, 1024), (2, 8, 64, 1024), (0, 0, 64, 1024), (0, 0, 1, 3)])
+def test_tables_and_crowded_buckets_equal_brute_force(spark, monkeypatch, pivots, dense, small, block):
+    monkeypatch.setattr(n, "DENSE", dense)  # 0: every bucket with a pair is dealt out by shingles
+    monkeypatch.setattr(n, "SMALL", small)
+    monkeypatch.setattr(n, "BLOCK", block)
+    rng = random.Random(8)
+    template = words(rng, 60)
+    texts = copies() + [f"{template} {words(rng, 12)}" for _ in range(60)]
+    df = spark.createDataFrame(list(enumerate(texts)), "k long, text string")
+    got = {r.k: r.component for r in n.near_copies(df, key_col="k", pivots=pivots, bucket_rows=2).collect()}
+    assert [got[i] for i in range(len(texts))] == brute_groups(texts)
+
+
+def test_a_likeness_that_the_tables_do_not_hold_is_refused(spark):
+    with pytest.raises(ValueError, match=r"0\.8"):
+        n.near_copies(spark.createDataFrame([(1, "a")], "k long, text string"), key_col="k", least=0.5)
