@@ -36,7 +36,7 @@ from quarry.llm.simhash import HierarchicalIndex, components, gray_rank, joined
 SEED, BITS, MISS = 42, 1024, 1e-6
 SIXTH, SHORT, SHORT_SIXTH = 1 / 6, 5, 3 / 16  # most bits that sets alike by 0.8 differ in; sets of at most SHORT shingles
 MOST_KEY_BITS, MOST_TABLES = 20, 1024
-PIVOT_TABLES, SLICE = 8, 32  # tables of a turn with pivots; tables that are shuffled at a time
+PIVOT_TABLES, SLICE, FEW = 16, 32, 500_000  # tables of a turn with pivots; tables that are shuffled at a time; rows whose keys are broadcast to the texts
 NEAR, FAR = 12, 60  # bits of 64 that make a cluster of a bucket; most bits of 192 that a pair at 0.8 differs in
 TASK_ROWS, INDEX_ROWS, DENSE = 300_000, 32_768, 8  # dealt rows of a task; rows of an index; pairs a row beyond which a bucket is dealt out by shingles
 PAIRS = 500_000  # pairs of a searcher and a node held at a time
@@ -330,7 +330,7 @@ def _group_links(rows: DataFrame, sets: DataFrame, least: float) -> DataFrame:
     return in_arrow(met, run, "ca long, cb long").distinct()
 
 
-def near_copies(rows: DataFrame, *, key_col: str, text_col: str = "text", words: int = 5, least: float = 0.8, radius: int = 26, pivots: int = 2, bucket_rows: int = 64) -> DataFrame:
+def near_copies(rows: DataFrame, *, key_col: str, text_col: str = "text", words: int = 5, least: float = 0.8, radius: int = 26, pivots: int = 1, bucket_rows: int = 64) -> DataFrame:
     """(key, component) for each row; component is the smallest key reachable."""
     if least < 0.8:
         raise ValueError("tables and radius hold 0.8 and more")
@@ -343,7 +343,8 @@ def near_copies(rows: DataFrame, *, key_col: str, text_col: str = "text", words:
     bits, tables = tables_for(many, bucket_rows)
 
     def sets(of: DataFrame) -> DataFrame:
-        return stored(sets_of(texts.join(of.distinct(), "uid", "left_semi"), words), "candidates-sets")
+        keys = stored(of.distinct(), "candidates-keys")
+        return stored(sets_of(texts.join(F.broadcast(keys) if keys.count() <= FEW else keys, "uid", "left_semi"), words), "candidates-sets")
 
     def found(of: DataFrame, tables: range, pivot: bool) -> DataFrame:
         now = of.join(classes.select(apart(F.col("uid")).alias("uid"), "c"), "uid").select("uid", "c", "n", "print")
@@ -361,10 +362,10 @@ def near_copies(rows: DataFrame, *, key_col: str, text_col: str = "text", words:
         else:  # other tables in each turn, where there are several
             met = found(single, range(turn * PIVOT_TABLES, turn * PIVOT_TABLES + min(PIVOT_TABLES, tables)), True)
         pairs = stored(met.where("b IS NOT NULL").distinct(), "pairs")
-        links = verified(pairs, sets(pairs.select(F.explode(F.array("a", "b")).alias("uid"))), least)
         crowd = stored(met.where("b IS NULL").select(F.col("a").alias("uid"), F.col("ca").alias("c")).distinct(), "crowds")
-        if last and not crowd.isEmpty():
-            own = sets(crowd.select("uid"))
+        own = sets(pairs.select(F.explode(F.array("a", "b")).alias("uid")).unionByName(crowd.select("uid")))
+        links = verified(pairs, own, least)
+        if not crowd.isEmpty():
             of = crowd.join(single, "uid").select("uid", F.conv(F.hex(F.substring("print", 1, 8)), 16, -10).cast("long").alias("fp"), "c", "n")
             rare = stored(_by_rare_shingles(of, own, least), "rare-buckets")
             small, large = rare.where(F.col("many") <= SMALL), rare.where(F.col("many") > SMALL)
