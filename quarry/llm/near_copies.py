@@ -9,7 +9,7 @@ there are as many tables as let a pair that differs in a sixth of its bits meet
 Within a bucket the Gray-ordered hierarchical index yields the pairs within ``radius`` of the first 64 bits; those
 within FAR of 192 bits and of sizes that 0.8 allows are left, and verified on the sets themselves, so no link is a guess.
 
-First come turns with few tables (``pivots`` of them), in which each cluster of a bucket is only compared to one of its members, so
+First comes a turn with few tables (``pivots`` such turns), in which each cluster of a bucket is only compared to one of its members, so
 a large group of near copies costs its size.  Then all pairs of all tables follow that are still apart.  Where those are many
 for a bucket's rows (documents of one template that aren't near copies), its rows are not paired but dealt out by their rarest shingles,
 which no pair at 0.8 can miss, and buckets of more than SMALL of such rows are verified where their members meet, in blocks.
