@@ -2,8 +2,8 @@
 mixing and packing.
 
 The stages are the operators' functions, but for near-duplicates: 0.8 on five-word shingles is beyond what op3's exact
-blocks can deal out, so wider SimHash fingerprints are dealt out by tables of their bits, and the operator's
-Gray-ordered index searches the buckets (:mod:`quarry.llm.near_copies`; README says what that finds and what it costs).
+blocks can deal out, so wider SimHash fingerprints are dealt out by tables of their bits
+(:mod:`quarry.llm.near_copies`; README says what that finds and what it costs).
 
 Every stage takes (spark, docs, sf_dir), works on all rows that the stage before
 kept, and its result is written before the next one reads it.
@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.llm import compression_quality, mixing, near_copies, packing, queries, repeats
-from quarry.llm.common import stored, table
+from quarry.llm.common import dropped_after, shared_path, stored, table
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 #: Wanted shares of tokens by language.
@@ -89,8 +89,8 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    for k, (name, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if k < len(STAGES) - 1:
-            docs = stored(docs, name.replace(" ", "-"))
-    return docs
+    for name, stage in STAGES[:-1]:
+        with dropped_after(spark):  # a stage's own tables go once its result is written
+            label = name.replace(" ", "-")
+            docs = stored(stage(spark, docs, sf_dir), label, shared_path(spark, label))
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -46,7 +46,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import apart, drop_path, in_arrow, shared_path, stored
+from quarry.llm.common import apart, drop_path, dropped_after, in_arrow, shared_path, stored
 
 GRAM, SPLIT, CHUNK = 48, 64, 1 << 18
 _ODD, _SHIFT = np.uint64(0x9E3779B97F4A7C15), np.uint64(32)
@@ -315,9 +315,11 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     kept_sha256 and, if ``kept_text``, the remaining bytes as ``kept``."""
     keep = [c for c in docs.columns if c != text_col] if keep is None else keep
     marked = _ids_repeat(docs, id_col)
-    found = covered(docs, id_col=id_col, text_col=text_col, length=length, marked=marked)
-    lists = found.groupBy("id", "mark").agg(F.collect_set(F.struct("start", "count")).alias("s"))  # a set: rows that share id and text find the same
-    lists = stored(lists.select("id", "mark", F.col("s.start").alias("starts"), F.col("s.count").alias("counts")), "covered")
+    with dropped_after(docs.sparkSession):  # the runs aren't read once what is covered is written
+        found = covered(docs, id_col=id_col, text_col=text_col, length=length, marked=marked)
+        lists = found.groupBy("id", "mark").agg(F.collect_set(F.struct("start", "count")).alias("s"))  # a set: rows that share id and text find the same
+        lists = lists.select("id", "mark", F.col("s.start").alias("starts"), F.col("s.count").alias("counts"))
+        lists = stored(lists, "covered", shared_path(docs.sparkSession, "covered"))
     rows = _rows(docs, id_col, text_col, keep, marked=marked).join(lists, ["id", "mark"], "left").select("row", "t", "starts", "counts")
     names = ["row", "n_bytes", "n_removed", "n_spans", "kept_sha256", *["kept"] * kept_text]
 

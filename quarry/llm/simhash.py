@@ -108,7 +108,7 @@ class HierarchicalIndex:
         """Components of codes linked within ``radius`` and within buckets, as the
         smallest position of each, merged into ``labels`` (changed in place)."""
         for query, node in self.near(radius, labels, block):
-            _merge(labels, query, node)
+            merge_labels(labels, query, node)
         return labels
 
     def near(self, radius: int, labels: np.ndarray, block: int = 2048) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -147,7 +147,7 @@ class HierarchicalIndex:
         return out
 
 
-def _merge(labels: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
+def merge_labels(labels: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
     """Unite the components of a[i] and b[i]; labels stay the smallest member's position."""
     while True:
         x, y = labels[a], labels[b]
@@ -229,7 +229,7 @@ def joined(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The edges (smallest id, id) of a star forest with the components of the edges (a, b)."""
     ids, at = np.unique(np.concatenate([a, b]), return_inverse=True)
     labels = np.arange(len(ids))
-    _merge(labels, at[: len(a)], at[len(a) :])
+    merge_labels(labels, at[: len(a)], at[len(a) :])
     member = np.flatnonzero(labels != np.arange(len(ids)))
     return ids[labels[member]], ids[member]
 

@@ -5,7 +5,8 @@ import numpy as np
 import pytest
 
 from quarry.llm import near_copies as n
-from quarry.llm.common import stored
+from quarry.llm.common import shared_root, stored
+from quarry.llm.repeats import remove_repeats
 from tests.llm.fixtures import awkward, empty, words
 
 
@@ -107,6 +108,54 @@ def test_tables_and_crowded_buckets_equal_brute_force(spark, monkeypatch, pivots
     assert [got[i] for i in range(len(texts))] == brute_groups(texts)
 
 
+def test_parities_drop_no_pair_that_is_alike():
+    rng = np.random.default_rng(3)
+    for size, other in ((1, 0), (40, 10), (900, 100), (5000, 1200)):
+        drawn = rng.integers(0, 1 << 64, size + other, dtype=np.uint64)
+        a, b = np.unique(drawn[:size]), np.unique(drawn[other:])
+        marks = [np.frombuffer(n.parities(x), np.uint64) for x in (a, b)]
+        assert np.bitwise_count(marks[0] ^ marks[1]).sum() <= len(np.setxor1d(a, b))
+    assert not any(n.parities(np.zeros(0, np.uint64)))
+
+
+def test_documents_of_one_template_are_no_rows_of_pairs(spark):
+    """Sixty texts of which each two are alike by some 0.6: at 0.8 none is a candidate, whatever the bits say."""
+    rng = random.Random(12)
+    base, texts = words(rng, 300).split(), []
+    for k in range(60):
+        changed = list(base)
+        for at in rng.sample(range(300), 9):
+            changed[at] = f"own{k}"
+        texts.append(" ".join(changed))
+    sets = [n.shingles(t.encode()) for t in texts]
+    likes = [n.jaccard(x, y) for i, x in enumerate(sets) for y in sets[:i]]
+    assert 0.5 < min(likes) < max(likes) < 0.78
+    rows = spark.createDataFrame([(i, t.encode()) for i, t in enumerate(texts)], "uid long, t binary")
+    signed = stored(n.signatures(rows, 5).selectExpr("*", "uid AS c"), "template")
+    for pivot in (False, True):
+        assert n.candidates(n.dealt(signed, 0, range(1)), 4, 26, 0.8, pivot).count() < 60
+    copies_too = signed.unionByName(signed.selectExpr("uid + 100 AS uid", "equal", "n", "print", "odd", "c + 100 AS c"))
+    met = n.candidates(n.dealt(copies_too, 0, range(1)), 4, 26, 0.8, False).collect()
+    assert {(i, i + 100) for i in range(60)} <= {(r.a, r.b) for r in met}
+
+
+def test_a_turn_leaves_none_of_its_tables_behind(spark):
+    def folders() -> set[str]:
+        path = spark._jvm.org.apache.hadoop.fs.Path(shared_root(spark))
+        return {f.getPath().getName() for f in path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(path)}
+
+    df = spark.createDataFrame(list(enumerate(copies(5))), "k long, text string")
+    before = folders()
+    got = n.near_copies(df, key_col="k")
+    left = {f.split("-", 2)[2] for f in folders() - before}
+    assert left and not left & {"signatures", "candidates", "pairs", "crowds", "candidates-keys", "candidates-sets"}
+    assert got.count() == df.count()  # what is left is enough to read the result
+    docs, before = df.withColumnRenamed("k", "doc_id"), folders()
+    cut = remove_repeats(docs)
+    assert {f.split("-", 2)[2] for f in folders() - before} == {"covered"}
+    assert cut.count() == docs.count()
+
+
 def test_a_likeness_that_the_tables_do_not_hold_is_refused(spark):
     with pytest.raises(ValueError, match=r"0\.8"):
         n.near_copies(spark.createDataFrame([(1, "a")], "k long, text string"), key_col="k", least=0.5)
