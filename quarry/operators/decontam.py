@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from quarry.functions.text import lazy_udf
 from quarry.model import strip
 from quarry.operators.blocks import Benchmark
-from quarry.session import in_arrow, sent_file, ship, spread
+from quarry.session import in_arrow, sent_file, ship, spread, stored
 from quarry.sources.io import cached
 
 Tokeniser = Callable[[Column], Column]
@@ -215,10 +215,11 @@ def verify(candidates: DataFrame, train: DataFrame, bench: DataFrame, *, thresho
     """(benchmark, id, eval_idx): per benchmark and id the smallest eval_idx that is confirmed.
 
     A text's candidates are one list (of ROW_CANDIDATES at most, longer ones are dealt out), so a text moves once and not for each pair.
-    The benchmark texts that have candidates are sent to the tasks, in slices of ``most_bytes``.
+    The benchmark texts that have candidates are sent to the tasks, in slices of ``most_bytes``.  The candidates are read several times and
+    written before, so that the corpus is searched for them once.
     """
     spark = ship(train.sparkSession)
-    pairs = candidates.select("id", "benchmark", "eval_idx")
+    pairs = stored(candidates.select("id", "benchmark", "eval_idx"), "candidates")
     wanted = bench.join(pairs.select("benchmark", "eval_idx").distinct(), ["benchmark", "eval_idx"], "left_semi").select("benchmark", "eval_idx", "text")
     slices = _slices(wanted, most_bytes)
     kind = dict(candidates.dtypes)

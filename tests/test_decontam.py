@@ -100,3 +100,19 @@ def test_many_candidates_of_one_text(spark):
     bench = spark.createDataFrame([("b", k, text if k % 3 else text + " and much more" * 40) for k in range(1500)], "benchmark string, eval_idx long, text string")
     found = decontam.shared_grams(train, bench)
     assert [tuple(r) for r in decontam.verify(found, train, bench).collect()] == [("b", 1, 1)]
+
+
+def test_candidates_are_found_once(spark):
+    train = spark.createDataFrame([(k, "a b c d e f g h i j") for k in range(7)], "id long, text string")
+    bench = spark.createDataFrame([("b", 1, "a b c d e f g h i j"), ("b", 2, "k l m n o p q r s t")], "benchmark string, eval_idx long, text string")
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    found = decontam.shared_grams(train, bench)
+    found = found.mapInArrow(counted, found.schema)
+    assert sorted(map(tuple, decontam.verify(found, train, bench, most_bytes=1).collect())) == [("b", k, 1) for k in range(7)]
+    assert seen.value == 7
