@@ -7,6 +7,7 @@ row, with its gram in full, so that a collision makes no pair.
 
 from __future__ import annotations
 
+import json
 import os
 from collections.abc import Callable, Iterator
 from functools import cache, lru_cache
@@ -33,6 +34,10 @@ def words(text: Column) -> Column:
     return F.array_remove(F.split(F.lower(strip(text)), r"\s+"), "")
 
 
+#: Texts that are encoded at a time: a tokenizer's answer has over a hundred bytes a token beside the ids.
+ENCODED = 32
+
+
 @cache
 def _tokenizer(path: str):
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
@@ -43,16 +48,39 @@ def _tokenizer(path: str):
     return made
 
 
+@cache
+def token_bytes(path: str) -> list[bytes] | None:
+    """The bytes of each id of a tokenizer file, if the bytes of any text are those of its ids in order; else None."""
+    with open(path, encoding="utf-8") as f:
+        said = json.load(f)
+    first, model = said.get("pre_tokenizer") or {}, said["model"]
+    kept = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b <= 255]  # bytes that byte-level vocabularies write as they are
+    symbols = {chr(b): b for b in kept} | {chr(256 + k): b for k, b in enumerate(sorted(set(range(256)) - set(kept)))}
+    whole = first.get("type") == "ByteLevel" and not first.get("add_prefix_space", True) and model.get("type") == "BPE" and symbols.keys() <= model["vocab"].keys()
+    changed = [said.get(k) for k in ("normalizer", "truncation", "padding")] + [model.get(k) for k in ("dropout", "continuing_subword_prefix", "end_of_word_suffix")]
+    if not whole or any(changed) or not all(t["special"] for t in said.get("added_tokens") or []):
+        return None
+    out = [b""] * (max(model["vocab"].values()) + 1)
+    for token, i in model["vocab"].items():
+        out[i] = bytes(symbols[c] for c in token) if symbols.keys() >= set(token) else b""
+    return out
+
+
 def subwords(path: str) -> Tokeniser:
     """Tokens by a tokenizer file: its ids, without special tokens.
 
-    The file goes to the executors with the application, which needn't share the driver's disk.
+    The file goes to the executors with the application, which needn't share the driver's disk.  ``bytes_of`` of the tokeniser gives
+    the bytes of its ids to executors; it is None where a text's bytes aren't those of its ids.
     """
     name = os.path.basename(path)
 
     def ids(texts: pd.Series) -> pd.Series:
-        found = _tokenizer(SparkFiles.get(name)).encode_batch([t or "" for t in texts], add_special_tokens=False)
-        return pd.Series([None if t is None else e.ids for t, e in zip(texts, found, strict=True)], dtype=object)
+        encode, out = _tokenizer(SparkFiles.get(name)).encode_batch, []
+        for at in range(0, len(texts), ENCODED):
+            some = texts.iloc[at : at + ENCODED]
+            found = encode([t or "" for t in some], add_special_tokens=False)
+            out += [None if t is None else np.array(e.ids, np.int32) for t, e in zip(some, found, strict=True)]
+        return pd.Series(out, dtype=object)
 
     made = lazy_udf("array<int>", own_step=True)(ids)
 
@@ -60,6 +88,7 @@ def subwords(path: str) -> Tokeniser:
         sent_file(SparkSession.active(), path)
         return made(text)
 
+    column.bytes_of = (lambda: token_bytes(SparkFiles.get(name))) if token_bytes(path) else None
     return column
 
 
@@ -102,16 +131,16 @@ def rolling(codes: np.ndarray, sizes: np.ndarray, n: int, last: bool) -> tuple[n
     return row[place], place, held[place]
 
 
-def _probes(hashes: np.ndarray, bits: int) -> Iterator[np.ndarray]:
+def _probes(hashes: np.ndarray, bits: int, probes: int = PROBES) -> Iterator[np.ndarray]:
     step = (hashes >> np.uint64(32)) | np.uint64(1)
-    for k in range(PROBES):
+    for k in range(probes):
         yield (hashes + np.uint64(k) * step) & np.uint64(bits - 1)
 
 
-def maybe_in(hashes: np.ndarray, bloom: np.ndarray) -> np.ndarray:
+def maybe_in(hashes: np.ndarray, bloom: np.ndarray, probes: int = PROBES) -> np.ndarray:
     """Which hashes the filter, an array of 64-bit numbers, may hold: all that it holds and few others."""
     found = np.ones(len(hashes), bool)
-    for at in _probes(hashes, len(bloom) * 64):
+    for at in _probes(hashes, len(bloom) * 64, probes):
         found &= (bloom[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1) == 1
     return found
 
@@ -174,6 +203,86 @@ def bench_grams(bench: DataFrame, folder: str, name: str, tokeniser: str = "word
     return cached(bench.sparkSession, folder, lambda: _grams(bench, ["benchmark", "eval_idx"], n, last, tokenise), name, tokeniser, n)
 
 
+#: Bytes at the beginning of a gram that are looked for in texts, as many as it has of these; bytes of texts that are looked at at a time.
+#: A text has thousands of such stretches, and none may hit by chance: bits of the filter for each gram, and probes.
+WINDOWS, BLOCK, START_BITS, START_PROBES = (8, 12, 16, 20), 1 << 15, 64, 8
+
+
+def _windows_of_bytes(data: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """For each size of WINDOWS the hashes of all stretches of so many bytes."""
+    four = np.zeros(max(len(data) - 3, 0), np.uint64)
+    for k in range(min(4, len(four))):
+        four[k::4] = data[k : k + (len(data) - k) // 4 * 4].view("<u4")
+    held = four
+    for size in range(8, WINDOWS[-1] + 1, 4):
+        many = len(data) - size + 1
+        if many <= 0:
+            return
+        held = (held ^ (held >> np.uint64(29)))[:many]
+        held *= _ODD
+        held += four[size - 4 : size - 4 + many]
+        if size in WINDOWS:
+            mixed = held ^ (held >> np.uint64(32))
+            mixed += np.uint64(size)
+            mixed *= _MIX
+            mixed ^= mixed >> np.uint64(29)
+            yield size, mixed
+
+
+def _worth(train: DataFrame, bench: DataFrame, n: int, last: bool, tokenise: Tokeniser, many: int, most_bits: int = MOST_BITS) -> DataFrame:
+    """(id, text) of the rows of ``train`` that may share a gram with ``bench``, by their bytes.
+
+    Equal grams of ids are equal bytes, so a text that holds none of the grams' beginnings needn't be tokenized.  Beginnings are
+    looked up in a Bloom filter, made as :func:`gram_filter` makes its own.  All rows stay if the ids' bytes aren't the text's or a gram is shorter than WINDOWS.
+    """
+    rows, bytes_of = spread(train).select("id", "text"), getattr(tokenise, "bytes_of", None)
+    if bytes_of is None:
+        return rows
+    bits = max(64, min(most_bits, 1 << max(20, (many * START_BITS - 1).bit_length())))  # two probes' places differ in few bits where a filter is small
+
+    def beginnings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = bytes_of()
+        for b in batches:
+            tokens, _, place, _ = _windows(b, n, last)
+            own = [known[i] for i in tokens.to_pylist()]
+            ends = np.concatenate(([0], np.cumsum([len(x) for x in own]))).astype(np.int64)
+            begin, size = ends[place], ends[place + n] - ends[place]
+            at = [np.zeros(0, np.uint64)]
+            data = np.frombuffer(b"".join(own), np.uint8)
+            fits = np.array(WINDOWS)[np.searchsorted(WINDOWS, size, "right") - 1]
+            for k, held in _windows_of_bytes(data):
+                at += _probes(held[begin[(fits == k) & (size >= k)]], bits, START_PROBES)
+            at = np.unique(np.concatenate(at))
+            word, first = np.unique(at >> np.uint64(6), return_index=True)
+            value = np.bitwise_or.reduceat(np.uint64(1) << (at & np.uint64(63)), first) if len(word) else at
+            short = [-1] * bool((size < WINDOWS[0]).any())
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate((word.astype(np.int64), np.array(short, np.int64)))), pa.array(np.concatenate((value.view(np.int64), np.array(short, np.int64))))], ["word", "bits"])
+
+    found = in_arrow(bench.select(tokenise(F.col("text")).alias("tokens")), beginnings, "word long, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow()
+    word = found.column("word").to_numpy()
+    if (word < 0).any():
+        return rows
+    bloom = np.zeros(bits // 64, np.uint64)
+    bloom[word] = found.column("bits").to_numpy().view(np.uint64)
+    sent = train.sparkSession.sparkContext.broadcast(bloom)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bloom = sent.value
+        for b in batches:
+            texts, keep = b.column(1).cast(pa.large_binary()), np.zeros(b.num_rows, bool)
+            ends = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
+            data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)
+            for at in range(int(ends[0]), int(ends[-1]), BLOCK):
+                for _, held in _windows_of_bytes(data[at : min(at + BLOCK + WINDOWS[-1] - 1, int(ends[-1]))]):
+                    bit = held & np.uint64(bits - 1)  # the first probe, of which few are left
+                    hit = np.flatnonzero((bloom[(bit >> np.uint64(6)).view(np.int64)] >> (bit & np.uint64(63))) & np.uint64(1))
+                    hit = hit[maybe_in(held[hit], bloom, START_PROBES)]
+                    keep[np.searchsorted(ends[1:], hit + at, "right")] = True
+            yield b.filter(pa.array(keep))
+
+    return in_arrow(rows, run, rows.schema)
+
+
 def shared_grams(train: DataFrame, bench: DataFrame, *, n: int = 8, last: bool = False, tokenise: Tokeniser = words, most_rows: int = MOST_ROWS, most_bits: int = MOST_BITS) -> DataFrame:
     """(id, benchmark, eval_idx, grams): how many distinct n-grams each pair shares.
 
@@ -181,7 +290,7 @@ def shared_grams(train: DataFrame, bench: DataFrame, *, n: int = 8, last: bool =
     at most ``most_rows`` grams go to all tasks, of larger ones only what was let through is shuffled, never the corpus.
     """
     known, many = gram_filter(bench, n=n, last=last, tokenise=tokenise, most_bits=most_bits)
-    left, right = _grams(spread(train), ["id"], n, last, tokenise, known), _grams(bench, ["benchmark", "eval_idx"], n, last, tokenise)
+    left, right = _grams(_worth(train, bench, n, last, tokenise, many, most_bits), ["id"], n, last, tokenise, known), _grams(bench, ["benchmark", "eval_idx"], n, last, tokenise)
     met = left.join(F.broadcast(right) if many <= most_rows else right, ["h", "gram"])
     return met.groupBy("id", "benchmark", "eval_idx").agg(F.count(F.lit(1)).alias("grams"))
 
@@ -190,7 +299,7 @@ def candidates_only(train: DataFrame, bench: DataFrame, *, n: int = 8, last: boo
     """Rows of ``train`` that share an n-gram with any benchmark: what the other steps need to look at."""
     known, many = gram_filter(bench, n=n, last=last, tokenise=tokenise)
     grams = _grams(bench, [], n, last, tokenise).select("h", "gram").distinct()
-    met = _grams(spread(train), ["id"], n, last, tokenise, known).join(F.broadcast(grams) if many <= most_rows else grams, ["h", "gram"], "left_semi")
+    met = _grams(_worth(train, bench, n, last, tokenise, many), ["id"], n, last, tokenise, known).join(F.broadcast(grams) if many <= most_rows else grams, ["h", "gram"], "left_semi")
     hits = met.select("id").distinct()
     return train.join(hits, train["id"].eqNullSafe(hits["id"]), "left_semi")
 

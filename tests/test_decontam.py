@@ -116,3 +116,33 @@ def test_candidates_are_found_once(spark):
     found = found.mapInArrow(counted, found.schema)
     assert sorted(map(tuple, decontam.verify(found, train, bench, most_bytes=1).collect())) == [("b", k, 1) for k in range(7)]
     assert seen.value == 7
+
+
+def test_bytes_leave_out_no_text_with_a_shared_gram(spark):
+    """Texts of odd characters, with passages that begin within words and characters' bytes; most other texts aren't tokenized."""
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    ids = decontam.subwords(path)
+    assert decontam.token_bytes(path)
+    rng = random.Random(5)
+    odd = ["a", "é", "ê", "ß", "日本", "\U0001f600", "\n\n", "  ", "\x1c", "\xa0", "<|endoftext|>", "12", "'s", "!?", "the ", " lorem"]
+    text = lambda n, of: "".join(rng.choice(of) for _ in range(n))
+    bench = [("b", k, text(rng.randint(0, 60), odd)) for k in range(12)]
+    train = []
+    for k in range(300):
+        source, at = rng.choice(bench)[2], rng.randrange(60)
+        train.append((k, rng.choice(["", "x", text(9, odd)]) + source[at : at + rng.randint(0, 40)] + rng.choice(["", text(9, odd)])))
+    train += [(1000 + k, "".join(chr(rng.randrange(97, 123)) for _ in range(300))) for k in range(500)] + [(2000, ""), (2001, None)]
+    t, b = spark.createDataFrame(train, "id long, text string"), spark.createDataFrame(bench, "benchmark string, eval_idx long, text string")
+    real = Tokenizer.from_file(path)
+    real.encode_special_tokens = True
+    for n, last in ((8, False), (9, True), (3, True)):
+        grams = lambda s: {tuple(e[i : i + n]) for e in [real.encode(s or "", add_special_tokens=False).ids] for i in range(len(e) - n + last)}  # noqa: E731, B023
+        mine = {k: grams(s) for k, s in train}
+        want = sorted((k, x, i, len(mine[k] & grams(s))) for k, _ in train for x, i, s in bench if mine[k] & grams(s))
+        assert want and sorted(map(tuple, decontam.shared_grams(t, b, n=n, last=last, tokenise=ids).collect())) == want
+    kept = {r.id for r in decontam._worth(t, b, 8, False, ids, decontam.gram_filter(b, tokenise=ids)[1]).collect()}
+    assert sum(k < 1000 for k in kept) > 100 and not [k for k in kept if k >= 1000]
+
+
+def test_tokenizers_that_change_texts_have_no_bytes():
+    assert decontam.token_bytes(public_tokenizers.path("word_bpe_49k.json")) is None
